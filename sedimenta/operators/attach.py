@@ -1,0 +1,86 @@
+"""Equi joins of a large table to a lookup table that hold up under skew.
+
+The lookup side is broadcast only when its measured size is within a bound.
+Otherwise both sides are shuffled, and the keys that hold a large share of the
+large side are salted: their rows are spread over several tasks, and only the
+lookup rows of those keys are replicated. Null keys never match, so they are spread
+without replicating anything. Both ways give the same rows.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+BROADCAST_BYTES = 64 * 1024 * 1024
+SALTS = 256
+
+# A key is hot when it may hold more than one row in a thousand.
+HOT_SHARE = 0.001
+HOT_KEYS = 1000
+TRACKED_KEYS = 10_000
+
+_FIXED_BYTES = 16
+_SALT = "_salt"
+_KEY = "_lookup_key"
+
+
+def attach(
+    df: DataFrame,
+    lookup: DataFrame,
+    key: str,
+    lookup_key: str | None = None,
+    how: str = "left",
+    broadcast_bytes: int = BROADCAST_BYTES,
+    salts: int = SALTS,
+) -> DataFrame:
+    """Join ``lookup`` to ``df`` on ``df.key = lookup.lookup_key`` (``left`` or ``inner``).
+
+    The result has the columns of ``df`` and those of ``lookup`` but for its key. A
+    repeated lookup key multiplies rows, as in any join.
+    """
+    if how not in ("left", "inner"):
+        raise ValueError(f"how must be 'left' or 'inner', not {how!r}")
+    if how == "inner":
+        df = df.filter(F.col(key).isNotNull())
+    lookup = lookup.withColumnRenamed(lookup_key or key, _KEY).filter(F.col(_KEY).isNotNull())
+
+    if size_within(lookup, broadcast_bytes):
+        return df.join(F.broadcast(lookup), F.col(key) == F.col(_KEY), how).drop(_KEY)
+
+    hot = hot_keys(df, key)
+    # The salt depends on the row alone, so a task that runs again sends its rows
+    # to the same place.
+    spread = F.pmod(F.xxhash64(*df.columns), F.lit(salts)).cast("int")
+    salted = df.withColumn(_SALT, F.when(F.col(key).isNull() | _among(key, hot), spread).otherwise(0))
+    every_salt = F.sequence(F.lit(0), F.lit(salts - 1))
+    replicated = lookup.withColumn(
+        _SALT, F.explode(F.when(_among(_KEY, hot), every_salt).otherwise(F.array(F.lit(0))))
+    ).withColumnRenamed(_SALT, f"{_SALT}_r")
+    match = (F.col(key) == F.col(_KEY)) & (F.col(_SALT) == F.col(f"{_SALT}_r"))
+    return salted.join(replicated, match, how).drop(_KEY, _SALT, f"{_SALT}_r")
+
+
+def size_within(df: DataFrame, n_bytes: int) -> bool:
+    """Whether the rows of ``df`` take at most ``n_bytes``, measured by one aggregation."""
+    if n_bytes <= 0:
+        return False
+    widths = [F.lit(_FIXED_BYTES * len(df.columns)).cast("long")]
+    widths += [F.coalesce(F.octet_length(name).cast("long"), F.lit(0)) for name, kind in df.dtypes if kind == "string"]
+    total = df.agg(F.coalesce(F.sum(sum(widths[1:], widths[0])), F.lit(0)).alias("n")).first()["n"]
+    return total <= n_bytes
+
+
+def hot_keys(df: DataFrame, key: str) -> list:
+    """Keys that may hold more than ``HOT_SHARE`` of the rows; never more than ``HOT_KEYS``.
+
+    One pass with a sketch of fixed size, merged on the map side, so a hot key costs
+    no more than any other. It only steers the salting and has no effect on results.
+    """
+    sketch = F.call_function("approx_top_k", F.col(key), F.lit(HOT_KEYS), F.lit(TRACKED_KEYS))
+    found = df.filter(F.col(key).isNotNull()).agg(F.count(F.lit(1)).alias("n"), sketch.alias("top")).first()
+    return [item["item"] for item in found["top"] if item["count"] > HOT_SHARE * found["n"]]
+
+
+def _among(name: str, values: list) -> Column:
+    return F.coalesce(F.col(name).isin(values), F.lit(False)) if values else F.lit(False)

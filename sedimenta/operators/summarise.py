@@ -1,0 +1,84 @@
+"""Grouped summaries described as data.
+
+All measures are partial aggregates: each task reduces its rows to one per group
+before the shuffle, so a group holding most of the rows costs no more than others.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from sedimenta.functions import money_mean, money_total, percentage, round2
+
+
+def rows() -> Column:
+    return F.count(F.lit(1))
+
+
+def rows_where(predicate: Column) -> Column:
+    """Rows for which the predicate is true; unknown is not counted."""
+    return F.count_if(predicate)
+
+
+def share_where(predicate: Column) -> Column:
+    """Percentage of rows for which the predicate is true, two decimals."""
+    return round2(percentage(F.count_if(predicate), rows()))
+
+
+def total(column: str) -> Column:
+    return money_total(F.col(column))
+
+
+def mean_money(column: str) -> Column:
+    return money_mean(F.col(column))
+
+
+def mean_whole(column: str) -> Column:
+    """Mean of an integer column, two decimals."""
+    return round2(F.avg(F.col(column).cast("long")))
+
+
+def largest(column: str) -> Column:
+    return F.max(column)
+
+
+@dataclass(frozen=True)
+class Summary:
+    """Group keys and measures, both as output name to expression.
+
+    ``order`` holds output names, a leading ``-`` for descending. Nulls sort last
+    both ways, and the keys break ties.
+    """
+
+    keys: Mapping[str, Column]
+    measures: Mapping[str, Column]
+    order: Sequence[str] = ()
+    required: Sequence[str] = ()
+
+
+def summarise(df: DataFrame, spec: Summary) -> DataFrame:
+    return ordered(grouped(df, spec), spec)
+
+
+def grouped(df: DataFrame, spec: Summary) -> DataFrame:
+    """The summary without its order, for storing."""
+    for name in spec.required:
+        df = df.filter(F.col(name).isNotNull())
+    keys = [expr.alias(name) for name, expr in spec.keys.items()]
+    measures = [expr.alias(name) for name, expr in spec.measures.items()]
+    return df.groupBy(*keys).agg(*measures)
+
+
+def ordered(summary: DataFrame, spec: Summary) -> DataFrame:
+    """Sort a summary, also one read back: stored tables keep no order."""
+    given = [name.lstrip("-") for name in spec.order]
+    ties = [name for name in spec.keys if name not in given]
+    return summary.orderBy(*[_sort_key(name) for name in (*spec.order, *ties)])
+
+
+def _sort_key(name: str) -> Column:
+    return F.desc_nulls_last(name[1:]) if name.startswith("-") else F.asc_nulls_last(name)
