@@ -3,8 +3,6 @@ from sedimenta.functions.exprs import (
     NULL_TOKENS,
     as_date,
     as_money,
-    money_mean,
-    money_total,
     null_tokens_to_null,
     or_default,
     percentage,
@@ -16,8 +14,6 @@ __all__ = [
     "NULL_TOKENS",
     "as_date",
     "as_money",
-    "money_mean",
-    "money_total",
     "null_tokens_to_null",
     "or_default",
     "percentage",

@@ -76,16 +76,6 @@ def round2(column: Column) -> Column:
     return F.round(scaled) / F.lit(100.0)
 
 
-def money_total(column: Column) -> Column:
-    """Sum in decimals: exact and independent of the partitioning."""
-    return F.sum(as_money(column)).cast("double")
-
-
-def money_mean(column: Column) -> Column:
-    """Mean from the exact sum, rounded to cents; null for a group without values."""
-    return round2(F.try_divide(money_total(column), F.count(column).cast("double")))
-
-
 def percentage(part: Column, whole: Column) -> Column:
     """``100 * part / whole`` as a double; null when ``whole`` is zero."""
     return F.try_divide(F.lit(100.0) * part, whole.cast("double"))

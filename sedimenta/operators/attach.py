@@ -22,7 +22,8 @@ TRACKED_KEYS = 10_000
 
 _FIXED_BYTES = 16
 _SALT = "_salt"
-_KEY = "_lookup_key"
+_LOOKUP_SALT = "_lookup_salt"
+_LOOKUP_KEY = "_lookup_key"
 
 
 def attach(
@@ -31,6 +32,9 @@ def attach(
     key: str,
     lookup_key: str | None = None,
     how: str = "left",
+    keys_in: DataFrame | None = None,
+    screen: DataFrame | None = None,
+    one_row_per_key: bool = False,
     broadcast_bytes: int = BROADCAST_BYTES,
     salts: int = SALTS,
 ) -> DataFrame:
@@ -38,36 +42,52 @@ def attach(
 
     The result has the columns of ``df`` and those of ``lookup`` but for its key. A
     repeated lookup key multiplies rows, as in any join.
+
+    Three arguments save work and have no effect on the rows. ``keys_in`` is a frame
+    with the column ``key`` that is cheaper to scan for hot keys than ``df``.
+    ``screen`` is a frame to measure first: where it is too large, ``lookup`` is not
+    measured and not broadcast. ``one_row_per_key`` says that ``df`` has been grouped
+    by the key, so that no key can be hot.
     """
     if how not in ("left", "inner"):
         raise ValueError(f"how must be 'left' or 'inner', not {how!r}")
     if how == "inner":
         df = df.filter(F.col(key).isNotNull())
-    lookup = lookup.withColumnRenamed(lookup_key or key, _KEY).filter(F.col(_KEY).isNotNull())
+    lookup = lookup.withColumnRenamed(lookup_key or key, _LOOKUP_KEY).filter(F.col(_LOOKUP_KEY).isNotNull())
+    match = F.col(key) == F.col(_LOOKUP_KEY)
 
-    if size_within(lookup, broadcast_bytes):
-        return df.join(F.broadcast(lookup), F.col(key) == F.col(_KEY), how).drop(_KEY)
+    small = (screen is None or size_within(screen, broadcast_bytes)) and size_within(lookup, broadcast_bytes)
+    if small:
+        return df.join(F.broadcast(lookup), match, how).drop(_LOOKUP_KEY)
+    if one_row_per_key:
+        return df.join(lookup, match, how).drop(_LOOKUP_KEY)
 
-    hot = hot_keys(df, key)
+    hot = hot_keys(df if keys_in is None else keys_in, key)
     # The salt depends on the row alone, so a task that runs again sends its rows
     # to the same place.
     spread = F.pmod(F.xxhash64(*df.columns), F.lit(salts)).cast("int")
     salted = df.withColumn(_SALT, F.when(F.col(key).isNull() | _among(key, hot), spread).otherwise(0))
     every_salt = F.sequence(F.lit(0), F.lit(salts - 1))
+    one_salt = F.array(F.lit(0))
     replicated = lookup.withColumn(
-        _SALT, F.explode(F.when(_among(_KEY, hot), every_salt).otherwise(F.array(F.lit(0))))
-    ).withColumnRenamed(_SALT, f"{_SALT}_r")
-    match = (F.col(key) == F.col(_KEY)) & (F.col(_SALT) == F.col(f"{_SALT}_r"))
-    return salted.join(replicated, match, how).drop(_KEY, _SALT, f"{_SALT}_r")
+        _LOOKUP_SALT, F.explode(F.when(_among(_LOOKUP_KEY, hot), every_salt).otherwise(one_salt))
+    )
+    match &= F.col(_SALT) == F.col(_LOOKUP_SALT)
+    return salted.join(replicated, match, how).drop(_LOOKUP_KEY, _SALT, _LOOKUP_SALT)
 
 
 def size_within(df: DataFrame, n_bytes: int) -> bool:
-    """Whether the rows of ``df`` take at most ``n_bytes``, measured by one aggregation."""
+    """Whether the rows of ``df`` take at most ``n_bytes``, measured by one aggregation.
+
+    A row counts with a fixed width per column plus the lengths of its texts.
+    """
     if n_bytes <= 0:
         return False
-    widths = [F.lit(_FIXED_BYTES * len(df.columns)).cast("long")]
-    widths += [F.coalesce(F.octet_length(name).cast("long"), F.lit(0)) for name, kind in df.dtypes if kind == "string"]
-    total = df.agg(F.coalesce(F.sum(sum(widths[1:], widths[0])), F.lit(0)).alias("n")).first()["n"]
+    width = F.lit(_FIXED_BYTES * len(df.columns)).cast("long")
+    for name, kind in df.dtypes:
+        if kind == "string":
+            width += F.coalesce(F.octet_length(name), F.lit(0))
+    total = df.agg(F.coalesce(F.sum(width), F.lit(0)).alias("n")).first()["n"]
     return total <= n_bytes
 
 

@@ -1,8 +1,8 @@
 """Data-quality checks: one value each, a predicate on it, and a severity.
 
-Checks that read one value off a table are computed together in a single scan of
-that table. Checks that need a shuffle of their own (uniqueness, references) are
-separate branches of the same job.
+A value is made of one or two aggregates. All aggregates over the same table, from
+whichever checks, are computed in a single scan of it. Checks that need a shuffle of
+their own (uniqueness, references) are separate branches of the same job.
 """
 
 from __future__ import annotations
@@ -27,101 +27,96 @@ RESULT_SCHEMA = (
     "value double, passed boolean, status string, error string"
 )
 
-# wide enough for totals of totals
-TOTAL = "decimal(28,2)"
+# Counts and totals of amounts, exactly.
+EXACT = "decimal(28,2)"
 
 Tables = Mapping[str, DataFrame]
 
 
+@dataclass(frozen=True)
+class Part:
+    """One aggregate over a table, or over a frame made from the tables."""
+
+    over: str | Callable[[Tables], DataFrame]
+    aggregate: Column
+
+    def frame(self, tables: Tables) -> DataFrame:
+        return self.over(tables) if callable(self.over) else tables[self.over]
+
+
 @dataclass(frozen=True)
 class Check:
-    """A named check on one or more tables.
+    """A named check.
 
-    ``value`` is an aggregate over ``table``, or a function from all tables to a
-    one-row frame with a column ``value``. An unknown predicate (a null value)
-    counts as not passed, with the status ``on_null``.
+    ``value`` combines the parts, and ``passes`` judges the value. A value for which
+    that is unknown (null) counts as not passed, with the status ``on_null``.
     """
 
     layer: str
     name: str
-    description: str
-    severity: str
-    value: Column | Callable[[Tables], DataFrame]
+    parts: Sequence[Part]
     passes: Callable[[Column], Column]
-    table: str | None = None
+    severity: str = CRITICAL
+    description: str = ""
+    value: Callable[..., Column] = lambda part: part
     on_null: str = FAIL
 
 
 # ---- check types -----------------------------------------------------------------
+# Each takes the layer, a name, what to look at, and optionally the severity and a
+# description.
 
 
-def row_count_at_least(layer: str, name: str, table: str, n: int, severity: str = CRITICAL, description: str = "") -> Check:
-    return Check(layer, name, description, severity, F.count(F.lit(1)), lambda v: v >= n, table, ERROR)
+def row_count_at_least(layer: str, name: str, table: str, n: int, **options) -> Check:
+    return Check(layer, name, [Part(table, _rows())], lambda v: v >= n, on_null=ERROR, **options)
 
 
-def not_empty(layer: str, name: str, table: str, severity: str = CRITICAL, description: str = "") -> Check:
-    return Check(layer, name, description, severity, F.count(F.lit(1)), lambda v: v > 0, table, ERROR)
+def not_empty(layer: str, name: str, table: str, **options) -> Check:
+    return Check(layer, name, [Part(table, _rows())], lambda v: v > 0, on_null=ERROR, **options)
 
 
-def no_rows_where(
-    layer: str, name: str, table: str, predicate: Column, severity: str = CRITICAL, description: str = ""
-) -> Check:
+def no_rows_where(layer: str, name: str, table: str, predicate: Column, **options) -> Check:
     """No row meets the predicate; rows for which it is unknown do not count."""
-    return Check(layer, name, description, severity, F.count_if(predicate), _is_zero, table)
+    return Check(layer, name, [Part(table, F.count_if(predicate))], _is_zero, **options)
 
 
-def positive(layer: str, name: str, table: str, column: str, severity: str = CRITICAL, description: str = "") -> Check:
-    return no_rows_where(layer, name, table, F.col(column) <= 0, severity, description)
+def positive(layer: str, name: str, table: str, column: str, **options) -> Check:
+    return no_rows_where(layer, name, table, F.col(column) <= 0, **options)
 
 
-def in_range(
-    layer: str, name: str, table: str, column: str, low, high, severity: str = WARNING, description: str = ""
-) -> Check:
-    outside = (F.col(column) < low) | (F.col(column) > high)
-    return no_rows_where(layer, name, table, outside, severity, description)
+def in_range(layer: str, name: str, table: str, column: str, low, high, **options) -> Check:
+    return no_rows_where(layer, name, table, (F.col(column) < low) | (F.col(column) > high), **options)
 
 
-def in_order(
-    layer: str, name: str, table: str, first: str, second: str, severity: str = CRITICAL, description: str = ""
-) -> Check:
-    return no_rows_where(layer, name, table, F.col(first) > F.col(second), severity, description)
+def in_order(layer: str, name: str, table: str, first: str, second: str, **options) -> Check:
+    return no_rows_where(layer, name, table, F.col(first) > F.col(second), **options)
 
 
-def every_group_has(
-    layer: str, name: str, table: str, count_column: str, n: int = 1, severity: str = WARNING, description: str = ""
-) -> Check:
-    return no_rows_where(layer, name, table, F.col(count_column) < n, severity, description)
+def every_group_has(layer: str, name: str, table: str, count_column: str, n: int = 1, **options) -> Check:
+    return no_rows_where(layer, name, table, F.col(count_column) < n, **options)
 
 
-def no_nulls(layer: str, name: str, table: str, column: str, severity: str = CRITICAL, description: str = "") -> Check:
+def no_nulls(layer: str, name: str, table: str, column: str, **options) -> Check:
     """The null percentage is zero. It is null, and the check fails, on an empty table."""
-    share = percentage(F.count_if(F.col(column).isNull()), F.count(F.lit(1)))
-    return Check(layer, name, description, severity, share, _is_zero, table)
+    parts = [Part(table, F.count_if(F.col(column).isNull())), Part(table, _rows())]
+    return Check(layer, name, parts, _is_zero, value=percentage, **options)
 
 
-def unique(layer: str, name: str, table: str, key: str, severity: str = CRITICAL, description: str = "") -> Check:
+def unique(layer: str, name: str, table: str, key: str, **options) -> Check:
     """No repeated key. Rows with a null key count as repeats.
 
-    Keys are counted per value first, so a key on many rows leaves each task once.
+    Rows are counted per key first, so a key on many rows leaves each task once.
     """
 
-    def repeats(tables: Tables) -> DataFrame:
-        per_key = tables[table].groupBy(F.col(key).alias("k")).agg(F.count(F.lit(1)).alias("n"))
-        beyond_first = F.when(F.col("k").isNull(), F.col("n")).otherwise(F.col("n") - 1)
-        return per_key.agg(F.coalesce(F.sum(beyond_first), F.lit(0)).alias("value"))
+    def per_key(tables: Tables) -> DataFrame:
+        return tables[table].groupBy(F.col(key).alias("k")).agg(_rows().alias("n"))
 
-    return Check(layer, name, description, severity, repeats, _is_zero)
+    beyond_first = F.when(F.col("k").isNull(), F.col("n")).otherwise(F.col("n") - 1)
+    return Check(layer, name, [Part(per_key, _total_or_zero(beyond_first))], _is_zero, **options)
 
 
 def references(
-    layer: str,
-    name: str,
-    table: str,
-    key: str,
-    parent: str,
-    parent_key: str | None = None,
-    severity: str = WARNING,
-    description: str = "",
+    layer: str, name: str, table: str, key: str, parent: str, parent_key: str | None = None, **options
 ) -> Check:
     """Every non-null key is found in the parent table; the value counts rows.
 
@@ -131,37 +126,37 @@ def references(
 
     def orphans(tables: Tables) -> DataFrame:
         children = tables[table].filter(F.col(key).isNotNull())
-        per_key = children.groupBy(F.col(key).alias("k")).agg(F.count(F.lit(1)).alias("n"))
-        parents = tables[parent].select(F.col(parent_key or key).alias("k"))
-        return per_key.join(parents, "k", "left_anti").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("value"))
+        per_key = children.groupBy(F.col(key).alias("k")).agg(_rows().alias("n"))
+        return per_key.join(tables[parent].select(F.col(parent_key or key).alias("k")), "k", "left_anti")
 
-    return Check(layer, name, description, severity, orphans, _is_zero)
+    return Check(layer, name, [Part(orphans, _total_or_zero(F.col("n")))], _is_zero, **options)
 
 
 def totals_reconcile(
-    layer: str,
-    name: str,
-    left: tuple[str, str],
-    right: tuple[str, str],
-    tolerance: float = 1,
-    severity: str = CRITICAL,
-    description: str = "",
+    layer: str, name: str, left: tuple[str, str], right: tuple[str, str], tolerance: float = 1, **options
 ) -> Check:
     """Two ``(table, column)`` totals differ by less than the tolerance.
 
     A total over no rows is null, and the comparison is then an error.
     """
+    parts = [Part(table, F.sum(F.col(column).cast(EXACT))) for table, column in (left, right)]
+    return Check(
+        layer,
+        name,
+        parts,
+        lambda v: v < tolerance,
+        value=lambda one, other: F.abs(one - other),
+        on_null=ERROR,
+        **options,
+    )
+
+
+def _rows() -> Column:
+    return F.count(F.lit(1))
 
-    def difference(tables: Tables) -> DataFrame:
-        sides = [
-            tables[table].agg(F.sum(F.col(column).cast(TOTAL)).alias("total")).select(F.lit(side).alias("side"), "total")
-            for side, (table, column) in enumerate((left, right))
-        ]
-        both = sides[0].unionByName(sides[1])
-        one, other = (F.max(F.when(F.col("side") == side, F.col("total"))) for side in (0, 1))
-        return both.agg(F.abs(one - other).alias("value"))
 
-    return Check(layer, name, description, severity, difference, lambda v: v < tolerance, None, ERROR)
+def _total_or_zero(value: Column) -> Column:
+    return F.coalesce(F.sum(value), F.lit(0))
 
 
 def _is_zero(value: Column) -> Column:
@@ -177,21 +172,18 @@ def check_rows(tables: Tables, checks: Sequence[Check], spark: SparkSession | No
     A check that cannot be planned, for a missing table or column, becomes an ERROR
     row and the others go on.
     """
-    frames, fused, broken = [], {}, []
+    planned, broken = [], []
     for position, check in enumerate(checks):
         try:
-            frame = _value_frame(tables, check)
+            for part in check.parts:
+                part.frame(tables).agg(part.aggregate)
+            planned.append((position, check))
         except Exception as error:  # whatever a check raises is its result
             broken.append(_error_row(position, check, error))
-            continue
-        if callable(check.value):
-            frames.append(_results(frame, [(position, check, F.col("value"))]))
-        else:
-            fused.setdefault(check.table, []).append((position, check))
-    for table, members in fused.items():
-        values = tables[table].agg(*[check.value.alias(f"v{position}") for position, check in members])
-        frames.append(_results(values, [(position, check, F.col(f"v{position}")) for position, check in members]))
-    if broken:
+    frames = []
+    if planned:
+        frames.append(_results(tables, planned))
+    if broken or not planned:
         frames.append((spark or _spark(tables)).createDataFrame(broken, RESULT_SCHEMA))
     return reduce(DataFrame.unionByName, frames)
 
@@ -208,40 +200,46 @@ def run_checks(tables: Tables, checks: Sequence[Check], spark: SparkSession | No
         rows = []
         for position, check in enumerate(checks):
             try:
-                frame = _results(_value_frame(tables, check), [(position, check, F.col("value"))])
-                rows += frame.collect()
+                rows += _results(tables, [(position, check)]).collect()
             except Exception as error:
                 rows.append(_error_row(position, check, error))
-    return (spark or _spark(tables)).createDataFrame(sorted(rows, key=lambda row: row[0]), RESULT_SCHEMA)
-
-
-def _value_frame(tables: Tables, check: Check) -> DataFrame:
-    if callable(check.value):
-        return check.value(tables)
-    return tables[check.table].agg(check.value.alias("value"))
-
-
-def _results(values: DataFrame, members: list[tuple[int, Check, Column]]) -> DataFrame:
-    rows = []
-    for position, check, value in members:
-        outcome = check.passes(value)
-        passed = F.coalesce(outcome, F.lit(False))
-        status = F.when(outcome.isNull(), check.on_null).when(outcome, "PASS").otherwise(FAIL)
-        error = F.when(outcome.isNull() & F.lit(check.on_null == ERROR), F.lit("the value is null"))
-        rows.append(
-            F.struct(
-                F.lit(position).alias("position"),
-                F.lit(check.layer).alias("layer"),
-                F.lit(check.name).alias("name"),
-                F.lit(check.description).alias("description"),
-                F.lit(check.severity).alias("severity"),
-                value.cast("double").alias("value"),
-                passed.alias("passed"),
-                status.alias("status"),
-                error.alias("error"),
-            )
-        )
-    return values.select(F.inline(F.array(*rows)))
+    rows = sorted(rows, key=lambda row: row[0])
+    return (spark or _spark(tables)).createDataFrame(rows, RESULT_SCHEMA)
+
+
+def _results(tables: Tables, members: Sequence[tuple[int, Check]]) -> DataFrame:
+    """Parts by table, one row each; gathered into a single row; then one row per check."""
+    by_table, names = {}, []
+    for position, check in members:
+        for i, part in enumerate(check.parts):
+            name = f"part_{position}_{i}"
+            names.append(name)
+            by_table.setdefault(part.over, []).append((name, part))
+    frames = [
+        parts[0][1].frame(tables).agg(*[part.aggregate.cast(EXACT).alias(name) for name, part in parts])
+        for parts in by_table.values()
+    ]
+    gathered = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+    if len(frames) > 1:
+        gathered = gathered.agg(*[F.max(name).alias(name) for name in names])
+    return gathered.select(F.inline(F.array(*[_result(position, check) for position, check in members])))
+
+
+def _result(position: int, check: Check) -> Column:
+    value = check.value(*[F.col(f"part_{position}_{i}") for i in range(len(check.parts))])
+    outcome = check.passes(value)
+    error = F.when(outcome.isNull() & F.lit(check.on_null == ERROR), F.lit("the value is null"))
+    return F.struct(
+        F.lit(position).alias("position"),
+        F.lit(check.layer).alias("layer"),
+        F.lit(check.name).alias("name"),
+        F.lit(check.description).alias("description"),
+        F.lit(check.severity).alias("severity"),
+        value.cast("double").alias("value"),
+        F.coalesce(outcome, F.lit(False)).alias("passed"),
+        F.when(outcome.isNull(), check.on_null).when(outcome, "PASS").otherwise(FAIL).alias("status"),
+        error.alias("error"),
+    )
 
 
 def _error_row(position: int, check: Check, error: Exception) -> tuple:

@@ -69,39 +69,49 @@ def duplicates(df: DataFrame) -> DataFrame:
     return copies.agg(F.coalesce(F.sum("extra"), F.lit(0)).alias("duplicate_rows"))
 
 
-def describe(
-    df: DataFrame, names: Sequence[str], one_task_values: int = ONE_TASK_VALUES
-) -> DataFrame:
+QUARTILES = (0.25, 0.5, 0.75)
+
+
+def describe(df: DataFrame, names: Sequence[str], one_task_values: int = ONE_TASK_VALUES) -> DataFrame:
     """Statistics of numeric columns, one row each, two decimals.
 
     ``(column, count, mean, std, min, q25, q50, q75, max)``: sample deviation, exact
-    quantiles with linear interpolation. Runs its jobs on call; the result is one
-    row per column.
+    quantiles with linear interpolation. A small table takes one pass; the quartiles
+    of a larger one are searched for on call.
     """
+    if not names:
+        raise ValueError("no columns to describe")
+    values = df.select(*[_present(df, name).cast("double").alias(f"v{i}") for i, name in enumerate(names)])
+    if df.count() <= one_task_values:
+        quartiles = [F.percentile(f"v{i}", list(QUARTILES)) for i in range(len(names))]
+    else:
+        counts = values.agg(*[F.count(name) for name in values.columns]).first()
+        quartiles = [
+            F.array(*[F.lit(q).cast("double") for q in exact_quantiles(values, name, QUARTILES, n, one_task_values)])
+            for name, n in zip(values.columns, counts)
+        ]
     fields = []
-    for i, name in enumerate(names):
-        value = _present(df, name).cast("double")
+    for i, quartile in enumerate(quartiles):
+        value = f"v{i}"
         fields += [
             F.count(value).alias(f"count{i}"),
             F.avg(value).alias(f"mean{i}"),
             F.stddev_samp(value).alias(f"std{i}"),
             F.min(value).alias(f"min{i}"),
+            quartile.alias(f"quartiles{i}"),
             F.max(value).alias(f"max{i}"),
         ]
-    if not fields:
-        raise ValueError("no columns to describe")
-    stats = df.agg(*fields).first()
-    rows = []
-    for i, name in enumerate(names):
-        values = df.select(_present(df, name).alias("v"))
-        quartiles = exact_quantiles(values, "v", (0.25, 0.5, 0.75), stats[f"count{i}"], one_task_values)
-        rows.append(
-            (name, stats[f"count{i}"], stats[f"mean{i}"], stats[f"std{i}"], stats[f"min{i}"], *quartiles, stats[f"max{i}"])
+    described = [
+        F.struct(
+            F.lit(name).alias("column"),
+            F.col(f"count{i}").alias("count"),
+            *[round2(F.col(f"{stat}{i}")).alias(stat) for stat in ("mean", "std", "min")],
+            *[round2(F.col(f"quartiles{i}")[j]).alias(f"q{p * 100:.0f}") for j, p in enumerate(QUARTILES)],
+            round2(F.col(f"max{i}")).alias("max"),
         )
-    measures = ("mean", "std", "min", "q25", "q50", "q75", "max")
-    schema = "column string, count bigint, " + ", ".join(f"{m} double" for m in measures)
-    described = df.sparkSession.createDataFrame(rows, schema)
-    return described.select("column", "count", *[round2(F.col(m)).alias(m) for m in measures])
+        for i, name in enumerate(names)
+    ]
+    return values.agg(*fields).select(F.inline(F.array(*described)))
 
 
 def value_counts(df: DataFrame, names: Sequence[str]) -> DataFrame:

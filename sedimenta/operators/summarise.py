@@ -1,61 +1,80 @@
 """Grouped summaries described as data.
 
-All measures are partial aggregates: each task reduces its rows to one per group
-before the shuffle, so a group holding most of the rows costs no more than others.
+A measure is made of parts that can be merged: counts, sums, maxima. Spark reduces
+the rows of a group within each task before the shuffle, so a group holding most of
+the rows costs no more than others. Because parts merge, a summary by a lookup's
+columns can also group by the lookup key first and join afterwards.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sedimenta.functions import money_mean, money_total, percentage, round2
+from sedimenta.functions import as_money, percentage, round2
+from sedimenta.operators.attach import attach
 
 
-def rows() -> Column:
-    return F.count(F.lit(1))
+@dataclass(frozen=True)
+class Measure:
+    """Aggregates over rows, how two results of each merge, and the value they give."""
+
+    parts: Sequence[Column]
+    merge: Callable[[str], Column]
+    value: Callable[..., Column] = lambda part: part
+
 
+def rows() -> Measure:
+    return Measure([F.count(F.lit(1))], F.sum)
 
-def rows_where(predicate: Column) -> Column:
+
+def rows_where(predicate: Column) -> Measure:
     """Rows for which the predicate is true; unknown is not counted."""
-    return F.count_if(predicate)
+    return Measure([F.count_if(predicate)], F.sum)
 
 
-def share_where(predicate: Column) -> Column:
+def share_where(predicate: Column) -> Measure:
     """Percentage of rows for which the predicate is true, two decimals."""
-    return round2(percentage(F.count_if(predicate), rows()))
+    parts = [F.count_if(predicate), F.count(F.lit(1))]
+    return Measure(parts, F.sum, lambda part, whole: round2(percentage(part, whole)))
+
+
+def total(column: str) -> Measure:
+    """Sum of an amount, added up in decimals."""
+    return Measure([F.sum(as_money(F.col(column)))], F.sum, lambda amount: amount.cast("double"))
 
 
-def total(column: str) -> Column:
-    return money_total(F.col(column))
+def mean_money(column: str) -> Measure:
+    """Mean of an amount from the exact sum, two decimals."""
+    return Measure([F.sum(as_money(F.col(column))), F.count(column)], F.sum, _mean)
 
 
-def mean_money(column: str) -> Column:
-    return money_mean(F.col(column))
+def mean_whole(column: str) -> Measure:
+    """Mean of an integer column from the exact sum, two decimals."""
+    return Measure([F.sum(F.col(column).cast("long")), F.count(column)], F.sum, _mean)
 
 
-def mean_whole(column: str) -> Column:
-    """Mean of an integer column, two decimals."""
-    return round2(F.avg(F.col(column).cast("long")))
+def largest(column: str) -> Measure:
+    return Measure([F.max(column)], F.max)
 
 
-def largest(column: str) -> Column:
-    return F.max(column)
+def _mean(amount: Column, n: Column) -> Column:
+    return round2(F.try_divide(amount.cast("double"), n.cast("double")))
 
 
 @dataclass(frozen=True)
 class Summary:
-    """Group keys and measures, both as output name to expression.
+    """Group keys and measures, both by output name.
 
     ``order`` holds output names, a leading ``-`` for descending. Nulls sort last
     both ways, and the keys break ties.
     """
 
     keys: Mapping[str, Column]
-    measures: Mapping[str, Column]
+    measures: Mapping[str, Measure]
     order: Sequence[str] = ()
     required: Sequence[str] = ()
 
@@ -66,11 +85,26 @@ def summarise(df: DataFrame, spec: Summary) -> DataFrame:
 
 def grouped(df: DataFrame, spec: Summary) -> DataFrame:
     """The summary without its order, for storing."""
-    for name in spec.required:
-        df = df.filter(F.col(name).isNotNull())
     keys = [expr.alias(name) for name, expr in spec.keys.items()]
-    measures = [expr.alias(name) for name, expr in spec.measures.items()]
-    return df.groupBy(*keys).agg(*measures)
+    return _finished(_with_required(df, spec).groupBy(*keys).agg(*_parts(spec)), spec)
+
+
+def grouped_before_attach(df: DataFrame, spec: Summary, lookup: DataFrame, key: str) -> DataFrame:
+    """Same as ``grouped`` of ``attach(df, lookup, key)``, with the rows reduced first.
+
+    The rows are grouped by ``key``, one of the summary's keys, and any other keys that
+    ``df`` has. What is joined and regrouped is one row per group instead of one per
+    row. No measure may read a column of ``lookup``.
+    """
+    own = [expr.alias(name) for name, expr in spec.keys.items() if name not in lookup.columns or name == key]
+    reduced = _with_required(df, spec).groupBy(*own).agg(*_parts(spec))
+    joined = attach(reduced, lookup, key, one_row_per_key=len(own) == 1)
+    merged = [
+        measure.merge(_part(name, i)).alias(_part(name, i))
+        for name, measure in spec.measures.items()
+        for i in range(len(measure.parts))
+    ]
+    return _finished(joined.groupBy(*spec.keys).agg(*merged), spec)
 
 
 def ordered(summary: DataFrame, spec: Summary) -> DataFrame:
@@ -80,5 +114,29 @@ def ordered(summary: DataFrame, spec: Summary) -> DataFrame:
     return summary.orderBy(*[_sort_key(name) for name in (*spec.order, *ties)])
 
 
+def _with_required(df: DataFrame, spec: Summary) -> DataFrame:
+    for name in spec.required:
+        df = df.filter(F.col(name).isNotNull())
+    return df
+
+
+def _parts(spec: Summary) -> list[Column]:
+    return [
+        part.alias(_part(name, i)) for name, measure in spec.measures.items() for i, part in enumerate(measure.parts)
+    ]
+
+
+def _part(name: str, i: int) -> str:
+    return f"{name}__{i}"
+
+
+def _finished(parts: DataFrame, spec: Summary) -> DataFrame:
+    values = [
+        measure.value(*[F.col(_part(name, i)) for i in range(len(measure.parts))]).alias(name)
+        for name, measure in spec.measures.items()
+    ]
+    return parts.select(*spec.keys, *values)
+
+
 def _sort_key(name: str) -> Column:
     return F.desc_nulls_last(name[1:]) if name.startswith("-") else F.asc_nulls_last(name)

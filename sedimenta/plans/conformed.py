@@ -7,7 +7,7 @@ checks look for, are derived from the data with plain expressions.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sedimenta.functions import as_date, or_default
@@ -27,9 +27,13 @@ def orders_with_state(spark: SparkSession, folder: str) -> DataFrame:
 
 def claim_lines(spark: SparkSession, folder: str, state: bool = False) -> DataFrame:
     """Lines joined to their orders, and to the customer's nation where asked."""
-    orders = orders_with_state(spark, folder) if state else table(spark, folder, "orders")
-    wanted = ["o_orderkey", "o_orderdate", "o_orderpriority", "o_orderstatus", *(["state"] if state else [])]
-    return attach(table(spark, folder, "lineitem"), orders.select(*wanted), "l_orderkey", "o_orderkey", "inner")
+    lines = table(spark, folder, "lineitem")
+    wanted = ["o_orderkey", "o_orderdate", "o_orderpriority", "o_orderstatus"]
+    if not state:
+        return attach(lines, table(spark, folder, "orders").select(*wanted), "l_orderkey", "o_orderkey", "inner")
+    orders = orders_with_state(spark, folder).select(*wanted, "state")
+    screen = table(spark, folder, "orders").select(*wanted)
+    return attach(lines, orders, "l_orderkey", "o_orderkey", "inner", screen=screen)
 
 
 def claims(spark: SparkSession, folder: str, state: bool = False) -> DataFrame:
@@ -51,12 +55,19 @@ def claims(spark: SparkSession, folder: str, state: bool = False) -> DataFrame:
         (F.col("l_discount") > 0.05).cast("int").alias("any_injury"),
         (F.col("l_tax") > 0.04).cast("int").alias("police_report_available"),
         or_default(F.nullif("l_linestatus", F.lit("O")), "None").alias("authority_contacted"),
-        F.col("l_suppkey").alias("agent_id"),
-        F.when(F.col("l_returnflag") != "N", F.col("l_partkey")).alias("vendor_id"),
+        *party_keys(),
         *([F.col("state")] if state else []),
     )
 
 
+def party_keys() -> list[Column]:
+    """Agent and vendor of a line; a third of the lines has no vendor."""
+    return [
+        F.col("l_suppkey").alias("agent_id"),
+        F.when(F.col("l_returnflag") != "N", F.col("l_partkey")).alias("vendor_id"),
+    ]
+
+
 def agents(spark: SparkSession, folder: str) -> DataFrame:
     nations = table(spark, folder, "nation").select("n_nationkey", F.col("n_name").alias("agent_state"))
     suppliers = table(spark, folder, "supplier").select(
@@ -89,14 +100,12 @@ def raw_claims(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def silver_claims(spark: SparkSession, folder: str) -> DataFrame:
-    loss, report = as_date(F.col("loss_dt")), as_date(F.col("report_dt"))
     spec = CleanSpec(
         select=[
             F.col("l_orderkey").alias("order_id"),
             F.col("l_suppkey").alias("agent_id"),
-            loss.alias("loss_date"),
-            report.alias("report_date"),
-            F.datediff(report, loss).alias("days_to_report"),
+            as_date(F.col("loss_dt")).alias("loss_date"),
+            as_date(F.col("report_dt")).alias("report_date"),
             or_default(F.col("city"), "Unknown").alias("city"),
             or_default(F.col("authority"), "None").alias("authority_contacted"),
             or_default(F.col("education"), "Unknown").alias("education_level"),
@@ -104,6 +113,7 @@ def silver_claims(spark: SparkSession, folder: str) -> DataFrame:
         ],
         required=("city", "amount"),
         positive=("amount",),
+        derived={"days_to_report": F.datediff("report_date", "loss_date")},
     )
     return clean(raw_claims(spark, folder), spec)
 
@@ -139,5 +149,6 @@ def silver_dim_vendor(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def silver_enriched(spark: SparkSession, folder: str) -> DataFrame:
-    with_agent = attach(claims(spark, folder), agents(spark, folder), "agent_id")
-    return attach(with_agent, vendors(spark, folder), "vendor_id")
+    keys = table(spark, folder, "lineitem").select(*party_keys())
+    with_agent = attach(claims(spark, folder), agents(spark, folder), "agent_id", keys_in=keys)
+    return attach(with_agent, vendors(spark, folder), "vendor_id", keys_in=keys)

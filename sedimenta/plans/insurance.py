@@ -169,14 +169,11 @@ def silver_columns(source: str, dropped: tuple[str, ...] = ()) -> list[Column]:
 
 def claims_spec() -> CleanSpec:
     """``ADDRESS_LINE2`` is mostly null and is dropped."""
-    days_to_report = F.datediff(as_date(F.col("REPORT_DT")), as_date(F.col("LOSS_DT")))
     return CleanSpec(
-        select=[
-            *silver_columns("insurance", dropped=("ADDRESS_LINE2",)),
-            days_to_report.alias("days_to_report"),
-        ],
+        select=silver_columns("insurance", dropped=("ADDRESS_LINE2",)),
         required=("CITY", "CLAIM_AMOUNT"),
         positive=("CLAIM_AMOUNT",),
+        derived={"days_to_report": F.datediff("report_date", "loss_date")},
     )
 
 
@@ -210,7 +207,7 @@ def silver_claims_enriched(claims: DataFrame, employees: DataFrame, vendors: Dat
     )
     shops = vendors.select("vendor_id", "vendor_name", F.col("state").alias("vendor_state"))
     with_agent = attach(claims, agents, "agent_id", **join_options)
-    return attach(with_agent, shops, "vendor_id", **join_options)
+    return attach(with_agent, shops, "vendor_id", keys_in=claims, **join_options)
 
 
 # ---- gold ------------------------------------------------------------------------
@@ -320,7 +317,16 @@ def insurance_checks() -> list[dq.Check]:
         dq.positive(
             "silver", "silver_claim_amount_positive", claims, "claim_amount", description="claim amounts above zero"
         ),
-        dq.in_range("silver", "silver_age_valid_range", claims, "age", 18, 100, description="ages from 18 to 100"),
+        dq.in_range(
+            "silver",
+            "silver_age_valid_range",
+            claims,
+            "age",
+            18,
+            100,
+            severity=dq.WARNING,
+            description="ages from 18 to 100",
+        ),
         dq.in_order(
             "silver",
             "silver_claim_dates_valid",
@@ -335,6 +341,7 @@ def insurance_checks() -> list[dq.Check]:
             claims,
             "agent_id",
             "silver_employees",
+            severity=dq.WARNING,
             description="agents of claims are known employees",
         ),
         dq.no_nulls(
@@ -355,6 +362,7 @@ def insurance_checks() -> list[dq.Check]:
             "gold_agent_performance_valid",
             "gold_agent_performance",
             "total_claims_processed",
+            severity=dq.WARNING,
             description="every listed agent has a claim",
         ),
     ]

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sedimenta.functions import null_tokens_to_null
-from sedimenta.operators import Check, attach, check_rows, grouped, ordered, summarise
+from sedimenta.operators import Check, check_rows, grouped, grouped_before_attach, ordered, summarise
 from sedimenta.operators import checks as dq
 from sedimenta.operators import profiling
 from sedimenta.operators.drift import schema_drift, source_status
@@ -61,8 +61,9 @@ def gold_agent_performance(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def gold_vendor_statistics(spark: SparkSession, folder: str) -> DataFrame:
-    with_vendor = attach(conformed.claims(spark, folder), conformed.vendors(spark, folder), "vendor_id")
-    return summarise(with_vendor, insurance.vendor_statistics_spec(TOTAL_LOSS))
+    spec = insurance.vendor_statistics_spec(TOTAL_LOSS)
+    vendors = conformed.vendors(spark, folder)
+    return ordered(grouped_before_attach(conformed.claims(spark, folder), spec, vendors, "vendor_id"), spec)
 
 
 def gold_fraud_indicators(spark: SparkSession, folder: str) -> DataFrame:
@@ -92,7 +93,7 @@ def positive_check() -> Check:
 
 
 def range_check() -> Check:
-    return dq.in_range("silver", "quantity_in_range", "claims", "quantity", 5, 45)
+    return dq.in_range("silver", "quantity_in_range", "claims", "quantity", 5, 45, severity=dq.WARNING)
 
 
 def date_order_check() -> Check:
@@ -100,7 +101,7 @@ def date_order_check() -> Check:
 
 
 def references_check() -> Check:
-    return dq.references("silver", "customer_known", "orders", "o_custkey", "solvent_customer", "c_custkey")
+    return dq.references("silver", "customer_known", "orders", "o_custkey", "solvent_customer", "c_custkey", severity=dq.WARNING)
 
 
 def null_check() -> Check:
@@ -118,7 +119,7 @@ def reconcile_check() -> Check:
 
 
 def group_check() -> Check:
-    return dq.every_group_has("gold", "agents_have_claims", "agent_performance", "total_claims_processed")
+    return dq.every_group_has("gold", "agents_have_claims", "agent_performance", "total_claims_processed", severity=dq.WARNING)
 
 
 def all_checks() -> list[Check]:
@@ -144,9 +145,24 @@ def all_checks() -> list[Check]:
     ]
 
 
+CHECKED_COLUMNS = (
+    "state",
+    "claim_amount",
+    "claim_status",
+    "risk_segmentation",
+    "any_injury",
+    "quantity",
+    "loss_date",
+    "report_date",
+    "days_to_report",
+    "agent_id",
+    "vendor_id",
+)
+
+
 def checked_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     """Base tables and, written once for all checks that read them, the claims."""
-    claims = staged(conformed.claims(spark, folder, state=True))
+    claims = staged(conformed.claims(spark, folder, state=True).select(*CHECKED_COLUMNS))
     customer = table(spark, folder, "customer")
     return {
         **{name: table(spark, folder, name) for name in ("lineitem", "supplier", "part", "orders")},
@@ -160,8 +176,8 @@ def checked_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
 
 
 def agent_performance_of(spark: SparkSession, folder: str, claims: DataFrame) -> DataFrame:
-    with_agent = attach(claims, conformed.agents(spark, folder), "agent_id")
-    return grouped(with_agent, insurance.agent_performance_spec())
+    agents = conformed.agents(spark, folder)
+    return grouped_before_attach(claims, insurance.agent_performance_spec(), agents, "agent_id")
 
 
 def outcome(tables: dict[str, DataFrame], *checks: Check) -> DataFrame:
@@ -204,7 +220,8 @@ def dq_nonempty(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def dq_reconcile(spark: SparkSession, folder: str) -> DataFrame:
-    claims = conformed.claims(spark, folder, state=True)
+    wanted = ("state", "claim_amount", "risk_segmentation", "any_injury")
+    claims = staged(conformed.claims(spark, folder, state=True).select(*wanted))
     summary = grouped(claims, insurance.state_risk_spec(HIGH_RISK))
     return outcome({"state_summary": summary, "claims": claims}, reconcile_check())
 
