@@ -34,8 +34,9 @@ NULL_TOKENS = (
 
 MONEY = "decimal(18,2)"
 
-# year, separator, month, the same separator, day, then an optional time of day
-_DATE_SHAPE = r"^\s*\d+([-/])\d{1,2}\1\d{1,2}\s*([ T]\d{1,2}:.*)?$"
+# year, month and day with the same separator, then an optional time of day
+_TIME = r"([01]?\d|2[0-3]):[0-5]?\d(:[0-5]?\d(\.\d*)?)?"
+_DATE_SHAPE = rf"^\s*\d+(-\d{{1,2}}-|/\d{{1,2}}/)\d{{1,2}}([ T]{_TIME})?\s*$"
 
 
 def null_tokens_to_null(column: Column) -> Column:
@@ -55,7 +56,7 @@ def as_date(column: Column, strict: bool = True) -> Column:
     not the session runs in ANSI mode.
     """
     dashed = F.translate(column, "/", "-")
-    parsed = F.when(column.rlike(_DATE_SHAPE), dashed.try_cast("timestamp_ntz").cast("date"))
+    parsed = F.when(column.rlike(_DATE_SHAPE), dashed.try_cast("date"))
     if not strict:
         return parsed
     message = F.concat(F.lit("not a date: "), column)

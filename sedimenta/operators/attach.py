@@ -45,20 +45,20 @@ def attach(
 
     Three arguments save work and have no effect on the rows. ``keys_in`` is a frame
     with the column ``key`` that is cheaper to scan for hot keys than ``df``.
-    ``screen`` is a frame to measure first: where it is too large, ``lookup`` is not
-    measured and not broadcast. ``one_row_per_key`` says that ``df`` has been grouped
-    by the key, so that no key can be hot.
+    ``screen`` is a stored table behind ``lookup`` to count first: where it is too
+    large, ``lookup`` is neither measured nor broadcast. ``one_row_per_key`` says that
+    ``df`` has been grouped by the key, so that no key can be hot.
     """
     if how not in ("left", "inner"):
         raise ValueError(f"how must be 'left' or 'inner', not {how!r}")
     if how == "inner":
         df = df.filter(F.col(key).isNotNull())
-    lookup = lookup.withColumnRenamed(lookup_key or key, _LOOKUP_KEY).filter(F.col(_LOOKUP_KEY).isNotNull())
+    lookup = lookup.withColumnRenamed(lookup_key or key, _LOOKUP_KEY)
     match = F.col(key) == F.col(_LOOKUP_KEY)
 
-    small = (screen is None or size_within(screen, broadcast_bytes)) and size_within(lookup, broadcast_bytes)
-    if small:
+    if size_within(lookup, broadcast_bytes, screen):
         return df.join(F.broadcast(lookup), match, how).drop(_LOOKUP_KEY)
+    lookup = lookup.filter(F.col(_LOOKUP_KEY).isNotNull())
     if one_row_per_key:
         return df.join(lookup, match, how).drop(_LOOKUP_KEY)
 
@@ -76,17 +76,24 @@ def attach(
     return salted.join(replicated, match, how).drop(_LOOKUP_KEY, _SALT, _LOOKUP_SALT)
 
 
-def size_within(df: DataFrame, n_bytes: int) -> bool:
-    """Whether the rows of ``df`` take at most ``n_bytes``, measured by one aggregation.
+def size_within(df: DataFrame, n_bytes: int, screen: DataFrame | None = None) -> bool:
+    """Whether the rows of ``df`` take at most ``n_bytes``.
 
-    A row counts with a fixed width per column plus the lengths of its texts.
+    A row counts with a fixed width per column plus the lengths of its texts. Rows are
+    counted first, which for a Parquet table reads no data, so the texts of a large
+    table are never measured.
     """
     if n_bytes <= 0:
         return False
-    width = F.lit(_FIXED_BYTES * len(df.columns)).cast("long")
-    for name, kind in df.dtypes:
-        if kind == "string":
-            width += F.coalesce(F.octet_length(name), F.lit(0))
+    fixed = _FIXED_BYTES * len(df.columns)
+    if (df if screen is None else screen).count() * fixed > n_bytes:
+        return False
+    texts = [name for name, kind in df.dtypes if kind == "string"]
+    if screen is None and not texts:
+        return True
+    width = F.lit(fixed).cast("long")
+    for name in texts:
+        width += F.coalesce(F.octet_length(name), F.lit(0))
     total = df.agg(F.coalesce(F.sum(width), F.lit(0)).alias("n")).first()["n"]
     return total <= n_bytes
 

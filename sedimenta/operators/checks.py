@@ -172,20 +172,19 @@ def check_rows(tables: Tables, checks: Sequence[Check], spark: SparkSession | No
     A check that cannot be planned, for a missing table or column, becomes an ERROR
     row and the others go on.
     """
-    planned, broken = [], []
-    for position, check in enumerate(checks):
+    members = list(enumerate(checks))
+    try:
+        return _results(tables, members)
+    except Exception:  # some check cannot be planned: find out which
+        planned, broken = [], []
+    for position, check in members:
         try:
-            for part in check.parts:
-                part.frame(tables).agg(part.aggregate)
+            _results(tables, [(position, check)])
             planned.append((position, check))
-        except Exception as error:  # whatever a check raises is its result
+        except Exception as error:
             broken.append(_error_row(position, check, error))
-    frames = []
-    if planned:
-        frames.append(_results(tables, planned))
-    if broken or not planned:
-        frames.append((spark or _spark(tables)).createDataFrame(broken, RESULT_SCHEMA))
-    return reduce(DataFrame.unionByName, frames)
+    errors = (spark or _spark(tables)).createDataFrame(broken, RESULT_SCHEMA)
+    return _results(tables, planned).unionByName(errors) if planned else errors
 
 
 def run_checks(tables: Tables, checks: Sequence[Check], spark: SparkSession | None = None) -> DataFrame:

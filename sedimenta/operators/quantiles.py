@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Up to this many values one task can rank them all.
-ONE_TASK_VALUES = 1_000_000
+ONE_TASK_VALUES = 100_000
 ACCURACY = 10_000
 
 
