@@ -1,7 +1,7 @@
-from sedimenta.operators.attach import attach
+from sedimenta.operators.lookups import attach
 from sedimenta.operators.checks import Check, check_rows, run_checks
-from sedimenta.operators.clean import CleanSpec, clean
-from sedimenta.operators.summarise import Summary, grouped, grouped_before_attach, ordered, summarise
+from sedimenta.operators.cleaning import CleanSpec, clean
+from sedimenta.operators.summaries import Summary, grouped, grouped_before_attach, ordered, summarise
 
 __all__ = [
     "Check",

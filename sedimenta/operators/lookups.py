@@ -5,15 +5,20 @@ Otherwise both sides are shuffled, and the keys that hold a large share of the
 large side are salted: their rows are spread over several tasks, and only the
 lookup rows of those keys are replicated. Null keys never match, so they are spread
 without replicating anything. Both ways give the same rows.
+
+Rows that are equal in all columns the salt is taken from stay together; adaptive
+execution splits a partition that grows large for that reason.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BROADCAST_BYTES = 64 * 1024 * 1024
-SALTS = 256
+SALTS_PER_PARTITION = 4
 
 # A key is hot when it may hold more than one row in a thousand.
 HOT_SHARE = 0.001
@@ -35,19 +40,23 @@ def attach(
     keys_in: DataFrame | None = None,
     screen: DataFrame | None = None,
     one_row_per_key: bool = False,
+    spread_on: Sequence[str] | None = None,
     broadcast_bytes: int = BROADCAST_BYTES,
-    salts: int = SALTS,
+    salts: int | None = None,
 ) -> DataFrame:
     """Join ``lookup`` to ``df`` on ``df.key = lookup.lookup_key`` (``left`` or ``inner``).
 
     The result has the columns of ``df`` and those of ``lookup`` but for its key. A
     repeated lookup key multiplies rows, as in any join.
 
-    Three arguments save work and have no effect on the rows. ``keys_in`` is a frame
+    The other arguments save work and have no effect on the rows. ``keys_in`` is a frame
     with the column ``key`` that is cheaper to scan for hot keys than ``df``.
     ``screen`` is a stored table behind ``lookup`` to count first: where it is too
     large, ``lookup`` is neither measured nor broadcast. ``one_row_per_key`` says that
-    ``df`` has been grouped by the key, so that no key can be hot.
+    ``df`` has been grouped by the key, so that no key can be hot. ``spread_on`` names
+    the columns of ``df`` to salt by, all of them by default: few columns leave the
+    others unread where nobody needs them. ``salts`` defaults to a few per shuffle
+    partition, so that a hot key reaches nearly all of them.
     """
     if how not in ("left", "inner"):
         raise ValueError(f"how must be 'left' or 'inner', not {how!r}")
@@ -63,9 +72,10 @@ def attach(
         return df.join(lookup, match, how).drop(_LOOKUP_KEY)
 
     hot = hot_keys(df if keys_in is None else keys_in, key)
+    salts = salts or SALTS_PER_PARTITION * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # The salt depends on the row alone, so a task that runs again sends its rows
     # to the same place.
-    spread = F.pmod(F.xxhash64(*df.columns), F.lit(salts)).cast("int")
+    spread = F.pmod(F.xxhash64(*(spread_on or df.columns)), F.lit(salts)).cast("int")
     salted = df.withColumn(_SALT, F.when(F.col(key).isNull() | _among(key, hot), spread).otherwise(0))
     every_salt = F.sequence(F.lit(0), F.lit(salts - 1))
     one_salt = F.array(F.lit(0))

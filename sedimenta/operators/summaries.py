@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sedimenta.functions import as_money, percentage, round2
-from sedimenta.operators.attach import attach
+from sedimenta.operators.lookups import attach
 
 
 @dataclass(frozen=True)
@@ -89,7 +89,9 @@ def grouped(df: DataFrame, spec: Summary) -> DataFrame:
     return _finished(_with_required(df, spec).groupBy(*keys).agg(*_parts(spec)), spec)
 
 
-def grouped_before_attach(df: DataFrame, spec: Summary, lookup: DataFrame, key: str) -> DataFrame:
+def grouped_before_attach(
+    df: DataFrame, spec: Summary, lookup: DataFrame, key: str, **join_options
+) -> DataFrame:
     """Same as ``grouped`` of ``attach(df, lookup, key)``, with the rows reduced first.
 
     The rows are grouped by ``key``, one of the summary's keys, and any other keys that
@@ -98,7 +100,7 @@ def grouped_before_attach(df: DataFrame, spec: Summary, lookup: DataFrame, key:
     """
     own = [expr.alias(name) for name, expr in spec.keys.items() if name not in lookup.columns or name == key]
     reduced = _with_required(df, spec).groupBy(*own).agg(*_parts(spec))
-    joined = attach(reduced, lookup, key, one_row_per_key=len(own) == 1)
+    joined = attach(reduced, lookup, key, one_row_per_key=len(own) == 1, **join_options)
     merged = [
         measure.merge(_part(name, i)).alias(_part(name, i))
         for name, measure in spec.measures.items()

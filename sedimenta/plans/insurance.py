@@ -14,7 +14,7 @@ from sedimenta.operators import checks as dq
 from sedimenta.operators.drift import header_drift, missing_sources
 from sedimenta.operators.profiling import nulls, profile_tables
 from sedimenta.operators.reporting import nested_report
-from sedimenta.operators.summarise import (
+from sedimenta.operators.summaries import (
     largest,
     mean_money,
     mean_whole,

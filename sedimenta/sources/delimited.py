@@ -80,7 +80,10 @@ def read_csv(
         )
         .csv(path)
     )
-    too_long = F.coalesce(_field_count(F.col(MALFORMED)) > len(names), F.lit(False))
+    # A query on the malformed text alone is refused, so a data column takes part: its
+    # length is never negative.
+    never = F.octet_length(F.col(f"`{names[0]}`")) < 0
+    too_long = F.coalesce(_field_count(F.col(MALFORMED)) > len(names), never, F.lit(False))
     typed = [_typed(name, types.get(name, "string")) for name in names]
     if extra_fields == "flag":
         return raw.select(*typed, too_long.alias(EXTRA_FIELDS))

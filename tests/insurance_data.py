@@ -1,0 +1,143 @@
+"""Invented insurance sources with planted defects of known number."""
+
+from __future__ import annotations
+
+import csv
+import random
+from datetime import date, timedelta
+from pathlib import Path
+
+from sedimenta.plans.insurance import SOURCE_TYPES
+
+N_CLAIMS, N_EMPLOYEES, N_VENDORS = 6000, 600, 150
+
+# Employees from this number on have no city, so they are dropped from silver.
+FIRST_WITHOUT_CITY = 590
+
+# Three more columns than the declared ones, as the raw claims have.
+EXTRA = ["ROUTING_NUMBER", "ACCT_NUMBER", "CUSTOMER_SSN"]
+
+
+def claims() -> list[dict]:
+    rng = random.Random(11)
+    rows = []
+    for i in range(N_CLAIMS):
+        loss = date(2020, 1, 1) + timedelta(days=rng.randrange(540))
+        delay = rng.choice([0, 1, 6, 7, 8, 30])
+        rows.append(
+            {
+                "TRANSACTION_ID": f"TXN{i:06d}",
+                "CUSTOMER_ID": f"C{i % 4000:05d}",
+                "POLICY_NUMBER": f"P{i:06d}",
+                "TXN_DATE_TIME": f"{loss} 00:00:00",
+                "POLICY_EFF_DT": f"{loss - timedelta(days=400)}",
+                "LOSS_DT": f"{loss:%Y/%m/%d}",
+                "REPORT_DT": f"{loss + timedelta(days=delay)}",
+                "INSURANCE_TYPE": rng.choice(["Health", "Motor", "Life", "Travel"]),
+                "PREMIUM_AMOUNT": f"{rng.uniform(50, 200):.2f}",
+                "CLAIM_AMOUNT": f"{rng.uniform(100, 90000):.2f}",
+                "CUSTOMER_NAME": rng.choice(["Ann Lee", 'Bob "Bo" Ray', "Cy, Jr"]),
+                "ADDRESS_LINE1": f"{i} High St\nFlat 2" if i % 50 == 0 else f"{i} High St",
+                "ADDRESS_LINE2": "Rear" if rng.random() < 0.15 else "",
+                "CITY": rng.choice(["Ashby", "Brook"]),
+                "STATE": rng.choice(["AL", "CA", "NY", "TX"]),
+                "POSTAL_CODE": f"{rng.randrange(10000):05d}",
+                "MARITAL_STATUS": rng.choice("YN"),
+                "AGE": rng.randrange(18, 101),
+                "TENURE": rng.randrange(120),
+                "EMPLOYMENT_STATUS": rng.choice("YN"),
+                "NO_OF_FAMILY_MEMBERS": rng.randrange(1, 8),
+                "RISK_SEGMENTATION": rng.choice("LMH"),
+                "HOUSE_TYPE": rng.choice(["Own", "Rent"]),
+                "SOCIAL_CLASS": rng.choice(["LI", "MI", "HI"]),
+                "CUSTOMER_EDUCATION_LEVEL": rng.choice(["Bachelor", "College", "NaN"]),
+                "CLAIM_STATUS": rng.choice("AAD"),
+                "INCIDENT_SEVERITY": rng.choice(["Minor Loss", "Major Loss", "Total Loss"]),
+                "AUTHORITY_CONTACTED": rng.choice(["Police", "Ambulance", "None"]),
+                "ANY_INJURY": rng.choice([0, 1]),
+                "POLICE_REPORT_AVAILABLE": rng.choice(["0", "1", "1.0"]),
+                "INCIDENT_STATE": rng.choice(["AL", "CA"]),
+                "INCIDENT_CITY": rng.choice(["Ashby", "N/A"]),
+                "INCIDENT_HOUR_OF_THE_DAY": rng.randrange(24),
+                # the first agent handles a third of the claims
+                "AGENT_ID": "A0000" if i % 3 == 0 else f"A{rng.randrange(FIRST_WITHOUT_CITY):04d}",
+                "VENDOR_ID": "" if rng.random() < 0.325 else f"V{rng.randrange(N_VENDORS):04d}",
+                **dict.fromkeys(EXTRA, "x"),
+            }
+        )
+    plant(rows)
+    return rows
+
+
+def plant(rows: list[dict]) -> None:
+    """One defect per row, on rows far apart."""
+    for i, bad in enumerate(["", "NA", "0", "-5", "0.00"]):
+        rows[100 + i]["CLAIM_AMOUNT"] = bad
+    for i, bad in enumerate(["", "null", "#N/A"]):
+        rows[200 + i]["CITY"] = bad
+    for i, age in enumerate([17, 101, "", 18, 100]):
+        rows[300 + i]["AGE"] = age
+    for i in (400, 401):
+        rows[i]["REPORT_DT"] = "2019-01-01"
+    for i in range(500, 507):
+        rows[i]["AGENT_ID"] = f"A{FIRST_WITHOUT_CITY + i % 10:04d}"
+    rows[510]["AGENT_ID"] = ""
+    # same transaction, other data
+    rows[600]["TRANSACTION_ID"] = rows[601]["TRANSACTION_ID"]
+    # exact copies
+    rows += [dict(rows[700]), dict(rows[700]), dict(rows[701])]
+
+
+# Numbers that follow from the above.
+DROPPED_CLAIMS = 5 + 3
+COPIES = 3
+ORPHANS = 7
+
+
+def employees() -> list[dict]:
+    rows = [
+        {
+            "AGENT_ID": f"A{i:04d}",
+            "AGENT_NAME": f"Agent {i}",
+            "DATE_OF_JOINING": f"20{i % 20:02d}-03-04",
+            "ADDRESS_LINE1": "1 Low St",
+            "CITY": "" if i >= FIRST_WITHOUT_CITY else "Ashby",
+            "STATE": "AL" if i % 2 else "NY",
+            "POSTAL_CODE": "01234",
+            **dict.fromkeys(EXTRA, "x"),
+        }
+        for i in range(N_EMPLOYEES)
+    ]
+    # an agent listed again under another name: its claims count twice
+    return [*rows, {**rows[5], "AGENT_NAME": "Agent five"}]
+
+
+def vendors() -> list[dict]:
+    return [
+        {
+            "VENDOR_ID": f"V{i:04d}",
+            "VENDOR_NAME": f"Vendor {i}",
+            "ADDRESS_LINE1": "2 Low St",
+            "ADDRESS_LINE2": "",
+            "CITY": "Brook",
+            "STATE": "CA",
+            "POSTAL_CODE": "04321",
+        }
+        for i in range(N_VENDORS)
+    ]
+
+
+def write_csv(path: Path, rows: list[dict]) -> None:
+    with path.open("w", newline="") as file:
+        writer = csv.DictWriter(file, list(rows[0]))
+        writer.writeheader()
+        writer.writerows(rows)
+
+
+def write_sources(folder: Path) -> None:
+    write_csv(folder / "insurance_data.csv", claims())
+    write_csv(folder / "employee_data.csv", employees())
+    write_csv(folder / "vendor_data.csv", vendors())
+
+
+assert set(claims()[0]) == {*SOURCE_TYPES["insurance"], *EXTRA}
