@@ -120,14 +120,15 @@ def references(
 ) -> Check:
     """Every non-null key is found in the parent table; the value counts rows.
 
-    Rows are counted per key before the anti join, so it sees each key once however
-    the rows are spread.
+    Both sides are reduced to one row per key before the anti join, whichever keys
+    hold most of the rows.
     """
 
     def orphans(tables: Tables) -> DataFrame:
         children = tables[table].filter(F.col(key).isNotNull())
         per_key = children.groupBy(F.col(key).alias("k")).agg(_rows().alias("n"))
-        return per_key.join(tables[parent].select(F.col(parent_key or key).alias("k")), "k", "left_anti")
+        known = tables[parent].select(F.col(parent_key or key).alias("k")).distinct()
+        return per_key.join(known, "k", "left_anti")
 
     return Check(layer, name, [Part(orphans, _total_or_zero(F.col("n")))], _is_zero, **options)
 

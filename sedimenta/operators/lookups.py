@@ -20,8 +20,7 @@ from pyspark.sql import functions as F
 BROADCAST_BYTES = 64 * 1024 * 1024
 SALTS_PER_PARTITION = 4
 
-# A key is hot when it may hold more than one row in a thousand.
-HOT_SHARE = 0.001
+# At most this many keys are salted, each with at least that share of the rows.
 HOT_KEYS = 1000
 TRACKED_KEYS = 10_000
 
@@ -40,8 +39,8 @@ def attach(
     keys_in: DataFrame | None = None,
     screen: DataFrame | None = None,
     one_row_per_key: bool = False,
-    spread_on: Sequence[str] | None = None,
-    broadcast_bytes: int = BROADCAST_BYTES,
+    spread_on: Sequence[str | Column] | None = None,
+    broadcast_bytes: int | None = None,
     salts: int | None = None,
 ) -> DataFrame:
     """Join ``lookup`` to ``df`` on ``df.key = lookup.lookup_key`` (``left`` or ``inner``).
@@ -53,8 +52,8 @@ def attach(
     with the column ``key`` that is cheaper to scan for hot keys than ``df``.
     ``screen`` is a stored table behind ``lookup`` to count first: where it is too
     large, ``lookup`` is neither measured nor broadcast. ``one_row_per_key`` says that
-    ``df`` has been grouped by the key, so that no key can be hot. ``spread_on`` names
-    the columns of ``df`` to salt by, all of them by default: few columns leave the
+    ``df`` has been grouped by the key, so that no key can be hot. ``spread_on`` holds
+    what to salt the rows of ``df`` by, all columns by default: few columns leave the
     others unread where nobody needs them. ``salts`` defaults to a few per shuffle
     partition, so that a hot key reaches nearly all of them.
     """
@@ -65,14 +64,17 @@ def attach(
     lookup = lookup.withColumnRenamed(lookup_key or key, _LOOKUP_KEY)
     match = F.col(key) == F.col(_LOOKUP_KEY)
 
-    if size_within(lookup, broadcast_bytes, screen):
+    limit = BROADCAST_BYTES if broadcast_bytes is None else broadcast_bytes
+    if size_within(lookup, limit, screen):
         return df.join(F.broadcast(lookup), match, how).drop(_LOOKUP_KEY)
     lookup = lookup.filter(F.col(_LOOKUP_KEY).isNotNull())
     if one_row_per_key:
         return df.join(lookup, match, how).drop(_LOOKUP_KEY)
 
     hot = hot_keys(df if keys_in is None else keys_in, key)
-    salts = salts or SALTS_PER_PARTITION * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if not hot and how == "inner":
+        return df.join(lookup, match, how).drop(_LOOKUP_KEY)
+    salts = salts or SALTS_PER_PARTITION * _shuffle_partitions(df)
     # The salt depends on the row alone, so a task that runs again sends its rows
     # to the same place.
     spread = F.pmod(F.xxhash64(*(spread_on or df.columns)), F.lit(salts)).cast("int")
@@ -109,14 +111,19 @@ def size_within(df: DataFrame, n_bytes: int, screen: DataFrame | None = None) ->
 
 
 def hot_keys(df: DataFrame, key: str) -> list:
-    """Keys that may hold more than ``HOT_SHARE`` of the rows; never more than ``HOT_KEYS``.
+    """Keys that hold more rows than a shuffle partition should, never over ``HOT_KEYS``.
 
     One pass with a sketch of fixed size, merged on the map side, so a hot key costs
     no more than any other. It only steers the salting and has no effect on results.
     """
     sketch = F.call_function("approx_top_k", F.col(key), F.lit(HOT_KEYS), F.lit(TRACKED_KEYS))
     found = df.filter(F.col(key).isNotNull()).agg(F.count(F.lit(1)).alias("n"), sketch.alias("top")).first()
-    return [item["item"] for item in found["top"] if item["count"] > HOT_SHARE * found["n"]]
+    share = max(1 / HOT_KEYS, 1 / _shuffle_partitions(df))
+    return [item["item"] for item in found["top"] if item["count"] > share * found["n"]]
+
+
+def _shuffle_partitions(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
 def _among(name: str, values: list) -> Column:

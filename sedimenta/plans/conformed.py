@@ -14,11 +14,6 @@ from sedimenta.functions import as_date, or_default
 from sedimenta.operators import CleanSpec, attach, clean
 
 
-# Position of a line in its file: spreads lines evenly, exact copies included, and is
-# the same whenever the file is read again.
-ROW = "line_row"
-
-
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
@@ -33,23 +28,26 @@ def claim_lines(spark: SparkSession, folder: str, state: bool = False) -> DataFr
     The nation is found for the orders, before they meet the more numerous lines. For
     the 25 nations Spark's own size check picks the join.
     """
-    lines = table(spark, folder, "lineitem").withColumn(ROW, F.col("_metadata.row_index"))
+    lines = table(spark, folder, "lineitem")
+    # A line's position in its file spreads lines evenly, exact copies included, and
+    # is the same whenever the file is read again.
+    spread = [F.col("_metadata.row_index")]
     orders = table(spark, folder, "orders").select(
         "o_orderkey", "o_orderdate", "o_orderpriority", "o_orderstatus", *(["o_custkey"] if state else [])
     )
     if not state:
-        return attach(lines, orders, "l_orderkey", "o_orderkey", "inner", spread_on=[ROW])
+        return attach(lines, orders, "l_orderkey", "o_orderkey", "inner", spread_on=spread)
     customers = table(spark, folder, "customer").select("c_custkey", "c_nationkey")
     placed = (
-        attach(orders, customers, "o_custkey", "c_custkey", "inner")
+        attach(orders, customers, "o_custkey", "c_custkey", "inner", spread_on=["o_orderkey"])
         .join(nations(spark, folder, "c_nationkey", "state"), "c_nationkey")
         .drop("c_nationkey", "o_custkey")
     )
-    return attach(lines, placed, "l_orderkey", "o_orderkey", "inner", screen=orders, spread_on=[ROW])
+    return attach(lines, placed, "l_orderkey", "o_orderkey", "inner", screen=orders, spread_on=spread)
 
 
-def claims(spark: SparkSession, folder: str, state: bool = False, row: bool = False) -> DataFrame:
-    """Claims as the silver layer would hold them; ``row`` keeps the column to spread by."""
+def claims(spark: SparkSession, folder: str, state: bool = False) -> DataFrame:
+    """Claims as the silver layer would hold them."""
     loss, report = F.col("o_orderdate").cast("date"), F.col("l_shipdate").cast("date")
     return claim_lines(spark, folder, state).select(
         F.col("l_orderkey").alias("order_id"),
@@ -69,7 +67,6 @@ def claims(spark: SparkSession, folder: str, state: bool = False, row: bool = Fa
         or_default(F.nullif("l_linestatus", F.lit("O")), "None").alias("authority_contacted"),
         *party_keys(),
         *([F.col("state")] if state else []),
-        *([F.col(ROW)] if row else []),
     )
 
 
@@ -164,6 +161,5 @@ def silver_dim_vendor(spark: SparkSession, folder: str) -> DataFrame:
 
 def silver_enriched(spark: SparkSession, folder: str) -> DataFrame:
     keys = table(spark, folder, "lineitem").select(*party_keys())
-    options = {"keys_in": keys, "spread_on": [ROW]}
-    with_agent = attach(claims(spark, folder, row=True), agents(spark, folder), "agent_id", **options)
-    return attach(with_agent, vendors(spark, folder), "vendor_id", **options).drop(ROW)
+    with_agent = attach(claims(spark, folder), agents(spark, folder), "agent_id", keys_in=keys)
+    return attach(with_agent, vendors(spark, folder), "vendor_id", keys_in=keys)

@@ -85,6 +85,25 @@ def test_no_shuffle_of_unneeded_columns(spark, tmp_path, facts, lookup):
     assert "wide" not in plan(counts)
 
 
+def test_no_salt_without_hot_or_null_keys(facts, lookup):
+    even = facts.filter("k <> 7")
+    assert "_salt" not in plan(attach(even, lookup, "k", "code", "inner", **SHUFFLED))
+    assert attach(even, lookup, "k", "code", "inner", **SHUFFLED).count() == attach(
+        even, lookup, "k", "code", "inner"
+    ).count()
+
+
+def test_spread_by_position_in_the_file(spark, tmp_path, lookup):
+    """Exact copies of one row end up in several partitions."""
+    path = str(tmp_path / "copies")
+    spark.range(5000).select(F.lit(7).alias("k")).coalesce(1).write.parquet(path)
+    copies = spark.read.parquet(path)
+    options = {"spread_on": [F.col("_metadata.row_index")], **SHUFFLED}
+    joined = attach(copies, lookup, "k", "code", **options)
+    assert joined.columns == ["k", "label"] and joined.count() == 10_000
+    assert "row_index" in plan(joined)
+
+
 def test_rejects_other_joins(facts, lookup):
     with pytest.raises(ValueError):
         attach(facts, lookup, "k", "code", "full")
