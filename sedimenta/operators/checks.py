@@ -222,23 +222,35 @@ def _results(tables: Tables, members: Sequence[tuple[int, Check]]) -> DataFrame:
     gathered = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
     if len(frames) > 1:
         gathered = gathered.agg(*[F.max(name).alias(name) for name in names])
-    return gathered.select(F.inline(F.array(*[_result(position, check) for position, check in members])))
+    judged = gathered.select(F.inline(F.array(*[_judged(position, check) for position, check in members])))
+    unknown = F.col("outcome").isNull()
+    return judged.select(
+        "position",
+        "layer",
+        "name",
+        "description",
+        "severity",
+        "value",
+        F.coalesce("outcome", F.lit(False)).alias("passed"),
+        F.when(unknown, F.col("on_null")).when(F.col("outcome"), "PASS").otherwise(FAIL).alias("status"),
+        F.when(unknown & (F.col("on_null") == ERROR), "the value is null").alias("error"),
+    )
 
 
-def _result(position: int, check: Check) -> Column:
+def _judged(position: int, check: Check) -> Column:
     value = check.value(*[F.col(f"part_{position}_{i}") for i in range(len(check.parts))])
-    outcome = check.passes(value)
-    error = F.when(outcome.isNull() & F.lit(check.on_null == ERROR), F.lit("the value is null"))
+    known = {
+        "position": position,
+        "layer": check.layer,
+        "name": check.name,
+        "description": check.description,
+        "severity": check.severity,
+        "on_null": check.on_null,
+    }
     return F.struct(
-        F.lit(position).alias("position"),
-        F.lit(check.layer).alias("layer"),
-        F.lit(check.name).alias("name"),
-        F.lit(check.description).alias("description"),
-        F.lit(check.severity).alias("severity"),
+        *[F.lit(constant).alias(name) for name, constant in known.items()],
         value.cast("double").alias("value"),
-        F.coalesce(outcome, F.lit(False)).alias("passed"),
-        F.when(outcome.isNull(), check.on_null).when(outcome, "PASS").otherwise(FAIL).alias("status"),
-        error.alias("error"),
+        check.passes(value).alias("outcome"),
     )
 
 

@@ -59,6 +59,9 @@ def attach(
     """
     if how not in ("left", "inner"):
         raise ValueError(f"how must be 'left' or 'inner', not {how!r}")
+    shared = set(df.columns) & (set(lookup.columns) - {lookup_key or key})
+    if shared:
+        raise ValueError(f"columns on both sides: {', '.join(sorted(shared))}")
     if how == "inner":
         df = df.filter(F.col(key).isNotNull())
     lookup = lookup.withColumnRenamed(lookup_key or key, _LOOKUP_KEY)

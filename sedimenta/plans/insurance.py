@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
+from dataclasses import dataclass
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,8 +13,8 @@ from pyspark.sql import functions as F
 from sedimenta.functions import MONEY, as_date, or_default
 from sedimenta.operators import CleanSpec, Summary, attach, clean, grouped, ordered, run_checks
 from sedimenta.operators import checks as dq
+from sedimenta.operators import profiling
 from sedimenta.operators.drift import header_drift, missing_sources
-from sedimenta.operators.profiling import nulls, profile_tables
 from sedimenta.operators.reporting import nested_report
 from sedimenta.operators.summaries import (
     largest,
@@ -122,15 +124,37 @@ def source_drift(spark: SparkSession, folder: str) -> DataFrame:
     return header_drift(spark, expected, headers)
 
 
-def explore(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    """Profiles of every CSV file in a folder: shape and duplicates, and null shares."""
+@dataclass(frozen=True)
+class Exploration:
+    """Profiles of several files: a row per table, per column, and per column with nulls."""
+
+    tables: DataFrame
+    columns: DataFrame
+    nulls: DataFrame
+
+
+def explore(spark: SparkSession, folder: str) -> Exploration:
+    """Profiles of every CSV file in a folder, whatever its columns."""
     names = [row["file_name"] for row in source_files(spark, folder, "*.csv").orderBy("file_name").collect()]
+    if not names:
+        raise ValueError(f"no CSV files in {folder}")
     files = {name: read_csv(spark, f"{folder}/{name}") for name in names}
-    missing = None
-    for name, df in files.items():
-        part = nulls(df).select(F.lit(name).alias("table_name"), "*")
-        missing = part if missing is None else missing.unionByName(part)
-    return profile_tables(files), missing.orderBy("table_name", F.desc("null_count"), "column")
+
+    def of_each(profile: Callable[[DataFrame], DataFrame]) -> DataFrame:
+        parts = [profile(df).select(F.lit(name).alias("table_name"), "*") for name, df in files.items()]
+        return reduce(DataFrame.unionByName, parts)
+
+    return Exploration(
+        tables=profiling.profile_tables(files),
+        columns=of_each(profiling.columns).orderBy("table_name", "position"),
+        nulls=of_each(profiling.nulls).orderBy("table_name", F.desc("null_count"), "column"),
+    )
+
+
+def claim_distributions(claims: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Statistics of the claim amount, and value counts of the columns gold groups by."""
+    grouped_by = ["CLAIM_STATUS", "INSURANCE_TYPE", "RISK_SEGMENTATION", "INCIDENT_SEVERITY"]
+    return profiling.describe(claims, ["CLAIM_AMOUNT"]), profiling.value_counts(claims, grouped_by)
 
 
 # ---- silver ----------------------------------------------------------------------

@@ -86,9 +86,8 @@ _VALUES = {
         (SELECT SUM(CAST(total_claim_amount AS DECIMAL(28,2))) FROM state_summary)
         - (SELECT SUM(CAST(claim_amount AS DECIMAL(28,2))) FROM claims))""",
     "agents_have_claims": "SELECT COUNT(*) FROM agent_performance WHERE total_claims_processed < 1",
-    "rejected_total_matches": """SELECT ABS(
-        (SELECT SUM(claim_amount) FROM claims WHERE claim_amount <= 0)
-        - (SELECT SUM(claim_amount) FROM claims WHERE claim_amount <= 0))""",
+    "bankrupt_total_matches": """SELECT ABS(
+        (SELECT SUM(c_acctbal) FROM customer WHERE c_acctbal < -100000) - (SELECT SUM(c_acctbal) FROM customer))""",
 }
 
 # Layer, severity, and the condition to pass of every check.
@@ -106,7 +105,7 @@ _RULES = {
     "state_summary_nonempty": ("gold", "critical", "> 0"),
     "state_total_matches_claims": ("gold", "critical", "< 1"),
     "agents_have_claims": ("gold", "warning", "= 0"),
-    "rejected_total_matches": ("gold", "warning", "< 1"),
+    "bankrupt_total_matches": ("gold", "warning", "< 1"),
 }
 
 

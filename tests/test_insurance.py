@@ -6,6 +6,7 @@ from decimal import Decimal
 import pytest
 
 import insurance_data as data
+from sedimenta import __main__ as command_line
 from sedimenta.functions import NULL_TOKENS
 from sedimenta.operators.reporting import flatten_report, overall_summary
 from sedimenta.plans import insurance
@@ -197,15 +198,39 @@ def test_renamed_column_is_drift(spark, tmp_path):
         insurance.read_source(spark, str(tmp_path), "employees")
 
 
-def test_explore(spark, folder):
-    profiles, missing = insurance.explore(spark, str(folder))
-    found = {row["table_name"]: tuple(row)[1:] for row in profiles.collect()}
-    assert found == {
+def test_explore(spark, folder, tmp_path):
+    found = insurance.explore(spark, str(folder))
+    assert {row["table_name"]: tuple(row)[1:] for row in found.tables.collect()} == {
         "employee_data.csv": (data.N_EMPLOYEES + 1, 10, 0),
         "insurance_data.csv": (data.N_CLAIMS + data.COPIES, 38, data.COPIES),
         "vendor_data.csv": (data.N_VENDORS, 7, 0),
     }
-    shares = {(row["table_name"], row["column"]): row["null_pct"] for row in missing.collect()}
+    assert found.columns.count() == 10 + 38 + 7
+    shares = {(row["table_name"], row["column"]): row["null_pct"] for row in found.nulls.collect()}
     assert 80 < shares["insurance_data.csv", "ADDRESS_LINE2"] < 90
     assert 28 < shares["insurance_data.csv", "VENDOR_ID"] < 37
     assert shares["vendor_data.csv", "ADDRESS_LINE2"] == 100.0
+    with pytest.raises(ValueError, match="no CSV files"):
+        insurance.explore(spark, str(tmp_path))
+
+
+def test_claim_distributions(built):
+    warehouse, _ = built
+    claims = warehouse.read("bronze_insurance")
+    amounts, values = insurance.claim_distributions(claims)
+    assert amounts.first()["count"] == claims.filter("CLAIM_AMOUNT is not null").count()
+    counts = Counter(row["CLAIM_STATUS"] for row in [*data.claims()])
+    found = {row["value"]: row["n"] for row in values.filter("column = 'CLAIM_STATUS'").collect()}
+    assert found == dict(counts)
+
+
+def test_command_line(spark, folder, tmp_path, capsys):
+    arguments = ["--sources", str(folder), "--warehouse", str(tmp_path / "w"), "--reports", str(tmp_path / "r")]
+    command_line.main([*arguments, "bronze", "silver"])
+    assert "silver_claims_enriched" in capsys.readouterr().out
+    command_line.main([*arguments, "gold", "quality"])
+    out = capsys.readouterr().out
+    assert "gold_vendor_statistics" in out and "12 quality checks: 8 passed" in out
+    assert read_reports(spark, str(tmp_path / "r")).count() == 1
+    with pytest.raises(SystemExit):
+        command_line.main([*arguments, "platinum"])
