@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sedimenta.operators.profiling import columns
+from sedimenta.sources.delimited import source_exists
 
 
 def schema_drift(expected: Mapping[str, list[str]], observed: Mapping[str, DataFrame]) -> DataFrame:
@@ -29,22 +30,21 @@ def header_drift(spark: SparkSession, expected: Mapping[str, list[str]], headers
     return _compare(_names(spark, expected), _names(spark, headers))
 
 
-def missing_sources(expected: Mapping[str, str], files: DataFrame) -> DataFrame:
-    """``(source, file_name, critical)`` for expected files not among ``files.file_name``.
+def missing_sources(spark: SparkSession, folder: str, expected: Mapping[str, str]) -> DataFrame:
+    """``(source, file_name, critical)`` for the expected files and folders that are absent.
 
-    ``expected`` maps a source to its file name. Every source is critical.
+    ``expected`` maps a source to its name in ``folder``. Every source is critical.
     """
-    absent = _sources(files.sparkSession, expected).join(files.select("file_name"), "file_name", "left_anti")
-    return absent.select("source", "file_name", F.lit(True).alias("critical")).orderBy("source")
+    absent = {source: name for source, name in expected.items() if not source_exists(spark, f"{folder}/{name}")}
+    return _sources(spark, absent).withColumn("critical", F.lit(True)).orderBy("source")
 
 
-def source_status(expected: Mapping[str, str], files: DataFrame) -> DataFrame:
+def source_status(expected: Mapping[str, str], counts: DataFrame) -> DataFrame:
     """``(source, file_name, status, n_rows)`` of every expected file.
 
-    ``files`` has a row ``(file_name, n_rows)`` for each file that is there.
+    ``counts`` has a row ``(file_name, n_rows)`` for each file that is there.
     """
-    counted = files.select("file_name", "n_rows")
-    both = _sources(files.sparkSession, expected).join(counted, "file_name", "left")
+    both = _sources(counts.sparkSession, expected).join(counts.select("file_name", "n_rows"), "file_name", "left")
     status = F.when(F.col("n_rows").isNull(), "missing").otherwise("ok")
     return both.select("source", "file_name", status.alias("status"), "n_rows").orderBy("source")
 

@@ -111,17 +111,14 @@ def read_sources(spark: SparkSession, folder: str, multi_line: bool = True) -> d
 
 
 def absent_sources(spark: SparkSession, folder: str) -> DataFrame:
-    return missing_sources(SOURCE_FILES, source_files(spark, folder, "*.csv"))
+    return missing_sources(spark, folder, SOURCE_FILES)
 
 
 def source_drift(spark: SparkSession, folder: str) -> DataFrame:
     """Declared against observed headers of the sources that are present."""
-    present = {row["file_name"] for row in source_files(spark, folder, "*.csv").select("file_name").collect()}
-    headers = {
-        source: csv_columns(spark, f"{folder}/{name}") for source, name in SOURCE_FILES.items() if name in present
-    }
-    expected = {source: list(SOURCE_TYPES[source]) for source in headers}
-    return header_drift(spark, expected, headers)
+    paths = {source: f"{folder}/{name}" for source, name in SOURCE_FILES.items()}
+    headers = {source: csv_columns(spark, path) for source, path in paths.items() if source_exists(spark, path)}
+    return header_drift(spark, {source: list(SOURCE_TYPES[source]) for source in headers}, headers)
 
 
 @dataclass(frozen=True)

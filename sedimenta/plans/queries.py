@@ -22,7 +22,7 @@ from sedimenta.operators.reporting import (
 )
 from sedimenta.plans import conformed, insurance
 from sedimenta.plans.conformed import table
-from sedimenta.sources import source_files, staged
+from sedimenta.sources import source_exists, staged
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -313,14 +313,11 @@ EXPECTED_SOURCES = {
 
 
 def missing(spark: SparkSession, folder: str) -> DataFrame:
-    """Every expected source with its number of rows, none where its file is absent."""
-    files = source_files(spark, folder, "*.parquet")
-    present = {row["file_name"] for row in files.select("file_name").collect()}
-    counts = profiling.table_row_counts(
-        {name: spark.read.parquet(f"{folder}/{name}") for name in EXPECTED_SOURCES.values() if name in present}
-    )
-    found = files.join(counts.withColumnRenamed("table_name", "file_name"), "file_name")
-    return source_status(EXPECTED_SOURCES, found)
+    """Every expected source with its number of rows, none where it is absent."""
+    paths = {name: f"{folder}/{name}" for name in EXPECTED_SOURCES.values()}
+    present = {name: spark.read.parquet(path) for name, path in paths.items() if source_exists(spark, path)}
+    counts = profiling.table_row_counts(present).withColumnRenamed("table_name", "file_name")
+    return source_status(EXPECTED_SOURCES, counts)
 
 
 QUERIES: dict[str, Query] = {

@@ -1,4 +1,4 @@
-from sedimenta.sources.delimited import csv_columns, read_csv, source_files
+from sedimenta.sources.delimited import csv_columns, read_csv, source_exists, source_files
 from sedimenta.sources.report_store import REPORT_SCHEMA, read_reports, write_report
 from sedimenta.sources.staging import staged
 from sedimenta.sources.warehouse import Warehouse
@@ -9,6 +9,7 @@ __all__ = [
     "csv_columns",
     "read_csv",
     "read_reports",
+    "source_exists",
     "source_files",
     "staged",
     "write_report",

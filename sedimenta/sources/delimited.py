@@ -28,15 +28,22 @@ def csv_columns(spark: SparkSession, path: str, multi_line: bool = True) -> list
     return spark.read.options(**_DIALECT, multiLine=multi_line).csv(path).columns
 
 
-def source_files(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
-    """One row ``(file_name, path, n_bytes)`` per file. Lists only, reads no content."""
-    schema = "file_name string, path string, n_bytes bigint"
+def source_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there; looks at names only."""
     try:
-        listed = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder)
+        spark.read.format("binaryFile").load(path)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], schema)
+        return False
+    return True
+
+
+def source_files(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
+    """One row ``(file_name, path, n_bytes)`` per file. Lists only, reads no content."""
+    if not source_exists(spark, folder):
+        return spark.createDataFrame([], "file_name string, path string, n_bytes bigint")
+    listed = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder)
     name = F.element_at(F.split("path", "/"), -1)
     return listed.select(name.alias("file_name"), "path", F.col("length").alias("n_bytes"))
 

@@ -107,11 +107,18 @@ def test_drift(spark):
     assert rows_of(headers) == [("t", "a", "ok"), ("t", "b", "missing"), ("t", "c", "unexpected")]
 
 
-def test_missing_sources(spark):
-    files = spark.createDataFrame([("a.csv", 0)], "file_name string, n_rows bigint")
-    expected = {"one": "a.csv", "two": "b.csv"}
-    assert rows_of(missing_sources(expected, files)) == [("two", "b.csv", True)]
-    assert rows_of(source_status(expected, files)) == [("one", "a.csv", "ok", 0), ("two", "b.csv", "missing", None)]
+def test_missing_sources(spark, tmp_path):
+    write(tmp_path, "a\n", "a.csv")
+    (tmp_path / "c.csv").mkdir()
+    write(tmp_path / "c.csv", "a\n", "part-0.csv")
+    expected = {"one": "a.csv", "two": "b.csv", "three": "c.csv"}
+    assert rows_of(missing_sources(spark, str(tmp_path), expected)) == [("two", "b.csv", True)]
+    counts = spark.createDataFrame([("a.csv", 0), ("c.csv", 5)], "file_name string, n_rows bigint")
+    assert rows_of(source_status(expected, counts)) == [
+        ("one", "a.csv", "ok", 0),
+        ("three", "c.csv", "ok", 5),
+        ("two", "b.csv", "missing", None),
+    ]
 
 
 def test_warehouse_replaces_layers_as_a_whole(spark, tmp_path):
