@@ -55,8 +55,16 @@ def as_date(column: Column, strict: bool = True) -> Column:
     job, or gives null with ``strict=False``. The outcome is the same whether or
     not the session runs in ANSI mode.
     """
-    dashed = F.translate(column, "/", "-")
-    parsed = F.when(column.rlike(_DATE_SHAPE), dashed.try_cast("date"))
+    separator = F.substring(column, 5, 1)
+    midnight = (F.length(column) == 19) & (F.substring(column, 11, 9) == " 00:00:00")
+    # the usual forms, recognised without a regular expression
+    usual = (
+        ((F.length(column) == 10) | midnight)
+        & separator.isin("-", "/")
+        & (F.substring(column, 8, 1) == separator)
+    )
+    dashed = F.replace(column, F.lit("/"), F.lit("-"))
+    parsed = F.when(usual | column.rlike(_DATE_SHAPE), dashed.try_cast("date"))
     if not strict:
         return parsed
     message = F.concat(F.lit("not a date: "), column)

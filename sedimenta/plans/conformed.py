@@ -101,7 +101,7 @@ def raw_claims(spark: SparkSession, folder: str) -> DataFrame:
     return claim_lines(spark, folder).select(
         "l_orderkey",
         "l_suppkey",
-        F.translate(F.col("o_orderdate").cast("string"), "-", "/").alias("loss_dt"),
+        F.replace(F.col("o_orderdate").cast("date").cast("string"), F.lit("-"), F.lit("/")).alias("loss_dt"),
         F.col("l_shipdate").cast("string").alias("report_dt"),
         F.nullif("o_orderpriority", F.lit("5-LOW")).alias("city"),
         F.nullif("l_linestatus", F.lit("O")).alias("authority"),

@@ -31,7 +31,8 @@ def test_dates(spark, text):
 
 
 @pytest.mark.parametrize(
-    "text", ["2020", "2020-06", "01-06-2020", "", "bad", "2020-06-01 xyz", "2020-13-01", "2020-06/01", "2020-06-01 25:00"]
+    "text", ["2020", "2020-06", "01-06-2020", "", "bad", "2020-06-01 xyz", "2020-13-01", "2020-06/01", "2020-06-01 25:00",
+             "12-4-06-01", "2020-06/01 00:00:00", "2020-6-01x", "abcd-06-01", "2020-06-0x", "2020-06", "1234567-01"]
 )
 @pytest.mark.parametrize("ansi", ["true", "false"])
 def test_not_dates(spark, text, ansi):
