@@ -25,7 +25,7 @@ from sedimenta.operators.summaries import (
     share_where,
     total,
 )
-from sedimenta.sources import Warehouse, csv_columns, source_files, read_csv, write_report
+from sedimenta.sources import Warehouse, csv_columns, read_csv, source_exists, source_files, write_report
 
 # ---- sources ---------------------------------------------------------------------
 
