@@ -85,11 +85,8 @@ def describe(df: DataFrame, names: Sequence[str], one_task_values: int = ONE_TAS
     if df.count() <= one_task_values:
         quartiles = [F.percentile(f"v{i}", list(QUARTILES)) for i in range(len(names))]
     else:
-        counts = values.agg(*[F.count(name) for name in values.columns]).first()
-        quartiles = [
-            F.array(*[F.lit(q).cast("double") for q in exact_quantiles(values, name, QUARTILES, n, one_task_values)])
-            for name, n in zip(values.columns, counts)
-        ]
+        found = exact_quantiles(values, values.columns, QUARTILES, one_task_values)
+        quartiles = [F.array(*[F.lit(q).cast("double") for q in of_column]) for of_column in found]
     fields = []
     for i, quartile in enumerate(quartiles):
         value = f"v{i}"

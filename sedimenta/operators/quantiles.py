@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 # Up to this many values one task can rank them all.
@@ -14,29 +15,40 @@ ACCURACY = 10_000
 
 
 def exact_quantiles(
-    df: DataFrame,
-    column: str,
+    df: DataFrame, names: Sequence[str], probabilities: Sequence[float], one_task_values: int = ONE_TASK_VALUES
+) -> list[list[float | None]]:
+    """The quantiles of each numeric column, nulls left out.
+
+    Each wanted rank is closed in on by passes over the data. Approximate quantiles just
+    below and above the ranks cut the values into a few bands, the rows up to every cut
+    are counted exactly, and the search goes on in the bands that hold the ranks. Two
+    passes cover all columns; the rest look at one band each. The driver sees one row
+    of counts. Where the cuts fall decides the number of passes and nothing else.
+    """
+    values = df.select(*[F.col(name).cast("double").alias(f"v{i}") for i, name in enumerate(names)])
+    outline = values.agg(*[part for v in values.columns for part in _outline(v, probabilities)]).first()
+    cuts = {v: _cuts(outline, v) for v in values.columns}
+    counts = values.agg(*[part for v in values.columns for part in _counts(v, cuts[v])]).first()
+    return [
+        _interpolated(values.select(v), v, probabilities, outline[f"{v}_n"], cuts[v], counts, one_task_values)
+        for v in values.columns
+    ]
+
+
+def _interpolated(
+    values: DataFrame,
+    v: str,
     probabilities: Sequence[float],
     n_values: int,
-    one_task_values: int = ONE_TASK_VALUES,
+    cuts: list[float],
+    counts: Row,
+    one_task_values: int,
 ) -> list[float | None]:
-    """The quantiles of a numeric column holding ``n_values`` non-null values.
-
-    Each wanted rank is closed in on by passes over the column. Approximate quantiles
-    just below and above the ranks cut the current range into a few bands, the rows
-    of every band are counted exactly, and the search goes on in the band that holds
-    the rank. The driver sees one count per band. Where the cuts fall decides the
-    number of passes and nothing else.
-    """
     if not n_values:
         return [None for _ in probabilities]
-    values = df.select(F.col(column).cast("double").alias("v")).filter(F.col("v").isNotNull())
-    if n_values <= one_task_values:
-        return list(values.agg(F.percentile("v", list(probabilities)).alias("q")).first()["q"])
-
     positions = [p * (n_values - 1) for p in probabilities]
     ranks = sorted({rank for at in positions for rank in (math.floor(at), math.ceil(at))})
-    found = _values_at(values, ranks, n_values, one_task_values)
+    found = _among_bands(values, v, ranks, cuts, counts, one_task_values)
     result = []
     for at in positions:
         low, high = found[math.floor(at)], found[math.ceil(at)]
@@ -44,59 +56,83 @@ def exact_quantiles(
     return result
 
 
-def _values_at(values: DataFrame, ranks: list[int], n_rows: int, one_task_values: int) -> dict[int, float]:
-    """Values at zero-based ranks among ``n_rows`` values."""
-    if n_rows <= one_task_values:
-        return _ranked_in_one_task(values, ranks)
-    cuts = _cuts(values, ranks, n_rows)
-    counts = dict(values.groupBy(_band(cuts).alias("band")).agg(F.count(F.lit(1))).collect())
-
-    found, start = {}, 0
-    for band in sorted(counts):
-        inside = [rank - start for rank in ranks if start <= rank < start + counts[band]]
-        if inside and band % 2:
-            found.update({rank + start: cuts[band // 2] for rank in inside})
-        elif inside:
-            below, above = cuts[band // 2 - 1], cuts[band // 2]
-            part = values.filter((F.col("v") > below) & (F.col("v") < above))
-            deeper = _values_at(part, inside, counts[band], one_task_values)
-            found.update({rank + start: value for rank, value in deeper.items()})
-        start += counts[band]
+def _search(values: DataFrame, v: str, ranks: list[int], n_rows: int, one_task_values: int) -> dict[int, float]:
+    """Values at zero-based ranks among ``n_rows`` values, too many for one task."""
+    cuts = _cuts(values.agg(*_outline(v, [rank / n_rows for rank in ranks])).first(), v)
+    return _among_bands(values, v, ranks, cuts, values.agg(*_counts(v, cuts)).first(), one_task_values)
+
+
+def _among_bands(
+    values: DataFrame, v: str, ranks: list[int], cuts: list[float], counts: Row, one_task_values: int
+) -> dict[int, float]:
+    """Ranks that fall on a cut are found by counting, the others between two cuts.
+
+    The bands that one task can rank are ranked together.
+    """
+    found, small, before, rank_of = {}, [], 0, {}
+    for i, cut in enumerate(cuts):
+        below, upto = counts[f"{v}_below{i}"], counts[f"{v}_upto{i}"]
+        found.update({rank: cut for rank in ranks if below <= rank < upto})
+        passed = counts[f"{v}_upto{i - 1}"] if i else 0
+        between = [rank for rank in ranks if passed <= rank < below]
+        if not between:
+            continue
+        inside = (F.col(v) > cuts[i - 1]) & (F.col(v) < cut)
+        if below - passed <= one_task_values:
+            small.append(inside)
+            rank_of.update({rank - passed + before: rank for rank in between})
+            before += below - passed
+        else:
+            moved = [rank - passed for rank in between]
+            deeper = _search(values.filter(inside), v, moved, below - passed, one_task_values)
+            found.update({rank + passed: value for rank, value in deeper.items()})
+    if small:
+        part = values.filter(reduce(lambda one, other: one | other, small))
+        ranked = _ranked_in_one_task(part, v, list(rank_of))
+        found.update({rank_of[rank]: value for rank, value in ranked.items()})
     return found
 
 
-def _cuts(values: DataFrame, ranks: list[int], n_rows: int) -> list[float]:
+def _outline(v: str, fractions: Iterable[float]) -> list[Column]:
+    margin = 2 / ACCURACY
+    near = sorted({min(1.0, max(0.0, p + side)) for p in fractions for side in (-margin, margin)})
+    return [
+        F.count(v).alias(f"{v}_n"),
+        F.min(v).alias(f"{v}_low"),
+        F.max(v).alias(f"{v}_high"),
+        F.percentile_approx(v, near, ACCURACY).alias(f"{v}_near"),
+    ]
+
+
+def _cuts(outline: Row, v: str) -> list[float]:
     """Distinct ascending cuts from the lowest to the highest value.
 
     The midpoint of the range is one of them, so a pass halves the range even where
     the approximation is of no help.
     """
-    margin = 2 / ACCURACY
-    near = {min(1.0, max(0.0, rank / n_rows + side)) for rank in ranks for side in (-margin, margin)}
-    row = values.agg(
-        F.min("v").alias("low"),
-        F.max("v").alias("high"),
-        F.percentile_approx("v", sorted(near), ACCURACY).alias("near"),
-    ).first()
-    low, high = row["low"], row["high"]
+    low, high, near = (outline[f"{v}_{part}"] for part in ("low", "high", "near"))
+    if low is None:
+        return []
     middle = low / 2 + high / 2
-    return sorted({low, high, *row["near"], *([middle] if math.isfinite(middle) else [])})
-
+    return sorted({low, high, *near, *([middle] if math.isfinite(middle) else [])})
 
-def _band(cuts: list[float]) -> Column:
-    """Number of the band: odd for a value equal to a cut, even between two cuts.
 
-    A value repeated any number of times thus ends up in a band of its own and is
-    found by its count alone.
-    """
-    passed = [(F.col("v") >= cut).cast("int") + (F.col("v") > cut).cast("int") for cut in cuts]
-    return sum(passed[1:], passed[0])
+def _counts(v: str, cuts: list[float]) -> list[Column]:
+    """Rows below each cut and up to it. A value repeated any number of times is a cut
+    sooner or later, and is then found by these counts alone."""
+    counts = [F.count(F.lit(1)).alias(f"{v}_rows")]
+    for i, cut in enumerate(cuts):
+        counts += [
+            F.count_if(F.col(v) < cut).alias(f"{v}_below{i}"),
+            F.count_if(F.col(v) <= cut).alias(f"{v}_upto{i}"),
+        ]
+    return counts
 
 
-def _ranked_in_one_task(values: DataFrame, ranks: list[int]) -> dict[int, float]:
-    upto = F.sum("n").over(Window.orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    runs = values.groupBy("v").agg(F.count(F.lit(1)).alias("n")).withColumn("upto", upto)
+def _ranked_in_one_task(values: DataFrame, v: str, ranks: list[int]) -> dict[int, float]:
+    upto = F.sum("n").over(Window.orderBy(v).rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    runs = values.groupBy(v).agg(F.count(F.lit(1)).alias("n")).withColumn("upto", upto)
     wanted = F.array(*[F.lit(rank).cast("long") for rank in ranks])
     hit = F.filter(wanted, lambda rank: (rank >= F.col("upto") - F.col("n")) & (rank < F.col("upto")))
-    rows = runs.select(F.explode(hit).alias("rank"), "v").collect()
-    return {row["rank"]: row["v"] for row in rows}
+    rows = runs.select(F.explode(hit).alias("rank"), v).collect()
+    return {row["rank"]: row[v] for row in rows}

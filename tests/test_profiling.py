@@ -24,20 +24,19 @@ def numbers(kind, n=4000):
     }[kind]
 
 
-@pytest.mark.parametrize(
-    "kind", ["spread", "one value on a third", "all equal", "two values", "far apart", "whole"]
-)
-@pytest.mark.parametrize("one_task_values", [10, 1_000_000])
-def test_quantiles(spark, kind, one_task_values):
-    values = numbers(kind)
-    df = spark.createDataFrame([(v,) for v in [*values, None]], "v double").repartition(3)
-    found = exact_quantiles(df, "v", PROBABILITIES, len(values), one_task_values)
-    assert found == pytest.approx(list(np.quantile(values, PROBABILITIES)), rel=1e-12)
+KINDS = ["spread", "one value on a third", "all equal", "two values", "far apart", "whole"]
 
 
-def test_no_values(spark):
-    df = spark.createDataFrame([(None,)], "v double")
-    assert exact_quantiles(df, "v", (0.5,), 0) == [None]
+@pytest.mark.parametrize("one_task_values", [10, 1_000_000])
+def test_quantiles(spark, one_task_values):
+    columns = [numbers(kind) for kind in KINDS]
+    rows = [*zip(*columns), [None] * len(KINDS)]
+    schema = ", ".join(f"c{i} double" for i in range(len(KINDS))) + ", none double"
+    df = spark.createDataFrame([(*row, None) for row in rows], schema).repartition(3)
+    found = exact_quantiles(df, df.columns, PROBABILITIES, one_task_values)
+    for values, quantiles in zip(columns, found):
+        assert quantiles == pytest.approx(list(np.quantile(values, PROBABILITIES)), rel=1e-12)
+    assert found[-1] == [None] * len(PROBABILITIES)
 
 
 @pytest.mark.parametrize("one_task_values", [10, 1_000_000])
