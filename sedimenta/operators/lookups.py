@@ -20,10 +20,13 @@ from pyspark.sql import functions as F
 BROADCAST_BYTES = 64 * 1024 * 1024
 SALTS_PER_PARTITION = 4
 
-# At most this many keys are salted, each with at least that share of the rows.
+# At most this many keys are salted. The sketch finds every key that holds more than
+# one row in as many.
 HOT_KEYS = 1000
 TRACKED_KEYS = 10_000
 
+# Types of known width, counted with room to spare.
+_FIXED_TYPES = ("boolean", "tinyint", "smallint", "int", "bigint", "float", "double", "decimal", "date", "timestamp")
 _FIXED_BYTES = 16
 _SALT = "_salt"
 _LOOKUP_SALT = "_lookup_salt"
@@ -96,9 +99,9 @@ def size_within(df: DataFrame, n_bytes: int, screen: DataFrame | None = None) ->
 
     A row counts with a fixed width per column plus the lengths of its texts. Rows are
     counted first, which for a Parquet table reads no data, so the texts of a large
-    table are never measured.
+    table are never measured. The answer is no for columns of other types.
     """
-    if n_bytes <= 0:
+    if n_bytes <= 0 or not all(kind == "string" or kind.startswith(_FIXED_TYPES) for _, kind in df.dtypes):
         return False
     fixed = _FIXED_BYTES * len(df.columns)
     if (df if screen is None else screen).count() * fixed > n_bytes:

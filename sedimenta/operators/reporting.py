@@ -7,6 +7,11 @@ from pyspark.sql import functions as F
 
 from sedimenta.operators.checks import CRITICAL, WARNING
 
+# Fixed value: the format of the one-line summary.
+SUMMARY_FORMAT = (
+    "Ran %d quality checks: %d passed, %d critical failures, %d warnings. Pipeline healthy: %s"
+)
+
 _CHECK_FIELDS = ("name", "description", "severity", "value", "passed", "status", "error")
 
 
@@ -41,12 +46,12 @@ def overall_summary(results: DataFrame) -> DataFrame:
 def summary_line() -> Column:
     """The columns of an overall summary as one sentence."""
     return F.format_string(
-        "Ran %d quality checks: %d passed, %d critical failures, %d warnings. Healthy: %s",
+        SUMMARY_FORMAT,
         "total_checks",
         "total_passed",
         "total_critical_failures",
         "total_warnings",
-        F.when(F.col("pipeline_healthy"), "yes").otherwise("no"),
+        F.when(F.col("pipeline_healthy"), "True").otherwise("False"),
     )
 
 

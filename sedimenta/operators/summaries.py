@@ -89,9 +89,7 @@ def grouped(df: DataFrame, spec: Summary) -> DataFrame:
     return _finished(_with_required(df, spec).groupBy(*keys).agg(*_parts(spec)), spec)
 
 
-def grouped_before_attach(
-    df: DataFrame, spec: Summary, lookup: DataFrame, key: str, **join_options
-) -> DataFrame:
+def grouped_before_attach(df: DataFrame, spec: Summary, lookup: DataFrame, key: str, **join_options) -> DataFrame:
     """Same as ``grouped`` of ``attach(df, lookup, key)``, with the rows reduced first.
 
     The rows are grouped by ``key``, one of the summary's keys, and any other keys that

@@ -146,7 +146,9 @@ def silver_dim_agent(spark: SparkSession, folder: str) -> DataFrame:
 def silver_dim_vendor(spark: SparkSession, folder: str) -> DataFrame:
     """Without the part key many rows are exact copies."""
     raw = table(spark, folder, "part").select(
-        "p_name", F.nullif("p_brand", F.lit("Brand#7")).alias("p_brand"), F.nullif("p_type", F.lit("ECONOMY")).alias("p_type")
+        "p_name",
+        F.nullif("p_brand", F.lit("Brand#7")).alias("p_brand"),
+        F.nullif("p_type", F.lit("ECONOMY")).alias("p_type"),
     )
     spec = CleanSpec(
         select=[

@@ -241,8 +241,8 @@ ORACLE_SQL: dict[str, str] = {
     "dq_summary": _results(*_RULES)
     + f""" SELECT *, total_critical_failures = 0 AS pipeline_healthy,
                   'Ran ' || total_checks || ' quality checks: ' || total_passed || ' passed, '
-                  || total_critical_failures || ' critical failures, ' || total_warnings || ' warnings. Healthy: '
-                  || CASE WHEN total_critical_failures = 0 THEN 'yes' ELSE 'no' END AS line
+                  || total_critical_failures || ' critical failures, ' || total_warnings || ' warnings. Pipeline healthy: '
+                  || CASE WHEN total_critical_failures = 0 THEN 'True' ELSE 'False' END AS line
            FROM (SELECT COUNT(*) AS total_checks, COUNT(*) FILTER (WHERE passed) AS total_passed,
                         {_FAILED["critical"]} AS total_critical_failures, {_FAILED["warning"]} AS total_warnings
                  FROM results)""",

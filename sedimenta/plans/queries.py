@@ -101,7 +101,9 @@ def date_order_check() -> Check:
 
 
 def references_check() -> Check:
-    return dq.references("silver", "customer_known", "orders", "o_custkey", "solvent_customer", "c_custkey", severity=dq.WARNING)
+    return dq.references(
+        "silver", "customer_known", "orders", "o_custkey", "solvent_customer", "c_custkey", severity=dq.WARNING
+    )
 
 
 def null_check() -> Check:
@@ -119,7 +121,9 @@ def reconcile_check() -> Check:
 
 
 def group_check() -> Check:
-    return dq.every_group_has("gold", "agents_have_claims", "agent_performance", "total_claims_processed", severity=dq.WARNING)
+    return dq.every_group_has(
+        "gold", "agents_have_claims", "agent_performance", "total_claims_processed", severity=dq.WARNING
+    )
 
 
 def all_checks() -> list[Check]:

@@ -75,6 +75,8 @@ def test_size_counts_texts(spark):
     assert size_within(df, 1032)
     assert not size_within(df, 1031)
     assert not size_within(df, 1032, screen=spark.range(100))
+    assert size_within(spark.range(10), 160) and not size_within(spark.range(10), 159)
+    assert not size_within(df.select(F.array("t").alias("a")), 10**9)
 
 
 def test_no_shuffle_of_unneeded_columns(spark, tmp_path, facts, lookup):

@@ -128,7 +128,7 @@ def test_roll_ups(tables):
     overall = overall_summary(results)
     assert tuple(overall.first()) == (5, 1, 2, 2, False)
     line = overall.select(summary_line().alias("line")).first()["line"]
-    assert line == "Ran 5 quality checks: 1 passed, 2 critical failures, 2 warnings. Healthy: no"
+    assert line == "Ran 5 quality checks: 1 passed, 2 critical failures, 2 warnings. Pipeline healthy: False"
     labels = {row["name"]: row["label"] for row in labelled(results).collect()}
     assert labels == {
         "rows": "pass",
