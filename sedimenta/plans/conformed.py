@@ -22,21 +22,33 @@ def nations(spark: SparkSession, folder: str, key: str, name: str) -> DataFrame:
     return table(spark, folder, "nation").select(F.col("n_nationkey").alias(key), F.col("n_name").alias(name))
 
 
-def claim_lines(spark: SparkSession, folder: str, state: bool = False) -> DataFrame:
-    """Lines joined to their orders, and to the customer's nation where asked.
-
-    The nation is found for the orders, before they meet the more numerous lines. For
-    the 25 nations Spark's own size check picks the join.
+# Claim columns that come from the order, and the column they come from.
+FROM_ORDERS = {
+    "txn_date": "o_orderdate",
+    "loss_date": "o_orderdate",
+    "days_to_report": "o_orderdate",
+    "insurance_type": "o_orderpriority",
+    "risk_segmentation": "o_orderstatus",
+    "state": "state",
+}
+
+
+def claim_lines(spark: SparkSession, folder: str, *of_orders: str) -> DataFrame:
+    """Lines joined to the given columns of their orders.
+
+    ``state`` is the nation of the order's customer. It is found for the orders, before
+    they meet the more numerous lines. For the 25 nations Spark's own size check picks
+    the join.
     """
     lines = table(spark, folder, "lineitem")
     # A line's position in its file spreads lines evenly, exact copies included, and
     # is the same whenever the file is read again.
     spread = [F.col("_metadata.row_index")]
-    orders = table(spark, folder, "orders").select(
-        "o_orderkey", "o_orderdate", "o_orderpriority", "o_orderstatus", *(["o_custkey"] if state else [])
-    )
-    if not state:
-        return attach(lines, orders, "l_orderkey", "o_orderkey", "inner", spread_on=spread)
+    own = [name for name in of_orders if name != "state"]
+    orders = table(spark, folder, "orders")
+    if "state" not in of_orders:
+        return attach(lines, orders.select("o_orderkey", *own), "l_orderkey", "o_orderkey", "inner", spread_on=spread)
+    orders = orders.select("o_orderkey", "o_custkey", *own)
     customers = table(spark, folder, "customer").select("c_custkey", "c_nationkey")
     placed = (
         attach(orders, customers, "o_custkey", "c_custkey", "inner", spread_on=["o_orderkey"])
@@ -46,36 +58,42 @@ def claim_lines(spark: SparkSession, folder: str, state: bool = False) -> DataFr
     return attach(lines, placed, "l_orderkey", "o_orderkey", "inner", screen=orders, spread_on=spread)
 
 
-def claims(spark: SparkSession, folder: str, state: bool = False) -> DataFrame:
-    """Claims as the silver layer would hold them."""
-    loss, report = F.col("o_orderdate").cast("date"), F.col("l_shipdate").cast("date")
-    return claim_lines(spark, folder, state).select(
-        F.col("l_orderkey").alias("order_id"),
-        F.col("l_linenumber").alias("line_number"),
-        loss.alias("txn_date"),
-        loss.alias("loss_date"),
-        report.alias("report_date"),
-        F.datediff(report, loss).alias("days_to_report"),
-        F.col("o_orderpriority").alias("insurance_type"),
-        F.col("l_extendedprice").alias("claim_amount"),
-        F.col("l_quantity").alias("quantity"),
-        F.col("l_returnflag").alias("claim_status"),
-        F.col("o_orderstatus").alias("risk_segmentation"),
-        F.col("l_linestatus").alias("incident_severity"),
-        (F.col("l_discount") > 0.05).cast("int").alias("any_injury"),
-        (F.col("l_tax") > 0.04).cast("int").alias("police_report_available"),
-        or_default(F.nullif("l_linestatus", F.lit("O")), "None").alias("authority_contacted"),
-        *party_keys(),
-        *([F.col("state")] if state else []),
-    )
-
+def claims(spark: SparkSession, folder: str, *names: str) -> DataFrame:
+    """Claims as the silver layer would hold them.
 
-def party_keys() -> list[Column]:
+    Only what the named columns need is joined; without names, all but ``state``.
+    """
+    loss, report = F.col("o_orderdate").cast("date"), F.col("l_shipdate").cast("date")
+    columns = {
+        "order_id": F.col("l_orderkey"),
+        "line_number": F.col("l_linenumber"),
+        "txn_date": loss,
+        "loss_date": loss,
+        "report_date": report,
+        "days_to_report": F.datediff(report, loss),
+        "insurance_type": F.col("o_orderpriority"),
+        "claim_amount": F.col("l_extendedprice"),
+        "quantity": F.col("l_quantity"),
+        "claim_status": F.col("l_returnflag"),
+        "risk_segmentation": F.col("o_orderstatus"),
+        "incident_severity": F.col("l_linestatus"),
+        "any_injury": (F.col("l_discount") > 0.05).cast("int"),
+        "police_report_available": (F.col("l_tax") > 0.04).cast("int"),
+        "authority_contacted": or_default(F.nullif("l_linestatus", F.lit("O")), "None"),
+        **party_keys(),
+        "state": F.col("state"),
+    }
+    wanted = names or tuple(name for name in columns if name != "state")
+    of_orders = dict.fromkeys(FROM_ORDERS[name] for name in wanted if name in FROM_ORDERS)
+    return claim_lines(spark, folder, *of_orders).select(*[columns[name].alias(name) for name in wanted])
+
+
+def party_keys() -> dict[str, Column]:
     """Agent and vendor of a line; a third of the lines has no vendor."""
-    return [
-        F.col("l_suppkey").alias("agent_id"),
-        F.when(F.col("l_returnflag") != "N", F.col("l_partkey")).alias("vendor_id"),
-    ]
+    return {
+        "agent_id": F.col("l_suppkey"),
+        "vendor_id": F.when(F.col("l_returnflag") != "N", F.col("l_partkey")),
+    }
 
 
 def agents(spark: SparkSession, folder: str) -> DataFrame:
@@ -98,7 +116,7 @@ def vendors(spark: SparkSession, folder: str) -> DataFrame:
 def raw_claims(spark: SparkSession, folder: str) -> DataFrame:
     """Claims before cleaning: dates as text, optional fields with gaps, bad amounts."""
     amount = F.when(F.col("l_tax") == 0, -F.col("l_extendedprice")).otherwise(F.col("l_extendedprice"))
-    return claim_lines(spark, folder).select(
+    return claim_lines(spark, folder, "o_orderdate", "o_orderpriority").select(
         "l_orderkey",
         "l_suppkey",
         F.replace(F.col("o_orderdate").cast("date").cast("string"), F.lit("-"), F.lit("/")).alias("loss_dt"),
@@ -162,6 +180,8 @@ def silver_dim_vendor(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def silver_enriched(spark: SparkSession, folder: str) -> DataFrame:
-    keys = table(spark, folder, "lineitem").select(*party_keys())
+    keys = table(spark, folder, "lineitem").select(
+        *[key.alias(name) for name, key in party_keys().items()]
+    )
     with_agent = attach(claims(spark, folder), agents(spark, folder), "agent_id", keys_in=keys)
     return attach(with_agent, vendors(spark, folder), "vendor_id", keys_in=keys)

@@ -47,27 +47,52 @@ def na_normalise(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "customer").select("c_custkey", null_tokens_to_null(written).alias("segment"))
 
 
+# What the summaries read of the claims.
+MONTHLY_COLUMNS = ("txn_date", "insurance_type", "claim_amount", "claim_status")
+STATE_COLUMNS = ("state", "claim_amount", "risk_segmentation", "any_injury")
+AGENT_COLUMNS = ("agent_id", "claim_amount", "days_to_report", "claim_status")
+VENDOR_COLUMNS = ("vendor_id", "claim_amount", "incident_severity")
+FRAUD_COLUMNS = (
+    "risk_segmentation",
+    "incident_severity",
+    "claim_amount",
+    "police_report_available",
+    "days_to_report",
+    "authority_contacted",
+)
+
+
 def gold_monthly_summary(spark: SparkSession, folder: str) -> DataFrame:
-    return summarise(conformed.claims(spark, folder), insurance.monthly_summary_spec(DENIED))
+    return summarise(conformed.claims(spark, folder, *MONTHLY_COLUMNS), insurance.monthly_summary_spec(DENIED))
+
+
+def state_risk_of(claims: DataFrame) -> DataFrame:
+    return grouped(claims, insurance.state_risk_spec(HIGH_RISK))
 
 
 def gold_state_risk(spark: SparkSession, folder: str) -> DataFrame:
-    return summarise(conformed.claims(spark, folder, state=True), insurance.state_risk_spec(HIGH_RISK))
+    claims = conformed.claims(spark, folder, *STATE_COLUMNS)
+    return ordered(state_risk_of(claims), insurance.state_risk_spec(HIGH_RISK))
+
+
+def agent_performance_of(spark: SparkSession, folder: str, claims: DataFrame) -> DataFrame:
+    agents = conformed.agents(spark, folder)
+    return grouped_before_attach(claims, insurance.agent_performance_spec(), agents, "agent_id")
 
 
 def gold_agent_performance(spark: SparkSession, folder: str) -> DataFrame:
-    performance = agent_performance_of(spark, folder, conformed.claims(spark, folder))
+    performance = agent_performance_of(spark, folder, conformed.claims(spark, folder, *AGENT_COLUMNS))
     return ordered(performance, insurance.agent_performance_spec())
 
 
 def gold_vendor_statistics(spark: SparkSession, folder: str) -> DataFrame:
     spec = insurance.vendor_statistics_spec(TOTAL_LOSS)
-    vendors = conformed.vendors(spark, folder)
-    return ordered(grouped_before_attach(conformed.claims(spark, folder), spec, vendors, "vendor_id"), spec)
+    claims, vendors = conformed.claims(spark, folder, *VENDOR_COLUMNS), conformed.vendors(spark, folder)
+    return ordered(grouped_before_attach(claims, spec, vendors, "vendor_id"), spec)
 
 
 def gold_fraud_indicators(spark: SparkSession, folder: str) -> DataFrame:
-    return summarise(conformed.claims(spark, folder), insurance.fraud_indicators_spec())
+    return summarise(conformed.claims(spark, folder, *FRAUD_COLUMNS), insurance.fraud_indicators_spec())
 
 
 # ---- checks ----------------------------------------------------------------------
@@ -149,24 +174,14 @@ def all_checks() -> list[Check]:
     ]
 
 
-CHECKED_COLUMNS = (
-    "state",
-    "claim_amount",
-    "claim_status",
-    "risk_segmentation",
-    "any_injury",
-    "quantity",
-    "loss_date",
-    "report_date",
-    "days_to_report",
-    "agent_id",
-    "vendor_id",
+CHECKED_COLUMNS = tuple(
+    dict.fromkeys((*STATE_COLUMNS, *AGENT_COLUMNS, "claim_amount", "quantity", "loss_date", "report_date", "vendor_id"))
 )
 
 
 def checked_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     """Base tables and, written once for all checks that read them, the claims."""
-    claims = staged(conformed.claims(spark, folder, state=True).select(*CHECKED_COLUMNS))
+    claims = staged(conformed.claims(spark, folder, *CHECKED_COLUMNS))
     customer = table(spark, folder, "customer")
     return {
         **{name: table(spark, folder, name) for name in ("lineitem", "supplier", "part", "orders")},
@@ -174,16 +189,11 @@ def checked_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
         "solvent_customer": customer.filter(F.col("c_acctbal") > 0),
         "claims": claims,
         "bankrupt_customer": customer.filter(F.col("c_acctbal") < -100_000),
-        "state_summary": grouped(claims, insurance.state_risk_spec(HIGH_RISK)),
+        "state_summary": state_risk_of(claims),
         "agent_performance": agent_performance_of(spark, folder, claims),
     }
 
 
-def agent_performance_of(spark: SparkSession, folder: str, claims: DataFrame) -> DataFrame:
-    agents = conformed.agents(spark, folder)
-    return grouped_before_attach(claims, insurance.agent_performance_spec(), agents, "agent_id")
-
-
 def outcome(tables: dict[str, DataFrame], *checks: Check) -> DataFrame:
     return check_rows(tables, checks).select("name", "value", "passed", "status")
 
@@ -206,7 +216,7 @@ def dq_range(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def dq_date_order(spark: SparkSession, folder: str) -> DataFrame:
-    return outcome({"claims": conformed.claims(spark, folder)}, date_order_check())
+    return outcome({"claims": conformed.claims(spark, folder, "loss_date", "report_date")}, date_order_check())
 
 
 def dq_referential(spark: SparkSession, folder: str) -> DataFrame:
@@ -215,23 +225,21 @@ def dq_referential(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def dq_null_pct(spark: SparkSession, folder: str) -> DataFrame:
-    return outcome({"claims": conformed.claims(spark, folder)}, null_check())
+    return outcome({"claims": conformed.claims(spark, folder, "vendor_id")}, null_check())
 
 
 def dq_nonempty(spark: SparkSession, folder: str) -> DataFrame:
-    claims = conformed.claims(spark, folder, state=True)
-    return outcome({"state_summary": grouped(claims, insurance.state_risk_spec(HIGH_RISK))}, nonempty_check())
+    claims = conformed.claims(spark, folder, *STATE_COLUMNS)
+    return outcome({"state_summary": state_risk_of(claims)}, nonempty_check())
 
 
 def dq_reconcile(spark: SparkSession, folder: str) -> DataFrame:
-    wanted = ("state", "claim_amount", "risk_segmentation", "any_injury")
-    claims = staged(conformed.claims(spark, folder, state=True).select(*wanted))
-    summary = grouped(claims, insurance.state_risk_spec(HIGH_RISK))
-    return outcome({"state_summary": summary, "claims": claims}, reconcile_check())
+    claims = staged(conformed.claims(spark, folder, *STATE_COLUMNS))
+    return outcome({"state_summary": state_risk_of(claims), "claims": claims}, reconcile_check())
 
 
 def dq_group_min(spark: SparkSession, folder: str) -> DataFrame:
-    performance = agent_performance_of(spark, folder, conformed.claims(spark, folder))
+    performance = agent_performance_of(spark, folder, conformed.claims(spark, folder, *AGENT_COLUMNS))
     return outcome({"agent_performance": performance}, group_check())
 
 
