@@ -185,14 +185,13 @@ def _slotted(merges: dict[int, int]) -> tuple[list[int], list[int]]:
     return shifts, slots
 
 
-def packed(df: DataFrame, n_bytes: int = 256 << 20) -> DataFrame:
-    """``df`` in fewer, larger input partitions, without a shuffle: each word is then merged fewer times.
+def fewer_partitions(df: DataFrame, of: int = 8) -> DataFrame:
+    """``df`` with ``of`` input partitions in one, without a shuffle, but one per core at least.
 
-    No fewer than the cluster has cores, and with about as many stored bytes each as given.
+    A word is merged once per partition, so fewer partitions mean less work.
     """
-    spark = df.sparkSession
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().longValue()
-    return df.coalesce(max(spark.sparkContext.defaultParallelism, -(-size // n_bytes)))
+    least = df.sparkSession.sparkContext.defaultParallelism
+    return df.coalesce(max(least, df.rdd.getNumPartitions() // of))
 
 
 def token_count(ids: Column) -> Column:

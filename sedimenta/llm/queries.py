@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sedimenta.llm import bpe
+from sedimenta.llm import bpe, exact_dedup, simhash
+from sedimenta.llm.common import staged
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -17,7 +18,7 @@ def op1_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     tokenizer = bpe.ByteBPE(
         bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken")), public_tokenizers.PATTERN
     )
-    documents = bpe.packed(_table(spark, folder, "documents").select("doc_id", "text"))
+    documents = bpe.fewer_partitions(_table(spark, folder, "documents").select("doc_id", "text"))
     encoded = tokenizer.encode(documents, "text", keep_text=False)
     decoded = tokenizer.decode(encoded)
     return decoded.select(
@@ -28,5 +29,26 @@ def op1_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-QUERIES = {"op1_byte_bpe": op1_byte_bpe}
-ORACLE_SQL: dict[str, str] = {}
+def op3_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    documents = _table(spark, folder, "documents")
+    found = exact_dedup.duplicates(documents, keep="largest")
+    return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
+def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    documents = _table(spark, folder, "documents").select("doc_id", "text")
+    marked = staged(simhash.fingerprints(documents, shingle=3).select("doc_id", "fingerprint"))
+    found = simhash.components(marked, "fingerprint", distance=2)
+    return found.select(
+        "doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id"
+    )
+
+
+QUERIES = {"op1_byte_bpe": op1_byte_bpe, "op3_exact_dedup": op3_exact_dedup, "op10_simhash": op10_simhash}
+ORACLE_SQL = {
+    "op3_exact_dedup": """
+        SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+               doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
+        FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
+    """,
+}
