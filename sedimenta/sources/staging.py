@@ -2,28 +2,55 @@
 
 from __future__ import annotations
 
-import tempfile
+import atexit
 import uuid
 
-from pyspark.sql import DataFrame
+from py4j.protocol import Py4JError, Py4JNetworkError
+from pyspark.sql import DataFrame, SparkSession
 
 SETTING = "spark.checkpoint.dir"
 
+_cleared_at_exit: set[str] = set()
 
-def staged(df: DataFrame) -> DataFrame:
-    """``df`` written once to the session's checkpoint folder and read back.
 
-    Readers then scan only the columns they need, and a lost executor costs a re-read
-    and not the work before it. The folder is the one named in ``spark.checkpoint.dir``
-    or given to ``setCheckpointDir``. Without one, a local session gets a scratch
-    folder, and on a cluster the frame is returned as it is.
+def staging_folder(spark: SparkSession) -> str:
+    """Where this application stages: below ``spark.checkpoint.dir``, or else the folder given to ``setCheckpointDir``.
+
+    All executors must reach it. Without either there is an error, since any folder chosen
+    here might be local to one machine.
     """
-    spark = df.sparkSession
     folder = spark.conf.get(SETTING, None) or spark.sparkContext.getCheckpointDir()
-    if not folder and spark.sparkContext.master.startswith("local"):
-        folder = tempfile.mkdtemp(prefix="staged-")
     if not folder:
-        return df
-    path = f"{folder}/staged-{uuid.uuid4().hex}"
+        raise ValueError(f"set {SETTING} to a folder that all executors share")
+    return f"{folder.rstrip('/')}/staged-{spark.sparkContext.applicationId}"
+
+
+def staged(df: DataFrame, folder: str | None = None) -> DataFrame:
+    """``df`` written once to ``folder`` (``staging_folder`` by default) and read back.
+
+    Readers then scan only the columns they need, and a lost executor costs a re-read
+    and not the work before it. What is staged in the default folder goes with
+    ``clear_staged``, at the latest when the program ends.
+    """
+    spark = df.sparkSession
+    if folder is None:
+        folder = staging_folder(spark)
+        if folder not in _cleared_at_exit:
+            _cleared_at_exit.add(folder)
+            atexit.register(_clear_quietly, spark, folder)
+    path = f"{folder}/{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def clear_staged(spark: SparkSession, folder: str | None = None) -> None:
+    """Delete all that this application has staged; frames that read it can no longer be used."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder or staging_folder(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def _clear_quietly(spark: SparkSession, folder: str) -> None:
+    try:
+        clear_staged(spark, folder)
+    except (Py4JError, Py4JNetworkError, OSError):  # the JVM has gone already
+        pass
