@@ -28,6 +28,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sedimenta.llm.common import bounded_batches, quoted, require_free, unused
+
 # The fold takes steps in proportion to a word's length, and each copies the word's pieces. Longer words (runs of
 # letters or signs without a break) are merged with a heap instead, in the second function.
 FOLD_BYTES = 64
@@ -72,20 +74,22 @@ class ByteBPE:
         are, whatever their names; a column called ``ids`` must not be there yet. Without ``keep_text`` the text is
         left out of the result, and then it is not carried through the second function either.
         """
-        _require_free(df, ids)
+        require_free(df, ids)
+        bounded_batches(df)
         words = F.arrow_udf(_numbering(self.pattern), "struct<codes:binary,fresh:array<string>>").asNondeterministic()
-        numbered, merged = _unused(df, "_words", "_fresh_ids")
+        numbered, merged = unused(df, "_words", "_fresh_ids")
         kept = [x for x in df.columns if keep_text or x != text]
-        table = df.withColumn(numbered, words(F.col(_quoted(text)))).select(*map(_quoted, kept), numbered)
+        table = df.withColumn(numbered, words(F.col(quoted(text)))).select(*map(quoted, kept), numbered)
         table = table.withColumn(merged, F.transform(F.col(numbered)["fresh"], self.merged))
-        schema = T.StructType([*table.select(*map(_quoted, kept)).schema.fields, T.StructField(ids, T.BinaryType())])
+        schema = T.StructType([*table.select(*map(quoted, kept)).schema.fields, T.StructField(ids, T.BinaryType())])
         return table.mapInArrow(_joining(self.ranks, numbered, merged, ids), schema)
 
     def decode(self, df: DataFrame, ids: str = "ids", decoded: str = "decoded") -> DataFrame:
         """``df`` with the bytes of the tokens of ``ids`` put together (``decoded``, binary); null gives null."""
-        _require_free(df, decoded)
+        require_free(df, decoded)
+        bounded_batches(df)
         back = F.arrow_udf(_decoding(self.ranks), "binary")
-        return df.withColumn(decoded, back(F.col(_quoted(ids))))
+        return df.withColumn(decoded, back(F.col(quoted(ids))))
 
     def merged(self, word: Column) -> Column:
         """Ids of one word (``array<int>``), by folding the ranked merges over its bytes; null over ``FOLD_BYTES``.
@@ -108,27 +112,26 @@ class ByteBPE:
         def packed(rank: Column, place: Column, piece: Column) -> Column:
             return F.shiftleft(rank, 2 * _ID_BITS) + F.shiftleft(place, _ID_BITS) + piece
 
-        def piece_id(entries: Column, at: Column) -> Column:
-            return F.get(entries, at).bitwiseAND(F.lit(_ID))
-
         def step(entries: Column, _: Column) -> Column:
-            best = F.array_min(entries)
-            piece = F.shiftright(best, 2 * _ID_BITS)
-            place = F.shiftright(best, _ID_BITS).bitwiseAND(F.lit(_ID))
-
-            def replaced(at: Column) -> Column:  # the pair's left piece, counted from 1
-                rest = F.slice(entries, at + 2, F.lit(FOLD_BYTES))
-                here = packed(pair(piece, piece_id(entries, at + 1)), place, piece)
-                before = F.get(entries, at - 2)
-                left = F.shiftleft(pair(before.bitwiseAND(F.lit(_ID)), piece), 2 * _ID_BITS) + before.bitwiseAND(
-                    F.lit(_LOW)
-                )
-                return F.when(at > 1, F.concat(F.slice(entries, F.lit(1), at - 2), F.array(left, here), rest)).otherwise(
-                    F.concat(F.array(here), rest)
+            def unless_done(best: Column) -> Column:
+                place = F.array_position(entries, best).cast("int")
+                return F.when(best >= F.lit(_NONE << 2 * _ID_BITS), entries).otherwise(
+                    _let(place, lambda at: replaced(entries, best, at))
                 )
 
-            return F.when(best >= F.lit(_NONE << 2 * _ID_BITS), entries).otherwise(
-                _let(F.array_position(entries, best).cast("int"), replaced)
+            return _let(F.array_min(entries), unless_done)
+
+        def replaced(entries: Column, best: Column, at: Column) -> Column:
+            """The entries with the pair at ``at`` (from 1) as one piece, and the rank of the one before it."""
+            piece = F.shiftright(best, 2 * _ID_BITS)
+            start = F.shiftright(best, _ID_BITS).bitwiseAND(F.lit(_ID))
+            here = packed(pair(piece, F.get(entries, at + 1).bitwiseAND(F.lit(_ID))), start, piece)
+            rest = F.slice(entries, at + 2, F.lit(FOLD_BYTES))
+            before = F.get(entries, at - 2)
+            left = F.shiftleft(pair(before.bitwiseAND(F.lit(_ID)), piece), 2 * _ID_BITS)
+            left = left + before.bitwiseAND(F.lit(_LOW))
+            return F.when(at > 1, F.concat(F.slice(entries, F.lit(1), at - 2), F.array(left, here), rest)).otherwise(
+                F.concat(F.array(here), rest)
             )
 
         def start(codes: Column) -> Column:
@@ -140,7 +143,7 @@ class ByteBPE:
 
         latin = F.decode(word.cast("binary"), "ISO-8859-1")
         codes = F.transform(F.split(latin, ""), lambda c: F.ascii(c))
-        folded = F.aggregate(F.sequence(F.lit(1), size), _let(codes, start), step)
+        folded = F.aggregate(F.slice(codes, 2, FOLD_BYTES), _let(codes, start), step)
         ids = F.transform(folded, lambda entry: entry.bitwiseAND(F.lit(_ID)).cast("int"))
         return F.when((size > 0) & (size <= FOLD_BYTES), ids)
 
@@ -217,54 +220,54 @@ def _let(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def _quoted(name: str) -> str:
-    return "`" + name.replace("`", "``") + "`"
-
-
-def _unused(df: DataFrame, *names: str) -> list[str]:
-    taken = {x.lower() for x in df.columns}
-    found = []
-    for name in names:
-        while name in taken:
-            name += "_"
-        found.append(name)
-    return found
-
-
-def _require_free(df: DataFrame, name: str) -> None:
-    if name.lower() in (x.lower() for x in df.columns):
-        raise ValueError(f"there is a column {name!r} already")
-
-
 def _numbering(pattern: str):
+    # In the pattern white space is the Unicode property; the library's \\s has some control characters more.
+    pattern = pattern.replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}")
+
     def number(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         import regex
 
-        cut = regex.compile(pattern).findall
-        numbers: dict[str, int] = {}
+        cut, blank = regex.compile(pattern).findall, regex.compile(r"\A\p{White_Space}|\p{White_Space}\Z|\A\Z").search
+        numbers: dict[str, bytes] = {}
+        chunks: dict[str, bytes] = {}
         used = 0  # also counts words too long to be kept
+        new: list[str] = []
+
+        def coded(words: list[str]) -> bytes:
+            nonlocal used
+            found = []
+            for word in words:
+                code = numbers.get(word)
+                if code is None:
+                    code = used.to_bytes(4, "little")
+                    used += 1
+                    new.append(word)
+                    if len(word) <= FOLD_BYTES:
+                        numbers[word] = code
+                found.append(code)
+            return b"".join(found)
+
+        def row(text: str) -> bytes:
+            """Words never reach over a single space between other characters, which begins a word: the text is then
+            the sequence of its chunks between spaces, and most chunks have been cut before."""
+            first, *others = text.split(" ")
+            for chunk in others:
+                if chunk not in chunks:
+                    if blank(chunk):
+                        return coded(cut(text))
+                    chunks[chunk] = coded(cut(" " + chunk))
+            if blank(first):
+                return coded(cut(text))
+            return coded(cut(first)) + b"".join([chunks[chunk] for chunk in others])
+
         for texts in batches:
             codes, fresh = [], []
             for text in texts:
-                text = text.as_py()
-                new: list[str] = []
-                if used > WORDS_KEPT:
-                    numbers, used = {}, 0
+                text, new = text.as_py(), []
+                if used > WORDS_KEPT or len(chunks) > WORDS_KEPT:
+                    numbers, chunks, used = {}, {}, 0
                     new.append(_RESTART)
-                row = np.empty(0, "<u4")
-                if text:
-                    words = cut(text)
-                    row = np.empty(len(words), "<u4")
-                    for at, word in enumerate(words):
-                        code = numbers.get(word)
-                        if code is None:
-                            code = used
-                            used += 1
-                            new.append(word)
-                            if len(word) <= FOLD_BYTES:
-                                numbers[word] = code
-                        row[at] = code
-                codes.append(row.tobytes())
+                codes.append(row(text) if text else b"")
                 fresh.append(new)
             yield pa.StructArray.from_arrays(
                 [pa.array(codes, pa.binary()), pa.array(fresh, pa.list_(pa.string()))], ["codes", "fresh"]

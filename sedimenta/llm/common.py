@@ -43,6 +43,13 @@ def require_free(df: DataFrame, *names: str) -> None:
         raise ValueError(f"columns already there: {', '.join(clash)}")
 
 
+def bounded_batches(df: DataFrame, rows: int = 500) -> None:
+    """Let the session send at most so many rows at a time to a Python function, since texts can be long."""
+    conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(name)) <= rows:
+        conf.set(name, str(rows))
+
+
 def shuffle_partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
@@ -76,5 +83,6 @@ def join_counted(
 
 
 __all__ = [
-    "WORD", "col", "join_counted", "quoted", "require_free", "shuffle_partitions", "staged", "unused", "words",
+    "WORD", "bounded_batches", "col", "join_counted", "quoted", "require_free", "shuffle_partitions", "staged",
+    "unused", "words",
 ]

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sedimenta.llm.common import col, join_counted, quoted, require_free, staged, unused
+from sedimenta.llm.common import bounded_batches, col, join_counted, quoted, require_free, staged, unused
 
 BITS = 64
 BUCKET = 64  # fingerprints that are compared pair by pair
@@ -37,6 +37,7 @@ def fingerprints(df: DataFrame, text: str = "text", shingle: int = 3, out: str =
     a text without words, or null, has fingerprint zero. A bit is set if it is set in more than half of the hashes.
     """
     require_free(df, out)
+    bounded_batches(df)
     return df.withColumn(out, F.arrow_udf(_fingerprinting(shingle), "bigint")(F.col(quoted(text))))
 
 
