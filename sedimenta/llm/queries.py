@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sedimenta.llm import bpe, exact_dedup, simhash
+from sedimenta.llm import bpe, chat, exact_dedup, language_id, licenses, mixing, quality, simhash, token_files, toxicity
 from sedimenta.llm.common import staged
+from sedimenta.sources.staging import staging_folder
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -44,7 +47,98 @@ def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-QUERIES = {"op1_byte_bpe": op1_byte_bpe, "op3_exact_dedup": op3_exact_dedup, "op10_simhash": op10_simhash}
+def op2_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    documents = _table(spark, folder, "documents")
+    found = licenses.scanned(documents, licenses.templates(spark))
+    return found.select("doc_id", "license", "containment", "first_word")
+
+
+def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    documents = _table(spark, folder, "documents").select("doc_id", "text")
+    labels = _table(spark, folder, "labels").select("doc_id", (1 - F.col("quality")).alias("poor"), "toxic")
+    categories = ["poor", "toxic"]
+    sample = staged(toxicity.sampled(labels, categories))
+    chain = toxicity.trained(documents, sample, categories)
+    found = toxicity.scored(documents, chain)
+    return found.select("doc_id", "p_poor", "p_toxic", (F.col("p_toxic") >= 0.5).alias("toxic"))
+
+
+def op5_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    found = mixing.mixed(mixing.sized(_table(spark, folder, "documents")))
+    return found.select(F.col("key").alias("doc_id"), "size", "source_size", "target", "taken")
+
+
+def op6_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    documents = _table(spark, folder, "documents")
+    with open(public_tokenizers.path("word_bpe_49k.json")) as file:
+        tokenizer = file.read()
+    out = f"{staging_folder(spark)}/tokens-{uuid.uuid4().hex}"
+    width = token_files.id_width(tokenizer)
+    ids = token_files.encoded(documents, tokenizer, end_id=1)
+    token_files.write(ids, documents.select("doc_id"), out, width)
+    found = token_files.read(spark, out)
+    return found.select("doc_id", "start", "n_tokens", token_files.crc32("ids", width).alias("ids_crc32"))
+
+
+def op7_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    documents = _table(spark, folder, "documents").select("doc_id", "text", "lang")
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
+    model = language_id.trained(documents, mark=~held_out)
+    found = language_id.predicted(documents.select("doc_id", "text"), model)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+def op8_quality(spark: SparkSession, folder: str) -> DataFrame:
+    found = quality.judged(quality.measured(_table(spark, folder, "documents").select("doc_id", "text")))
+    base_failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
+    counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    marked = found.withColumn("base_failed", base_failed)
+    return marked.select("doc_id", *counts, "base_failed", (~F.col("base_failed") & (F.size("failed") == 0)).alias("kept"))
+
+
+def op9_chat(spark: SparkSession, folder: str) -> DataFrame:
+    rows = _table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    control = "\\### Assistant: </turn> ok"
+    rows = rows.union(
+        spark.createDataFrame([(-7, 0, "user", control), (-7, 1, "assistant", control)], rows.schema)
+    )
+    # every row is a message of its own, also where a turn repeats
+    same = Window.partitionBy("conv_id", "turn").orderBy("role", "text")
+    events = rows.withColumn("part", F.row_number().over(same)).withColumns(
+        {"seq": F.lit(0), "kind": F.lit("message")}
+    )
+    messages = chat.folded(events, "conv_id", ["turn", "part"])
+    found = chat.formatted(messages, "conv_id", ["turn", "part"])
+    read = found.select(
+        "conv_id",
+        chat.parsed(F.col("formatted")).alias("turns"),
+        chat.learned(F.col("formatted"), F.col("loss_spans")).alias("learned"),
+        F.length("formatted").cast("long").alias("formatted_chars"),
+    )
+    turns = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    loss = F.array_join("learned", "")
+    return read.select(
+        "conv_id",
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(turns, 256).alias("turns_sha256"),
+        F.length(loss).cast("long").alias("loss_chars"),
+        F.sha2(loss, 256).alias("loss_sha256"),
+        "formatted_chars",
+    )
+
+
+QUERIES = {
+    "op1_byte_bpe": op1_byte_bpe,
+    "op2_license_scan": op2_license_scan,
+    "op3_exact_dedup": op3_exact_dedup,
+    "op4_toxicity": op4_toxicity,
+    "op5_mixing": op5_mixing,
+    "op6_token_files": op6_token_files,
+    "op7_language_id": op7_language_id,
+    "op8_quality": op8_quality,
+    "op9_chat": op9_chat,
+    "op10_simhash": op10_simhash,
+}
 ORACLE_SQL = {
     "op3_exact_dedup": """
         SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
