@@ -10,6 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 SETTING = "spark.checkpoint.dir"
 
+# More tasks than this per core would only write more and smaller files.
+FILES_PER_CORE = 4
+
 _cleared_at_exit: set[str] = set()
 
 
@@ -25,6 +28,11 @@ def staging_folder(spark: SparkSession) -> str:
     return f"{folder.rstrip('/')}/staged-{spark.sparkContext.applicationId}"
 
 
+def compact(df: DataFrame) -> DataFrame:
+    """``df`` in at most a few partitions per core, without a shuffle; a task then takes several in turn."""
+    return df.coalesce(FILES_PER_CORE * df.sparkSession.sparkContext.defaultParallelism)
+
+
 def staged(df: DataFrame, folder: str | None = None) -> DataFrame:
     """``df`` written once to ``folder`` (``staging_folder`` by default) and read back.
 
@@ -39,7 +47,7 @@ def staged(df: DataFrame, folder: str | None = None) -> DataFrame:
             _cleared_at_exit.add(folder)
             atexit.register(_clear_quietly, spark, folder)
     path = f"{folder}/{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    compact(df).write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
