@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
+from functools import wraps
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -10,7 +12,7 @@ from pyspark.sql import functions as F
 
 from sedimenta.llm import bpe, chat, exact_dedup, language_id, licenses, mixing, quality, simhash, token_files, toxicity
 from sedimenta.llm.common import staged
-from sedimenta.sources.staging import staging_folder
+from sedimenta.sources.staging import compact, staging_folder
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -127,7 +129,7 @@ def op9_chat(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-QUERIES = {
+_BUILT = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_license_scan": op2_license_scan,
     "op3_exact_dedup": op3_exact_dedup,
@@ -139,10 +141,79 @@ QUERIES = {
     "op9_chat": op9_chat,
     "op10_simhash": op10_simhash,
 }
+
+
+def _query(build: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    """The query with a result in a few files per core."""
+
+    @wraps(build)
+    def query(spark: SparkSession, folder: str) -> DataFrame:
+        return compact(build(spark, folder))
+
+    return query
+
+
+QUERIES = {name: _query(build) for name, build in _BUILT.items()}
+_STOP_WORDS = ", ".join(f"'{w}'" for w in sorted(set(quality.STOP_WORDS)))
 ORACLE_SQL = {
     "op3_exact_dedup": """
         SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
                doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
         FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
     """,
+    "op8_quality": rf"""
+        WITH cut AS (
+            SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w,
+                   list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l
+            FROM documents
+        ), windows AS (
+            SELECT doc_id, i, w[i] AS a, w[i + 1] AS b, w[i + 2] AS c
+            FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM cut)
+        ), again AS (
+            SELECT doc_id, a, b, c FROM windows GROUP BY ALL HAVING count(*) > 1
+        ), covered AS (
+            SELECT doc_id, count(DISTINCT p) AS n
+            FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS p FROM windows JOIN again USING (doc_id, a, b, c))
+            GROUP BY doc_id
+        ), counted AS (
+            SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words,
+                   CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+                   CAST(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+                   CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines,
+                   coalesce(covered.n, 0) AS n_repeat_words,
+                   len(list_filter(w, lambda x: lower(x) IN ({_STOP_WORDS}))) AS n_stop_words,
+                   greatest(len(l), 1) AS lines, greatest(len(w), 1) AS words,
+                   len(list_filter(l, lambda x: ltrim(x, ' ')[1] IN ('-', '*', '•'))) AS n_bullet_lines,
+                   len(list_filter(l, lambda x: rtrim(x, ' ') LIKE '%...' OR rtrim(x, ' ') LIKE '%…')) AS n_ellipsis_lines
+            FROM cut LEFT JOIN covered USING (doc_id)
+        ), based AS (
+            SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM counted
+        )
+        SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+               NOT base_failed AND n_words BETWEEN 50 AND 1000000 AND word_chars / words BETWEEN 2 AND 15
+               AND n_symbols / words <= 0.1 AND n_stop_words >= 2 AND n_dup_lines / lines <= 0.3
+               AND n_bullet_lines / lines <= 0.9 AND n_ellipsis_lines / lines <= 0.3
+               AND n_repeat_words / words <= 0.5 AS kept
+        FROM based
+    """,
+    "op9_chat": r"""
+        WITH turns AS (
+            SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+            UNION ALL SELECT -7, n, r, '\### Assistant: </turn> ok' FROM (VALUES (0, 'user'), (1, 'assistant')) AS v (n, r)
+        ), sized AS (
+            SELECT *, length(text) + length(text) - length(replace(text, '\', ''))
+                      + length(text) - length(replace(text, '<', '')) AS text_chars,
+                   length(role) + length(regexp_extract_all(role, '[\\<>\n]')) AS role_chars
+            FROM turns
+        ), joined AS (
+            SELECT conv_id, count(*) AS n_turns,
+                   string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text) AS everything,
+                   coalesce(string_agg(text, '' ORDER BY turn, text) FILTER (role = 'assistant'), '') AS loss,
+                   sum(6 + role_chars + 2 + text_chars + 8) AS chars
+            FROM sized GROUP BY conv_id
+        )
+        SELECT conv_id, n_turns, sha256(everything) AS turns_sha256, CAST(length(loss) AS BIGINT) AS loss_chars,
+               sha256(loss) AS loss_sha256, CAST(chars AS BIGINT) AS formatted_chars
+        FROM joined
+    """,
 }
