@@ -13,12 +13,24 @@ from sedimenta.sources import Warehouse
 STEPS = ("bronze", "silver", "gold", "quality")
 
 
+def multi_line(single: list[str] | None) -> dict[str, bool]:
+    """Which sources may hold line breaks, from the sources named to hold none."""
+    if single is None:
+        return {}
+    return {source: False for source in single or insurance.SOURCE_FILES}
+
+
 def main(arguments: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(description=__doc__)
     parser.add_argument("--sources", required=True, help="folder of the CSV files")
     parser.add_argument("--warehouse", required=True, help="folder of the stored tables")
     parser.add_argument("--reports", help="folder to add the quality report to")
-    parser.add_argument("--single-line", action="store_true", help="no line breaks inside CSV fields: read in splits")
+    parser.add_argument(
+        "--single-line",
+        nargs="*",
+        choices=insurance.SOURCE_FILES,
+        help="sources without line breaks inside fields, read in splits; all if none is named",
+    )
     parser.add_argument("steps", nargs="+", choices=STEPS, help="run in the given order")
     options = parser.parse_args(arguments)
 
@@ -26,7 +38,7 @@ def main(arguments: list[str] | None = None) -> None:
     warehouse = Warehouse(spark, options.warehouse)
     for step in options.steps:
         if step == "bronze":
-            print(insurance.build_bronze(warehouse, options.sources, not options.single_line))
+            print(insurance.build_bronze(warehouse, options.sources, multi_line(options.single_line)))
         elif step == "silver":
             print(insurance.build_silver(warehouse))
         elif step == "gold":

@@ -11,10 +11,19 @@ from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
+from pyspark.errors import (
+    AnalysisException,
+    ArithmeticException,
+    ArrayIndexOutOfBoundsException,
+    DateTimeException,
+    IllegalArgumentException,
+    NumberFormatException,
+    SparkRuntimeException,
+)
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sedimenta.functions import percentage
+from sedimenta.functions import MONEY, as_money, percentage
 
 CRITICAL = "critical"
 WARNING = "warning"
@@ -28,10 +37,24 @@ RESULT_SCHEMA = (
 )
 
 # Counts and totals of amounts, exactly.
-EXACT = "decimal(28,2)"
+EXACT = MONEY
 
 Tables = Mapping[str, DataFrame]
 
+# A table that is not there, or a column, or an expression of the wrong type.
+PLANNING_ERRORS = (AnalysisException, LookupError)
+
+# Values that an expression cannot take, as the engine reports them. A lost executor or
+# unreadable storage is none of these.
+DATA_ERRORS = (
+    ArithmeticException,
+    ArrayIndexOutOfBoundsException,
+    DateTimeException,
+    IllegalArgumentException,
+    NumberFormatException,
+    SparkRuntimeException,
+)
+
 
 @dataclass(frozen=True)
 class Part:
@@ -62,6 +85,9 @@ class Check:
     on_null: str = FAIL
 
 
+Members = list[tuple[int, Check]]
+
+
 # ---- check types -----------------------------------------------------------------
 # Each takes the layer, a name, what to look at, and optionally the severity and a
 # description.
@@ -140,7 +166,7 @@ def totals_reconcile(
 
     A total over no rows is null, and the comparison is then an error.
     """
-    parts = [Part(table, F.sum(F.col(column).cast(EXACT))) for table, column in (left, right)]
+    parts = [Part(table, F.sum(as_money(F.col(column)))) for table, column in (left, right)]
     return Check(
         layer,
         name,
@@ -173,17 +199,9 @@ def check_rows(tables: Tables, checks: Sequence[Check], spark: SparkSession | No
     A check that cannot be planned, for a missing table or column, becomes an ERROR
     row and the others go on.
     """
-    members = list(enumerate(checks))
-    try:
-        return _results(tables, members)
-    except Exception:  # some check cannot be planned: find out which
-        planned, broken = [], []
-    for position, check in members:
-        try:
-            _results(tables, [(position, check)])
-            planned.append((position, check))
-        except Exception as error:
-            broken.append(_error_row(position, check, error))
+    planned, broken = _planned(tables, list(enumerate(checks)))
+    if not broken:
+        return _results(tables, planned)
     errors = (spark or _spark(tables)).createDataFrame(broken, RESULT_SCHEMA)
     return _results(tables, planned).unionByName(errors) if planned else errors
 
@@ -191,22 +209,44 @@ def check_rows(tables: Tables, checks: Sequence[Check], spark: SparkSession | No
 def run_checks(tables: Tables, checks: Sequence[Check], spark: SparkSession | None = None) -> DataFrame:
     """Result rows, computed on call; an error in one check leaves the others alone.
 
-    All checks run as one job. If that fails, each runs by itself, and those that
-    fail again become ERROR rows. Only result rows reach the driver, one per check.
+    All checks run as one job. If a check fails on the data, the halves run by
+    themselves, and so on, until the failing ones are alone and become ERROR rows. Other
+    failures, of an executor or the storage, are not answers and end the run. Only result
+    rows reach the driver, one per check.
     """
-    try:
-        rows = check_rows(tables, checks, spark).collect()
-    except Exception:
-        rows = []
-        for position, check in enumerate(checks):
-            try:
-                rows += _results(tables, [(position, check)]).collect()
-            except Exception as error:
-                rows.append(_error_row(position, check, error))
-    rows = sorted(rows, key=lambda row: row[0])
+    planned, broken = _planned(tables, list(enumerate(checks)))
+    rows = sorted([*broken, *_collected(tables, planned)], key=lambda row: row[0])
     return (spark or _spark(tables)).createDataFrame(rows, RESULT_SCHEMA)
 
 
+def _planned(tables: Tables, members: Members) -> tuple[Members, list[tuple]]:
+    """The checks that can be planned, and ERROR rows for the others."""
+    try:
+        if members:
+            _results(tables, members)
+        return members, []
+    except PLANNING_ERRORS as error:
+        if len(members) == 1:
+            position, check = members[0]
+            return [], [_error_row(position, check, error)]
+    half = len(members) // 2
+    one, other = _planned(tables, members[:half]), _planned(tables, members[half:])
+    return [*one[0], *other[0]], [*one[1], *other[1]]
+
+
+def _collected(tables: Tables, members: Members) -> list[tuple]:
+    if not members:
+        return []
+    try:
+        return _results(tables, members).collect()
+    except DATA_ERRORS as error:
+        if len(members) == 1:
+            position, check = members[0]
+            return [_error_row(position, check, error)]
+    half = len(members) // 2
+    return _collected(tables, members[:half]) + _collected(tables, members[half:])
+
+
 def _results(tables: Tables, members: Sequence[tuple[int, Check]]) -> DataFrame:
     """Parts by table, one row each; gathered into a single row; then one row per check."""
     by_table, names = {}, []

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,15 +15,22 @@ from sedimenta.sources.delimited import source_exists
 def schema_drift(expected: Mapping[str, list[str]], observed: Mapping[str, DataFrame]) -> DataFrame:
     """``(source, column, status, non_null)`` for every expected or observed column.
 
-    ``status`` is ``ok``, ``missing`` (expected only) or ``unexpected``; ``non_null``
-    tells an observed column that carries no values from one that does.
+    ``status`` is ``ok``, ``missing`` (expected only) or ``unexpected``. Names come from the
+    schemas. Only unexpected columns are scanned: ``non_null`` tells those that carry no
+    values from others, and is null elsewhere.
     """
     spark = next(iter(observed.values())).sparkSession
-    found = None
+    compared = _compare(_names(spark, expected), _names(spark, {s: df.columns for s, df in observed.items()}))
+    counts = []
     for source, df in observed.items():
-        part = columns(df).select(F.lit(source).alias("source"), "column", "non_null")
-        found = part if found is None else found.unionByName(part)
-    return _compare(_names(spark, expected), found, "non_null")
+        unknown = [name for name in df.columns if name not in expected.get(source, [])]
+        if unknown:
+            counted = columns(df.select(*[f"`{name}`" for name in unknown]))
+            counts.append(counted.select(F.lit(source).alias("source"), "column", "non_null"))
+    if not counts:
+        return compared.withColumn("non_null", F.lit(None).cast("long"))
+    found = reduce(DataFrame.unionByName, counts)
+    return compared.join(found, ["source", "column"], "left").orderBy("source", "column")
 
 
 def header_drift(spark: SparkSession, expected: Mapping[str, list[str]], headers: Mapping[str, list[str]]) -> DataFrame:

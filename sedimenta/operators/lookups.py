@@ -2,7 +2,7 @@
 
 The lookup side is broadcast only when its measured size is within a bound.
 Otherwise both sides are shuffled, and the keys that hold a large share of the
-large side are salted: their rows are spread over several tasks, and only the
+large side are salted: their rows are spread over tasks in proportion, and only the
 lookup rows of those keys are replicated. Null keys never match, so they are spread
 without replicating anything. Both ways give the same rows.
 
@@ -12,25 +12,31 @@ execution splits a partition that grows large for that reason.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 BROADCAST_BYTES = 64 * 1024 * 1024
-SALTS_PER_PARTITION = 4
 
-# At most this many keys are salted. The sketch finds every key that holds more than
-# one row in as many.
-HOT_KEYS = 1000
-TRACKED_KEYS = 10_000
+# Tasks that a hot key is spread over for each even partition's worth of its rows.
+SALTS_PER_SHARE = 4
 
 # Types of known width, counted with room to spare.
 _FIXED_TYPES = ("boolean", "tinyint", "smallint", "int", "bigint", "float", "double", "decimal", "date", "timestamp")
 _FIXED_BYTES = 16
+# Null keys match nothing, so nothing is replicated for them.
+NULL_SALTS = 1 << 30
 _SALT = "_salt"
 _LOOKUP_SALT = "_lookup_salt"
 _LOOKUP_KEY = "_lookup_key"
+_HOT_KEY = "_hot_key"
+_SALTS = "_salts"
+
+# What has been measured in this application, by the meaning of the plan.
+_measured: dict[tuple, object] = {}
 
 
 def attach(
@@ -44,7 +50,6 @@ def attach(
     one_row_per_key: bool = False,
     spread_on: Sequence[str | Column] | None = None,
     broadcast_bytes: int | None = None,
-    salts: int | None = None,
 ) -> DataFrame:
     """Join ``lookup`` to ``df`` on ``df.key = lookup.lookup_key`` (``left`` or ``inner``).
 
@@ -57,8 +62,11 @@ def attach(
     large, ``lookup`` is neither measured nor broadcast. ``one_row_per_key`` says that
     ``df`` has been grouped by the key, so that no key can be hot. ``spread_on`` holds
     what to salt the rows of ``df`` by, all columns by default: few columns leave the
-    others unread where nobody needs them. ``salts`` defaults to a few per shuffle
-    partition, so that a hot key reaches nearly all of them.
+    others unread where nobody needs them.
+
+    A hot key is salted in proportion to its rows, so the lookup rows that are replicated
+    are at most a few per shuffle partition for each lookup row of a key, however many
+    keys are hot.
     """
     if how not in ("left", "inner"):
         raise ValueError(f"how must be 'left' or 'inner', not {how!r}")
@@ -80,17 +88,23 @@ def attach(
     hot = hot_keys(df if keys_in is None else keys_in, key)
     if not hot and how == "inner":
         return df.join(lookup, match, how).drop(_LOOKUP_KEY)
-    salts = salts or SALTS_PER_PARTITION * _shuffle_partitions(df)
+    spark = df.sparkSession
+    # one row per hot key, of which there are fewer than shuffle partitions
+    kind = df.select(F.col(key).alias(_HOT_KEY)).schema[_HOT_KEY].dataType
+    schema = T.StructType([T.StructField(_HOT_KEY, kind), T.StructField(_SALTS, T.IntegerType())])
+    table = F.broadcast(spark.createDataFrame(hot, schema))
     # The salt depends on the row alone, so a task that runs again sends its rows
     # to the same place.
-    spread = F.pmod(F.xxhash64(*(spread_on or df.columns)), F.lit(salts)).cast("int")
-    salted = df.withColumn(_SALT, F.when(F.col(key).isNull() | _among(key, hot), spread).otherwise(0))
-    every_salt = F.sequence(F.lit(0), F.lit(salts - 1))
-    one_salt = F.array(F.lit(0))
-    replicated = lookup.withColumn(
-        _LOOKUP_SALT, F.explode(F.when(_among(_LOOKUP_KEY, hot), every_salt).otherwise(one_salt))
-    )
+    spread = F.xxhash64(*(spread_on or df.columns))
+    salts = F.when(F.col(key).isNull(), F.lit(NULL_SALTS)).otherwise(F.col(_SALTS))
+    salted = df.withColumn(_SALT, F.coalesce(spread, F.lit(0)))
+    salted = salted.join(table, F.col(key) == F.col(_HOT_KEY), "left")
+    salted = salted.withColumn(_SALT, F.coalesce(F.pmod(F.col(_SALT), salts), F.lit(0)).cast("int"))
+    marked = lookup.join(table, F.col(_LOOKUP_KEY) == F.col(_HOT_KEY), "left")
+    every_salt = F.sequence(F.lit(0), F.coalesce(F.col(_SALTS), F.lit(1)) - 1)
+    replicated = marked.withColumn(_LOOKUP_SALT, F.explode(every_salt)).drop(_HOT_KEY, _SALTS)
     match &= F.col(_SALT) == F.col(_LOOKUP_SALT)
+    salted = salted.drop(_HOT_KEY, _SALTS)
     return salted.join(replicated, match, how).drop(_LOOKUP_KEY, _SALT, _LOOKUP_SALT)
 
 
@@ -104,7 +118,8 @@ def size_within(df: DataFrame, n_bytes: int, screen: DataFrame | None = None) ->
     if n_bytes <= 0 or not all(kind == "string" or kind.startswith(_FIXED_TYPES) for _, kind in df.dtypes):
         return False
     fixed = _FIXED_BYTES * len(df.columns)
-    if (df if screen is None else screen).count() * fixed > n_bytes:
+    counted = df if screen is None else screen
+    if _once(counted, ("rows",), counted.count) * fixed > n_bytes:
         return False
     texts = [name for name, kind in df.dtypes if kind == "string"]
     if screen is None and not texts:
@@ -112,25 +127,37 @@ def size_within(df: DataFrame, n_bytes: int, screen: DataFrame | None = None) ->
     width = F.lit(fixed).cast("long")
     for name in texts:
         width += F.coalesce(F.octet_length(name), F.lit(0))
-    total = df.agg(F.coalesce(F.sum(width), F.lit(0)).alias("n")).first()["n"]
-    return total <= n_bytes
+    total = df.agg(F.coalesce(F.sum(width), F.lit(0)).alias("n"))
+    return _once(df, ("bytes",), lambda: total.first()["n"]) <= n_bytes
 
 
-def hot_keys(df: DataFrame, key: str) -> list:
-    """Keys that hold more rows than a shuffle partition should, never over ``HOT_KEYS``.
+def hot_keys(df: DataFrame, key: str, partitions: int | None = None) -> list[tuple]:
+    """Keys with more rows than an even shuffle partition, each with its number of salts.
 
-    One pass with a sketch of fixed size, merged on the map side, so a hot key costs
-    no more than any other. It only steers the salting and has no effect on results.
+    The rows of each key are counted, in each task before the shuffle, so the answer is
+    exact and there is no least share below which a key is overlooked. Fewer keys than
+    partitions can be hot, and their salts add up to a few per partition. It only steers
+    the salting and has no effect on results.
     """
-    sketch = F.call_function("approx_top_k", F.col(key), F.lit(HOT_KEYS), F.lit(TRACKED_KEYS))
-    found = df.filter(F.col(key).isNotNull()).agg(F.count(F.lit(1)).alias("n"), sketch.alias("top")).first()
-    share = max(1 / HOT_KEYS, 1 / _shuffle_partitions(df))
-    return [item["item"] for item in found["top"] if item["count"] > share * found["n"]]
+    partitions = partitions or _shuffle_partitions(df)
+
+    def count() -> list[tuple]:
+        counts = df.filter(F.col(key).isNotNull()).groupBy(F.col(key).alias("k")).agg(F.count(F.lit(1)).alias("n"))
+        total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
+        share = total / partitions
+        hot = counts.filter(F.col("n") > share).collect()
+        return sorted((row["k"], math.ceil(SALTS_PER_SHARE * row["n"] / share)) for row in hot)
+
+    return _once(df.select(key), ("hot", partitions), count)
 
 
 def _shuffle_partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def _among(name: str, values: list) -> Column:
-    return F.coalesce(F.col(name).isin(values), F.lit(False)) if values else F.lit(False)
+def _once(df: DataFrame, what: tuple, measure: Callable[[], object]):
+    """A figure of ``df``, measured once per application for plans that mean the same."""
+    key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(), *what)
+    if key not in _measured:
+        _measured[key] = measure()
+    return _measured[key]

@@ -8,8 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sedimenta.functions import percentage, round2
-from sedimenta.operators.quantiles import ONE_TASK_VALUES, exact_quantiles
+from sedimenta.functions import MONEY, percentage, round2
+from sedimenta.operators.quantiles import BAND_VALUES, exact_quantiles
 
 # Texts longer than this are compared by their SHA-256 digest. A marked digest is
 # itself longer, so it can never equal a text that was left as it is.
@@ -72,27 +72,24 @@ def duplicates(df: DataFrame) -> DataFrame:
 QUARTILES = (0.25, 0.5, 0.75)
 
 
-def describe(df: DataFrame, names: Sequence[str], one_task_values: int = ONE_TASK_VALUES) -> DataFrame:
+def describe(df: DataFrame, names: Sequence[str], band_values: int = BAND_VALUES) -> DataFrame:
     """Statistics of numeric columns, one row each, two decimals.
 
     ``(column, count, mean, std, min, q25, q50, q75, max)``: sample deviation, exact
-    quantiles with linear interpolation. A small table takes one pass; the quartiles
-    of a larger one are searched for on call.
+    quantiles with linear interpolation, searched for on call. The mean comes from an
+    exact sum if the type of amounts holds all values, and otherwise from a sum of doubles.
     """
     if not names:
         raise ValueError("no columns to describe")
     values = df.select(*[_present(df, name).cast("double").alias(f"v{i}") for i, name in enumerate(names)])
-    if df.count() <= one_task_values:
-        quartiles = [F.percentile(f"v{i}", list(QUARTILES)) for i in range(len(names))]
-    else:
-        found = exact_quantiles(values, values.columns, QUARTILES, one_task_values)
-        quartiles = [F.array(*[F.lit(q).cast("double") for q in of_column]) for of_column in found]
+    found = exact_quantiles(values, values.columns, QUARTILES, band_values)
+    quartiles = [F.array(*[F.lit(q).cast("double") for q in of_column]) for of_column in found]
     fields = []
     for i, quartile in enumerate(quartiles):
         value = f"v{i}"
         fields += [
             F.count(value).alias(f"count{i}"),
-            F.avg(value).alias(f"mean{i}"),
+            _mean(F.col(value)).alias(f"mean{i}"),
             F.stddev_samp(value).alias(f"std{i}"),
             F.min(value).alias(f"min{i}"),
             quartile.alias(f"quartiles{i}"),
@@ -111,6 +108,12 @@ def describe(df: DataFrame, names: Sequence[str], one_task_values: int = ONE_TAS
     return values.agg(*fields).select(F.inline(F.array(*described)))
 
 
+def _mean(value: Column) -> Column:
+    exact = value.try_cast(MONEY)
+    inexact = F.count_if(value.isNotNull() & ~F.coalesce(exact == value, F.lit(False)))
+    return F.when(inexact == 0, F.try_divide(F.sum(exact).cast("double"), F.count(value).cast("double"))).otherwise(F.avg(value))
+
+
 def value_counts(df: DataFrame, names: Sequence[str]) -> DataFrame:
     """``(column, value, n)`` of several columns from one scan, most frequent first."""
     pairs = [F.struct(F.lit(name).alias("column"), _present(df, name).cast("string").alias("value")) for name in names]
@@ -137,6 +140,61 @@ def table_row_counts(tables: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, counted)
 
 
+# Types that a column of texts can have, the first that all its values fit.
+_KINDS = {
+    "bigint": lambda text: text.try_cast("bigint").isNotNull(),
+    "double": lambda text: text.try_cast("double").isNotNull(),
+    "boolean": lambda text: F.lower(text).isin("true", "false"),
+}
+
+
+def columns_by_table(df: DataFrame, table: str, names: Sequence[str]) -> DataFrame:
+    """``(table_name, position, column, type, non_null, n_rows)`` for columns of texts.
+
+    ``table`` names the column that tells the tables apart. One aggregate finds how many
+    values there are and which types hold them all; a column without values is a string.
+    """
+    counted = df.groupBy(F.col(table).alias("table_name")).agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        *[F.count(F.col(f"`{name}`")).alias(f"n{i}") for i, name in enumerate(names)],
+        *[
+            F.count_if(fits(F.col(f"`{name}`"))).alias(f"{kind}{i}")
+            for i, name in enumerate(names)
+            for kind, fits in _KINDS.items()
+        ],
+    )
+    entries = []
+    for i, name in enumerate(names):
+        kind = F.lit("string")
+        for known in reversed(_KINDS):
+            kind = F.when((F.col(f"n{i}") > 0) & (F.col(f"{known}{i}") == F.col(f"n{i}")), known).otherwise(kind)
+        entries.append(
+            F.struct(
+                F.lit(i).alias("position"), F.lit(name).alias("column"), kind.alias("type"), F.col(f"n{i}").alias("non_null")
+            )
+        )
+    return counted.select("table_name", "n_rows", F.inline(F.array(*entries)))
+
+
+def copies_by_table(df: DataFrame, table: str, tables: DataFrame) -> DataFrame:
+    """``(table_name, n_rows, n_columns, duplicate_rows)`` of the tables told apart by the column ``table``.
+
+    ``tables`` lists all ``table_name``, also of those without rows.
+    """
+    names = [name for name in df.columns if name != table]
+    narrow = df.select(F.col(table).alias(table), *[_comparable(df, name) for name in names])
+    copies = narrow.groupBy(*narrow.columns).agg(F.count(F.lit(1)).alias("n"))
+    counted = copies.groupBy(F.col(table).alias("table_name")).agg(
+        F.sum("n").alias("n_rows"), F.sum(F.col("n") - 1).alias("duplicate_rows")
+    )
+    return tables.join(counted, "table_name", "left").select(
+        "table_name",
+        F.coalesce("n_rows", F.lit(0)).alias("n_rows"),
+        F.lit(len(names)).alias("n_columns"),
+        F.coalesce("duplicate_rows", F.lit(0)).alias("duplicate_rows"),
+    )
+
+
 def profile_tables(tables: dict[str, DataFrame]) -> DataFrame:
     """``(table_name, n_rows, n_columns, duplicate_rows)`` of several tables."""
     profiles = []

@@ -9,13 +9,13 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
-# Up to this many values one task can rank them all.
-ONE_TASK_VALUES = 100_000
+# A band of the values is ranked by one task once it holds no more than this.
+BAND_VALUES = 100_000
 ACCURACY = 10_000
 
 
 def exact_quantiles(
-    df: DataFrame, names: Sequence[str], probabilities: Sequence[float], one_task_values: int = ONE_TASK_VALUES
+    df: DataFrame, names: Sequence[str], probabilities: Sequence[float], band_values: int = BAND_VALUES
 ) -> list[list[float | None]]:
     """The quantiles of each numeric column, nulls left out.
 
@@ -30,7 +30,7 @@ def exact_quantiles(
     cuts = {v: _cuts(outline, v) for v in values.columns}
     counts = values.agg(*[part for v in values.columns for part in _counts(v, cuts[v])]).first()
     return [
-        _interpolated(values.select(v), v, probabilities, outline[f"{v}_n"], cuts[v], counts, one_task_values)
+        _interpolated(values.select(v), v, probabilities, outline[f"{v}_n"], cuts[v], counts, band_values)
         for v in values.columns
     ]
 
@@ -42,28 +42,29 @@ def _interpolated(
     n_values: int,
     cuts: list[float],
     counts: Row,
-    one_task_values: int,
+    band_values: int,
 ) -> list[float | None]:
     if not n_values:
         return [None for _ in probabilities]
     positions = [p * (n_values - 1) for p in probabilities]
     ranks = sorted({rank for at in positions for rank in (math.floor(at), math.ceil(at))})
-    found = _among_bands(values, v, ranks, cuts, counts, one_task_values)
+    found = _among_bands(values, v, ranks, cuts, counts, band_values)
     result = []
     for at in positions:
         low, high = found[math.floor(at)], found[math.ceil(at)]
-        result.append(low + (high - low) * (at - math.floor(at)))
+        # equal neighbours may be infinite, and their difference is then not a number
+        result.append(low if low == high else low + (high - low) * (at - math.floor(at)))
     return result
 
 
-def _search(values: DataFrame, v: str, ranks: list[int], n_rows: int, one_task_values: int) -> dict[int, float]:
+def _search(values: DataFrame, v: str, ranks: list[int], n_rows: int, band_values: int) -> dict[int, float]:
     """Values at zero-based ranks among ``n_rows`` values, too many for one task."""
     cuts = _cuts(values.agg(*_outline(v, [rank / n_rows for rank in ranks])).first(), v)
-    return _among_bands(values, v, ranks, cuts, values.agg(*_counts(v, cuts)).first(), one_task_values)
+    return _among_bands(values, v, ranks, cuts, values.agg(*_counts(v, cuts)).first(), band_values)
 
 
 def _among_bands(
-    values: DataFrame, v: str, ranks: list[int], cuts: list[float], counts: Row, one_task_values: int
+    values: DataFrame, v: str, ranks: list[int], cuts: list[float], counts: Row, band_values: int
 ) -> dict[int, float]:
     """Ranks that fall on a cut are found by counting, the others between two cuts.
 
@@ -78,13 +79,13 @@ def _among_bands(
         if not between:
             continue
         inside = (F.col(v) > cuts[i - 1]) & (F.col(v) < cut)
-        if below - passed <= one_task_values:
+        if below - passed <= band_values:
             small.append(inside)
             rank_of.update({rank - passed + before: rank for rank in between})
             before += below - passed
         else:
             moved = [rank - passed for rank in between]
-            deeper = _search(values.filter(inside), v, moved, below - passed, one_task_values)
+            deeper = _search(values.filter(inside), v, moved, below - passed, band_values)
             found.update({rank + passed: value for rank, value in deeper.items()})
     if small:
         part = values.filter(reduce(lambda one, other: one | other, small))

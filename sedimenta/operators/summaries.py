@@ -61,6 +61,10 @@ def largest(column: str) -> Measure:
     return Measure([F.max(column)], F.max)
 
 
+def smallest(value: Column) -> Measure:
+    return Measure([F.min(value)], F.min)
+
+
 def _mean(amount: Column, n: Column) -> Column:
     return round2(F.try_divide(amount.cast("double"), n.cast("double")))
 

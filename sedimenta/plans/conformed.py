@@ -34,11 +34,11 @@ FROM_ORDERS = {
 
 
 def claim_lines(spark: SparkSession, folder: str, *of_orders: str) -> DataFrame:
-    """Lines joined to the given columns of their orders.
+    """Lines joined to the given columns of their orders; a line without order is no claim.
 
-    ``state`` is the nation of the order's customer. It is found for the orders, before
-    they meet the more numerous lines. For the 25 nations Spark's own size check picks
-    the join.
+    ``state`` is the nation of the order's customer, null where either is unknown, so it
+    adds and drops no row. It is found for the orders, before they meet the more numerous
+    lines.
     """
     lines = table(spark, folder, "lineitem")
     # A line's position in its file spreads lines evenly, exact copies included, and
@@ -49,19 +49,23 @@ def claim_lines(spark: SparkSession, folder: str, *of_orders: str) -> DataFrame:
     if "state" not in of_orders:
         return attach(lines, orders.select("o_orderkey", *own), "l_orderkey", "o_orderkey", "inner", spread_on=spread)
     orders = orders.select("o_orderkey", "o_custkey", *own)
-    customers = table(spark, folder, "customer").select("c_custkey", "c_nationkey")
-    placed = (
-        attach(orders, customers, "o_custkey", "c_custkey", "inner", spread_on=["o_orderkey"])
-        .join(nations(spark, folder, "c_nationkey", "state"), "c_nationkey")
-        .drop("c_nationkey", "o_custkey")
-    )
+    states = customer_states(spark, folder)
+    placed = attach(orders, states, "o_custkey", "c_custkey", spread_on=["o_orderkey"]).drop("o_custkey")
     return attach(lines, placed, "l_orderkey", "o_orderkey", "inner", screen=orders, spread_on=spread)
 
 
+def customer_states(spark: SparkSession, folder: str) -> DataFrame:
+    """One row ``(c_custkey, state)`` per customer, the first state where a key repeats."""
+    customers = table(spark, folder, "customer").select("c_custkey", "c_nationkey")
+    placed = attach(customers, nations(spark, folder, "n_key", "state"), "c_nationkey", "n_key")
+    return placed.groupBy("c_custkey").agg(F.min("state").alias("state"))
+
+
 def claims(spark: SparkSession, folder: str, *names: str) -> DataFrame:
     """Claims as the silver layer would hold them.
 
-    Only what the named columns need is joined; without names, all but ``state``.
+    The rows are the same whichever columns are named: lines joined to their orders.
+    Without names, all columns but ``state``.
     """
     loss, report = F.col("o_orderdate").cast("date"), F.col("l_shipdate").cast("date")
     columns = {
@@ -100,9 +104,8 @@ def agents(spark: SparkSession, folder: str) -> DataFrame:
     suppliers = table(spark, folder, "supplier").select(
         F.col("s_suppkey").alias("agent_id"), F.col("s_name").alias("agent_name"), "s_nationkey"
     )
-    return suppliers.join(nations(spark, folder, "s_nationkey", "agent_state"), "s_nationkey", "left").drop(
-        "s_nationkey"
-    )
+    states = nations(spark, folder, "n_key", "agent_state")
+    return attach(suppliers, states, "s_nationkey", "n_key").drop("s_nationkey")
 
 
 def vendors(spark: SparkSession, folder: str) -> DataFrame:

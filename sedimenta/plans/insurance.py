@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Mapping
 from dataclasses import dataclass
 from datetime import datetime
 from functools import reduce
@@ -10,7 +10,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sedimenta.functions import MONEY, as_date, or_default
+from sedimenta.functions import as_date, or_default, percentage, round2
 from sedimenta.operators import CleanSpec, Summary, attach, clean, grouped, ordered, run_checks
 from sedimenta.operators import checks as dq
 from sedimenta.operators import profiling
@@ -25,7 +25,7 @@ from sedimenta.operators.summaries import (
     share_where,
     total,
 )
-from sedimenta.sources import Warehouse, csv_columns, read_csv, source_exists, source_files, write_report
+from sedimenta.sources import Warehouse, csv_columns, read_csv, source_exists, source_files, staged, write_report
 
 # ---- sources ---------------------------------------------------------------------
 
@@ -41,7 +41,7 @@ BRONZE_TABLES = {
     "vendors": "bronze_vendors",
 }
 
-# Declared columns. A source may carry others; they are kept as text in bronze.
+# Fixed names: declared columns. Amounts stay as they were read; sums are what is exact. A source may carry others; they are kept as text in bronze.
 SOURCE_TYPES = {
     "insurance": {
         "TRANSACTION_ID": "string",
@@ -52,8 +52,8 @@ SOURCE_TYPES = {
         "LOSS_DT": "string",
         "REPORT_DT": "string",
         "INSURANCE_TYPE": "string",
-        "PREMIUM_AMOUNT": MONEY,
-        "CLAIM_AMOUNT": MONEY,
+        "PREMIUM_AMOUNT": "double",
+        "CLAIM_AMOUNT": "double",
         "CUSTOMER_NAME": "string",
         "ADDRESS_LINE1": "string",
         "ADDRESS_LINE2": "string",
@@ -100,13 +100,18 @@ SOURCE_TYPES = {
 }
 
 
-def read_source(spark: SparkSession, folder: str, source: str, multi_line: bool = True) -> DataFrame:
+# True or false for all sources, or by source; line breaks inside quotes are allowed where nothing is said.
+MultiLine = bool | Mapping[str, bool]
+
+
+def read_source(spark: SparkSession, folder: str, source: str, multi_line: MultiLine = True) -> DataFrame:
     if source not in SOURCE_FILES:
         raise ValueError(f"unknown source {source!r}, expected one of {', '.join(SOURCE_FILES)}")
-    return read_csv(spark, f"{folder}/{SOURCE_FILES[source]}", SOURCE_TYPES[source], multi_line)
+    breaks = multi_line if isinstance(multi_line, bool) else multi_line.get(source, True)
+    return read_csv(spark, f"{folder}/{SOURCE_FILES[source]}", SOURCE_TYPES[source], breaks)
 
 
-def read_sources(spark: SparkSession, folder: str, multi_line: bool = True) -> dict[str, DataFrame]:
+def read_sources(spark: SparkSession, folder: str, multi_line: MultiLine = True) -> dict[str, DataFrame]:
     return {source: read_source(spark, folder, source, multi_line) for source in SOURCE_FILES}
 
 
@@ -123,28 +128,57 @@ def source_drift(spark: SparkSession, folder: str) -> DataFrame:
 
 @dataclass(frozen=True)
 class Exploration:
-    """Profiles of several files: a row per table, per column, and per column with nulls."""
+    """Profiles of several files: a row per table, per column, and per column with nulls, and
+    the first rows of each file as JSON."""
 
     tables: DataFrame
     columns: DataFrame
     nulls: DataFrame
+    first_rows: DataFrame
 
 
-def explore(spark: SparkSession, folder: str) -> Exploration:
-    """Profiles of every CSV file in a folder, whatever its columns."""
-    names = [row["file_name"] for row in source_files(spark, folder, "*.csv").orderBy("file_name").collect()]
-    if not names:
-        raise ValueError(f"no CSV files in {folder}")
-    files = {name: read_csv(spark, f"{folder}/{name}") for name in names}
-
-    def of_each(profile: Callable[[DataFrame], DataFrame]) -> DataFrame:
-        parts = [profile(df).select(F.lit(name).alias("table_name"), "*") for name, df in files.items()]
-        return reduce(DataFrame.unionByName, parts)
+def explore(spark: SparkSession, folder: str, multi_line: bool = True, n_first: int = 5) -> Exploration:
+    """Profiles of every CSV file in a folder, whatever its columns.
 
+    Files with one header are scanned together: once for what their columns hold, and once
+    more, with the types found, for copies. The driver sees names, headers and types.
+    """
+    files = {r["file_name"]: r["path"] for r in source_files(spark, folder, "*.csv").orderBy("file_name").collect()}
+    if not files:
+        raise ValueError(f"no CSV files in {folder}")
+    by_header: dict[tuple[str, ...], list[str]] = {}
+    for name, path in files.items():
+        by_header.setdefault(tuple(csv_columns(spark, path, multi_line)), []).append(name)
+
+    tables, profiles = [], []
+    for header, names in by_header.items():
+        paths = [files[name] for name in names]
+        texts = read_csv(spark, paths, multi_line=multi_line, file_name="table_name")
+        profile = profiling.columns_by_table(texts, "table_name", header)
+        profiles.append(staged(profile))
+        kinds = {}
+        for row in profiles[-1].select("column", "type").distinct().collect():
+            kinds.setdefault(row["column"], set()).add(row["type"])
+        types = {name: kind for name, (kind, *more) in kinds.items() if not more and kind != "string"}
+        typed = read_csv(spark, paths, types, multi_line, file_name="table_name")
+        found = spark.createDataFrame([(name,) for name in names], "table_name string")
+        tables.append(profiling.copies_by_table(typed, "table_name", found))
+    columns = reduce(DataFrame.unionByName, profiles)
+    missing = F.col("n_rows") - F.col("non_null")
+    nulls = columns.select(
+        "table_name", "column", missing.alias("null_count"), round2(percentage(missing, F.col("n_rows"))).alias("null_pct")
+    )
+    first = [
+        read_csv(spark, path, multi_line=multi_line).limit(n_first).select(
+            F.lit(name).alias("table_name"), F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("row")
+        )
+        for name, path in files.items()
+    ]
     return Exploration(
-        tables=profiling.profile_tables(files),
-        columns=of_each(profiling.columns).orderBy("table_name", "position"),
-        nulls=of_each(profiling.nulls).orderBy("table_name", F.desc("null_count"), "column"),
+        tables=reduce(DataFrame.unionByName, tables).orderBy("table_name"),
+        columns=columns.select("table_name", "position", "column", "type", "non_null").orderBy("table_name", "position"),
+        nulls=nulls.filter("null_count > 0").orderBy("table_name", F.desc("null_count"), "column"),
+        first_rows=reduce(DataFrame.unionByName, first),
     )
 
 
@@ -308,6 +342,7 @@ def fraud_indicators_spec() -> Summary:
     )
 
 
+# Fixed names: the gold tables.
 GOLD_SPECS = {
     "gold_monthly_claim_summary": monthly_summary_spec,
     "gold_state_risk_summary": state_risk_spec,
@@ -321,6 +356,7 @@ GOLD_SPECS = {
 
 
 def insurance_checks() -> list[dq.Check]:
+    """Their names are fixed."""
     claims = "silver_insurance"
     return [
         dq.row_count_at_least(
@@ -404,7 +440,7 @@ CHECKED_TABLES = (
 # ---- building --------------------------------------------------------------------
 
 
-def build_bronze(warehouse: Warehouse, folder: str, multi_line: bool = True) -> dict[str, int]:
+def build_bronze(warehouse: Warehouse, folder: str, multi_line: MultiLine = True) -> dict[str, int]:
     sources = read_sources(warehouse.spark, folder, multi_line)
     return warehouse.replace("bronze", {BRONZE_TABLES[source]: df for source, df in sources.items()})
 

@@ -24,8 +24,10 @@ claims AS (
          n_name AS state
   FROM lineitem
   JOIN orders ON l_orderkey = o_orderkey
-  JOIN customer ON o_custkey = c_custkey
-  JOIN nation ON c_nationkey = n_nationkey
+  LEFT JOIN (
+    SELECT c_custkey, MIN(n_name) AS n_name
+    FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey GROUP BY c_custkey
+  ) ON o_custkey = c_custkey
 )"""
 
 _AGENTS = """
@@ -39,7 +41,7 @@ vendors AS (
   SELECT p_partkey AS vendor_id, p_name AS vendor_name, p_brand AS vendor_state FROM part
 )"""
 
-_TOTAL = "CAST(SUM(CAST(claim_amount AS DECIMAL(18,2))) AS DOUBLE)"
+_TOTAL = "CAST(SUM(CAST(claim_amount AS DECIMAL(28,6))) AS DOUBLE)"
 _MEAN = f"ROUND({_TOTAL} / COUNT(claim_amount), 2)"
 
 _STATE_RISK = f"""
@@ -83,11 +85,15 @@ _VALUES = {
     "vendor_null_pct": "SELECT 100.0 * COUNT(*) FILTER (WHERE vendor_id IS NULL) / COUNT(*) FROM claims",
     "state_summary_nonempty": "SELECT COUNT(*) FROM state_summary",
     "state_total_matches_claims": """SELECT ABS(
-        (SELECT SUM(CAST(total_claim_amount AS DECIMAL(28,2))) FROM state_summary)
-        - (SELECT SUM(CAST(claim_amount AS DECIMAL(28,2))) FROM claims))""",
+        (SELECT SUM(CAST(total_claim_amount AS DECIMAL(28,6))) FROM state_summary)
+        - (SELECT SUM(CAST(claim_amount AS DECIMAL(28,6))) FROM claims))""",
     "agents_have_claims": "SELECT COUNT(*) FROM agent_performance WHERE total_claims_processed < 1",
     "bankrupt_total_matches": """SELECT ABS(
         (SELECT SUM(c_acctbal) FROM customer WHERE c_acctbal < -100000) - (SELECT SUM(c_acctbal) FROM customer))""",
+    # no such table, no such column, and a text that is no date
+    "payments_row_count": "SELECT NULL",
+    "discount_positive": "SELECT NULL",
+    "names_are_dates": "SELECT NULL",
 }
 
 # Layer, severity, and the condition to pass of every check.
@@ -106,7 +112,11 @@ _RULES = {
     "state_total_matches_claims": ("gold", "critical", "< 1"),
     "agents_have_claims": ("gold", "warning", "= 0"),
     "bankrupt_total_matches": ("gold", "warning", "< 1"),
+    "payments_row_count": ("bronze", "critical", ">= 1"),
+    "discount_positive": ("silver", "warning", "= 0"),
+    "names_are_dates": ("silver", "warning", "= 0"),
 }
+_BROKEN = ("payments_row_count", "discount_positive", "names_are_dates")
 
 
 def _with(*parts: str) -> str:
@@ -118,7 +128,7 @@ def _results(*names: str) -> str:
     branches = []
     for name in names:
         layer, severity, rule = _RULES[name]
-        on_null = "FAIL" if rule == "= 0" else "ERROR"
+        on_null = "FAIL" if rule == "= 0" and name not in _BROKEN else "ERROR"
         branches.append(
             f"""SELECT '{layer}' AS layer, '{name}' AS name, '{severity}' AS severity,
             CAST(v AS DOUBLE) AS value, COALESCE(v {rule}, FALSE) AS passed,
@@ -224,6 +234,14 @@ ORACLE_SQL: dict[str, str] = {
                   COUNT(*) FILTER (WHERE days_to_report > 7) AS late_reports,
                   COUNT(*) FILTER (WHERE authority_contacted = 'None') AS no_authority_contact
            FROM claims GROUP BY 1, 2 ORDER BY claim_count DESC""",
+    "gold_tax_by_flag": """
+        SELECT l_returnflag AS claim_status, COUNT(*) AS total_claims, CAST(SUM(tax) AS DOUBLE) AS total_tax,
+               ROUND(CAST(SUM(tax) AS DOUBLE) / COUNT(tax), 2) AS avg_tax,
+               CAST(MIN(tax) FILTER (WHERE tax > 0) AS DOUBLE) AS least_tax
+        FROM (SELECT l_returnflag,
+                     ROUND(CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(l_tax AS DECIMAL(4,2)), 3) AS tax
+              FROM lineitem)
+        GROUP BY 1 ORDER BY 1""",
     "dq_volume": _outcome("claims_row_count", "agents_row_count", "vendors_row_count"),
     "dq_nonempty": _outcome("state_summary_nonempty"),
     "dq_uniqueness": _outcome("order_id_unique", "line_order_unique"),
@@ -276,11 +294,12 @@ ORACLE_SQL: dict[str, str] = {
             SELECT 'part' AS source, "column", non_null FROM ({_non_null("part", _PART_COLUMNS)}))
         SELECT COALESCE(e.source, o.source) AS source, COALESCE(e."column", o."column") AS "column",
                CASE WHEN o.source IS NULL THEN 'missing' WHEN e.source IS NULL THEN 'unexpected' ELSE 'ok' END AS status,
-               non_null
+               CASE WHEN e.source IS NULL THEN non_null END AS non_null
         FROM expected AS e FULL JOIN observed AS o ON e.source = o.source AND e."column" = o."column"
         ORDER BY 1, 2""",
     "missing_sources": """
-        SELECT source, file_name, CASE WHEN n_rows IS NULL THEN 'missing' ELSE 'ok' END AS status, n_rows
+        SELECT source, file_name, CASE WHEN n_rows IS NULL THEN 'missing' ELSE 'ok' END AS status, n_rows,
+               n_rows IS NULL AS critical
         FROM (VALUES ('claims', 'lineitem.parquet', (SELECT COUNT(*) FROM lineitem)),
                      ('agents', 'supplier.parquet', (SELECT COUNT(*) FROM supplier)),
                      ('vendors', 'part.parquet', (SELECT COUNT(*) FROM part)),

@@ -2,16 +2,26 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sedimenta.functions import null_tokens_to_null
-from sedimenta.operators import Check, check_rows, grouped, grouped_before_attach, ordered, summarise
+from sedimenta.functions import as_date, null_tokens_to_null
+from sedimenta.operators import (
+    Check,
+    Summary,
+    check_rows,
+    grouped,
+    grouped_before_attach,
+    ordered,
+    run_checks,
+    summarise,
+)
 from sedimenta.operators import checks as dq
 from sedimenta.operators import profiling
-from sedimenta.operators.drift import schema_drift, source_status
+from sedimenta.operators.drift import missing_sources, schema_drift, source_status
 from sedimenta.operators.reporting import (
     flatten_report,
     labelled,
@@ -20,9 +30,11 @@ from sedimenta.operators.reporting import (
     overall_summary,
     summary_line,
 )
+from sedimenta.operators.summaries import mean_money, rows, smallest, total
 from sedimenta.plans import conformed, insurance
 from sedimenta.plans.conformed import table
-from sedimenta.sources import source_exists, staged
+from sedimenta.sources import read_reports, source_exists, staged, write_report
+from sedimenta.sources.staging import once_per_run, staging_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -95,6 +107,25 @@ def gold_fraud_indicators(spark: SparkSession, folder: str) -> DataFrame:
     return summarise(conformed.claims(spark, folder, *FRAUD_COLUMNS), insurance.fraud_indicators_spec())
 
 
+def gold_tax_by_flag(spark: SparkSession, folder: str) -> DataFrame:
+    """Amounts with three decimals, as doubles: none is rounded, the totals are exact."""
+    price, rate = F.col("l_extendedprice").cast("decimal(18,2)"), F.col("l_tax").cast("decimal(4,2)")
+    lines = table(spark, folder, "lineitem").select(
+        F.col("l_returnflag").alias("claim_status"), F.round(price * rate, 3).cast("double").alias("tax")
+    )
+    spec = Summary(
+        keys={"claim_status": F.col("claim_status")},
+        measures={
+            "total_claims": rows(),
+            "total_tax": total("tax"),
+            "avg_tax": mean_money("tax"),
+            "least_tax": smallest(F.when(F.col("tax") > 0, F.col("tax"))),
+        },
+        order=("claim_status",),
+    )
+    return summarise(lines, spec)
+
+
 # ---- checks ----------------------------------------------------------------------
 
 
@@ -152,7 +183,8 @@ def group_check() -> Check:
 
 
 def all_checks() -> list[Check]:
-    """Checks over three layers, the last one on a total over no rows."""
+    """Checks over three layers: one on a total over no rows, and three that cannot give a
+    value, for a missing table, a missing column, and texts that are no dates."""
     return [
         *volume_checks(),
         *uniqueness_checks(),
@@ -171,6 +203,11 @@ def all_checks() -> list[Check]:
             ("customer", "c_acctbal"),
             severity=dq.WARNING,
         ),
+        dq.row_count_at_least("bronze", "payments_row_count", "payments", 1),
+        dq.positive("silver", "discount_positive", "customer", "c_discount", severity=dq.WARNING),
+        dq.no_rows_where(
+            "silver", "names_are_dates", "customer", as_date(F.col("c_name")).isNull(), severity=dq.WARNING
+        ),
     ]
 
 
@@ -179,9 +216,15 @@ CHECKED_COLUMNS = tuple(
 )
 
 
+@once_per_run
+def checked_claims(spark: SparkSession, folder: str) -> DataFrame:
+    """The claims as the checks read them, written once."""
+    return staged(conformed.claims(spark, folder, *CHECKED_COLUMNS))
+
+
 def checked_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     """Base tables and, written once for all checks that read them, the claims."""
-    claims = staged(conformed.claims(spark, folder, *CHECKED_COLUMNS))
+    claims = checked_claims(spark, folder)
     customer = table(spark, folder, "customer")
     return {
         **{name: table(spark, folder, name) for name in ("lineitem", "supplier", "part", "orders")},
@@ -211,8 +254,7 @@ def dq_positive(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def dq_range(spark: SparkSession, folder: str) -> DataFrame:
-    lines = table(spark, folder, "lineitem").withColumnRenamed("l_quantity", "quantity")
-    return outcome({"claims": lines}, range_check())
+    return outcome({"claims": conformed.claims(spark, folder, "quantity")}, range_check())
 
 
 def dq_date_order(spark: SparkSession, folder: str) -> DataFrame:
@@ -234,7 +276,7 @@ def dq_nonempty(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def dq_reconcile(spark: SparkSession, folder: str) -> DataFrame:
-    claims = staged(conformed.claims(spark, folder, *STATE_COLUMNS))
+    claims = checked_claims(spark, folder)
     return outcome({"state_summary": state_risk_of(claims), "claims": claims}, reconcile_check())
 
 
@@ -243,8 +285,10 @@ def dq_group_min(spark: SparkSession, folder: str) -> DataFrame:
     return outcome({"agent_performance": performance}, group_check())
 
 
+@once_per_run
 def results(spark: SparkSession, folder: str) -> DataFrame:
-    return check_rows(checked_tables(spark, folder), all_checks())
+    """The rows of all checks, stored: what is rolled up or reported starts from them."""
+    return staged(run_checks(checked_tables(spark, folder), all_checks(), spark))
 
 
 def dq_report(spark: SparkSession, folder: str) -> DataFrame:
@@ -260,8 +304,10 @@ def dq_summary(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def report_flatten(spark: SparkSession, folder: str) -> DataFrame:
-    report = nested_report(results(spark, folder), "run")
-    return flatten_report(report).select("layer", "name", "severity", "value", "passed", "status", "label")
+    """Back from the stored report, which is written and read as JSON."""
+    path = f"{staging_folder(spark)}/report-{uuid.uuid4().hex}"
+    write_report(nested_report(results(spark, folder), "run"), path)
+    return flatten_report(read_reports(spark, path)).select("layer", "name", "severity", "value", "passed", "status", "label")
 
 
 # ---- profiles and drift ----------------------------------------------------------
@@ -329,7 +375,9 @@ def missing(spark: SparkSession, folder: str) -> DataFrame:
     paths = {name: f"{folder}/{name}" for name in EXPECTED_SOURCES.values()}
     present = {name: spark.read.parquet(path) for name, path in paths.items() if source_exists(spark, path)}
     counts = profiling.table_row_counts(present).withColumnRenamed("table_name", "file_name")
-    return source_status(EXPECTED_SOURCES, counts)
+    critical = missing_sources(spark, folder, EXPECTED_SOURCES).select("source", "critical")
+    status = source_status(EXPECTED_SOURCES, counts).join(critical, "source", "left")
+    return status.withColumn("critical", F.coalesce("critical", F.lit(False))).orderBy("source")
 
 
 QUERIES: dict[str, Query] = {
@@ -344,6 +392,7 @@ QUERIES: dict[str, Query] = {
     "gold_agent_performance": gold_agent_performance,
     "gold_vendor_statistics": gold_vendor_statistics,
     "gold_fraud_indicators": gold_fraud_indicators,
+    "gold_tax_by_flag": gold_tax_by_flag,
     "dq_volume": dq_volume,
     "dq_nonempty": dq_nonempty,
     "dq_uniqueness": dq_uniqueness,

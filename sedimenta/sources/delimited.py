@@ -50,24 +50,27 @@ def source_files(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
 
 def read_csv(
     spark: SparkSession,
-    path: str,
+    path: str | list[str],
     types: Mapping[str, str] | None = None,
     multi_line: bool = True,
     extra_fields: str = "fail",
+    file_name: str | None = None,
 ) -> DataFrame:
     """All columns of a CSV file or folder, those in ``types`` cast to the given type.
 
-    ``multi_line`` allows line breaks inside quotes but makes a file one task; turn
-    it off for large files without such breaks and they are read in splits.
+    ``path`` can be a list of files with one header. ``multi_line`` allows line breaks
+    inside quotes but makes a file one task; turn it off for large files without such
+    breaks and they are read in splits. A break inside quotes then fails the job.
 
     A row shorter than the header is padded with nulls. A row with more fields
     fails the job; ``extra_fields="flag"`` keeps its leading fields instead and
-    adds a boolean column ``extra_fields``, so that no row is cut unnoticed.
+    adds a boolean column ``extra_fields``, so that no row is cut unnoticed. With
+    ``file_name`` a column of that name says which file a row is from.
     """
     if extra_fields not in ("fail", "flag"):
         raise ValueError(f"extra_fields must be 'fail' or 'flag', not {extra_fields!r}")
     types = dict(types or {})
-    names = csv_columns(spark, path, multi_line)
+    names = csv_columns(spark, path if isinstance(path, str) else path[0], multi_line)
     absent = [name for name in types if name not in names]
     if absent:
         raise ValueError(f"columns missing from {path}: {', '.join(absent)}")
@@ -92,6 +95,13 @@ def read_csv(
     never = F.octet_length(F.col(f"`{names[0]}`")) < 0
     too_long = F.coalesce(_field_count(F.col(MALFORMED)) > len(names), never, F.lit(False))
     typed = [_typed(name, types.get(name, "string")) for name in names]
+    if file_name:
+        typed.append(F.col("_metadata.file_name").alias(file_name))
+    if not multi_line:
+        quotes = F.length(F.col(MALFORMED)) - F.length(F.replace(F.col(MALFORMED), F.lit('"')))
+        cut = F.concat(F.lit("a line break inside quotes, read with multi_line off: "), F.col(MALFORMED))
+        whole = F.when(F.coalesce(quotes % 2 == 1, F.lit(False)), F.raise_error(cut).cast("boolean"))
+        raw = raw.filter(whole.otherwise(True))
     if extra_fields == "flag":
         return raw.select(*typed, too_long.alias(EXTRA_FIELDS))
     message = F.concat(F.lit(f"more than {len(names)} fields: "), F.col(MALFORMED))

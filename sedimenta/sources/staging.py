@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import atexit
 import uuid
+from collections.abc import Callable
+from functools import wraps
 
 from py4j.protocol import Py4JError, Py4JNetworkError
 from pyspark.sql import DataFrame, SparkSession
@@ -51,6 +53,23 @@ def staged(df: DataFrame, folder: str | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def once_per_run(build: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    """``build`` is called once per application and folder; later calls read what it staged.
+
+    A run is one application: tables that change under the same folder are seen by the next.
+    """
+    built: dict[tuple[str, str], DataFrame] = {}
+
+    @wraps(build)
+    def stored(spark: SparkSession, folder: str) -> DataFrame:
+        key = (spark.sparkContext.applicationId, folder)
+        if key not in built:
+            built[key] = build(spark, folder)
+        return built[key]
+
+    return stored
+
+
 def clear_staged(spark: SparkSession, folder: str | None = None) -> None:
     """Delete all that this application has staged; frames that read it can no longer be used."""
     path = spark._jvm.org.apache.hadoop.fs.Path(folder or staging_folder(spark))

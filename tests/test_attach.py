@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from sedimenta.operators.lookups import attach, hot_keys, size_within
+from sedimenta.operators.lookups import SALTS_PER_SHARE, attach, hot_keys, size_within
 
 SHUFFLED = {"broadcast_bytes": 0}
 
@@ -65,11 +65,21 @@ def test_hot_and_null_rows_are_spread(spark, facts, lookup):
 
 
 def test_hot_keys(facts):
-    assert hot_keys(facts, "k") == [7]
+    assert [key for key, _ in hot_keys(facts, "k")] == [7]
     assert hot_keys(facts.filter("k <> 7"), "k") == []
     assert hot_keys(facts.filter("false"), "k") == []
 
 
+def test_hot_keys_have_no_least_share(spark):
+    """With many partitions a small share is several partitions' worth of rows."""
+    key = F.when(F.col("id") < 180, -1).when(F.col("id") < 400, F.lit(-2)).otherwise(F.col("id"))
+    df = spark.range(200_000).select(key.alias("k"))
+    hot = dict(hot_keys(df, "k", partitions=20_000))
+    assert sorted(hot) == [-2, -1]  # 0.09% and 0.11% of the rows, 18 and 22 partitions
+    assert hot[-1] == SALTS_PER_SHARE * 18 and hot[-2] == SALTS_PER_SHARE * 22
+    assert sum(hot.values()) <= SALTS_PER_SHARE * 20_000 + len(hot)
+
+
 def test_size_counts_texts(spark):
     df = spark.createDataFrame([("x" * 1000,), (None,)], "t string")
     assert size_within(df, 1032)

@@ -4,6 +4,7 @@ from collections import Counter, defaultdict
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 import insurance_data as data
 from sedimenta import __main__ as command_line
@@ -210,10 +211,50 @@ def test_explore(spark, folder, tmp_path):
     assert 80 < shares["insurance_data.csv", "ADDRESS_LINE2"] < 90
     assert 28 < shares["insurance_data.csv", "VENDOR_ID"] < 37
     assert shares["vendor_data.csv", "ADDRESS_LINE2"] == 100.0
+    types = {(row["table_name"], row["column"]): row["type"] for row in found.columns.collect()}
+    assert types["insurance_data.csv", "AGE"] == "bigint" and types["insurance_data.csv", "CLAIM_AMOUNT"] == "double"
+    assert types["insurance_data.csv", "LOSS_DT"] == "string" and types["vendor_data.csv", "ADDRESS_LINE2"] == "string"
+    first = [row for row in found.first_rows.collect() if row["table_name"] == "insurance_data.csv"]
+    assert len(first) == 5 and '"TRANSACTION_ID":"TXN000000"' in first[0]["row"]
     with pytest.raises(ValueError, match="no CSV files"):
         insurance.explore(spark, str(tmp_path))
 
 
+def test_explore_files_of_one_header(spark, tmp_path):
+    """They share a scan, and numbers are compared as such."""
+    (tmp_path / "a.csv").write_text("x,y,z\n1,p,true\n1.0,p,TRUE\n,q,\n")
+    (tmp_path / "b.csv").write_text("x,y,z\n2,p,false\n3,p,true\n")
+    (tmp_path / "c.csv").write_text("x,y,z\n")
+    (tmp_path / "d.csv").write_text("k\nv\n")
+    found = insurance.explore(spark, str(tmp_path))
+    assert [tuple(row) for row in found.tables.collect()] == [
+        ("a.csv", 3, 3, 0), ("b.csv", 2, 3, 0), ("c.csv", 0, 3, 0), ("d.csv", 1, 1, 0)
+    ]
+    types = {(row["table_name"], row["column"]): row["type"] for row in found.columns.collect()}
+    assert types["a.csv", "x"] == "double" and types["b.csv", "x"] == "bigint" and types["a.csv", "z"] == "boolean"
+    assert found.first_rows.filter("table_name = 'a.csv'").count() == 3
+
+
+def test_amounts_stay_as_they_are(spark, tmp_path):
+    """Also those with more than two decimals, and none is dropped for being small."""
+    rows = data.claims()[:5000]
+    amounts = ["10.005", "0.004", "1e3", "0", "-0.001"]
+    rows[:5] = [row | {"CLAIM_AMOUNT": amount, "CITY": "Ashby"} for row, amount in zip(rows, amounts)]
+    data.write_sources(tmp_path)
+    data.write_csv(tmp_path / "insurance_data.csv", rows)
+    warehouse = Warehouse(spark, str(tmp_path / "w"))
+    insurance.build_bronze(warehouse, str(tmp_path), {"vendors": False})
+    insurance.build_silver(warehouse)
+    wanted = [row["TRANSACTION_ID"] for row in rows[:5]]
+
+    def read(table, key, amount):
+        found = warehouse.read(table).filter(F.col(key).isin(wanted)).collect()
+        return [row[amount] for row in sorted(found, key=lambda row: row[key])]
+
+    assert read("bronze_insurance", "TRANSACTION_ID", "CLAIM_AMOUNT") == [10.005, 0.004, 1000.0, 0.0, -0.001]
+    assert read("silver_insurance", "transaction_id", "claim_amount") == [10.005, 0.004, 1000.0]
+
+
 def test_claim_distributions(built):
     warehouse, _ = built
     claims = warehouse.read("bronze_insurance")

@@ -27,28 +27,41 @@ def numbers(kind, n=4000):
 KINDS = ["spread", "one value on a third", "all equal", "two values", "far apart", "whole"]
 
 
-@pytest.mark.parametrize("one_task_values", [10, 1_000_000])
-def test_quantiles(spark, one_task_values):
+@pytest.mark.parametrize("band_values", [10, 1_000_000])
+def test_quantiles(spark, band_values):
     columns = [numbers(kind) for kind in KINDS]
     rows = [*zip(*columns), [None] * len(KINDS)]
     schema = ", ".join(f"c{i} double" for i in range(len(KINDS))) + ", none double"
     df = spark.createDataFrame([(*row, None) for row in rows], schema).repartition(3)
-    found = exact_quantiles(df, df.columns, PROBABILITIES, one_task_values)
+    found = exact_quantiles(df, df.columns, PROBABILITIES, band_values)
     for values, quantiles in zip(columns, found):
         assert quantiles == pytest.approx(list(np.quantile(values, PROBABILITIES)), rel=1e-12)
     assert found[-1] == [None] * len(PROBABILITIES)
 
 
-@pytest.mark.parametrize("one_task_values", [10, 1_000_000])
-def test_describe_equals_pandas(spark, one_task_values):
+@pytest.mark.parametrize("band_values", [10, 1_000_000])
+def test_describe_equals_pandas(spark, band_values):
     frame = pd.DataFrame({"a": numbers("spread"), "b": numbers("whole")})
     df = spark.createDataFrame(frame).unionByName(spark.createDataFrame([(float("nan"), None)], "a double, b double"))
-    found = {row["column"]: row.asDict() for row in profiling.describe(df, ["a", "b"], one_task_values).collect()}
+    found = {row["column"]: row.asDict() for row in profiling.describe(df, ["a", "b"], band_values).collect()}
     for column, expected in frame.describe().round(2).items():
         ours = [found[column][k] for k in ("count", "mean", "std", "min", "q25", "q50", "q75", "max")]
         assert ours == pytest.approx(list(expected), abs=0.0101)
 
 
+def test_describe_infinite_values_and_ties(spark):
+    rows = [(1.0,), (2.0,), (math.inf,), (math.inf,), (math.inf,)]
+    for band_values in (1, 1_000_000):
+        (row,) = profiling.describe(spark.createDataFrame(rows, "v double"), ["v"], band_values).collect()
+        assert (row["q25"], row["q50"], row["q75"], row["max"]) == (2.0, math.inf, math.inf, math.inf)
+
+
+def test_describe_mean_is_exact(spark):
+    df = spark.range(30_000).select((F.col("id") * 0.01 + 0.1).alias("v"))
+    means = {profiling.describe(df.repartition(n), ["v"]).first()["mean"] for n in (1, 3, 7)}
+    assert means == {150.1}
+
+
 def test_describe_without_rows(spark):
     df = spark.createDataFrame([], "a double")
     (row,) = profiling.describe(df, ["a"]).collect()

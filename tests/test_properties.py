@@ -65,7 +65,7 @@ def test_key_checks_equal_counting(spark, children, parents):
 @given(st.lists(st.floats(-1e9, 1e9), min_size=2, max_size=200))
 def test_quartiles_and_deviation(spark, values):
     df = spark.createDataFrame([(v,) for v in values], "v double")
-    (found,) = exact_quantiles(df, ["v"], (0.25, 0.5, 0.75), one_task_values=5)
+    (found,) = exact_quantiles(df, ["v"], (0.25, 0.5, 0.75), band_values=5)
     assert found == pytest.approx(list(np.quantile(values, (0.25, 0.5, 0.75))), rel=1e-9, abs=1e-9)
-    row = describe(df, ["v"], one_task_values=5).first()
+    row = describe(df, ["v"], band_values=5).first()
     assert row["std"] == pytest.approx(statistics.stdev(values), rel=1e-6, abs=0.01)

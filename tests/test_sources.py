@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from sedimenta.functions import NULL_TOKENS
 from sedimenta.operators.drift import header_drift, missing_sources, schema_drift, source_status
 from sedimenta.sources import Warehouse, csv_columns, read_csv, source_files, staged
+from sedimenta.sources.staging import clear_staged, staging_folder
 
 
 def write(folder, text, name="data.csv"):
@@ -68,6 +69,13 @@ def test_extra_fields(spark, tmp_path, multi_line):
         read_csv(spark, path, multi_line=multi_line).count()
 
 
+def test_a_break_inside_quotes_needs_multi_line(spark, tmp_path):
+    path = write(tmp_path, 'a,b\n1,"one\ntwo"\n2,x\n')
+    assert read_csv(spark, path).count() == 2
+    with pytest.raises(PySparkException, match="line break inside quotes"):
+        read_csv(spark, path, multi_line=False).collect()
+
+
 def test_bad_value_fails(spark, tmp_path):
     with pytest.raises(PySparkException):
         read_csv(spark, write(tmp_path, "n\nten\n"), {"n": "int"}).collect()
@@ -99,7 +107,7 @@ def test_drift(spark):
     drift = schema_drift({"t": ["a", "b"], "gone": ["z"]}, {"t": df})
     assert rows_of(drift) == [
         ("gone", "z", "missing", None),
-        ("t", "a", "ok", 2),
+        ("t", "a", "ok", None),
         ("t", "b", "missing", None),
         ("t", "c", "unexpected", 0),
     ]
@@ -139,6 +147,32 @@ def test_warehouse_replaces_layers_as_a_whole(spark, tmp_path):
     assert rows_of(warehouse.row_counts()) == [("bronze", "a", 4), ("bronze", "b", 4)]
 
 
+def test_clearing_what_was_staged(spark, tmp_path):
+    folder = str(tmp_path / "staged")
+    df = staged(spark.range(4), folder)
+    assert df.count() == 4 and (tmp_path / "staged").exists()
+    clear_staged(spark, folder)
+    assert not (tmp_path / "staged").exists()
+
+
+def test_staging_needs_a_folder():
+    class Conf:
+        def get(self, name, default):
+            return default
+
+    class Context:
+        applicationId = "app"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        staging_folder(Session())
+
+
 def test_staged_uses_the_checkpoint_folder(spark):
     df = staged(spark.range(4))
     assert df.count() == 4

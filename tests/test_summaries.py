@@ -28,7 +28,7 @@ def test_measures(spark):
     found = [tuple(row) for row in summarise(frame(spark), spec).collect()]
     assert found == [
         (None, 2, 5.5, 2.75, 8.0, 5.5, 2, 100.0),
-        ("a", 2, 3.01, 1.51, 7.5, 2.0, 1, 50.0),
+        ("a", 2, 3.005, 1.5, 7.5, 2.0, 1, 50.0),
         ("b", 2, 0.1, 0.1, -3.0, 0.1, 0, 0.0),
     ]
 
@@ -75,11 +75,24 @@ def test_result_does_not_depend_on_partitions(spark):
     assert all(a == b for a, b in itertools.pairwise(results))
 
 
+def test_small_amounts_are_not_rounded_away(spark):
+    spec = Summary({"k": F.col("k")}, {"amount": total("x"), "mean": mean_money("x")})
+    df = spark.range(1000).select(F.lit("a").alias("k"), F.lit(0.004).alias("x"))
+    assert [tuple(r) for r in summarise(df, spec).collect()] == [("a", 4.0, 0.0)]
+
+
+@pytest.mark.parametrize("amount", [1e25, 1e-20, float("nan"), float("inf")])
+def test_amounts_that_cannot_be_held_fail(spark, amount):
+    df = spark.createDataFrame([("a", amount)], "k string, x double")
+    with pytest.raises(Exception, match="holds the amount"):
+        summarise(df, Summary({"k": F.col("k")}, {"amount": total("x")})).collect()
+
+
 def test_totals_add_up(spark):
     df = frame(spark)
     spec = Summary({"k": F.col("k")}, {"n": rows(), "amount": total("x")})
     summary = summarise(df, spec).agg(F.sum("n"), F.sum("amount")).first()
-    assert summary[0] == df.count() and summary[1] == pytest.approx(8.61)
+    assert summary[0] == df.count() and summary[1] == pytest.approx(8.605, abs=1e-12)
 
 
 RAW = [("c1", 10, "2020-01-01"), ("c1", 10, "2020-01-01"), (None, 10, "2020-01-01"), ("c2", 0, "x"), ("c3", -1, "x"),
