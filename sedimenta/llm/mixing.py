@@ -45,9 +45,9 @@ def mixed(
     """
     rows = staged(sizes.withColumn("shard", _shard(sizes, seed, shard_rows)))
     shards = staged(
-        rows.groupBy("source", "shard").agg(
-            F.sum("size").alias("shard_size"), F.sum("size").alias("words")
-        ).drop("words").withColumn("blocks", F.ceil(F.col("shard_size") / block_words).cast("long"))
+        rows.groupBy("source", "shard")
+        .agg(F.sum("size").alias("shard_size"))
+        .withColumn("blocks", F.ceil(F.col("shard_size") / block_words).cast("long"))
     )
     sources = shards.groupBy("source").agg(
         F.sum("shard_size").alias("source_size"), F.sum("blocks").alias("source_blocks")
@@ -120,7 +120,8 @@ def _apportioned(df: DataFrame, within: list[str], limit: Column, order: list[Co
 
     Sainte-Laguë: with any divisor, rounding gives the seats of all quotients above some height. A divisor that is
     too large for sure gives the seats that everyone has in any case, one that is too small bounds what can come, and
-    the seats in between, at most two per row, are ranked. ``limit`` caps the seats of a row; ties go by ``order``.
+    the seats in between, at most two per row, are ranked; ties go by ``order``. ``limit`` is never passed. A row's
+    part of the seats by votes must be within it, so it binds by rounding alone.
     """
     group = Window.partitionBy(*within) if within else Window.partitionBy(F.lit(0))
     votes, n = F.sum("votes").over(group), F.count(F.lit(1)).over(group)

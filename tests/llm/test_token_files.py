@@ -1,0 +1,86 @@
+import json
+import os
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+from tokenizers import Tokenizer
+
+from sedimenta.llm import token_files
+
+PATH = public_tokenizers.path("word_bpe_49k.json")
+TEXTS = [
+    (9, "Hello world, it's 2024!"), (3, None), (4, ""), (7, "ΣΑΣ ΟΔΟΣ İstanbul J̌ é é"), (1, " \n\t x\x0by\x85z "),
+    (8, "日本語 テキスト"), (2, "same"), (5, "same"), (6, "a" * 5000), (10, "<|endoftext|> don't"), (-1, "minus"),
+]
+
+
+@pytest.fixture(scope="module")
+def content():
+    with open(PATH) as file:
+        return file.read()
+
+
+def plain(texts, end):
+    library, start, found = Tokenizer.from_file(PATH), 0, []
+    for key, text in sorted(texts, key=lambda x: x[0]):
+        ids = library.encode(text or "", add_special_tokens=False).ids + end
+        found.append((key, start, len(ids), ids))
+        start += len(ids)
+    return found
+
+
+@pytest.mark.parametrize("parts,end", [(1, [1]), (4, [1]), (50, [])])
+def test_written_and_mapped(spark, content, tmp_path, parts, end):
+    df = spark.createDataFrame(TEXTS, "doc_id long, text string").repartition(3)
+    ids = token_files.encoded(df, content, end[0] if end else None)
+    manifest = token_files.write(ids, df, str(tmp_path), 2, parts)
+    rows = token_files.read(spark, f"file://{tmp_path}").collect()
+    found = [(r.doc_id, r.start, r.n_tokens, np.frombuffer(r.ids, "<u2").tolist()) for r in rows]
+    assert sorted(found) == plain(TEXTS, end)
+    assert manifest == json.loads((tmp_path / "manifest.json").read_text())
+    assert not [x for x in os.listdir(tmp_path) if x.startswith(".part")]
+    # the files alone, in the order of the parts, are the ids in the order of the documents
+    flat = b"".join((tmp_path / f"part-{p['part']:05d}.bin").read_bytes() for p in manifest["parts"])
+    assert np.frombuffer(flat, "<u2").tolist() == [i for x in plain(TEXTS, end) for i in x[3]]
+
+
+def test_writing_again_replaces(spark, content, tmp_path):
+    df = spark.createDataFrame(TEXTS, "doc_id long, text string")
+    for _ in range(2):
+        token_files.write(token_files.encoded(df, content, 1), df, str(tmp_path), 2, 3)
+    assert token_files.read(spark, str(tmp_path)).count() == len(TEXTS)
+
+
+def test_empty_table_and_null_ids(spark, content, tmp_path):
+    empty = spark.createDataFrame([], "doc_id long, text string")
+    token_files.write(token_files.encoded(empty, content, 1), empty, str(tmp_path / "none"), 2)
+    assert token_files.read(spark, str(tmp_path / "none")).collect() == []
+    unnamed = spark.createDataFrame([(None, "x")], "doc_id long, text string")
+    with pytest.raises(Exception, match="without id"):
+        token_files.write(token_files.encoded(unnamed, content, 1), unnamed, str(tmp_path / "null"), 2)
+
+
+def test_repeated_ids_stay(spark, content, tmp_path):
+    df = spark.createDataFrame([(1, "b"), (1, "a"), (1, "a"), (0, "c")], "doc_id long, text string")
+    token_files.write(token_files.encoded(df, content, 1), df, str(tmp_path), 2)
+    rows = sorted(token_files.read(spark, str(tmp_path)).collect())
+    assert [r.doc_id for r in rows] == [0, 1, 1, 1] and [r.start for r in rows] == [0, 2, 4, 6]
+
+
+def test_only_shared_file_systems():
+    assert token_files.shared_path("file:///a%20b/c") == "/a b/c" and token_files.shared_path("/a/b") == "/a/b"
+    with pytest.raises(ValueError):
+        token_files.shared_path("hdfs://host/a")
+
+
+def test_query(spark):
+    from sedimenta.llm.queries import QUERIES
+
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()
+    rows = sorted(QUERIES["op6_token_files"](spark, "/root/testdata/sf0.001").collect())
+    expected = plain([(d.doc_id, d.text) for d in docs], [1])
+    assert [tuple(r) for r in rows] == [
+        (k, s, n, zlib.crc32(np.array(ids, "<u4").tobytes())) for k, s, n, ids in expected
+    ]
