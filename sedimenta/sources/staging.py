@@ -12,8 +12,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 SETTING = "spark.checkpoint.dir"
 
-# More tasks than this per core would only write more and smaller files.
+# More tasks than this per core would only write more and smaller files. On large data a
+# task still takes few shuffle partitions.
 FILES_PER_CORE = 4
+PARTITIONS_PER_FILE = 8
 
 _cleared_at_exit: set[str] = set()
 
@@ -31,8 +33,11 @@ def staging_folder(spark: SparkSession) -> str:
 
 
 def compact(df: DataFrame) -> DataFrame:
-    """``df`` in at most a few partitions per core, without a shuffle; a task then takes several in turn."""
-    return df.coalesce(FILES_PER_CORE * df.sparkSession.sparkContext.defaultParallelism)
+    """``df`` in fewer partitions, without a shuffle; a task then takes several in turn."""
+    spark = df.sparkSession
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    least = FILES_PER_CORE * spark.sparkContext.defaultParallelism
+    return df.coalesce(max(least, partitions // PARTITIONS_PER_FILE))
 
 
 def staged(df: DataFrame, folder: str | None = None) -> DataFrame:
