@@ -25,7 +25,9 @@ from pyspark.sql import functions as F
 
 from sedimenta.llm.common import bounded_batches, col
 
-WORDS_KEPT = 300_000
+WORDS_KEPT = 1_000_000
+CHUNKS_KEPT = 200_000
+MARKS = ".,;:!?"
 MANIFEST = "manifest.json"
 
 
@@ -40,9 +42,9 @@ def shared_path(uri: str) -> str:
 def encoded(df: DataFrame, tokenizer: str, end_id: int | None, text: str = "text", key: str = "doc_id") -> DataFrame:
     """``key`` and ``ids`` (binary, unsigned little-endian) of each row, with ``end_id`` after the last id.
 
-    ``tokenizer`` is the content of a file of the tokenizers library whose tokens never reach over a space, line feed
-    or tab (any that drops white space before its merges). A text is then the sequence of its chunks between those,
-    and each chunk is encoded once per task. A null text is empty. Special tokens in a text are read as the library
+    ``tokenizer`` is the content of a file of the tokenizers library that puts texts in lower case, drops white space
+    and keeps letters apart from other signs, so that no token reaches over either. A text is then the sequence of its chunks between those,
+    and each word of letters is encoded once per task, or again after ``WORDS_KEPT`` others. A null text is empty. Special tokens in a text are read as the library
     does by default, and none are added.
     """
     bounded_batches(df)
@@ -130,23 +132,48 @@ def _encoding(tokenizer: str, end_id: int | None):
         library = Tokenizer.from_str(tokenizer)
         kind = "<u2" if library.get_vocab_size() <= 1 << 16 else "<u4"
         end = b"" if end_id is None else np.array([end_id], kind).tobytes()
-        known: dict[str, bytes] = {"": b""}
+        marks = {x: np.array(library.encode(x, add_special_tokens=False).ids, kind).tobytes() for x in MARKS}
+        marks[""] = b""
+        chunks: dict[str, bytes] = {"": b""}
+        words: dict[str, bytes] = {}
+
+        def learn(new: set[str]) -> None:
+            parts = {chunk: _parts(chunk) for chunk in new}
+            unknown = [x for x in {word for word, _ in parts.values()} if x not in words]
+            for word, code in zip(unknown, library.encode_batch_fast(unknown, add_special_tokens=False)):
+                words[word] = np.array(code.ids, kind).tobytes()
+            chunks.update((chunk, words[word] + marks[mark]) for chunk, (word, mark) in parts.items())
+
         for texts in batches:
-            if len(known) > WORDS_KEPT:
-                known = {"": b""}
-            found = []
+            if len(chunks) > CHUNKS_KEPT:
+                chunks = {"": b""}
+            if len(words) > WORDS_KEPT:
+                words = {}
+            done = []
             for at in range(0, len(texts), 64):  # the chunks of few texts at a time are held as objects
                 some = texts.slice(at, 64).to_pylist()
                 rows = [x.replace("\n", " ").replace("\t", " ").split(" ") if x else [] for x in some]
-                new = list({chunk for row in rows for chunk in row if chunk not in known})
-                for chunk, code in zip(new, library.encode_batch_fast(new, add_special_tokens=False)):
-                    known[chunk] = np.array(code.ids, kind).tobytes()
-                found += [b"".join([known[chunk] for chunk in row]) + end for row in rows]
-            yield pa.array(found, pa.binary())
+                found = [list(map(chunks.get, row)) for row in rows]
+                new = {x for row, got in zip(rows, found) if None in got for x, code in zip(row, got) if code is None}
+                if new:
+                    learn(new)
+                    found = [map(chunks.__getitem__, row) if None in got else got for row, got in zip(rows, found)]
+                done += [b"".join(got) + end for got in found]
+            yield pa.array(done, pa.binary())
 
     return encode
 
 
+def _parts(chunk: str) -> tuple[str, str]:
+    """What has the same ids as the chunk: a word, and a mark after it.
+
+    Letters and a mark after them are always apart, and letters are put in lower case; outside ASCII that can depend on
+    neighbours, and what is not only letters can be a special token, so those chunks stay as they are.
+    """
+    word, mark = (chunk[:-1], chunk[-1]) if chunk[-1] in MARKS and chunk[:-1].isalpha() else (chunk, "")
+    return (word.lower() if word.isascii() and word.isalpha() else word), mark
+
+
 def _writing(path: str, width: int):
     def write_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds, part, files, offsets, keys, done = ("bin", "idx", "ids"), None, {}, [0], [], []

@@ -12,7 +12,7 @@ from sedimenta.llm import token_files
 PATH = public_tokenizers.path("word_bpe_49k.json")
 TEXTS = [
     (9, "Hello world, it's 2024!"), (3, None), (4, ""), (7, "ΣΑΣ ΟΔΟΣ İstanbul J̌ é é"), (1, " \n\t x\x0by\x85z "),
-    (8, "日本語 テキスト"), (2, "same"), (5, "same"), (6, "a" * 5000), (10, "<|endoftext|> don't"), (-1, "minus"),
+    (8, "日本語 テキスト"), (2, "same"), (5, "same"), (6, "a" * 5000), (12, "Don.t End, END! <|ENDOFTEXT|> A.B. J̌, É. x<|endoftext|>y ÄÖ, Σ. ΑΣ."), (10, "<|endoftext|> don't"), (-1, "minus"),
 ]
 
 
