@@ -76,7 +76,8 @@ def op6_token_files(spark: SparkSession, folder: str) -> DataFrame:
         tokenizer = file.read()
     out = f"{staging_folder(spark)}/tokens-{uuid.uuid4().hex}"
     width = token_files.id_width(tokenizer)
-    ids = token_files.encoded(documents, tokenizer, end_id=1)
+    # in larger partitions a word is encoded fewer times
+    ids = token_files.encoded(bpe.fewer_partitions(documents), tokenizer, end_id=1)
     token_files.write(ids, documents.select("doc_id"), out, width)
     found = token_files.read(spark, out)
     return found.select("doc_id", "start", "n_tokens", token_files.crc32("ids", width).alias("ids_crc32"))
