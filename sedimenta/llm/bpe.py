@@ -33,7 +33,8 @@ from sedimenta.llm.common import bounded_batches, quoted, require_free, unused
 # The fold takes steps in proportion to a word's length, and each copies the word's pieces. Longer words (runs of
 # letters or signs without a break) are merged with a heap instead, in the second function.
 FOLD_BYTES = 64
-WORDS_KEPT = 500_000
+WORDS_KEPT = 1_200_000
+CHUNKS_KEPT = 200_000
 
 # Primes; the table below holds half as many merges as it has slots.
 _SHIFTS = 65_537
@@ -77,12 +78,14 @@ class ByteBPE:
         require_free(df, ids)
         bounded_batches(df)
         words = F.arrow_udf(_numbering(self.pattern), "struct<codes:binary,fresh:array<string>>").asNondeterministic()
-        numbered, merged = unused(df, "_words", "_fresh_ids")
+        numbered, merged, carried = unused(df, "_words", "_fresh_ids", "_carried")
         kept = [x for x in df.columns if keep_text or x != text]
-        table = df.withColumn(numbered, words(F.col(quoted(text)))).select(*map(quoted, kept), numbered)
+        others = F.struct(*(F.col(quoted(x)) for x in kept)) if kept else F.struct(F.lit(0).alias("none"))
+        table = df.select(others.alias(carried), words(F.col(quoted(text))).alias(numbered))
         table = table.withColumn(merged, F.transform(F.col(numbered)["fresh"], self.merged))
-        schema = T.StructType([*table.select(*map(quoted, kept)).schema.fields, T.StructField(ids, T.BinaryType())])
-        return table.mapInArrow(_joining(self.ranks, numbered, merged, ids), schema)
+        schema = T.StructType([table.schema[carried], T.StructField(ids, T.BinaryType())])
+        joined = table.mapInArrow(_joining(self.ranks, numbered, merged, ids), schema)
+        return joined.select(*(F.col(carried).getField(x).alias(x) for x in kept), quoted(ids))
 
     def decode(self, df: DataFrame, ids: str = "ids", decoded: str = "decoded") -> DataFrame:
         """``df`` with the bytes of the tokens of ``ids`` put together (``decoded``, binary); null gives null."""
@@ -251,20 +254,26 @@ def _numbering(pattern: str):
             """Words never reach over a single space between other characters, which begins a word: the text is then
             the sequence of its chunks between spaces, and most chunks have been cut before."""
             first, *others = text.split(" ")
-            for chunk in others:
-                if chunk not in chunks:
-                    if blank(chunk):
-                        return coded(cut(text))
-                    chunks[chunk] = coded(cut(" " + chunk))
             if blank(first):
                 return coded(cut(text))
-            return coded(cut(first)) + b"".join([chunks[chunk] for chunk in others])
+            found = list(map(chunks.get, others))
+            if None in found:
+                for at, chunk in enumerate(others):
+                    if found[at] is None and (code := chunks.get(chunk)) is not None:
+                        found[at] = code
+                    elif found[at] is None:
+                        if blank(chunk):
+                            return coded(cut(text))
+                        chunks[chunk] = found[at] = coded(cut(" " + chunk))
+            return coded(cut(first)) + b"".join(found)
 
         for texts in batches:
             codes, fresh = [], []
-            for text in texts:
-                text, new = text.as_py(), []
-                if used > WORDS_KEPT or len(chunks) > WORDS_KEPT:
+            for text in texts.to_pylist():
+                new = []
+                if len(chunks) > CHUNKS_KEPT:
+                    chunks = {}
+                if used > WORDS_KEPT:
                     numbers, chunks, used = {}, {}, 0
                     new.append(_RESTART)
                 codes.append(row(text) if text else b"")
@@ -300,14 +309,21 @@ def _joining(ranks: dict[bytes, int], numbered: str, merged: str, ids: str):
 
 def _decoding(ranks: dict[bytes, int]):
     def decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        pieces = [b""] * (max(ranks.values()) + 1)
+        tokens = [b""] * (max(ranks.values()) + 1)
         for token, rank in ranks.items():
-            pieces[rank] = token
+            tokens[rank] = token
+        pieces = pa.array(tokens, pa.large_binary())
         for ids in batches:
+            rows = ids.to_pylist()
+            # one piece after the other in memory: a row is what lies between its first and its last
+            flat = pieces.take(pa.array(np.frombuffer(b"".join(row or b"" for row in rows), "<u4")))
+            begin = np.frombuffer(flat.buffers()[1], np.int64)[flat.offset : flat.offset + len(flat) + 1]
+            whole = flat.buffers()[2].to_pybytes() if len(flat) else b""
+            stops = begin[np.cumsum([0, *(len(row or b"") // 4 for row in rows)])].tolist() if len(flat) else None
             yield pa.array(
                 [
-                    None if row is None else b"".join([pieces[i] for i in np.frombuffer(row, "<u4").tolist()])
-                    for row in ids.to_pylist()
+                    None if row is None else whole[stops[at] : stops[at + 1]] if row else b""
+                    for at, row in enumerate(rows)
                 ],
                 pa.binary(),
             )
