@@ -113,16 +113,16 @@ def plan(nodes: DataFrame, distance: int, most: int = 3) -> tuple[list[int], lis
     differ = 2 * share * (1 - share)
     spread = np.sqrt(np.maximum(np.outer(share * (1 - share), share * (1 - share)), 1e-12))
     correlation = np.abs(both / n - np.outer(share, share)) / spread
+    dealt = [_grouped(correlation, m) for m in range(1, most + 1)]
+    agree = iter(_agreeing(nodes, [sum(1 << b for b in g) for groups in dealt for g in groups]))
     options = []
-    for m in range(1, most + 1):
-        groups = _grouped(correlation, m)
-        masks = [sum(1 << b for b in g) for g in groups]
-        agree = _agreeing(nodes, masks)
-        costs = [
-            [_cost(n, pairs, [differ[b] for b in g], t) for t in range(distance + 1)] for g, pairs in zip(groups, agree)
-        ]
+    for m, groups in enumerate(dealt, 1):
+        costs = []
+        for g in groups:
+            pairs, odds = next(agree), [differ[b] for b in g]
+            costs.append([_cost(n, pairs, odds, t) for t in range(distance + 1)])
         total, thresholds = _cheapest(costs, distance - m + 1)
-        options.append((total, m, masks, thresholds))
+        options.append((total, m, [sum(1 << b for b in g) for g in groups], thresholds))
     _, _, masks, thresholds = min(options)
     return masks, thresholds
 
@@ -180,12 +180,13 @@ def _masked(fp: Column, mask: int) -> Column:
 
 
 def _agreeing(nodes: DataFrame, masks: list[int]) -> list[int]:
-    """For each mask the pairs of fingerprints that agree in all its bits."""
-    found = []
-    for mask in masks:
-        counts = nodes.groupBy(_masked(F.col("fp"), mask).alias("v")).agg(F.count(F.lit(1)).cast("double").alias("c"))
-        found.append(int(counts.agg(F.coalesce(F.sum(F.col("c") * (F.col("c") - 1) / 2), F.lit(0.0))).first()[0]))
-    return found
+    """For each mask the pairs of fingerprints that agree in all its bits, counted in one pass."""
+    values = [F.struct(F.lit(k).alias("k"), _masked(F.col("fp"), mask).alias("v")) for k, mask in enumerate(masks)]
+    each = nodes.select(F.explode(F.array(*values)).alias("x")).select("x.k", "x.v")
+    counts = each.groupBy("k", "v").agg(F.count(F.lit(1)).cast("double").alias("c"))
+    pairs = counts.groupBy("k").agg(F.sum(F.col("c") * (F.col("c") - 1) / 2).alias("pairs"))
+    found = {row.k: int(row.pairs) for row in pairs.collect()}
+    return [found[k] for k in range(len(masks))]
 
 
 def _probed(rows: DataFrame, partitions: list[tuple[int, int]]) -> DataFrame:
@@ -251,33 +252,34 @@ def _verified(rows: DataFrame, distance: int) -> DataFrame:
 def _connected(nodes: DataFrame, pairs: DataFrame) -> DataFrame:
     """``fp``, ``root`` for every node: the smallest fingerprint of its component.
 
-    Each round hangs every root below the smallest root next to it and then lets every node look past its root, so
-    trees get shorter by half; it ends when no link joins two roots. Each round is staged, so no plan grows and a
-    lost executor costs one round.
+    Only linked nodes take part. Each round hangs every root below the smallest root next to it and then lets every
+    node look past its root; it ends when no link joins two roots. Each round is staged, so no plan grows and a lost
+    executor costs one round.
     """
     pairs = staged(pairs.distinct())
-    label = staged(nodes.select("fp", F.col("fp").alias("root")))
-    while True:
-        ends = pairs.join(label.select(F.col("fp").alias("a"), F.col("root").alias("ra")), "a").join(
-            label.select(F.col("fp").alias("b"), F.col("root").alias("rb")), "b"
-        )
-        between = staged(ends.filter("ra <> rb").select(F.greatest("ra", "rb").alias("high"), F.least("ra", "rb").alias("low")).distinct())
-        if between.isEmpty():
-            return label
-        pairs = between.select(F.col("high").alias("a"), F.col("low").alias("b"))
+    label = staged(
+        pairs.select(F.explode(F.array("a", "b")).alias("fp")).distinct().select("fp", F.col("fp").alias("root"))
+    )
+    between = pairs.select(F.greatest("a", "b").alias("high"), F.least("a", "b").alias("low"))
+    while not between.isEmpty():
         step = staged(between.groupBy("high").agg(F.min("low").alias("low")))
         while True:  # roots above roots, until each points at one that stays
             up = step.select(F.col("high").alias("low"), F.col("low").alias("lower"))
-            further = staged(step.join(up, "low", "left").select("high", F.coalesce("lower", "low").alias("low")))
-            moved = further.join(step, ["high", "low"], "left_anti").isEmpty()
-            step = further
-            if moved:
+            look = step.join(up, "low", "left")
+            further = staged(look.select("high", F.coalesce("lower", "low").alias("low"), F.col("lower").alias("moved")))
+            step = further.select("high", "low")
+            if further.filter(F.col("moved").isNotNull()).isEmpty():
                 break
-        label = staged(
-            label.join(step.withColumnRenamed("high", "root"), "root", "left").select(
-                "fp", F.coalesce("low", "root").alias("root")
-            )
+        after = label.join(step.withColumnRenamed("high", "root"), "root", "left")
+        label = staged(after.select("fp", F.coalesce("low", "root").alias("root")))
+        ends = between.select("high", "low")
+        tops = step.select(F.col("high").alias("r"), F.col("low").alias("top"))
+        ends = ends.join(tops, ends["high"] == tops["r"]).select("low", F.col("top").alias("x"))
+        ends = ends.join(tops, ends["low"] == tops["r"], "left").select("x", F.coalesce("top", "low").alias("y"))
+        between = staged(
+            ends.filter("x <> y").select(F.greatest("x", "y").alias("high"), F.least("x", "y").alias("low")).distinct()
         )
+    return nodes.join(label, "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"))
 
 
 def _bit_statistics(nodes: DataFrame) -> tuple[int, np.ndarray, np.ndarray]:
