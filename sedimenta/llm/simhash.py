@@ -48,10 +48,7 @@ def components(df: DataFrame, fingerprint: str, key: str = "doc_id", distance: i
     no other. Repeated rows get the same answer each.
     """
     require_free(df, "component_id")
-    own = df.select(col(fingerprint).alias("fp"), col(key).alias("id"))
-    nodes = staged(own.groupBy("fp").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("rows")))
-    label = _connected(nodes.select("fp"), links(nodes.select("fp"), distance))
-    found = nodes.join(label, "fp")
+    found = _rooted(df, fingerprint, key, distance)
     least = found.groupBy("root").agg(F.min("least").alias("component_id"))
     keyed = staged(found.join(least, "root").select("fp", "rows", "component_id"))
     (hidden,) = unused(df, "_rows")
@@ -62,22 +59,35 @@ def components(df: DataFrame, fingerprint: str, key: str = "doc_id", distance: i
 def near_deduplicated(
     df: DataFrame, text: str = "text", key: str = "doc_id", shingle: int = 3, distance: int = 2
 ) -> DataFrame:
-    """The rows of ``df`` that stay: of each component the one with the smallest key.
+    """The rows of ``df`` that stay: one of each component, that with the smallest key, null last.
 
-    Where rows repeat that key, the first of them by a hash of all columns stays.
+    Where rows of a component repeat that key, the smallest fingerprint and then the first by a hash of all columns
+    stays. Keys need not be unique: rows of other components are never touched, whatever their key.
     """
     columns = df.columns
-    fingerprint, root = unused(df, "fingerprint", "component_id")
-    if root != "component_id":
-        raise ValueError("there is a column component_id already")
+    fingerprint, stays, place, kept = unused(df, "fingerprint", "_stays", "_place", "_row")
     marked = staged(fingerprints(df.select(col(key), col(text)), text, shingle, fingerprint).drop(text))
-    chosen = components(marked, fingerprint, key, distance).filter(F.col(root).eqNullSafe(col(key)))
-    ids = staged(chosen.select(col(key).alias("_stays")).distinct())
-    stay = df.join(ids, col(key).eqNullSafe(F.col("_stays")), "left_semi")
-    if df.groupBy(col(key)).count().filter("count > 1").limit(1).count() == 0:
-        return stay.select(*map(col, columns))
+    found = _rooted(marked, fingerprint, key, distance)
+    first = F.min(F.struct(F.col("least").isNull().alias("none"), "least", "fp")).alias("first")
+    chosen = found.groupBy("root").agg(first).select(F.col("first.least").alias(stays), F.col("first.fp").alias(place))
+    chosen = staged(chosen)
+    repeated = marked.groupBy(col(key).alias("id")).agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1")
+    if repeated.isEmpty():
+        return df.join(chosen, col(key).eqNullSafe(F.col(stays)), "left_semi").select(*map(col, columns))
+    # a key alone does not tell rows apart; copies merge in each task, and null keys are spread by the fingerprint
     row = F.struct(*map(col, columns))
-    return stay.groupBy(col(key)).agg(F.min_by(row, F.xxhash64(row)).alias("row")).select("row.*")
+    rows = fingerprints(df, text, shingle, fingerprint)
+    one = rows.groupBy(col(key), col(fingerprint)).agg(F.min_by(row, F.xxhash64(row)).alias(kept))
+    same = col(key).eqNullSafe(F.col(stays)) & (F.col(fingerprint) == F.col(place))
+    return one.join(chosen, same, "left_semi").select(f"{kept}.*")
+
+
+def _rooted(df: DataFrame, fingerprint: str, key: str, distance: int) -> DataFrame:
+    """For each fingerprint ``fp`` its smallest key ``least``, its ``rows`` and the ``root`` of its component."""
+    own = df.select(col(fingerprint).alias("fp"), col(key).alias("id"))
+    nodes = staged(own.groupBy("fp").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("rows")))
+    label = _connected(nodes.select("fp"), links(nodes.select("fp"), distance))
+    return nodes.join(label, "fp")
 
 
 def links(nodes: DataFrame, distance: int = 2, bucket: int = BUCKET) -> DataFrame:

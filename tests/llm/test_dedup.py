@@ -141,6 +141,25 @@ def test_near_deduplicated(spark):
     assert simhash.near_deduplicated(df.limit(0)).collect() == []
 
 
+def test_near_deduplicated_with_repeated_and_null_keys(spark):
+    def text(n):
+        return " ".join(f"t{n}w{k}" for k in range(40))
+
+    stay = [(1, text(1), "a"), (1, text(2), "b"), (None, text(3), "a"), (None, text(4), "b"), (3, text(5), "a"), (5, text(6), "b")]
+    go = [(5, text(5), "b"), (None, text(5), "c"), (None, text(6), "c")]
+    prints = [plain_fingerprint(r[1]) for r in stay]
+    assert all((a ^ b).bit_count() > 2 for k, a in enumerate(prints) for b in prints[:k])
+    df = spark.createDataFrame([*stay, *go, stay[0], stay[2]], "doc_id long, text string, source string").repartition(3)
+    found = simhash.near_deduplicated(df)
+    assert found.columns == df.columns
+    assert sorted(map(tuple, found.collect()), key=str) == sorted(stay, key=str)
+    # many null keys, each with a text of its own
+    many = spark.range(60).selectExpr("if(id % 3 = 0, null, id) AS doc_id", "concat_ws(' ', transform(sequence(0, 30), x -> concat('d', id, 'w', x))) AS text")
+    prints = [plain_fingerprint(r.text) for r in many.collect()]
+    assert len(set(plain_components(dict(enumerate(prints)), 2).values())) == 60
+    assert simhash.near_deduplicated(many).count() == 60
+
+
 def test_simhash_query(spark):
     from sedimenta.llm.queries import QUERIES
 
