@@ -1,7 +1,8 @@
 """Language identification of mixed texts.
 
 The model has, per language, scores of hashed character n-grams, learned from all training words, and the scripts
-that the language is written in. A word's candidates are the languages of its script, its score for each is the sum
+that the language is written in. A word is a run of letters of one script, and a longer run than ``WORD_LETTERS`` is
+several words, so that unspaced text is read whole. A word's candidates are the languages of its script, its score for each is the sum
 over its n-grams, and Viterbi with a penalty per switch labels the words of a text, so that runs of words get one
 language each. A text's language is the one with the most letters.
 
@@ -14,6 +15,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +31,7 @@ FLOOR = 30.0  # below the best language's score for a word whose script the lang
 CUT = 6.0  # a word's languages differ by at most this, so that no single word decides
 SCRIPT_SHARE = 1e-3  # part of a language's words that makes a script its own
 WORDS_KEPT = 200_000
-WORD_LETTERS = 40  # longer runs of letters are scored by as many n-grams from all over the run
+WORD_LETTERS = 40  # a longer run of letters is cut into words of so many
 UNKNOWN = "und"
 
 # First code points of script ranges; a range goes to the next entry.
@@ -105,14 +107,56 @@ def predicted(
     )
 
 
-def _pattern():
-    import re
+class _Cutter:
+    """Cuts a text into words: runs of letters, cut at each change of script and then after ``WORD_LETTERS`` letters."""
 
-    return re.compile(r"[^\W\d_]+")
+    def __init__(self):
+        import re
+
+        letter = r"[^\W\d_]"
+        stops = [start for start, _ in SCRIPTS[1:]] + [0x110000]
+        others = "".join(f"{chr(a)}-{chr(b - 1)}" for (a, name), b in zip(SCRIPTS, stops) if name != "latin")
+        self.runs = re.compile(f"{letter}+")
+        self.short = re.compile(f"{letter}{{1,{WORD_LETTERS}}}")
+        self.other = re.compile(rf"[{others}](?<![\W\d_])")  # a letter of another script than Latin
+        self.known = lru_cache(WORDS_KEPT)(_pieces)
+
+    def words(self, text: str) -> list[str]:
+        if self._latin(text):
+            return self.short.findall(text)
+        return [piece for run in self.runs.findall(text) for piece in self._cut(run)]
+
+    def places(self, text: str) -> list[tuple[int, int]]:
+        if self._latin(text):
+            return [m.span() for m in self.short.finditer(text)]
+        found = []
+        for m in self.runs.finditer(text):
+            at = m.start()
+            for piece in self._cut(m.group()):
+                found.append((at, at + len(piece)))
+                at += len(piece)
+        return found
+
+    def _latin(self, text: str) -> bool:
+        return text.isascii() or not self.other.search(text)
+
+    def _cut(self, run: str) -> list[str]:
+        return self.known(run) if len(run) <= WORD_LETTERS else _pieces(run)
+
+
+def _pieces(run: str) -> list[str]:
+    scripts = _script_of(np.frombuffer(run.encode("utf-32-le"), "<u4"))
+    starts = [0, *(np.flatnonzero(np.diff(scripts)) + 1).tolist()]
+    ends = zip(starts, [*starts[1:], len(run)])
+    return [run[at : min(at + WORD_LETTERS, stop)] for start, stop in ends for at in range(start, stop, WORD_LETTERS)]
+
+
+def _script_of(codes: np.ndarray) -> np.ndarray:
+    return _SCRIPT_AT[np.searchsorted(_STARTS, codes, "right") - 1]
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    letters = _pattern()
+    cutter = _Cutter()
     counts: dict[str, Counter] = {}
 
     def rows() -> pa.RecordBatch:
@@ -125,9 +169,7 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for lang, text in zip(batch.column(0), batch.column(1)):
             if text.is_valid:
-                # a word longer than that adds n-grams of its first letters
-                words = [w[:WORD_LETTERS] for w in letters.findall(text.as_py().lower())]
-                counts.setdefault(lang.as_py(), Counter()).update(words)
+                counts.setdefault(lang.as_py(), Counter()).update(cutter.words(text.as_py().lower()))
         if sum(map(len, counts.values())) > WORDS_KEPT:
             yield rows()
             counts = {}
@@ -160,9 +202,9 @@ def _weighed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _grams(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Buckets of all n-grams of all words, and the word that each belongs to."""
-    text = "".join(f"\x01{w[:WORD_LETTERS]}\x02" for w in words)
+    text = "".join(f"\x01{w}\x02" for w in words)
     codes = np.frombuffer(text.encode("utf-32-le"), "<u4").astype(np.uint64)
-    lengths = np.array([min(len(w), WORD_LETTERS) + 2 for w in words])
+    lengths = np.array([len(w) + 2 for w in words])
     owner = np.repeat(np.arange(len(words)), lengths)
     stop = np.repeat(np.cumsum(lengths), lengths)
     place = np.arange(len(codes))
@@ -181,15 +223,14 @@ def _grams(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _scripts(words: list[str]) -> np.ndarray:
-    first = np.array([ord(w[0]) for w in words])
-    return _SCRIPT_AT[np.searchsorted(_STARTS, first, "right") - 1]
+    return _script_of(np.array([ord(w[0]) for w in words]))
 
 
 class _Words:
     """Scores of words, kept between batches up to a bound."""
 
     def __init__(self, model: Model):
-        self.model, self.pattern = model, _pattern()
+        self.model, self.cutter = model, _Cutter()
         self.clear()
 
     def clear(self) -> None:
@@ -276,9 +317,8 @@ def _runs(words: _Words, texts: list[str | None]) -> Iterator[tuple[list[tuple[i
     """For each text the places of its words and their labels."""
     places, found = [], []
     for text in texts:
-        matches = list(words.pattern.finditer(text)) if text else []
-        places.append([m.span() for m in matches])
-        found += [m.group() for m in matches]
+        places.append(words.cutter.places(text) if text else [])
+        found += [text[a:b] for a, b in places[-1]]
     lengths = np.array([len(p) for p in places])
     if not found or not words.model.languages:
         yield from ((p, np.zeros(len(p), np.int64)) for p in places)
@@ -324,7 +364,7 @@ def _deciding(model: Model):
             langs, scores = [], []
             for at in range(0, len(texts), 128):
                 some = texts.slice(at, 128).to_pylist()
-                found = [words.pattern.findall(x) if x else [] for x in some]
+                found = [words.cutter.words(x) if x else [] for x in some]
                 lengths = np.array([len(x) for x in found])
                 flat = [w for x in found for w in x]
                 if not flat or not names:

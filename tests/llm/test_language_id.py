@@ -69,6 +69,44 @@ def test_candidates_follow_the_script(model):
     assert scores["dog"][at("el")] == -li.FLOOR and scores["dog"][at("ru")] == -li.FLOOR
 
 
+def test_long_runs_are_read_whole(spark):
+    english, german = (x.replace(" ", "") for x in (ENGLISH, GERMAN))
+    han, kana = "的一是不了人我在有他这中大来上国", "のにはをたがでてとしれさあるいもす"
+    random = np.random.default_rng(3)
+
+    def mixed(letters, n):
+        return "".join(random.choice(list(letters), n))
+
+    rows = [(english, "en"), (german, "de"), (mixed(han, 3000), "zh"), (mixed(kana, 3000), "ja")]
+    # letters that only stand after the first 40 of a run tell two languages of one script apart
+    rows += [(mixed("абвгд", 40) + mixed("ёжзик", 400), "ru"), (mixed("абвгд", 40) + mixed("їєґіў", 400), "uk")]
+    model = li.trained(spark.createDataFrame([(n, *r) for n, r in enumerate(rows)], SCHEMA))
+    cyrillic = mixed("ёжзик", 120) + mixed("їєґіў", 400)
+    texts = {
+        english[:40] * 3 + german[:40] * 4: [(0, 120, "en"), (120, 280, "de")],  # no single word decides
+        cyrillic: [(0, 120, "ru"), (120, 520, "uk")],
+        "A" + mixed(han, 1000): [(1, 1001, "zh")],
+        mixed(han, 100) + mixed(kana, 1000): [(0, 100, "zh"), (100, 1100, "ja")],
+        "x, " + mixed(kana, 3) + " é " + mixed(han, 50) + "é": [],
+    }
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    for row in li.predicted(li.labelled(df, model), model).collect():
+        spans = [(s.start, s.stop, s.lang) for s in row.spans]
+        if texts[row.text]:
+            assert spans[-len(texts[row.text]) :] == texts[row.text]
+            assert row.lang_pred == spans[-1][2]
+        assert sum(s.letters for s in row.spans) == sum(c.isalpha() for c in row.text)
+
+
+def test_cuts_cover_each_run():
+    cutter = li._Cutter()
+    for text in ("a" * 81, "", "Aé" * 60 + "的" * 41 + "のß of λόγος 7x", "ab—cd “日本語テキスト”", "x" * 40 + "é" * 41):
+        places, words = cutter.places(text), cutter.words(text)
+        assert [text[a:b] for a, b in places] == words and "".join(words) == "".join(c for c in text if c.isalpha())
+        assert all(len(w) <= li.WORD_LETTERS and len(set(li._scripts(list(w)))) == 1 for w in words)
+    assert list(map(len, cutter.words("A" + "的" * 90))) == [1, 40, 40, 10]
+
+
 def test_no_labels_and_empty_tables(spark):
     none = li.trained(spark.createDataFrame([(1, "a b", None)], SCHEMA))
     df = spark.createDataFrame([(1, "a b"), (2, None)], "doc_id long, text string")
