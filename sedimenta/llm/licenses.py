@@ -1,6 +1,7 @@
 """License scans, with DataFrame functions only.
 
-Templates and texts are reduced to lower-case words of letters and digits and cut into shingles of five words. Only
+Templates and texts are reduced to lower-case words of letters and digits and cut into shingles of five words,
+or of as many as a shorter template has. Only
 shingles that some template has can count for containment, so the others are dropped first, by membership in the set
 of all template shingles. What is left of a text is laid in overlapping windows, of a length for each class of
 template sizes, so that an occurrence lies whole in some window. MinHash bands of window and template retrieve
@@ -44,6 +45,7 @@ TEMPLATES = (
      "that the following conditions are met"),
     ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is "
      "hereby granted"),
+    ("LicenseRef-All-Rights-Reserved", "All rights reserved."),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
 )
 
@@ -59,17 +61,19 @@ def scanned(
     """One row per text and license found in it: ``key``, ``license``, ``containment`` (the highest of its templates)
     and ``first_word``, the number of the text's word where the first matching window's first shared shingle begins.
 
-    ``known`` has ``template``, ``license`` and ``text``; texts of fewer than five words are one shingle, and those
-    without words match nothing. Null texts are empty. Rows that repeat key and text give one row.
+    ``known`` has ``template``, ``license`` and ``text``; a template of fewer than five words is one shingle, which is
+    looked for in all texts, and one without words matches nothing. Null texts are empty. Rows that repeat key and text give one row.
     """
     spark = df.sparkSession
-    patterns = known.select(
-        "template", "license", F.array_distinct(_shingles(_words(F.col("text")))).alias("shingles")
-    ).filter(F.size("shingles") > 0)
-    rows = patterns.select("template", "license", "shingles").collect()  # the parameter, as it was given
+    found = known.select("template", "license", _words(F.col("text")).alias("words")).filter(F.size("words") > 0)
+    length = F.least(F.size("words"), F.lit(SHINGLE))
+    patterns = found.withColumn("length", length).withColumn(
+        "shingles", F.array_distinct(_shingles(F.col("words"), F.col("length")))
+    )
+    rows = patterns.select("template", "license", "length", "shingles").collect()  # the parameter, as it was given
     if not rows:
         return df.select(col(key), F.lit("").alias("license"), F.lit(0.0).alias("containment"), F.lit(0).alias("first_word")).limit(0)
-    wanted = sorted({h for row in rows for h in row.shingles})
+    wanted = {n: sorted({h for row in rows if row.length == n for h in row.shingles}) for n in {r.length for r in rows}}
     classes = {row.template: 1 << math.ceil(math.log2(max(2.0, SLACK * len(row.shingles)))) for row in rows}
     # at the least, the shared part of the shingles in a window that is as long as it can be
     part = min(containment * len(row.shingles) / (2 * classes[row.template] + len(row.shingles)) for row in rows)
@@ -106,19 +110,26 @@ def _words(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(r"[\p{L}\p{N}]+"), F.lit(0))
 
 
-def _shingles(found: Column) -> Column:
-    """A hash for each five words; fewer words are one shingle, no words none."""
-    starts = F.slice(found, F.lit(1), F.greatest(F.size(found) - (SHINGLE - 1), F.least(F.size(found), F.lit(1))))
-    return F.transform(starts, lambda _, i: F.xxhash64(F.slice(found, i + 1, F.lit(SHINGLE))))
+def _shingles(found: Column, length: Column) -> Column:
+    """A hash for each ``length`` words; fewer words have none."""
+    starts = F.slice(found, F.lit(1), F.greatest(F.size(found) - (length - 1), F.lit(0)))
+    return F.transform(starts, lambda _, i: F.xxhash64(F.slice(found, i + 1, length)))
+
 
+def _hits(df: DataFrame, text: str, key: str, wanted: dict[int, list[int]]) -> DataFrame:
+    """The shingles of each text that some template has: ``id``, ``content`` (a hash), ``place`` and ``shingle``.
 
-def _hits(df: DataFrame, text: str, key: str, wanted: list[int]) -> DataFrame:
-    """The shingles of each text that some template has: ``id``, ``content`` (a hash), ``place`` and ``shingle``."""
+    ``wanted`` has the templates' shingles by their number of words.
+    """
     rows = df.select(col(key).alias("id"), F.xxhash64(col(text)).alias("content"), _words(col(text)).alias("words"))
-    places = F.filter(
-        F.transform(_shingles(F.col("words")), lambda h, i: F.when(h.isin(wanted), F.struct(i.alias("place"), h.alias("shingle")))),
-        lambda x: x.isNotNull(),
-    )
+
+    def hits(length: int) -> Column:
+        def hit(h: Column, i: Column) -> Column:
+            return F.when(h.isin(wanted[length]), F.struct(i.alias("place"), h.alias("shingle")))
+
+        return F.filter(F.transform(_shingles(F.col("words"), F.lit(length)), hit), lambda x: x.isNotNull())
+
+    places = F.concat(*map(hits, sorted(wanted)))
     return rows.select("id", "content", F.explode(places).alias("hit")).select("id", "content", "hit.place", "hit.shingle")
 
 

@@ -41,6 +41,31 @@ def test_scan_finds_occurrences_anywhere(spark):
     assert {r.doc_id for r in found.collect()} == {n for n, _ in rows}
 
 
+def test_scan_finds_short_notices_in_long_texts(spark):
+    notices = [(0, "ARR", "All rights reserved."), (1, "PD", "Public domain"), (2, "MIT", "Released under the MIT License."), (3, "none", "-")]
+    known = spark.createDataFrame(notices, "template int, license string, text string")
+    rows = [
+        (1, f"{FILLER}\nAll rights reserved.\n{FILLER}"), (2, "All rights reserved"), (3, f"{FILLER} all rights"),
+        (4, "(c) ACME, all RIGHTS reserved"), (5, f"public domain {FILLER} Released under the MIT License. All rights reserved."),
+        (6, "all rights are reserved"), (7, None), (8, "domain"), (None, f"{FILLER} public domain"),
+    ]
+    found = licenses.scanned(spark.createDataFrame(rows, "doc_id long, text string"), known).collect()
+    expected = [(1, "ARR"), (2, "ARR"), (4, "ARR"), (5, "ARR"), (5, "PD"), (5, "MIT"), (None, "PD")]
+    assert sorted(((r.doc_id, r.license) for r in found), key=str) == sorted(expected, key=str)
+    assert {r.doc_id: r.first_word for r in found if r.license == "ARR"}[1] == 500
+
+
+def test_scan_query_finds_every_notice_line(spark):
+    from sedimenta.llm.queries import QUERIES
+
+    folder = "/root/testdata/sf0.01"
+    lines = {"All rights reserved.", "Released under the MIT License.", "Licensed under CC BY-NC 4.0."}
+    lines |= {"Licensed under the Apache License, Version 2.0.", "This work is licensed under the GNU General Public License, version 3."}
+    documents = spark.read.parquet(f"{folder}/documents.parquet").collect()
+    marked = {d.doc_id for d in documents if lines & set((d.text or "").split("\n"))}
+    assert marked and marked <= {r.doc_id for r in QUERIES["op2_license_scan"](spark, folder).collect()}
+
+
 def test_scan_without_rows_or_templates(spark):
     df = spark.createDataFrame([(1, MIT)], "doc_id long, text string")
     assert licenses.scanned(df.limit(0), licenses.templates(spark)).collect() == []
