@@ -10,7 +10,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sedimenta.llm import bpe, chat, exact_dedup, language_id, licenses, mixing, quality, simhash, token_files, toxicity
+from sedimenta.llm import (
+    bpe,
+    chat,
+    decontamination,
+    exact_dedup,
+    language_id,
+    licenses,
+    mixing,
+    quality,
+    simhash,
+    token_files,
+    toxicity,
+)
 from sedimenta.llm.common import staged
 from sedimenta.sources.staging import compact, staging_folder
 
@@ -130,6 +142,20 @@ def op9_chat(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op13_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """Per document its words, how many lie in windows of benchmark items, and which items those are."""
+    known = decontamination.windows(_table(spark, folder, "benchmark"))
+    found = decontamination.scanned(_table(spark, folder, "documents").select("doc_id", "text"), known)
+    return found.select(
+        "doc_id",
+        "found.n_words",
+        "found.n_hit",
+        F.size("found.items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("found.items", ","), 256).alias("items_sha256"),
+        (F.col("found.n_hit") > 0).alias("contaminated"),
+    )
+
+
 _BUILT = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_license_scan": op2_license_scan,
@@ -141,6 +167,7 @@ _BUILT = {
     "op8_quality": op8_quality,
     "op9_chat": op9_chat,
     "op10_simhash": op10_simhash,
+    "op13_decontamination": op13_decontamination,
 }
 
 
@@ -217,4 +244,33 @@ ORACLE_SQL = {
                sha256(loss) AS loss_sha256, CAST(chars AS BIGINT) AS formatted_chars
         FROM joined
     """,
+    "op13_decontamination": r"""
+        WITH items AS (
+            SELECT item_id, regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+            FROM benchmark
+        ), windows AS (
+            SELECT DISTINCT CAST(item_id AS VARCHAR) AS item, least(len(w), 10) AS n,
+                   array_to_string(w[i : i + least(len(w), 10) - 1], ' ') AS win
+            FROM (SELECT *, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM items WHERE len(w) > 0)
+        ), texts AS (
+            SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+            FROM documents
+        ), places AS (
+            SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM texts, (SELECT DISTINCT n FROM windows)
+        ), hits AS (
+            SELECT r, i, p.n, item FROM places p JOIN windows v ON v.n = p.n AND v.win = array_to_string(w[i : i + p.n - 1], ' ')
+        ), words AS (
+            SELECT r, count(DISTINCT k) AS n_hit FROM (SELECT r, unnest(range(i, i + n)) AS k FROM hits) GROUP BY r
+        ), named AS (
+            SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids
+            FROM (SELECT DISTINCT r, item FROM hits WHERE item IS NOT NULL) GROUP BY r
+        )
+        SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+               sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+        FROM texts LEFT JOIN words USING (r) LEFT JOIN named USING (r)
+    """,
 }

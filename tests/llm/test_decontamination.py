@@ -1,0 +1,133 @@
+import random
+import re
+
+import duckdb
+import pytest
+from pyspark.sql import functions as F
+
+from sedimenta.llm import decontamination as dc
+
+WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def words(text):
+    return WORD.findall((text or "").translate(LOWER))
+
+
+def plain(text, items):
+    said, hit, found = words(text), set(), set()
+    for item, wanted in items:
+        w = words(wanted)
+        n = min(len(w), 10)
+        known = {tuple(w[k : k + n]) for k in range(len(w) - n + 1)} if n else set()
+        for k in range(len(said) - n + 1):
+            if tuple(said[k : k + n]) in known:
+                hit |= set(range(k, k + n))
+                found |= {str(item)} - {"None"}
+    return len(said), len(hit), sorted(found)
+
+
+LONG = " ".join(f"w{n}" for n in range(25))
+ITEMS = [
+    (3, LONG), (20, "short, item"), (100, " ".join(LONG.split()[5:18])), (7, None), (8, ""), (9, "?! --"), (None, "no id here at all"),
+    (3, "another text of item three"), (11, "Ünïcode ÄPFEL and more"), (11, "Ünïcode ÄPFEL and more"), (12, "x"), (13, "日本"),
+]
+TEXTS = [
+    None, "", " .,;", "nothing of it", LONG, LONG.upper().replace(" ", "...\n"), "before " + LONG + " after. " + LONG,
+    " ".join(LONG.split()[:9]), " ".join(LONG.split()[4:16]), "a short - ITEM, short", "item short", "No id here, at all!",
+    "another text of item three" * 2, "another text of item three; another text of item three", "Ünïcode ÄPFEL and more",
+    "ünïcode äpfel and more", "x", "X x-x", "日本 日本語", "a" * 700_000 + " x " + "é" * 300_000 + " " + LONG, "w0 w1",
+]
+
+
+def frames(spark):
+    df = spark.createDataFrame(
+        [(n % 17 if n % 5 else None, t, "k", "t") for n, t in enumerate(TEXTS + TEXTS)],
+        "doc_id long, text string, _found string, `_rows` string",
+    )
+    return df, spark.createDataFrame(ITEMS, "item_id int, text string")
+
+
+@pytest.mark.parametrize("block_bytes", [dc.BLOCK_BYTES, 300])
+def test_scanned(spark, block_bytes):
+    df, items = frames(spark)
+    found = dc.scanned(df.repartition(3), dc.windows(items), block_bytes=block_bytes)
+    assert found.columns == [*df.columns, "found"] and found.count() == df.count()
+    for row in found.collect():
+        x = row.found
+        assert (x.n_words, x.n_hit, x["items"]) == plain(row.text, ITEMS), row.text
+        if x.n_hit:
+            said = row.text.encode()
+            assert sum(len(words(said[s.start : s.stop].decode())) for s in x.spans) == x.n_hit
+            assert all(a.stop < b.start for a, b in zip(x.spans, x.spans[1:]))
+
+
+def test_random_texts(spark):
+    rng = random.Random(5)
+    some = [f"{a}{b}" for a in "abé日" for b in "xyZ1"]
+    items = [(k, " ".join(rng.choices(some, k=rng.randint(1, 30)))) for k in range(40)]
+    texts = []
+    for _ in range(300):
+        text = rng.choices(some, k=rng.randint(0, 60))
+        if rng.random() < 0.7:
+            text += items[rng.randrange(40)][1].split()[rng.randint(0, 9) :] + rng.choices(some, k=rng.randint(0, 5))
+        texts.append("".join(w + rng.choice([" ", ", ", "\n", "--", "\x00"]) for w in text))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    known = dc.windows(spark.createDataFrame(items, "item_id long, text string"))
+    for row in dc.scanned(df, known).collect():
+        assert (row.found.n_words, row.found.n_hit, row.found["items"]) == plain(row.text, items)
+
+
+def test_hashes_do_not_depend_on_steps(monkeypatch):
+    import numpy as np
+    import pyarrow as pa
+
+    texts = pa.array([LONG, None, "x" * 999, "é " * 77, ""])
+    data, offsets = dc._bytes_of(texts.slice(0))
+    with np.errstate(over="ignore"):
+        whole = dc._Hashing().words(data, *dc._words(data, offsets))
+        monkeypatch.setattr(dc, "_STEP", 7)
+        assert (dc._Hashing().words(data, *dc._words(data, offsets)) == whole).all()
+        assert len(set(whole[-77:].tolist())) == 1
+        sliced, off = dc._bytes_of(texts.slice(2))
+        assert (dc._Hashing().words(sliced, *dc._words(sliced, off)) == whole[25:]).all()
+
+
+def test_decontaminated(spark):
+    df, items = frames(spark)
+    kept = dc.decontaminated(df, items)
+    clean = [t for t in TEXTS + TEXTS if not plain(t, ITEMS)[1]]
+    assert kept.columns == df.columns
+    assert sorted((r.text for r in kept.collect()), key=str) == sorted(clean, key=str)
+    cut = dc.decontaminated(df, items, remove="spans")
+    assert cut.columns == df.columns and cut.count() == df.count()
+    by_text = {r.text for r in cut.collect()}
+    assert "before  after. " in by_text and None in by_text and "nothing of it" in by_text
+    assert not any(LONG[:40] in (t or "") for t in by_text)
+    with pytest.raises(ValueError):
+        dc.decontaminated(df, items, remove="all")
+
+
+def test_empty_tables(spark):
+    df, items = frames(spark)
+    assert dc.scanned(df.limit(0), dc.windows(items)).collect() == []
+    found = dc.scanned(df, dc.windows(items.limit(0))).collect()
+    assert len(found) == df.count() and not any(r.found.n_hit for r in found)
+    assert found[4].found.n_words == plain(found[4].text, [])[0]
+    with pytest.raises(ValueError):
+        dc.scanned(df.withColumn("found", F.lit(1)), dc.windows(items))
+
+
+def test_query_equals_sql(spark):
+    from sedimenta.llm.queries import ORACLE_SQL, QUERIES
+
+    folder = "/root/testdata/sf0.001"
+    con = duckdb.connect()
+    for name in ("documents", "benchmark"):
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{folder}/{name}.parquet')")
+    expected = con.execute(ORACLE_SQL["op13_decontamination"])
+    names = [x[0] for x in expected.description]
+    found = QUERIES["op13_decontamination"](spark, folder).select(*names).collect()
+    assert sorted(map(tuple, found)) == sorted(expected.fetchall())
+    assert any(r.contaminated for r in found) and not all(r.contaminated for r in found)
