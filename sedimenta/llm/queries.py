@@ -20,6 +20,7 @@ from sedimenta.llm import (
     mixing,
     quality,
     simhash,
+    spelling,
     token_files,
     toxicity,
 )
@@ -142,6 +143,13 @@ def op9_chat(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_spelling(spark: SparkSession, folder: str) -> DataFrame:
+    """The words of all documents with the words near them, their more frequent form and the root of their forms."""
+    documents = _table(spark, folder, "documents").select("doc_id", "text")
+    found = spelling.variants(staged(spelling.word_counts(documents, slips=199)))
+    return found.select("word", "form", "root", "n", "n_near", "form_n")
+
+
 def op13_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     """Per document its words, how many lie in windows of benchmark items, and which items those are."""
     known = decontamination.windows(_table(spark, folder, "benchmark"))
@@ -167,6 +175,7 @@ _BUILT = {
     "op8_quality": op8_quality,
     "op9_chat": op9_chat,
     "op10_simhash": op10_simhash,
+    "op11_spelling": op11_spelling,
     "op13_decontamination": op13_decontamination,
 }
 

@@ -1,0 +1,148 @@
+import random
+import re
+from collections import Counter, defaultdict
+from zlib import crc32
+
+import pytest
+
+from sedimenta.llm import spelling as sp
+from sedimenta.llm.common import staged
+
+
+def plain_counts(rows, least_length=6, least_count=5, slips=199):
+    counts = Counter()
+    lower = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    for key, text in rows:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", text or ""):
+            run = run.translate(lower)
+            h = crc32(f"{'' if key is None else key}:{run}".encode())
+            if slips and h % slips == 0:
+                run = run[: h % len(run)] + run[h % len(run) + 1 :]
+            counts[run] += 1
+    return {w: n for w, n in counts.items() if len(w) >= least_length and n >= least_count}
+
+
+def is_near(a, b):
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b)) == 1
+    a, b = sorted((a, b), key=len)
+    return len(b) == len(a) + 1 and any(b[:k] + b[k + 1 :] == a for k in range(len(b)))
+
+
+def plain_near(counts):
+    """By all single deletions, so that larger vocabularies can be compared as well; every pair is then verified."""
+    holders = defaultdict(set)
+    for w in counts:
+        for form in {w, *(w[:k] + w[k + 1 :] for k in range(len(w)))}:
+            holders[form].add(w)
+    near = {w: set() for w in counts}
+    for group in holders.values():
+        for a in group:
+            near[a] |= {b for b in group if b not in near[a] and is_near(a, b)}
+    return near
+
+
+def plain_variants(counts, ratio=5):
+    near, forms = plain_near(counts), {}
+    for w, n in counts.items():
+        best = min(near[w], key=lambda x: (-counts[x], x), default=None)
+        forms[w] = best if best is not None and counts[best] >= ratio * n else None
+
+    def root(w):
+        while forms[w] is not None:
+            w = forms[w]
+        return w
+
+    return {(w, n, len(near[w]), forms[w], counts.get(forms[w]), root(w)) for w, n in counts.items()}
+
+
+def words(spark, counts):
+    return spark.createDataFrame([*counts.items(), (None, 3), ("", 9)], "word string, n long").repartition(5)
+
+
+def random_words(seed, letters, count):
+    rng = random.Random(seed)
+    return {"".join(rng.choices(letters, k=rng.randint(1, 7))): rng.choice([1, 2, 5, 5, 25, 130, 700]) for _ in range(count)}
+
+
+@pytest.mark.parametrize("letters,count", [("ab", 250), ("abcé", 900), ("aéÿz日😀", 900)])
+def test_variants(spark, letters, count):
+    counts = random_words(count, letters, count)
+    found = sp.variants(words(spark, counts))
+    assert found.columns == ["word", "n", "n_near", "form", "form_n", "root"]
+    assert set(map(tuple, found.collect())) == plain_variants(counts)
+    assert max(is_near(a, b) for a in list(counts)[:40] for b in counts)
+
+
+def test_ranges_share_nodes(spark):
+    """However the sorted words are dealt, each prefix and suffix has one number, and no two have the same."""
+    counts = random_words(3, "abc", 600) | {"abc" * 2000: 5, "abc" * 2000 + "a": 50, "abc" * 1999 + "ab": 1}
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "13")
+    try:
+        rows = sp.trie_pairs(words(spark, counts)).collect()
+        found = sp.variants(words(spark, counts))
+        assert set(map(tuple, found.collect())) == plain_variants(counts)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert len({r.prefixes[-1] >> 40 for r in rows}) > 5
+    for side, part in (("prefixes", lambda w, k: w[:k]), ("suffixes", lambda w, k: w[len(w) - k :])):
+        numbers = {}
+        for r in rows:
+            if len(r.word) < 100:
+                for k, node in enumerate(r[side]):
+                    assert numbers.setdefault(part(r.word, k), node) == node
+        assert len(set(numbers.values())) == len(numbers)
+    ordered = sorted(rows, key=lambda r: r.word)
+    assert [r.prefixes[-1] for r in ordered] == sorted(r.prefixes[-1] for r in ordered)
+
+
+def test_forms_lead_to_roots(spark):
+    counts = {"abcdef": 5, "abcdeg": 25, "abcdegh": 125, "abcdeghi": 625, "abXdeghi": 124, "zzzzzz": 7, "abcde": 625, "abcdf": 625}
+    found = {r.word: r for r in sp.variants(words(spark, counts)).collect()}
+    assert found["abcdef"].root == "abcde" and found["abcdef"].form == "abcde"
+    assert found["abcdeg"].form == "abcde" and found["abcdegh"].root == "abcdeghi"
+    assert found["zzzzzz"].root == "zzzzzz" and found["zzzzzz"].n_near == 0 and found["zzzzzz"].form_n is None
+    with pytest.raises(ValueError):
+        sp.variants(words(spark, counts), ratio=1)
+
+
+TEXTS = [
+    None, "", "1 2 3", "Straße straße STRASSE Ünder ünder under", "abcdefg " * 400, "ABCDEFG×÷ÀÿĀ abcdefg", "short words only",
+    "averylongword" * 120_000 + " " + "abcdefg " * 150_000 + "x", "tail-tails tailss tailsss tailssss\ttailssss",
+]
+
+
+def test_word_counts(spark, monkeypatch):
+    rows = [(k if k % 4 else None, t) for k, t in enumerate(TEXTS * 6)]
+    df = spark.createDataFrame([(k, t, "x", 1) for k, t in rows], "doc_id long, text string, key string, n int").repartition(3)
+    for slips in (None, 3, 199):
+        expected = plain_counts(rows, slips=slips)
+        monkeypatch.setattr(sp, "WORDS_KEPT", 2 if slips else 100)
+        assert dict(map(tuple, sp.word_counts(df, slips=slips).collect())) == expected
+        assert expected["abcdefg"] > 100_000
+    assert sp.word_counts(df.limit(0)).collect() == []
+    assert sp.variants(sp.word_counts(df.limit(0))).collect() == []
+    with pytest.raises(ValueError):
+        sp.word_counts(df, least_length=0)
+
+
+def test_query(spark):
+    from sedimenta.llm.queries import QUERIES
+
+    folder = "/root/testdata/sf0.01"
+    rows = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").collect()
+    expected = plain_variants(plain_counts(rows))
+    found = QUERIES["op11_spelling"](spark, folder).select("word", "n", "n_near", "form", "form_n", "root").collect()
+    assert set(map(tuple, found)) == expected and len(found) == len(expected)
+    assert sum(r.form is not None for r in found) > 20
+
+
+def test_bounded_groups(spark):
+    """A word with very many neighbours: no pair of trie nodes has more than one entry per letter and the gap."""
+    letters = [chr(c) for c in range(0xC0, 0x100)]
+    counts = {f"abc{x}def": 5 for x in letters} | {"abcdef": 1000}
+    found = {r.word: r for r in sp.variants(staged(words(spark, counts))).collect()}
+    assert found["abcdef"].n_near == 64 and all(found[w].n_near == 64 and found[w].root == "abcdef" for w in counts if len(w) == 7)
