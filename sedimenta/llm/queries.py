@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from sedimenta.llm import (
     bpe,
     chat,
+    conversation_trie,
     decontamination,
     exact_dedup,
     language_id,
@@ -150,6 +151,14 @@ def op11_spelling(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("word", "form", "root", "n", "n_near", "form_n")
 
 
+def op12_conversation_trie(spark: SparkSession, folder: str) -> DataFrame:
+    """The nodes of the prefix trie of all conversations, each continued from the first of its twenty."""
+    found = conversation_trie.conversations(_table(spark, folder, "conversations"))
+    conv = F.col("conv_id")
+    shared = F.crc32(conv.cast("string").cast("binary")) % 4
+    return conversation_trie.trie(conversation_trie.branched(found, conv - conv % 20, shared, most=3))
+
+
 def op13_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     """Per document its words, how many lie in windows of benchmark items, and which items those are."""
     known = decontamination.windows(_table(spark, folder, "benchmark"))
@@ -176,6 +185,7 @@ _BUILT = {
     "op9_chat": op9_chat,
     "op10_simhash": op10_simhash,
     "op11_spelling": op11_spelling,
+    "op12_conversation_trie": op12_conversation_trie,
     "op13_decontamination": op13_decontamination,
 }
 
@@ -253,6 +263,46 @@ ORACLE_SQL = {
                sha256(loss) AS loss_sha256, CAST(chars AS BIGINT) AS formatted_chars
         FROM joined
     """,
+    # CRC-32 bit by bit; a path is the digests of its turns on end
+    "op12_conversation_trie": r"""
+        WITH said AS (
+            SELECT conv_id, turn, length(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS w,
+                   sha256(CAST(strlen(coalesce(role, '')) AS VARCHAR) || ':' || coalesce(role, '') || coalesce(text, '')) AS d
+            FROM conversations WHERE conv_id IS NOT NULL
+        ), turns AS (
+            SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, d) AS pos FROM said
+        ), convs AS (
+            SELECT conv_id AS c, xor(list_reduce(
+                list_concat([4294967295::UBIGINT], list_transform(range(length(CAST(conv_id AS VARCHAR))),
+                                                                  lambda i: ord(CAST(conv_id AS VARCHAR)[i + 1])::UBIGINT)),
+                lambda a, b: list_reduce(list_concat([xor(a, b)], [0::UBIGINT, 0, 0, 0, 0, 0, 0, 0]),
+                    lambda s, z: xor(s >> 1, CASE WHEN s & 1 = 1 THEN 3988292384::UBIGINT ELSE 0::UBIGINT END))),
+                4294967295::UBIGINT) % 4 AS h
+            FROM (SELECT DISTINCT conv_id FROM turns)
+        ), rebuilt AS (
+            SELECT c, pos, d, w FROM convs JOIN turns ON conv_id = c - c % 20 AND pos <= h
+            UNION ALL SELECT c, pos, d, w FROM convs JOIN turns ON conv_id = c AND pos > h
+        ), paths AS (
+            SELECT c, row_number() OVER so_far AS depth, string_agg(d, '') OVER so_far AS path, w FROM rebuilt
+            WINDOW so_far AS (PARTITION BY c ORDER BY pos)
+            UNION ALL SELECT c, 0, '', 0 FROM convs
+        ), nodes AS (
+            SELECT path, depth, any_value(w) AS w, min(c) AS conv, count(*) AS n FROM paths GROUP BY path, depth
+        ), lasts AS (
+            SELECT path, string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) AS ids FROM (
+                SELECT c, max_by(path, depth) AS path FROM paths GROUP BY c
+            ) GROUP BY path
+        ), hung AS (
+            SELECT a.path, a.depth, a.w, a.conv, a.n, b.conv AS up,
+                   (SELECT count(*) FROM nodes k WHERE k.depth = a.depth + 1 AND starts_with(k.path, a.path)) AS kids
+            FROM nodes a LEFT JOIN nodes b ON b.depth = a.depth - 1 AND b.path = a.path[1 : 64 * (a.depth - 1)]
+        )
+        SELECT a.conv AS conv_id, CAST(a.depth AS BIGINT) AS depth, a.up AS parent_conv_id, a.n AS n_convs,
+               a.kids AS n_children, CAST(count(*) FILTER (b.kids = 0) AS BIGINT) AS n_leaves,
+               CAST(sum((b.n - 1) * b.w) AS BIGINT) AS saved_tokens, sha256(coalesce(any_value(ids), '')) AS ends_sha256
+        FROM hung a JOIN hung b ON starts_with(b.path, a.path) LEFT JOIN lasts ON lasts.path = a.path
+        GROUP BY a.path, a.conv, a.depth, a.up, a.n, a.kids
+    """,
     "op13_decontamination": r"""
         WITH items AS (
             SELECT item_id, regexp_extract_all(
