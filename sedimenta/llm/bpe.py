@@ -8,8 +8,9 @@ Encoding runs in one pass over the documents, without a shuffle:
    table of the merges;
 3. a second iterator function replaces the numbers by the ids of their words.
 
-So each word is merged once per partition and not once per occurrence. The list of numbered words is emptied
-when it holds ``WORDS_KEPT`` words, which bounds memory and changes no result: words seen again are new again.
+So a word is merged once per partition, or again if it has not been seen for long, and not once per occurrence: what
+the first function remembers is bounded by bytes. The numbers start again after ``WORDS_KEPT`` words, which bounds the
+memory of the second function. Neither changes a result: words that are forgotten are new again.
 
 Both functions of one task see the same rows in the same order, because nothing between them moves rows. A task
 that runs again starts from its input.
@@ -20,25 +21,36 @@ from __future__ import annotations
 import base64
 import heapq
 import json
+import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sedimenta.llm.chunks import Cut, Recent, binary_column, buffers_of, slices
 from sedimenta.llm.common import bounded_batches, quoted, require_free, unused
 
 # The fold takes steps in proportion to a word's length, and each copies the word's pieces. Longer words (runs of
-# letters or signs without a break) are merged with a heap instead, in the second function.
-FOLD_BYTES = 64
-WORDS_KEPT = 1_200_000
-CHUNKS_KEPT = 200_000
-
-# Primes; the table below holds half as many merges as it has slots.
-_SHIFTS = 65_537
-_SLOTS = 250_007
+# letters or signs without a break) are merged with a heap instead, in the second function: a word of 20 KB would take
+# the fold some seconds and one of 1 MB hours.
+FOLD_BYTES = 256
+# Numbers that are given before they start again.
+WORDS_KEPT = 4_000_000
+
+# Primes; the table below holds at most half as many merges as it has slots.
+_SHIFTS = 32_771
+_SLOTS = 131_101
+_TABLES = ("single", "pairs", "shifts", "slots")
+# Words are looked up so many at a time.
+_AT_ONCE = 1 << 18
+# Letters, and marks that are words of their own after them.
+_PLAIN_LETTERS = "A-Za-zÀ-ÖØ-öø-ʯ"
+_PLAIN_MARKS = ".,;:!?"
 _ID_BITS = 20
 _NONE = 1 << _ID_BITS
 _LOW = (1 << 2 * _ID_BITS) - 1
@@ -46,6 +58,12 @@ _ID = _NONE - 1
 _RESTART = ""
 
 
+@lru_cache(maxsize=4)
+def tokenizer(path: str, pattern: str) -> ByteBPE:
+    """The tokenizer of a file of ranks; it and its tables are made once per program."""
+    return ByteBPE(read_ranks(path), pattern)
+
+
 def read_ranks(path: str) -> dict[bytes, int]:
     """Token bytes and ranks of a file with a base64 token and its rank per line."""
     with open(path, "rb") as lines:
@@ -66,7 +84,7 @@ class ByteBPE:
             raise ValueError(f"ranks must be within 0 and {_ID - 1}")
         self.ranks = ranks
         self.pattern = pattern
-        self._literals: tuple[str, str, str, str] | None = None
+        self._literal: str | None = None
 
     def encode(self, df: DataFrame, text: str, ids: str = "ids", keep_text: bool = True) -> DataFrame:
         """``df`` with the token ids of ``text`` as little-endian unsigned 32-bit integers (``ids``, binary).
@@ -82,7 +100,7 @@ class ByteBPE:
         kept = [x for x in df.columns if keep_text or x != text]
         others = F.struct(*(F.col(quoted(x)) for x in kept)) if kept else F.struct(F.lit(0).alias("none"))
         table = df.select(others.alias(carried), words(F.col(quoted(text))).alias(numbered))
-        table = table.withColumn(merged, F.transform(F.col(numbered)["fresh"], self.merged))
+        table = table.withColumn(merged, self.merged(F.col(numbered)["fresh"]))
         schema = T.StructType([table.schema[carried], T.StructField(ids, T.BinaryType())])
         joined = table.mapInArrow(_joining(self.ranks, numbered, merged, ids), schema)
         return joined.select(*(F.col(carried).getField(x).alias(x) for x in kept), quoted(ids))
@@ -94,14 +112,18 @@ class ByteBPE:
         back = F.arrow_udf(_decoding(self.ranks), "binary")
         return df.withColumn(decoded, back(F.col(quoted(ids))))
 
-    def merged(self, word: Column) -> Column:
-        """Ids of one word (``array<int>``), by folding the ranked merges over its bytes; null over ``FOLD_BYTES``.
+    def merged(self, words: Column) -> Column:
+        """Ids of each of ``words`` (``array<array<int>>``), by folding the ranked merges over the bytes; null over
+        ``FOLD_BYTES`` and of the empty word.
 
         The state is an array of longs, one per piece: the rank of the pair that the piece makes with the next one,
         the place of its first byte, and its id. The smallest entry is thus the leftmost pair of lowest rank, and
         that rank is the id of the merged piece. Each step replaces it and its left neighbour.
         """
-        byte_ids, first, shifts, table = self._tables()
+        return _let(self._tables(), lambda tables: F.transform(words, lambda word: self._folded(word, tables)))
+
+    def _folded(self, word: Column, tables: Column) -> Column:
+        byte_ids, first, shifts, table = (tables[x] for x in _TABLES)
         size = F.octet_length(word)
         none = F.lit(_NONE).cast("long")
 
@@ -150,24 +172,30 @@ class ByteBPE:
         ids = F.transform(folded, lambda entry: entry.bitwiseAND(F.lit(_ID)).cast("int"))
         return F.when((size > 0) & (size <= FOLD_BYTES), ids)
 
-    def _tables(self) -> tuple[Column, ...]:
+    def _tables(self) -> Column:
         """Ids of the bytes, ids of pairs of bytes, and the merges as a table of two steps.
 
         A merge is found without comparing several: its key gives a shift, and key and shift give its slot, which
-        holds key and id. They are constant texts that the optimizer turns into literals once.
+        holds key and id. All is one constant text that the optimizer turns into a literal once, and the plan has it
+        in one place.
         """
-        if self._literals is None:
+        if self._literal is None:
             ranks, merges = self.ranks, {}
             for token, rank in ranks.items():
-                for cut in range(1, len(token)):
-                    left, right = ranks.get(token[:cut]), ranks.get(token[cut:])
-                    if left is not None and right is not None:
-                        merges[(left << _ID_BITS) + right] = rank
+                # A pair of pieces can only be what the merges of lower ranks leave of their token's bytes.
+                left = merge_long(token, ranks, below=rank)
+                if len(left) == 2:
+                    merges[(left[0] << _ID_BITS) + left[1]] = rank
+            pairs = [_NONE] * (1 << 16)
+            byte_of = {ranks[bytes([b])]: b for b in range(256)}
+            for key, rank in merges.items():
+                a, b = byte_of.get(key >> _ID_BITS), byte_of.get(key & _ID)
+                if a is not None and b is not None:
+                    pairs[256 * a + b] = rank
             single = [ranks[bytes([b])] for b in range(256)]
-            pairs = [ranks.get(bytes([a, b]), _NONE) for a in range(256) for b in range(256)]
-            self._literals = tuple(json.dumps(x, separators=(",", ":")) for x in (single, pairs, *_slotted(merges)))
+            self._literal = json.dumps(dict(zip(_TABLES, (single, pairs, *_slotted(merges)))), separators=(",", ":"))
         kinds = ("array<int>", "array<int>", "array<int>", "array<bigint>")
-        return tuple(F.from_json(F.lit(x), kind) for x, kind in zip(self._literals, kinds))
+        return F.from_json(F.lit(self._literal), ", ".join(f"{x} {kind}" for x, kind in zip(_TABLES, kinds)))
 
 
 def _slotted(merges: dict[int, int]) -> tuple[list[int], list[int]]:
@@ -224,60 +252,80 @@ def _let(value: Column, body) -> Column:
 
 
 def _numbering(pattern: str):
-    # In the pattern white space is the Unicode property; the library's \\s has some control characters more.
+    # In the pattern white space is the Unicode property; the library's \s has some control characters more.
     pattern = pattern.replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}")
 
     def number(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         import regex
 
-        cut, blank = regex.compile(pattern).findall, regex.compile(r"\A\p{White_Space}|\p{White_Space}\Z|\A\Z").search
-        numbers: dict[str, bytes] = {}
-        chunks: dict[str, bytes] = {}
-        used = 0  # also counts words too long to be kept
+        cut = regex.compile(pattern).findall
+        plain = re.compile(f"[{_PLAIN_LETTERS}]+([{_PLAIN_MARKS}]?)").fullmatch
+        # words that follow a space, by what follows it, and all others; a chunk can also be several words
+        spaced, others, chunks = Recent(), Recent(), Recent()
+        used = 0
         new: list[str] = []
 
-        def coded(words: list[str]) -> bytes:
+        def code(known: Recent, key: str, word: str) -> bytes:
             nonlocal used
+            found = known.get(key)
+            if found is None:
+                found = used.to_bytes(4, "little")
+                used += 1
+                new.append(word)
+                known.put(key, found)
+            return found
+
+        def coded(words: list[str]) -> bytes:
+            return b"".join(
+                code(spaced, w[1:], w) if w[0] == " " and len(w) > 1 else code(others, w, w) for w in words
+            )
+
+        def chunk_code(chunk: str) -> bytes:
+            """The words of a chunk after a space. Letters alone are a word, and so is a mark after them."""
+            found = spaced.young.get(chunk) or chunks.get(chunk)
+            if found is not None:
+                return found
+            shape = plain(chunk)
+            if shape is None:
+                words = cut(" " + chunk)
+                if len(words) == 1:
+                    return coded(words)
+                found = coded(words)
+            elif not shape[1]:
+                return code(spaced, chunk, " " + chunk)
+            else:
+                found = code(spaced, chunk[:-1], " " + chunk[:-1]) + code(others, shape[1], shape[1])
+            chunks.put(chunk, found)
+            return found
+
+        def rows(texts: pa.Array) -> list[bytes]:
+            """Words never reach over a single space between other characters, which begins a word: a text is then
+            the sequence of its chunks between spaces. A text with other white space beside a space is cut whole."""
+            pieces = Cut(texts)
+            blank = pc.equal(pc.binary_length(pieces.distinct), 0)
+            blank = pc.or_(blank, pc.not_equal(pc.utf8_trim_whitespace(pieces.distinct), pieces.distinct))
+            whole = pieces.any_in_row(blank.to_numpy(zero_copy_only=False))
+            by_chunk = np.repeat(~whole, np.diff(pieces.starts))
+            firsts = pieces.starts[:-1]
+            by_chunk[firsts] = False
+            rest = pieces.joined([chunk_code(x) for x in pieces.texts_of(by_chunk)])
+            begins = pieces.distinct.take(pa.array(pieces.index[firsts])).to_pylist()
             found = []
-            for word in words:
-                code = numbers.get(word)
-                if code is None:
-                    code = used.to_bytes(4, "little")
-                    used += 1
-                    new.append(word)
-                    if len(word) <= FOLD_BYTES:
-                        numbers[word] = code
-                found.append(code)
-            return b"".join(found)
-
-        def row(text: str) -> bytes:
-            """Words never reach over a single space between other characters, which begins a word: the text is then
-            the sequence of its chunks between spaces, and most chunks have been cut before."""
-            first, *others = text.split(" ")
-            if blank(first):
-                return coded(cut(text))
-            found = list(map(chunks.get, others))
-            if None in found:
-                for at, chunk in enumerate(others):
-                    if found[at] is None and (code := chunks.get(chunk)) is not None:
-                        found[at] = code
-                    elif found[at] is None:
-                        if blank(chunk):
-                            return coded(cut(text))
-                        chunks[chunk] = found[at] = coded(cut(" " + chunk))
-            return coded(cut(first)) + b"".join(found)
+            for at, (first, codes) in enumerate(zip(begins, rest)):
+                found.append(coded(cut(texts[at].as_py())) if whole[at] else coded(cut(first)) + codes)
+            return found
 
         for texts in batches:
             codes, fresh = [], []
-            for text in texts.to_pylist():
+            for some in slices(texts):
                 new = []
-                if len(chunks) > CHUNKS_KEPT:
-                    chunks = {}
                 if used > WORDS_KEPT:
-                    numbers, chunks, used = {}, {}, 0
+                    used = 0
+                    for known in (spaced, others, chunks):
+                        known.clear()
                     new.append(_RESTART)
-                codes.append(row(text) if text else b"")
-                fresh.append(new)
+                codes += rows(some)
+                fresh += [new, *([] for _ in range(len(some) - 1))]
             yield pa.StructArray.from_arrays(
                 [pa.array(codes, pa.binary()), pa.array(fresh, pa.list_(pa.string()))], ["codes", "fresh"]
             )
@@ -285,23 +333,76 @@ def _numbering(pattern: str):
     return number
 
 
+class _Known:
+    """The ids of numbered words, on end."""
+
+    def __init__(self) -> None:
+        self.ids, self.stops, self.count = np.zeros(1 << 12, "<u4"), np.zeros(1 << 10, np.int64), 0
+
+    def add(self, ids: np.ndarray, lengths: np.ndarray) -> None:
+        end = self.stops[self.count]
+        self.ids = _room(self.ids, end + len(ids))
+        self.stops = _room(self.stops, self.count + len(lengths) + 1)
+        self.ids[end : end + len(ids)] = ids
+        self.stops[self.count + 1 : self.count + 1 + len(lengths)] = end + np.cumsum(lengths)
+        self.count += len(lengths)
+
+    def of(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of several words on end, and how many each has."""
+        starts = self.stops[codes]
+        lengths = self.stops[codes + 1] - starts
+        before = np.cumsum(lengths) - lengths
+        return self.ids[np.repeat(starts - before, lengths) + np.arange(lengths.sum())], lengths
+
+
+def _room(array: np.ndarray, size: int) -> np.ndarray:
+    if size <= len(array):
+        return array
+    larger = np.zeros(max(size, 2 * len(array)), array.dtype)
+    larger[: len(array)] = array
+    return larger
+
+
 def _joining(ranks: dict[bytes, int], numbered: str, merged: str, ids: str):
+    def learn(known: _Known, fresh: pa.Array, found: pa.Array) -> None:
+        """Take in words that are new, in their order; those that were not folded have no ids yet."""
+        lengths = pc.fill_null(pc.list_value_length(found), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        flat = found.flatten().to_numpy(zero_copy_only=False).astype("<u4")
+        start, stops = 0, np.concatenate(([0], np.cumsum(lengths)))
+        for at in np.flatnonzero(found.is_null().to_numpy(zero_copy_only=False)).tolist():
+            known.add(flat[stops[start] : stops[at]], lengths[start:at])
+            own = np.array(merge_long(fresh[at].as_py().encode(), ranks), "<u4")
+            known.add(own, np.array([len(own)]))
+            start = at + 1
+        known.add(flat[stops[start] :], lengths[start:])
+
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: list[bytes] = []
+        known = _Known()
         for batch in batches:
             codes, fresh = batch.column(numbered).flatten()
-            found = []
-            for row, words, new in zip(codes.to_pylist(), fresh.to_pylist(), batch.column(merged).to_pylist()):
-                for word, word_ids in zip(words, new):
-                    if word == _RESTART:
-                        known = []
-                        continue
-                    if word_ids is None:
-                        word_ids = merge_long(word.encode(), ranks)
-                    known.append(np.array(word_ids, "<u4").tobytes())
-                found.append(b"".join([known[n] for n in np.frombuffer(row, "<u4").tolist()]))
+            rows = np.concatenate(([0], np.cumsum(pc.list_value_length(fresh).to_numpy(zero_copy_only=False))))
+            words, found = fresh.flatten(), batch.column(merged).flatten()
+            again = np.flatnonzero(pc.equal(pc.binary_length(words), 0).to_numpy(zero_copy_only=False))
+            held, stops = buffers_of(codes.cast(pa.large_binary()))
+            numbers = held[stops[0] : stops[-1]].view("<u4")
+            places = (stops - stops[0]) // 4
+            # rows before the next restart of the numbers, by the row that it comes with
+            restarts = np.searchsorted(rows, again, side="right") - 1
+            edges = [0, *restarts.tolist(), len(batch)]
+            parts, counts = [], [np.zeros(1, np.int64)]
+            for k, (a, b) in enumerate(zip(edges[:-1], edges[1:])):
+                start = rows[a]
+                if k:
+                    known, start = _Known(), again[k - 1] + 1
+                learn(known, words.slice(start, rows[b] - start), found.slice(start, rows[b] - start))
+                for at in range(places[a], places[b], _AT_ONCE):
+                    some, lengths = known.of(numbers[at : min(at + _AT_ONCE, places[b])].astype(np.int64))
+                    parts.append(some)
+                    counts.append(lengths)
+            ends = 4 * np.cumsum(np.concatenate(counts))[places]
+            whole = np.concatenate([np.zeros(0, "<u4"), *parts]).view(np.uint8)
             names = [x for x in batch.schema.names if x not in (numbered, merged)]
-            columns = [*(batch.column(x) for x in names), pa.array(found, pa.binary())]
+            columns = [*(batch.column(x) for x in names), binary_column(whole, ends)]
             yield pa.RecordBatch.from_arrays(columns, [*names, ids])
 
     return join
@@ -331,8 +432,8 @@ def _decoding(ranks: dict[bytes, int]):
     return decode
 
 
-def merge_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
-    """Ids of one word of any length: the leftmost pair of lowest rank is merged until none is left."""
+def merge_long(word: bytes, ranks: dict[bytes, int], below: int | None = None) -> list[int]:
+    """Ids of one word of any length: the leftmost pair of lowest rank is merged until none is left (``below`` a rank)."""
     after = list(range(1, len(word) + 1))  # by first byte: where the piece ends
     before = list(range(-1, len(word) - 1))  # where the piece to the left begins
     heap = []
@@ -340,6 +441,8 @@ def merge_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     def offer(start: int) -> None:
         middle = after[start]
         if middle < len(word) and (rank := ranks.get(word[start : after[middle]])) is not None:
+            if below is not None and rank >= below:
+                return
             heapq.heappush(heap, (rank, start, middle, after[middle]))
 
     for start in range(len(word) - 1):

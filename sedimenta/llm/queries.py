@@ -34,9 +34,7 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def op1_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
-    tokenizer = bpe.ByteBPE(
-        bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken")), public_tokenizers.PATTERN
-    )
+    tokenizer = bpe.tokenizer(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
     documents = bpe.fewer_partitions(_table(spark, folder, "documents").select("doc_id", "text"))
     encoded = tokenizer.encode(documents, "text", keep_text=False)
     decoded = tokenizer.decode(encoded)

@@ -1,4 +1,5 @@
 import hashlib
+import random
 
 import numpy as np
 import public_tokenizers
@@ -6,7 +7,7 @@ import pytest
 import tiktoken
 from pyspark.sql import functions as F
 
-from sedimenta.llm import bpe
+from sedimenta.llm import bpe, chunks
 
 PATH = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 TEXTS = [
@@ -48,10 +49,32 @@ def test_restarting_the_word_list_changes_nothing(spark, tokenizer, library, mon
         assert ids_of(row) == library.encode_ordinary(row["text"])
 
 
+@pytest.mark.parametrize("kept,at_once,slice_bytes", [(64 << 20, 1 << 18, 8 << 20), (3000, 5, 300)])
+def test_random_texts(spark, tokenizer, library, monkeypatch, kept, at_once, slice_bytes):
+    monkeypatch.setattr(chunks, "KEPT_BYTES", kept)
+    monkeypatch.setattr(chunks, "SLICE_BYTES", slice_bytes)
+    monkeypatch.setattr(bpe, "_AT_ONCE", at_once)
+    rng = random.Random(7)
+    some = ["word", "Über", "été.", "x,", "'s", "9", "12,", "\n", "\xa0", " ", "", "日本", "a.b", "...", "ſ", "ʰ", "ª", "ñandú!", "\x1c", "I'll"]
+    texts = [" ".join(rng.choices(some, k=rng.randint(0, 40))) for _ in range(1500)]
+    texts += ["x" * 20_000 + "日" * 8000, "ab" * 10_000 + " " + "é" * 300, None, ""]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(2)
+    rows = tokenizer.encode(df, "text").collect()
+    assert len(rows) == len(texts)
+    for row in rows:
+        assert ids_of(row) == library.encode_ordinary(row["text"] or ""), row["text"][:40]
+
+
+def test_plan_holds_the_table_once(spark, tokenizer):
+    df = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
+    plan = tokenizer.encode(df, "text")._jdf.queryExecution().toString()
+    assert len(plan) < 5_000_000 * 2  # of four plans, two before literals are made and two after
+
+
 def test_fold_and_heap_agree(spark, tokenizer):
     words = ["internationalisation", " straße", "aaaaaaaaaaaaa", "日本語", "x", "....!!!!----", "\n\n\n\t"]
     df = spark.createDataFrame([(w,) for w in words], "w string")
-    for row in df.select("w", tokenizer.merged(F.col("w")).alias("ids")).collect():
+    for row in df.select("w", F.get(tokenizer.merged(F.array("w")), F.lit(0)).alias("ids")).collect():
         assert row["ids"] == bpe.merge_long(row["w"].encode(), tokenizer.ranks)
 
 
