@@ -42,9 +42,6 @@ FOLD_BYTES = 256
 # Numbers that are given before they start again.
 WORDS_KEPT = 4_000_000
 
-# Primes; the table below holds at most half as many merges as it has slots.
-_SHIFTS = 32_771
-_SLOTS = 131_101
 _TABLES = ("single", "pairs", "shifts", "slots")
 # Words are looked up so many at a time.
 _AT_ONCE = 1 << 18
@@ -128,11 +125,9 @@ class ByteBPE:
         none = F.lit(_NONE).cast("long")
 
         def pair(left: Column, right: Column) -> Column:
-            key = F.shiftleft(left, _ID_BITS) + right
-            shift = F.get(shifts, (key % _SHIFTS).cast("int"))
-            slot = F.get(table, ((key + shift) % _SLOTS).cast("int"))
-            # the id if the slot holds this key, and out of its range otherwise
-            return F.least((slot - F.shiftleft(key, _ID_BITS)).bitwiseAND(F.lit((1 << 62) - 1)), none)
+            slot = F.get(table, F.get(shifts, left.cast("int")) + right.cast("int"))
+            # the id if the slot holds a merge of this left piece, and out of its range otherwise
+            return F.least((slot - F.shiftleft(left, _ID_BITS)).bitwiseAND(F.lit((1 << 62) - 1)), none)
 
         def packed(rank: Column, place: Column, piece: Column) -> Column:
             return F.shiftleft(rank, 2 * _ID_BITS) + F.shiftleft(place, _ID_BITS) + piece
@@ -155,9 +150,10 @@ class ByteBPE:
             before = F.get(entries, at - 2)
             left = F.shiftleft(pair(before.bitwiseAND(F.lit(_ID)), piece), 2 * _ID_BITS)
             left = left + before.bitwiseAND(F.lit(_LOW))
-            return F.when(at > 1, F.concat(F.slice(entries, F.lit(1), at - 2), F.array(left, here), rest)).otherwise(
-                F.concat(F.array(here), rest)
-            )
+            # flatten is faster than concat, which goes over lazy lists
+            first_of_all = F.flatten(F.array(F.array(here), rest))
+            inner = F.flatten(F.array(F.slice(entries, F.lit(1), at - 2), F.array(left, here), rest))
+            return F.when(at > 1, inner).otherwise(first_of_all)
 
         def start(codes: Column) -> Column:
             def entry(code: Column, at: Column) -> Column:
@@ -175,8 +171,8 @@ class ByteBPE:
     def _tables(self) -> Column:
         """Ids of the bytes, ids of pairs of bytes, and the merges as a table of two steps.
 
-        A merge is found without comparing several: its key gives a shift, and key and shift give its slot, which
-        holds key and id. All is one constant text that the optimizer turns into a literal once, and the plan has it
+        A merge is found without comparing several: its left piece gives a shift, and that with the right piece its
+        slot, which says of which left piece it is. All is one constant text that the optimizer turns into a literal once, and the plan has it
         in one place.
         """
         if self._literal is None:
@@ -199,24 +195,39 @@ class ByteBPE:
 
 
 def _slotted(merges: dict[int, int]) -> tuple[list[int], list[int]]:
-    """Shifts and slots so that each key has a slot of its own; full groups choose first."""
-    groups: dict[int, list[int]] = {}
+    """A shift for each left piece, and slots: a merge is at the shift of its left piece and the id of its right one.
+
+    Left pieces with most merges choose first, each the first shift that leaves its places free. A slot holds the left
+    piece and the id of the merged one.
+    """
+    rights: dict[int, list[int]] = {}
     for key in merges:
-        groups.setdefault(key % _SHIFTS, []).append(key)
-    shifts, slots = [0] * _SHIFTS, [-1] * _SLOTS
-    if 2 * len(merges) > _SLOTS:
-        raise ValueError(f"more than {_SLOTS // 2} merges")
-    for group, keys in sorted(groups.items(), key=lambda x: (-len(x[1]), x[0])):
-        for shift in range(_SLOTS):
-            places = {(key + shift) % _SLOTS for key in keys}
-            if len(places) == len(keys) and all(slots[place] < 0 for place in places):
+        rights.setdefault(key >> _ID_BITS, []).append(key & _ID)
+    shifts, free = [0] * (max(rights, default=0) + 1), np.ones(1 << 16, bool)
+    lowest = 0  # all places before it are taken
+    slots = np.full(len(free), -1, np.int64)
+    for left, of_left in sorted(rights.items(), key=lambda x: (-len(x[1]), x[0])):
+        places = np.array(sorted(of_left))
+        while not free[lowest]:
+            lowest += 1
+        first = shifts[left] = int(lowest - places[0])
+        while len(places) > 1:
+            tried = np.arange(first, first + 1024)
+            end = tried[-1] + places[-1] + 1
+            if end > len(free):
+                free = np.concatenate((free, np.ones(end, bool)))
+                slots = np.concatenate((slots, np.full(end, -1, np.int64)))
+            fits = free[tried[:, None] + places].all(axis=1)
+            if fits.any():
+                shifts[left] = int(tried[np.argmax(fits)])
                 break
-        else:
-            raise ValueError("the merges do not fit their table")
-        shifts[group] = shift
-        for key in keys:
-            slots[(key + shift) % _SLOTS] = (key << _ID_BITS) + merges[key]
-    return shifts, slots
+            first += 1024
+        if lowest + 2 > len(free):
+            free = np.concatenate((free, np.ones(len(free), bool)))
+            slots = np.concatenate((slots, np.full(len(slots), -1, np.int64)))
+        free[shifts[left] + places] = False
+        slots[shifts[left] + places] = [(left << _ID_BITS) + merges[(left << _ID_BITS) + r] for r in places.tolist()]
+    return shifts, slots[: np.flatnonzero(~free).max(initial=-1) + 1].tolist()
 
 
 def fewer_partitions(df: DataFrame, of: int = 8) -> DataFrame:
@@ -259,42 +270,36 @@ def _numbering(pattern: str):
         import regex
 
         cut = regex.compile(pattern).findall
-        plain = re.compile(f"[{_PLAIN_LETTERS}]+([{_PLAIN_MARKS}]?)").fullmatch
-        # words that follow a space, by what follows it, and all others; a chunk can also be several words
-        spaced, others, chunks = Recent(), Recent(), Recent()
+        plain = re.compile(f"[{_PLAIN_LETTERS}]+").fullmatch
+        # what follows a space, one word or several, without the space; and words that follow none
+        chunks, others = Recent(), Recent()
         used = 0
         new: list[str] = []
 
-        def code(known: Recent, key: str, word: str) -> bytes:
+        def numbered(known: Recent, key: str, word: str) -> bytes:
             nonlocal used
-            found = known.get(key)
-            if found is None:
-                found = used.to_bytes(4, "little")
-                used += 1
-                new.append(word)
-                known.put(key, found)
+            found = used.to_bytes(4, "little")
+            used += 1
+            new.append(word)
+            known.put(key, found)
             return found
 
-        def coded(words: list[str]) -> bytes:
-            return b"".join(
-                code(spaced, w[1:], w) if w[0] == " " and len(w) > 1 else code(others, w, w) for w in words
-            )
+        def code(word: str) -> bytes:
+            if word[0] == " " and len(word) > 1:
+                return chunks.get(word[1:]) or numbered(chunks, word[1:], word)
+            return others.get(word) or numbered(others, word, word)
 
         def chunk_code(chunk: str) -> bytes:
-            """The words of a chunk after a space. Letters alone are a word, and so is a mark after them."""
-            found = spaced.young.get(chunk) or chunks.get(chunk)
-            if found is not None:
+            """The words of a chunk after a space. Letters alone are a word, and so is a mark after them: words and
+            marks are kept, but not each word with each mark."""
+            if chunk[-1] in _PLAIN_MARKS and plain(chunk[:-1]):
+                return code(" " + chunk[:-1]) + code(chunk[-1])
+            if (found := chunks.get(chunk)) is not None:
                 return found
-            shape = plain(chunk)
-            if shape is None:
-                words = cut(" " + chunk)
-                if len(words) == 1:
-                    return coded(words)
-                found = coded(words)
-            elif not shape[1]:
-                return code(spaced, chunk, " " + chunk)
-            else:
-                found = code(spaced, chunk[:-1], " " + chunk[:-1]) + code(others, shape[1], shape[1])
+            words = (" " + chunk,) if plain(chunk) else cut(" " + chunk)
+            if len(words) == 1:
+                return numbered(chunks, chunk, words[0])
+            found = b"".join(map(code, words))
             chunks.put(chunk, found)
             return found
 
@@ -308,12 +313,16 @@ def _numbering(pattern: str):
             by_chunk = np.repeat(~whole, np.diff(pieces.starts))
             firsts = pieces.starts[:-1]
             by_chunk[firsts] = False
-            rest = pieces.joined([chunk_code(x) for x in pieces.texts_of(by_chunk)])
+            said = pieces.texts_of(by_chunk)
+            values = list(map(chunks.young.get, said))
+            for at in [at for at, value in enumerate(values) if value is None]:
+                values[at] = chunk_code(said[at])
+            rest = pieces.joined(values)
             begins = pieces.distinct.take(pa.array(pieces.index[firsts])).to_pylist()
-            found = []
-            for at, (first, codes) in enumerate(zip(begins, rest)):
-                found.append(coded(cut(texts[at].as_py())) if whole[at] else coded(cut(first)) + codes)
-            return found
+            return [
+                b"".join(map(code, cut(texts[at].as_py() if whole[at] else first))) + codes
+                for at, (first, codes) in enumerate(zip(begins, rest))
+            ]
 
         for texts in batches:
             codes, fresh = [], []
@@ -321,8 +330,8 @@ def _numbering(pattern: str):
                 new = []
                 if used > WORDS_KEPT:
                     used = 0
-                    for known in (spaced, others, chunks):
-                        known.clear()
+                    chunks.clear()
+                    others.clear()
                     new.append(_RESTART)
                 codes += rows(some)
                 fresh += [new, *([] for _ in range(len(some) - 1))]

@@ -15,7 +15,7 @@ import pyarrow.compute as pc
 # Texts that are cut at a time have so many bytes, or are one text.
 SLICE_BYTES = 8 << 20
 # Each of the two generations of what is kept may take about so much memory.
-KEPT_BYTES = 64 << 20
+KEPT_BYTES = 80 << 20
 # Pieces with more characters are not kept.
 LONGEST_KEPT = 200
 _ENTRY_BYTES = 200
@@ -86,7 +86,7 @@ class Cut:
         needed = np.zeros(len(self.distinct), bool)
         needed[self.index[wanted]] = True
         self.wanted, self.place = wanted, np.cumsum(needed) - 1
-        return self.distinct.take(pa.array(np.flatnonzero(needed))).to_pylist()
+        return self.distinct.take(pa.array(np.flatnonzero(needed))).to_numpy(zero_copy_only=False).tolist()
 
     def joined(self, values: list[bytes]) -> list[bytes]:
         """For each text the values of its wanted pieces on end; ``values`` are those of ``texts_of``."""
