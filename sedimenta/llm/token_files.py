@@ -2,7 +2,8 @@
 
 A data set is a folder with, per part, ``part-NNNNN.bin`` (the ids, little-endian, two bytes each if the vocabulary
 has at most 65,536 ids and four otherwise), ``part-NNNNN.idx`` (64-bit offsets in ids where documents begin and, at
-the end, the number of ids) and ``part-NNNNN.ids`` (the 64-bit document ids), and ``manifest.json``, which comes
+the end, the number of ids) and ``part-NNNNN.ids`` (the 64-bit document ids; of no meaning in the first ``unnamed_parts`` parts, whose documents
+have none), and ``manifest.json``, which comes
 last. It names the parts in order, and how many documents and ids come before each: prefix sums of the parts' counts.
 
 Parts are ranges of document ids, each sorted and written by one task. A task writes to files of its own and renames
@@ -14,20 +15,25 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import uuid
 from collections.abc import Iterator
 from urllib.parse import unquote, urlparse
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sedimenta.llm.chunks import Cut, Recent, slices
 from sedimenta.llm.common import bounded_batches, col
 
-WORDS_KEPT = 1_000_000
-CHUNKS_KEPT = 200_000
 MARKS = ".,;:!?"
+# Letters that lower-casing keeps letters, each by itself.
+_PLAIN_LETTERS = "A-Za-zÀ-ÖØ-öø-įı-ʯ"
+# Words that the library reads at a time.
+_AT_ONCE = 1000
 MANIFEST = "manifest.json"
 
 
@@ -43,9 +49,11 @@ def encoded(df: DataFrame, tokenizer: str, end_id: int | None, text: str = "text
     """``key`` and ``ids`` (binary, unsigned little-endian) of each row, with ``end_id`` after the last id.
 
     ``tokenizer`` is the content of a file of the tokenizers library that puts texts in lower case, drops white space
-    and keeps letters apart from other signs, so that no token reaches over either. A text is then the sequence of its chunks between those,
-    and each word of letters is encoded once per task, or again after ``WORDS_KEPT`` others. A null text is empty. Special tokens in a text are read as the library
-    does by default, and none are added.
+    and keeps letters apart from other signs, so that no token reaches over either. A text is then the sequence of its
+    chunks between spaces, tabs and line breaks. A chunk of letters up to U+02AF, with a mark after them or without,
+    is read as letters and mark, any other one as it is. Each is encoded once per task, or again if it has not been
+    seen for long. A null text is empty. Special tokens in a text are read as the library does by default, and none
+    are added.
     """
     bounded_batches(df)
     return df.select(col(key).alias("doc_id"), F.arrow_udf(_encoding(tokenizer, end_id), "binary")(col(text)).alias("ids"))
@@ -61,26 +69,30 @@ def write(ids: DataFrame, keys: DataFrame, folder: str, width: int, parts: int |
     """Write ``ids`` (``doc_id``, ``ids``) to ``folder`` in ascending order of ``doc_id``; the manifest.
 
     ``keys`` holds the same ``doc_id`` and is cheaper to scan: it is only read for the bounds of the parts. Rows with
-    one id stay together, in the order of their ids' bytes. A null id is an error.
+    one id stay together, in the order of their ids' bytes. Rows without an id come first, in parts of their own,
+    as many as their share of the rows takes; the manifest says which.
     """
     path = shared_path(folder)
     os.makedirs(path, exist_ok=True)
     spark = ids.sparkSession
     parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    bounds = keys.agg(
-        F.percentile_approx("doc_id", [k / parts for k in range(1, parts)] or [0.5], 100 * parts).alias("b")
-    ).first()["b"]
-    bounds = sorted(set(bounds or []))
-    checked = F.when(F.col("doc_id").isNull(), F.raise_error("a document without id").cast("bigint"))
-    dealt = ids.select(checked.otherwise(F.col("doc_id")).alias("doc_id"), "ids")
-    dealt = dealt.withColumn("part", _place(bounds)(F.col("doc_id")))
-    ordered = dealt.repartitionById(len(bounds) + 1, "part").sortWithinPartitions("part", "doc_id", "ids")
+    found = keys.agg(
+        F.percentile_approx("doc_id", [k / parts for k in range(1, parts)] or [0.5], 100 * parts).alias("b"),
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if(F.col("doc_id").isNull()).alias("unnamed"),
+    ).first()
+    bounds = sorted(set(found["b"] or []))
+    unnamed = -(-found["unnamed"] * parts // max(1, found["rows"]))  # parts of rows without an id
+    spread = F.pmod(F.xxhash64("ids"), F.lit(max(1, unnamed))).cast("int")
+    place = _place(bounds)(F.coalesce(F.col("doc_id"), F.lit(0).cast("bigint"))) + unnamed
+    dealt = ids.withColumn("part", F.when(F.col("doc_id").isNull(), spread).otherwise(place).cast("int"))
+    ordered = dealt.repartitionById(len(bounds) + 1 + unnamed, "part").sortWithinPartitions("part", "doc_id", "ids")
     written = ordered.mapInArrow(_writing(path, width), "part int, documents bigint, tokens bigint")
     entries, documents, tokens = [], 0, 0
     for row in sorted(written.collect()):  # one row per part
         entries.append({"part": row.part, "documents": row.documents, "tokens": row.tokens, "documents_before": documents, "tokens_before": tokens})
         documents, tokens = documents + row.documents, tokens + row.tokens
-    manifest = {"width": width, "documents": documents, "tokens": tokens, "parts": entries}
+    manifest = {"width": width, "documents": documents, "tokens": tokens, "unnamed_parts": unnamed, "parts": entries}
     draft = f"{path}/.{MANIFEST}-{uuid.uuid4().hex}"
     with open(draft, "w") as out:
         json.dump(manifest, out)
@@ -100,7 +112,7 @@ def read(spark: SparkSession, folder: str) -> DataFrame:
     if not rows:
         return spark.createDataFrame([], "doc_id bigint, start bigint, n_tokens bigint, ids binary")
     parts = spark.createDataFrame(rows, "part int, before bigint").repartition(len(rows), "part")
-    return parts.mapInArrow(_reading(path, manifest["width"]), "doc_id bigint, start bigint, n_tokens bigint, ids binary")
+    return parts.mapInArrow(_reading(path, manifest["width"], manifest["unnamed_parts"]), "doc_id bigint, start bigint, n_tokens bigint, ids binary")
 
 
 def crc32(ids: str, width: int):
@@ -133,45 +145,65 @@ def _encoding(tokenizer: str, end_id: int | None):
         kind = "<u2" if library.get_vocab_size() <= 1 << 16 else "<u4"
         end = b"" if end_id is None else np.array([end_id], kind).tobytes()
         marks = {x: np.array(library.encode(x, add_special_tokens=False).ids, kind).tobytes() for x in MARKS}
-        marks[""] = b""
-        chunks: dict[str, bytes] = {"": b""}
-        words: dict[str, bytes] = {}
-
-        def learn(new: set[str]) -> None:
-            parts = {chunk: _parts(chunk) for chunk in new}
-            unknown = [x for x in {word for word, _ in parts.values()} if x not in words]
-            for word, code in zip(unknown, library.encode_batch_fast(unknown, add_special_tokens=False)):
-                words[word] = np.array(code.ids, kind).tobytes()
-            chunks.update((chunk, words[word] + marks[mark]) for chunk, (word, mark) in parts.items())
+        plain = re.compile(f"[{_PLAIN_LETTERS}]+").fullmatch
+        chunks = Recent()
+        last = _ends_word(library)
+
+        def learn(words: list[str]) -> None:
+            """Keep the ids of words of plain letters, which the library reads several at a time."""
+            for at in range(0, len(words), _AT_ONCE):
+                some = words[at : at + _AT_ONCE]
+                ids = np.array(library.encode(" ".join(some), add_special_tokens=False).ids, kind)
+                stops = np.flatnonzero(last[ids]) + 1
+                if len(stops) == len(some) and stops[-1] == len(ids):
+                    edges = [0, *(ids.itemsize * stops).tolist()]
+                    whole = ids.tobytes()
+                    found = [whole[a:b] for a, b in zip(edges[:-1], edges[1:])]
+                else:  # not a vocabulary in which each word has one last token
+                    found = [np.array(library.encode(x, add_special_tokens=False).ids, kind).tobytes() for x in some]
+                learned.update(zip(some, found))
+
+        def split(chunk: str) -> tuple[str, str]:
+            """What has the same ids as the chunk: plain letters and a mark after them, or the chunk as it is."""
+            return (chunk[:-1], chunk[-1]) if chunk[-1:] in marks and plain(chunk[:-1]) else (chunk, "")
 
         for texts in batches:
-            if len(chunks) > CHUNKS_KEPT:
-                chunks = {"": b""}
-            if len(words) > WORDS_KEPT:
-                words = {}
             done = []
-            for at in range(0, len(texts), 64):  # the chunks of few texts at a time are held as objects
-                some = texts.slice(at, 64).to_pylist()
-                rows = [x.replace("\n", " ").replace("\t", " ").split(" ") if x else [] for x in some]
-                found = [list(map(chunks.get, row)) for row in rows]
-                new = {x for row, got in zip(rows, found) if None in got for x, code in zip(row, got) if code is None}
-                if new:
-                    learn(new)
-                    found = [map(chunks.__getitem__, row) if None in got else got for row, got in zip(rows, found)]
-                done += [b"".join(got) + end for got in found]
+            for some in slices(texts):
+                pieces = Cut(pc.replace_substring(pc.replace_substring(some, "\n", " "), "\t", " "))
+                said = pieces.texts_of(np.ones(len(pieces.index), bool))
+                values = list(map(chunks.young.get, said))
+                learned: dict[str, bytes] = {}
+                unknown = []
+                for at in [at for at, value in enumerate(values) if value is None]:
+                    word, mark = split(said[at])
+                    known = chunks.get(word)
+                    if known is None:
+                        unknown.append((at, word, mark))
+                    else:
+                        values[at] = known + marks[mark] if mark else known
+                needed = {word: bool(plain(word)) for _, word, _ in unknown}
+                learn([word for word, is_plain in needed.items() if is_plain])
+                others = [word for word, is_plain in needed.items() if not is_plain]
+                for word, code in zip(others, library.encode_batch_fast(others, add_special_tokens=False)):
+                    learned[word] = np.array(code.ids, kind).tobytes()
+                for word, value in learned.items():
+                    chunks.put(word, value)
+                for at, word, mark in unknown:
+                    values[at] = learned[word] + marks[mark] if mark else learned[word]
+                done += [ids + end for ids in pieces.joined(values)]
             yield pa.array(done, pa.binary())
 
     return encode
 
 
-def _parts(chunk: str) -> tuple[str, str]:
-    """What has the same ids as the chunk: a word, and a mark after it.
-
-    Letters and a mark after them are always apart, and letters are put in lower case; outside ASCII that can depend on
-    neighbours, and what is not only letters can be a special token, so those chunks stay as they are.
-    """
-    word, mark = (chunk[:-1], chunk[-1]) if chunk[-1] in MARKS and chunk[:-1].isalpha() else (chunk, "")
-    return (word.lower() if word.isascii() and word.isalpha() else word), mark
+def _ends_word(library) -> np.ndarray:
+    """Of each id whether its token ends a word, by the suffix that the model gives such tokens."""
+    suffix = getattr(library.model, "end_of_word_suffix", None)
+    found = np.zeros(library.get_vocab_size(), bool)
+    if suffix:
+        found[[n for token, n in library.get_vocab().items() if token.endswith(suffix)]] = True
+    return found
 
 
 def _writing(path: str, width: int):
@@ -198,7 +230,7 @@ def _writing(path: str, width: int):
                     files = {kind: open(f"{path}/.part-{part:05d}.{kind}-{mark}", "wb") for kind in kinds}
                 files["bin"].write(ids)
                 offsets.append(offsets[-1] + len(ids) // width)
-                keys.append(key)
+                keys.append(0 if key is None else key)
         if part is not None:
             close()
         if done:
@@ -208,7 +240,7 @@ def _writing(path: str, width: int):
     return write_parts
 
 
-def _reading(path: str, width: int, at_once: int = 1000):
+def _reading(path: str, width: int, unnamed: int, at_once: int = 1000):
     def read_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, before in zip(batch["part"].to_pylist(), batch["before"].to_pylist()):
@@ -220,8 +252,9 @@ def _reading(path: str, width: int, at_once: int = 1000):
                     high = min(low + at_once, len(keys))
                     places = np.asarray(offsets[low : high + 1])
                     rows = [ids[width * a : width * b].tobytes() for a, b in zip(places[:-1], places[1:])]
-                    columns = [keys[low:high], places[:-1] + before, np.diff(places)]
-                    arrays = [*(pa.array(np.asarray(x), pa.int64()) for x in columns), pa.array(rows, pa.binary())]
+                    named = pa.nulls(high - low, pa.int64()) if part < unnamed else pa.array(np.asarray(keys[low:high]))
+                    columns = [places[:-1] + before, np.diff(places)]
+                    arrays = [named, *(pa.array(np.asarray(x), pa.int64()) for x in columns), pa.array(rows, pa.binary())]
                     yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "start", "n_tokens", "ids"])
 
     return read_parts

@@ -1,5 +1,6 @@
 import json
 import os
+import random
 import zlib
 
 import numpy as np
@@ -7,7 +8,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from sedimenta.llm import token_files
+from sedimenta.llm import chunks, token_files
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 TEXTS = [
@@ -57,9 +58,31 @@ def test_empty_table_and_null_ids(spark, content, tmp_path):
     empty = spark.createDataFrame([], "doc_id long, text string")
     token_files.write(token_files.encoded(empty, content, 1), empty, str(tmp_path / "none"), 2)
     assert token_files.read(spark, str(tmp_path / "none")).collect() == []
-    unnamed = spark.createDataFrame([(None, "x")], "doc_id long, text string")
-    with pytest.raises(Exception, match="without id"):
-        token_files.write(token_files.encoded(unnamed, content, 1), unnamed, str(tmp_path / "null"), 2)
+    rows = [(None, f"none {n}") for n in range(40)] + [(n, f"some {n}") for n in range(-3, 20)]
+    unnamed = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    for parts in (1, 6):
+        folder = str(tmp_path / f"null{parts}")
+        manifest = token_files.write(token_files.encoded(unnamed, content, 1), unnamed, folder, 2, parts)
+        found = token_files.read(spark, folder).collect()
+        assert manifest["unnamed_parts"] == (1 if parts == 1 else 4)
+        assert sorted((r.doc_id is not None, r.doc_id or 0) for r in found) == [(False, 0)] * 40 + [(True, n) for n in range(-3, 20)]
+        assert max(r.start for r in found if r.doc_id is None) < min(r.start for r in found if r.doc_id is not None)
+        ordered = sorted(found, key=lambda r: r.start)
+        assert all(a.start + a.n_tokens == b.start for a, b in zip(ordered, ordered[1:]))
+
+
+@pytest.mark.parametrize("kept,slice_bytes", [(80 << 20, 8 << 20), (2000, 200)])
+def test_random_texts(spark, content, monkeypatch, kept, slice_bytes):
+    monkeypatch.setattr(chunks, "KEPT_BYTES", kept)
+    monkeypatch.setattr(chunks, "SLICE_BYTES", slice_bytes)
+    monkeypatch.setattr(token_files, "_AT_ONCE", 7)
+    rng, library = random.Random(11), Tokenizer.from_file(PATH)
+    some = [*"aZéÉİıßŉǰΣςſʯʰªﬁﬀ日½٣.,;:!?'’-_<|>", "\u0301", "\u0307", "\u200d", "\xa0", "\x0b", "\n", "\t", " ", " ", " ", "ing", "The", "'s", "<|endoftext|>"]
+    texts = ["".join(rng.choices(some, k=rng.randint(0, 40))) for _ in range(3000)]
+    texts += ["İİ!", "日本語" * 7000, "İstanbul, İ. Aİ; é! " * 30, "abc" * 7000 + "."]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(2)
+    for row in token_files.encoded(df, content, None).collect():
+        assert np.frombuffer(row.ids, "<u2").tolist() == library.encode(texts[row.doc_id], add_special_tokens=False).ids, texts[row.doc_id][:50]
 
 
 def test_repeated_ids_stay(spark, content, tmp_path):
