@@ -24,12 +24,16 @@ def staging_folder(spark: SparkSession) -> str:
     """Where this application stages: below ``spark.checkpoint.dir``, or else the folder given to ``setCheckpointDir``.
 
     All executors must reach it. Without either there is an error, since any folder chosen
-    here might be local to one machine.
+    here might be local to one machine. It goes with ``clear_staged``, at the latest when the program ends.
     """
     folder = spark.conf.get(SETTING, None) or spark.sparkContext.getCheckpointDir()
     if not folder:
         raise ValueError(f"set {SETTING} to a folder that all executors share")
-    return f"{folder.rstrip('/')}/staged-{spark.sparkContext.applicationId}"
+    path = f"{folder.rstrip('/')}/staged-{spark.sparkContext.applicationId}"
+    if path not in _cleared_at_exit:
+        _cleared_at_exit.add(path)
+        atexit.register(_clear_quietly, spark, path)
+    return path
 
 
 def compact(df: DataFrame) -> DataFrame:
@@ -50,9 +54,6 @@ def staged(df: DataFrame, folder: str | None = None) -> DataFrame:
     spark = df.sparkSession
     if folder is None:
         folder = staging_folder(spark)
-        if folder not in _cleared_at_exit:
-            _cleared_at_exit.add(folder)
-            atexit.register(_clear_quietly, spark, folder)
     path = f"{folder}/{uuid.uuid4().hex}"
     compact(df).write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
