@@ -1,8 +1,6 @@
 from sedimenta.functions.exprs import (
-    MONEY,
     NULL_TOKENS,
     as_date,
-    as_money,
     null_tokens_to_null,
     or_default,
     percentage,
@@ -10,10 +8,8 @@ from sedimenta.functions.exprs import (
 )
 
 __all__ = [
-    "MONEY",
     "NULL_TOKENS",
     "as_date",
-    "as_money",
     "null_tokens_to_null",
     "or_default",
     "percentage",

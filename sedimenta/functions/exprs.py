@@ -32,10 +32,6 @@ NULL_TOKENS = (
     "null",
 )
 
-# Amounts are added up in this type. It holds the shortest decimal that reads back as a
-# double, noise of its arithmetic included, for any usual amount.
-MONEY = "decimal(38,18)"
-
 # year, month and day with the same separator, then an optional time of day
 _TIME = r"([01]?\d|2[0-3]):[0-5]?\d(:[0-5]?\d(\.\d*)?)?"
 _DATE_SHAPE = rf"^\s*\d+(-\d{{1,2}}-|/\d{{1,2}}/)\d{{1,2}}([ T]{_TIME})?\s*$"
@@ -73,15 +69,6 @@ def as_date(column: Column, strict: bool = True) -> Column:
     return F.coalesce(parsed, F.when(column.isNotNull(), F.raise_error(message).cast("date")))
 
 
-def as_money(column: Column) -> Column:
-    """The amount as a decimal with the same value; one that has more decimals, or is no
-    finite number within the type, fails the job and is never rounded."""
-    exact = column.try_cast(MONEY)
-    message = F.concat(F.lit(f"no {MONEY} holds the amount "), column.cast("string"))
-    refused = F.when(column.isNotNull(), F.raise_error(message).cast(MONEY))
-    return F.when(exact == column, exact).otherwise(refused)
-
-
 def round2(column: Column) -> Column:
     """Two decimals by scaling the double, half away from zero.
 

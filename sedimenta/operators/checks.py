@@ -7,6 +7,7 @@ their own (uniqueness, references) are separate branches of the same job.
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -23,7 +24,7 @@ from pyspark.errors import (
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sedimenta.functions import MONEY, as_money, percentage
+from sedimenta.functions import exact_sums, percentage
 
 CRITICAL = "critical"
 WARNING = "warning"
@@ -36,8 +37,8 @@ RESULT_SCHEMA = (
     "value double, passed boolean, status string, error string"
 )
 
-# Counts and totals of amounts, exactly.
-EXACT = MONEY
+# Counts and totals of amounts; a double holds any count below 2**53.
+VALUE = "double"
 
 Tables = Mapping[str, DataFrame]
 
@@ -58,10 +59,18 @@ DATA_ERRORS = (
 
 @dataclass(frozen=True)
 class Part:
-    """One aggregate over a table, or over a frame made from the tables."""
+    """One aggregate over a table, or over a frame made from the tables.
+
+    It is ``aggregate``, or the exact sum of the column ``exact``. Counts merge by addition; another aggregate needs a
+    ``merge`` of its own. ``refused`` counts the rows that the aggregate could not take, and ``example`` is one of them.
+    """
 
     over: str | Callable[[Tables], DataFrame]
-    aggregate: Column
+    aggregate: Column | None = None
+    exact: str | None = None
+    merge: Callable[[str], Column] = lambda name: _total_or_zero(F.col(name))
+    refused: Column | None = None
+    example: Column | None = None
 
     def frame(self, tables: Tables) -> DataFrame:
         return self.over(tables) if callable(self.over) else tables[self.over]
@@ -101,21 +110,30 @@ def not_empty(layer: str, name: str, table: str, **options) -> Check:
     return Check(layer, name, [Part(table, _rows())], lambda v: v > 0, on_null=ERROR, **options)
 
 
-def no_rows_where(layer: str, name: str, table: str, predicate: Column, **options) -> Check:
-    """No row meets the predicate; rows for which it is unknown do not count."""
-    return Check(layer, name, [Part(table, F.count_if(predicate))], _is_zero, **options)
+def no_rows_where(
+    layer: str, name: str, table: str, predicate: Column, columns: Sequence[str] = (), **options
+) -> Check:
+    """No row meets the predicate; rows for which it is unknown do not count.
+
+    Rows with values that the predicate cannot take are counted in the same scan and make the check an ERROR, with
+    ``columns`` of one of them as an example.
+    """
+    outcome = _tried(predicate)
+    example = F.min(F.when(outcome.isNull(), F.to_json(F.struct(*columns)))) if columns else None
+    part = Part(table, F.count_if(outcome == 1), refused=F.count_if(outcome.isNull()), example=example)
+    return Check(layer, name, [part], _is_zero, **options)
 
 
 def positive(layer: str, name: str, table: str, column: str, **options) -> Check:
-    return no_rows_where(layer, name, table, F.col(column) <= 0, **options)
+    return no_rows_where(layer, name, table, F.col(column) <= 0, [column], **options)
 
 
 def in_range(layer: str, name: str, table: str, column: str, low, high, **options) -> Check:
-    return no_rows_where(layer, name, table, (F.col(column) < low) | (F.col(column) > high), **options)
+    return no_rows_where(layer, name, table, (F.col(column) < low) | (F.col(column) > high), [column], **options)
 
 
 def in_order(layer: str, name: str, table: str, first: str, second: str, **options) -> Check:
-    return no_rows_where(layer, name, table, F.col(first) > F.col(second), **options)
+    return no_rows_where(layer, name, table, F.col(first) > F.col(second), [first, second], **options)
 
 
 def every_group_has(layer: str, name: str, table: str, count_column: str, n: int = 1, **options) -> Check:
@@ -164,9 +182,9 @@ def totals_reconcile(
 ) -> Check:
     """Two ``(table, column)`` totals differ by less than the tolerance.
 
-    A total over no rows is null, and the comparison is then an error.
+    Totals are exact sums, rounded once. A total over no rows is null, and the comparison is then an error.
     """
-    parts = [Part(table, F.sum(as_money(F.col(column)))) for table, column in (left, right)]
+    parts = [Part(table, exact=column) for table, column in (left, right)]
     return Check(
         layer,
         name,
@@ -190,6 +208,17 @@ def _is_zero(value: Column) -> Column:
     return value == 0
 
 
+def _tried(predicate: Column) -> Column:
+    """1, 0 or 2 for true, false or unknown, and null where the predicate raises an error.
+
+    Of the functions that try, the sum of a date and an interval is one that takes any error of its arguments, so the
+    outcome is passed through it as a date.
+    """
+    day = F.lit(datetime.date(2000, 1, 1))
+    coded = F.date_add(day, F.coalesce(predicate.cast("int"), F.lit(2)))
+    return F.datediff(F.try_add(coded, F.expr("INTERVAL '0' MONTH")), day)
+
+
 # ---- running ---------------------------------------------------------------------
 
 
@@ -197,7 +226,7 @@ def check_rows(tables: Tables, checks: Sequence[Check], spark: SparkSession | No
     """One lazy result row per check, in a single job.
 
     A check that cannot be planned, for a missing table or column, becomes an ERROR
-    row and the others go on.
+    row and the others go on. So does one that meets values its predicate cannot take.
     """
     planned, broken = _planned(tables, list(enumerate(checks)))
     if not broken:
@@ -209,7 +238,8 @@ def check_rows(tables: Tables, checks: Sequence[Check], spark: SparkSession | No
 def run_checks(tables: Tables, checks: Sequence[Check], spark: SparkSession | None = None) -> DataFrame:
     """Result rows, computed on call; an error in one check leaves the others alone.
 
-    All checks run as one job. If a check fails on the data, the halves run by
+    All checks run as one job, in which predicates that meet values they cannot take
+    become ERROR rows. If an aggregate of another kind fails on the data, the halves run by
     themselves, and so on, until the failing ones are alone and become ERROR rows. Other
     failures, of an executor or the storage, are not answers and end the run. Only result
     rows reach the driver, one per check.
@@ -255,13 +285,10 @@ def _results(tables: Tables, members: Sequence[tuple[int, Check]]) -> DataFrame:
             name = f"part_{position}_{i}"
             names.append(name)
             by_table.setdefault(part.over, []).append((name, part))
-    frames = [
-        parts[0][1].frame(tables).agg(*[part.aggregate.cast(EXACT).alias(name) for name, part in parts])
-        for parts in by_table.values()
-    ]
+    frames = [_computed(parts[0][1].frame(tables), parts) for parts in by_table.values()]
     gathered = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
     if len(frames) > 1:
-        gathered = gathered.agg(*[F.max(name).alias(name) for name in names])
+        gathered = gathered.agg(*[F.max(name).alias(name) for name in gathered.columns])
     judged = gathered.select(F.inline(F.array(*[_judged(position, check) for position, check in members])))
     unknown = F.col("outcome").isNull()
     return judged.select(
@@ -273,24 +300,53 @@ def _results(tables: Tables, members: Sequence[tuple[int, Check]]) -> DataFrame:
         "value",
         F.coalesce("outcome", F.lit(False)).alias("passed"),
         F.when(unknown, F.col("on_null")).when(F.col("outcome"), "PASS").otherwise(FAIL).alias("status"),
-        F.when(unknown & (F.col("on_null") == ERROR), "the value is null").alias("error"),
+        F.when(unknown & (F.col("on_null") == ERROR), F.coalesce("refusal", F.lit("the value is null"))).alias("error"),
     )
 
 
+def _computed(frame: DataFrame, parts: Sequence[tuple[str, Part]]) -> DataFrame:
+    """One row with all parts over one frame, in one scan of it, and with what they refused."""
+    exact = {name: F.col(part.exact) for name, part in parts if part.exact is not None}
+    own, merged = [], []
+    for name, part in parts:
+        if part.aggregate is not None:
+            own.append(part.aggregate.cast(VALUE).alias(name))
+            merged.append(part.merge(name).cast(VALUE).alias(name))
+        if part.refused is not None:
+            own.append(part.refused.alias(f"refused_{name}"))
+            merged.append(F.sum(f"refused_{name}").alias(f"refused_{name}"))
+        if part.example is not None:
+            own.append(part.example.alias(f"example_{name}"))
+            merged.append(F.min(f"example_{name}").alias(f"example_{name}"))
+    if not exact:
+        return frame.agg(*own)
+    # one row for each band of an exact sum, and then one
+    rows = exact_sums.with_digits(frame, exact).groupBy(*map(exact_sums.band, exact))
+    by_band = rows.agg(*own, *(column for name in exact for column in exact_sums.sums(name)))
+    return by_band.agg(*merged, *(exact_sums.total_of(name).alias(name) for name in exact))
+
+
 def _judged(position: int, check: Check) -> Column:
-    value = check.value(*[F.col(f"part_{position}_{i}") for i in range(len(check.parts))])
+    names = [f"part_{position}_{i}" for i in range(len(check.parts))]
+    value = check.value(*map(F.col, names))
+    guarded = [(name, part) for name, part in zip(names, check.parts) if part.refused is not None]
+    refused = reduce(lambda a, b: a + b, [F.coalesce(f"refused_{name}", F.lit(0)) for name, _ in guarded], F.lit(0))
+    value = F.when(refused == 0, value) if guarded else value
+    examples = [F.concat(F.lit(", such as "), F.col(f"example_{name}")) for name, part in guarded if part.example is not None]
+    refusal = F.concat(F.format_string("%d rows have values that the check cannot take", refused), F.coalesce(*examples, F.lit("")))
     known = {
         "position": position,
         "layer": check.layer,
         "name": check.name,
         "description": check.description,
         "severity": check.severity,
-        "on_null": check.on_null,
     }
     return F.struct(
         *[F.lit(constant).alias(name) for name, constant in known.items()],
+        F.when(refused > 0, ERROR).otherwise(check.on_null).alias("on_null"),
         value.cast("double").alias("value"),
         check.passes(value).alias("outcome"),
+        F.when(refused > 0, refusal).alias("refusal"),
     )
 
 

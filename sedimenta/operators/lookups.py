@@ -19,6 +19,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sedimenta.sources.staging import fingerprint
+
 BROADCAST_BYTES = 64 * 1024 * 1024
 
 # Tasks that a hot key is spread over for each even partition's worth of its rows.
@@ -36,7 +38,7 @@ _HOT_KEY = "_hot_key"
 _SALTS = "_salts"
 
 # What has been measured in this application, by the meaning of the plan.
-_measured: dict[tuple, object] = {}
+_measured: dict[tuple, tuple[int, object]] = {}
 
 
 def attach(
@@ -156,8 +158,10 @@ def _shuffle_partitions(df: DataFrame) -> int:
 
 
 def _once(df: DataFrame, what: tuple, measure: Callable[[], object]):
-    """A figure of ``df``, measured once per application for plans that mean the same."""
-    key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(), *what)
-    if key not in _measured:
-        _measured[key] = measure()
-    return _measured[key]
+    """A figure of ``df``, measured once per application for plans that mean the same and files that are the same."""
+    spark = df.sparkSession
+    key = (spark.sparkContext.applicationId, df.semanticHash(), *what)
+    state = fingerprint(spark, df.inputFiles())
+    if key not in _measured or _measured[key][0] != state:
+        _measured[key] = (state, measure())
+    return _measured[key][1]

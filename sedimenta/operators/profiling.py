@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sedimenta.functions import MONEY, percentage, round2
+from sedimenta.functions import exact_sums, percentage, round2
 from sedimenta.operators.quantiles import BAND_VALUES, exact_quantiles
 
 # Texts longer than this are compared by their SHA-256 digest. A marked digest is
@@ -76,25 +76,33 @@ def describe(df: DataFrame, names: Sequence[str], band_values: int = BAND_VALUES
     """Statistics of numeric columns, one row each, two decimals.
 
     ``(column, count, mean, std, min, q25, q50, q75, max)``: sample deviation, exact
-    quantiles with linear interpolation, searched for on call. The mean comes from an
-    exact sum if the type of amounts holds all values, and otherwise from a sum of doubles.
+    quantiles with linear interpolation, searched for on call. Mean and deviation come from
+    exact sums, of the values and of their distances from the median and the squares of
+    those, so they are the same however the rows are partitioned.
     """
     if not names:
         raise ValueError("no columns to describe")
     values = df.select(*[_present(df, name).cast("double").alias(f"v{i}") for i, name in enumerate(names)])
     found = exact_quantiles(values, values.columns, QUARTILES, band_values)
     quartiles = [F.array(*[F.lit(q).cast("double") for q in of_column]) for of_column in found]
-    fields = []
-    for i, quartile in enumerate(quartiles):
-        value = f"v{i}"
-        fields += [
-            F.count(value).alias(f"count{i}"),
-            _mean(F.col(value)).alias(f"mean{i}"),
-            F.stddev_samp(value).alias(f"std{i}"),
-            F.min(value).alias(f"min{i}"),
-            quartile.alias(f"quartiles{i}"),
-            F.max(value).alias(f"max{i}"),
-        ]
+    exact, own, merged = {}, [], []
+    for i, (quartile, (_, median, _)) in enumerate(zip(quartiles, found)):
+        value = F.col(f"v{i}")
+        distance = value - F.lit(median).cast("double")
+        exact |= {f"sum{i}": value, f"distances{i}": distance, f"squares{i}": distance * distance}
+        own += [F.count(value).alias(f"count{i}"), F.min(value).alias(f"min{i}"), F.max(value).alias(f"max{i}")]
+        merged += [F.sum(f"count{i}").alias(f"count{i}"), F.min(f"min{i}").alias(f"min{i}"), F.max(f"max{i}").alias(f"max{i}")]
+        merged.append(quartile.alias(f"quartiles{i}"))
+    by_band = exact_sums.with_digits(values, exact).groupBy(*map(exact_sums.band, exact))
+    by_band = by_band.agg(*own, *(part for name in exact for part in exact_sums.sums(name)))
+    whole = by_band.agg(*merged, *(part for name in exact for part in exact_sums.gathered(name)))
+    moments = {}
+    for i in range(len(names)):
+        n = F.col(f"count{i}").cast("double")
+        distances, squares = exact_sums.total(f"distances{i}"), exact_sums.total(f"squares{i}")
+        moments[f"mean{i}"] = F.try_divide(exact_sums.total(f"sum{i}"), n)
+        moments[f"std{i}"] = F.when(n > 1, F.sqrt((squares - distances * distances / n) / (n - 1)))
+    whole = whole.withColumns({f"count{i}": F.coalesce(f"count{i}", F.lit(0)) for i in range(len(names))}).withColumns(moments)
     described = [
         F.struct(
             F.lit(name).alias("column"),
@@ -105,13 +113,7 @@ def describe(df: DataFrame, names: Sequence[str], band_values: int = BAND_VALUES
         )
         for i, name in enumerate(names)
     ]
-    return values.agg(*fields).select(F.inline(F.array(*described)))
-
-
-def _mean(value: Column) -> Column:
-    exact = value.try_cast(MONEY)
-    inexact = F.count_if(value.isNotNull() & ~F.coalesce(exact == value, F.lit(False)))
-    return F.when(inexact == 0, F.try_divide(F.sum(exact).cast("double"), F.count(value).cast("double"))).otherwise(F.avg(value))
+    return whole.select(F.inline(F.array(*described)))
 
 
 def value_counts(df: DataFrame, names: Sequence[str]) -> DataFrame:

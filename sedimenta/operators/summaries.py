@@ -14,17 +14,21 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sedimenta.functions import as_money, percentage, round2
+from sedimenta.functions import exact_sums, percentage, round2
 from sedimenta.operators.lookups import attach
 
 
 @dataclass(frozen=True)
 class Measure:
-    """Aggregates over rows, how two results of each merge, and the value they give."""
+    """Aggregates over rows, how two results of each merge, and the value they give.
+
+    With ``exact``, the name of a column, the last argument of ``value`` is its exact sum.
+    """
 
     parts: Sequence[Column]
     merge: Callable[[str], Column]
     value: Callable[..., Column] = lambda part: part
+    exact: str | None = None
 
 
 def rows() -> Measure:
@@ -43,13 +47,13 @@ def share_where(predicate: Column) -> Measure:
 
 
 def total(column: str) -> Measure:
-    """Sum of an amount, added up in decimals."""
-    return Measure([F.sum(as_money(F.col(column)))], F.sum, lambda amount: amount.cast("double"))
+    """Exact sum of an amount, rounded to a double once."""
+    return Measure([], F.sum, exact=column)
 
 
 def mean_money(column: str) -> Measure:
     """Mean of an amount from the exact sum, two decimals."""
-    return Measure([F.sum(as_money(F.col(column))), F.count(column)], F.sum, _mean)
+    return Measure([F.count(column)], F.sum, lambda n, amount: _mean(amount, n), exact=column)
 
 
 def mean_whole(column: str) -> Measure:
@@ -90,7 +94,8 @@ def summarise(df: DataFrame, spec: Summary) -> DataFrame:
 def grouped(df: DataFrame, spec: Summary) -> DataFrame:
     """The summary without its order, for storing."""
     keys = [expr.alias(name) for name, expr in spec.keys.items()]
-    return _finished(_with_required(df, spec).groupBy(*keys).agg(*_parts(spec)), spec)
+    reduced = _prepared(df, spec).groupBy(*keys, *_bands(spec)).agg(*_parts(spec))
+    return _finished(_gathered(reduced, spec), spec)
 
 
 def grouped_before_attach(df: DataFrame, spec: Summary, lookup: DataFrame, key: str, **join_options) -> DataFrame:
@@ -101,14 +106,12 @@ def grouped_before_attach(df: DataFrame, spec: Summary, lookup: DataFrame, key:
     row. No measure may read a column of ``lookup``.
     """
     own = [expr.alias(name) for name, expr in spec.keys.items() if name not in lookup.columns or name == key]
-    reduced = _with_required(df, spec).groupBy(*own).agg(*_parts(spec))
+    reduced = _prepared(df, spec).groupBy(*own, *_bands(spec)).agg(*_parts(spec))
+    # a key has a row for each band of an exact sum, which are few
     joined = attach(reduced, lookup, key, one_row_per_key=len(own) == 1, **join_options)
-    merged = [
-        measure.merge(_part(name, i)).alias(_part(name, i))
-        for name, measure in spec.measures.items()
-        for i in range(len(measure.parts))
-    ]
-    return _finished(joined.groupBy(*spec.keys).agg(*merged), spec)
+    exact = [part for name in _exact(spec) for part in exact_sums.merged(name)]
+    merged = joined.groupBy(*spec.keys, *_bands(spec)).agg(*_merged(spec), *exact)
+    return _finished(_gathered(merged, spec), spec)
 
 
 def ordered(summary: DataFrame, spec: Summary) -> DataFrame:
@@ -124,10 +127,43 @@ def _with_required(df: DataFrame, spec: Summary) -> DataFrame:
     return df
 
 
+def _exact(spec: Summary) -> dict[str, Column]:
+    """The columns with exact sums, each once."""
+    return {f"_{m.exact}": F.col(m.exact) for m in spec.measures.values() if m.exact is not None}
+
+
+def _bands(spec: Summary) -> list[str]:
+    return [exact_sums.band(name) for name in _exact(spec)]
+
+
+def _prepared(df: DataFrame, spec: Summary) -> DataFrame:
+    exact = _exact(spec)
+    rows = _with_required(df, spec)
+    return exact_sums.with_digits(rows, exact) if exact else rows
+
+
 def _parts(spec: Summary) -> list[Column]:
-    return [
+    parts = [
         part.alias(_part(name, i)) for name, measure in spec.measures.items() for i, part in enumerate(measure.parts)
     ]
+    return [*parts, *(part for name in _exact(spec) for part in exact_sums.sums(name))]
+
+
+def _merged(spec: Summary) -> list[Column]:
+    return [
+        measure.merge(_part(name, i)).alias(_part(name, i))
+        for name, measure in spec.measures.items()
+        for i in range(len(measure.parts))
+    ]
+
+
+def _gathered(reduced: DataFrame, spec: Summary) -> DataFrame:
+    """One row per group from one for each of its bands; there is a single band unless amounts differ extremely."""
+    exact = _exact(spec)
+    if not exact:
+        return reduced
+    every = [part for name in exact for part in exact_sums.gathered(name)]
+    return reduced.groupBy(*spec.keys).agg(*_merged(spec), *every)
 
 
 def _part(name: str, i: int) -> str:
@@ -136,7 +172,10 @@ def _part(name: str, i: int) -> str:
 
 def _finished(parts: DataFrame, spec: Summary) -> DataFrame:
     values = [
-        measure.value(*[F.col(_part(name, i)) for i in range(len(measure.parts))]).alias(name)
+        measure.value(
+            *[F.col(_part(name, i)) for i in range(len(measure.parts))],
+            *([] if measure.exact is None else [exact_sums.total(f"_{measure.exact}")]),
+        ).alias(name)
         for name, measure in spec.measures.items()
     ]
     return parts.select(*spec.keys, *values)

@@ -166,6 +166,19 @@ def _non_null(table: str, columns: list[str]) -> str:
     )
 
 
+# The engines' names of the same types.
+_TYPE = """CASE typeof({0}) WHEN 'VARCHAR' THEN 'string' WHEN 'TIMESTAMP' THEN 'timestamp_ntz'
+           ELSE lower(typeof({0})) END"""
+
+
+def _typed(table: str, columns: list[str]) -> str:
+    kinds = " UNION ALL ".join(
+        f"""SELECT {i} AS position, (SELECT {_TYPE.format(column)} FROM {table} LIMIT 1) AS type"""
+        for i, column in enumerate(columns)
+    )
+    return f"""SELECT position, "column", type, non_null FROM ({_non_null(table, columns)}) JOIN ({kinds}) USING (position)"""
+
+
 _ORDER_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
 _CUSTOMER_COLUMNS = ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"]
 _PART_COLUMNS = ["p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice"]
@@ -242,6 +255,14 @@ ORACLE_SQL: dict[str, str] = {
                      ROUND(CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(l_tax AS DECIMAL(4,2)), 3) AS tax
               FROM lineitem)
         GROUP BY 1 ORDER BY 1""",
+    # exact sums of binary numbers, as integers of 2**-63
+    "gold_fee_by_flag": """
+        SELECT l_returnflag AS claim_status, COUNT(*) AS total_claims, total / 9223372036854775808.0 AS total_fee,
+               ROUND(total / 9223372036854775808.0 / COUNT(fee), 2) AS avg_fee, MAX(fee) AS max_fee
+        FROM (SELECT l_returnflag, fee,
+                     CAST(SUM(CAST(fee * 9223372036854775808.0 AS HUGEINT)) OVER (PARTITION BY l_returnflag) AS DOUBLE) AS total
+              FROM (SELECT l_returnflag, l_extendedprice / 300 AS fee FROM lineitem))
+        GROUP BY l_returnflag, total ORDER BY 1""",
     "dq_volume": _outcome("claims_row_count", "agents_row_count", "vendors_row_count"),
     "dq_nonempty": _outcome("state_summary_nonempty"),
     "dq_uniqueness": _outcome("order_id_unique", "line_order_unique"),
@@ -266,7 +287,7 @@ ORACLE_SQL: dict[str, str] = {
                  FROM results)""",
     "report_flatten": _results(*_RULES) + _LABELLED,
     "profile_shape": "SELECT COUNT(*) AS n_rows, 6 AS n_columns FROM orders",
-    "profile_columns": _non_null("orders", _ORDER_COLUMNS),
+    "profile_columns": _typed("orders", _ORDER_COLUMNS),
     "profile_nulls": "SELECT * FROM ("
     + " UNION ALL ".join(
         f"""SELECT '{name}' AS "column", COUNT(*) - COUNT({value}) AS null_count,

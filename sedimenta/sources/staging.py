@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import atexit
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from functools import wraps
 
 from py4j.protocol import Py4JError, Py4JNetworkError
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 SETTING = "spark.checkpoint.dir"
 
@@ -59,21 +60,37 @@ def staged(df: DataFrame, folder: str | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def once_per_run(build: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-    """``build`` is called once per application and folder; later calls read what it staged.
+def fingerprint(spark: SparkSession, paths: Sequence[str]) -> int:
+    """A number that changes with the files below ``paths``: with their names, lengths or times of modification.
 
-    A run is one application: tables that change under the same folder are seen by the next.
+    No file is read, and one row reaches the driver.
     """
-    built: dict[tuple[str, str], DataFrame] = {}
+    if not paths:
+        return 0
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(list(paths))
+    mark = F.xxhash64("path", "length", "modificationTime")
+    found = listed.agg(F.count(F.lit(1)).alias("files"), F.bit_xor(mark).alias("mark")).first()
+    return hash((found["files"], found["mark"]))
 
-    @wraps(build)
-    def stored(spark: SparkSession, folder: str) -> DataFrame:
-        key = (spark.sparkContext.applicationId, folder)
-        if key not in built:
-            built[key] = build(spark, folder)
-        return built[key]
 
-    return stored
+def once_for_inputs(*tables: str):
+    """A builder is called once per application and state of the ``tables`` of its folder; later calls read what it
+    staged. When one of their files changes, it is called anew."""
+
+    def wrapped(build: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+        built: dict[tuple, tuple[int, DataFrame]] = {}
+
+        @wraps(build)
+        def stored(spark: SparkSession, folder: str) -> DataFrame:
+            key = (spark.sparkContext.applicationId, folder)
+            state = fingerprint(spark, [f"{folder}/{name}.parquet" for name in tables])
+            if key not in built or built[key][0] != state:
+                built[key] = (state, build(spark, folder))
+            return built[key][1]
+
+        return stored
+
+    return wrapped
 
 
 def clear_staged(spark: SparkSession, folder: str | None = None) -> None:

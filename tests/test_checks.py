@@ -98,6 +98,35 @@ def test_a_check_that_fails_at_run_time_leaves_the_others_alone(tables):
     good = dq.row_count_at_least("bronze", "rows", "claims", 1)
     rows = run_checks(tables, [bad, good]).collect()
     assert [(row["name"], row["status"]) for row in rows] == [("bad_cast", "ERROR"), ("rows", "PASS")]
+    assert "rows have values that the check cannot take" in rows[0]["error"]
+
+
+def test_values_that_a_predicate_cannot_take_need_no_second_scan(spark, monkeypatch):
+    data = [("1", "2020-01-01", 5.0), ("x", "2020-01-02", 7.0), (None, "none", None), ("0", None, 1e25)]
+    frame = spark.createDataFrame(data, "amount string, day string, price double")
+    checks = [
+        dq.positive("l", "amount", "t", "amount"),
+        dq.no_rows_where("l", "day", "t", F.col("day").cast("date").isNull(), ["day"]),
+        dq.no_rows_where("l", "price", "t", F.col("price") < 0),
+        dq.totals_reconcile("l", "total", ("t", "price"), ("t", "price")),
+        dq.row_count_at_least("l", "rows", "t", 4),
+    ]
+    lazy = check_rows({"t": frame}, checks).collect()
+    monkeypatch.setattr("sedimenta.operators.checks.DATA_ERRORS", ())  # nothing is tried again
+    rows = run_checks({"t": frame}, checks).collect()
+    assert [tuple(r) for r in rows] == sorted(tuple(r) for r in lazy)
+    assert [(r["status"], r["value"]) for r in rows] == [("ERROR", None), ("ERROR", None), ("PASS", 0.0), ("PASS", 0.0), ("PASS", 4.0)]
+    assert rows[0]["error"] == '1 rows have values that the check cannot take, such as {"amount":"x"}'
+    assert rows[1]["error"] == '1 rows have values that the check cannot take, such as {"day":"none"}'
+    nothing = run_checks({"t": frame.limit(0)}, checks).collect()
+    assert [r["status"] for r in nothing] == ["PASS", "PASS", "PASS", "ERROR", "FAIL"]
+
+
+def test_aggregates_of_other_kinds_are_still_isolated(tables):
+    part = dq.Part("claims", F.sum(F.col("id").cast("int")))
+    bad = dq.Check("silver", "bad_sum", [part], lambda v: v == 0)
+    rows = run_checks(tables, [bad, dq.row_count_at_least("bronze", "rows", "claims", 1)]).collect()
+    assert [(row["name"], row["status"]) for row in rows] == [("bad_sum", "ERROR"), ("rows", "PASS")]
     assert "CAST_INVALID_INPUT" in rows[0]["error"]
 
 
