@@ -163,7 +163,12 @@ def _gathered(reduced: DataFrame, spec: Summary) -> DataFrame:
     if not exact:
         return reduced
     every = [part for name in exact for part in exact_sums.gathered(name)]
-    return reduced.groupBy(*spec.keys).agg(*_merged(spec), *every)
+    whole = reduced.groupBy(*spec.keys).agg(*_merged(spec), *every)
+    return whole.withColumns({_total(name): exact_sums.total(name) for name in exact})
+
+
+def _total(name: str) -> str:
+    return f"{name}__total"
 
 
 def _part(name: str, i: int) -> str:
@@ -174,7 +179,7 @@ def _finished(parts: DataFrame, spec: Summary) -> DataFrame:
     values = [
         measure.value(
             *[F.col(_part(name, i)) for i in range(len(measure.parts))],
-            *([] if measure.exact is None else [exact_sums.total(f"_{measure.exact}")]),
+            *([] if measure.exact is None else [F.col(_total(f"_{measure.exact}"))]),
         ).alias(name)
         for name, measure in spec.measures.items()
     ]

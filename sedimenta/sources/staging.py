@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import atexit
+import re
 import uuid
 from collections.abc import Callable, Sequence
 from functools import wraps
+from urllib.parse import unquote
 
 from py4j.protocol import Py4JError, Py4JNetworkError
 from pyspark.sql import DataFrame, SparkSession
@@ -18,6 +20,9 @@ SETTING = "spark.checkpoint.dir"
 FILES_PER_CORE = 4
 PARTITIONS_PER_FILE = 8
 
+FILES_LOOKED_UP = 32
+_URI = re.compile("[a-z][a-z0-9+.-]*:/")
+
 _cleared_at_exit: set[str] = set()
 
 
@@ -63,16 +68,27 @@ def staged(df: DataFrame, folder: str | None = None) -> DataFrame:
 def fingerprint(spark: SparkSession, paths: Sequence[str]) -> int:
     """A number that changes with the files below ``paths``: with their names, lengths or times of modification.
 
-    No file is read, and one row reaches the driver.
+    No file is read. A few files are looked up one by one; many, or folders, are listed in a job that gives one row.
     """
-    if not paths:
-        return 0
-    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(list(paths))
+    # Spark names the files of a frame by URI
+    paths = [unquote(path) if _URI.match(path) else path for path in paths]
+    if len(paths) <= FILES_LOOKED_UP:
+        states = [_state(spark, path) for path in paths]
+        if None not in states:
+            return hash(frozenset(states))
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths)
     mark = F.xxhash64("path", "length", "modificationTime")
     found = listed.agg(F.count(F.lit(1)).alias("files"), F.bit_xor(mark).alias("mark")).first()
     return hash((found["files"], found["mark"]))
 
 
+def _state(spark: SparkSession, path: str) -> tuple[str, int, int] | None:
+    """Name, length and time of a file; nothing for a folder."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    status = place.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(place)
+    return None if status.isDirectory() else (path, status.getLen(), status.getModificationTime())
+
+
 def once_for_inputs(*tables: str):
     """A builder is called once per application and state of the ``tables`` of its folder; later calls read what it
     staged. When one of their files changes, it is called anew."""
