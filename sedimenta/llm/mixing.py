@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sedimenta.llm.common import WORD, col, staged
+from sedimenta.llm.common import WORD, col, staged, unused
 
 SHARD_ROWS = 50_000
 BLOCK_WORDS = 8
@@ -82,6 +82,56 @@ def mixed(
     return full.select("key", "source", "size", "source_size", "target", _taken(seed, block_words).alias("taken"))
 
 
+def repeated(df: DataFrame, text: str = "text", source: str = "source", **options) -> DataFrame:
+    """The rows of ``df`` in the mix, each whole and as often as the mix takes it; ``options`` are those of ``mixed``.
+
+    What is left over when a row's share is made a whole number goes to the next row of its source, from short to long
+    ones, and from shard to shard. A source thus comes within about a document of its target per shard, and one with a
+    target above zero always has a row. No row comes more than ``most`` times. Rows are told apart by all their
+    columns, so ids may repeat or be null; of rows equal in all columns it is open which are taken. Texts without
+    words are not taken. All columns stay, whatever their names.
+    """
+    own, times, rows = unused(df, "_row", "_times", "_rows")
+    marked = df.withColumn(own, _identity(df))
+    shares = mixed(sized(marked, text, own, source), **options)
+    share = F.coalesce(F.try_divide("taken", "size"), F.lit(0.0))
+    shares = shares.select("key", "source", "size", share.alias("share"))
+    shards = -(-df.count() // options.get("shard_rows", SHARD_ROWS)) or 1
+    shard = F.pmod(F.xxhash64(F.lit("share"), F.col("key")), F.lit(shards))
+    shares = staged(shares.withColumn("shard", shard))
+    by_shard = shares.groupBy("source", "shard").agg(F.sum("share").alias("shares"))
+    before = Window.partitionBy("source").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = by_shard.select(
+        F.col("source").alias("of"), F.col("shard").alias("at"), F.coalesce(F.sum("shares").over(before), F.lit(0.0)).alias("offset")
+    )
+    same = shares["source"].eqNullSafe(offsets["of"]) & (shares["shard"] == offsets["at"])
+    window = Window.partitionBy("source", "shard").orderBy("size", "key").rowsBetween(Window.unboundedPreceding, 0)
+    upto = F.col("offset") + F.sum("share").over(window)
+    noise = 1e-6  # of the sums
+    whole = (F.ceil(upto - noise) - F.ceil(upto - F.col("share") - noise)).cast("int")
+    counted = shares.join(offsets, same).withColumn(times, F.least(whole, F.lit(options.get("most", 2))))
+    keyed = staged(
+        counted.groupBy("key").agg(F.sum(times).cast("int").alias(times), F.count(F.lit(1)).cast("int").alias(rows))
+    ).filter(F.col(times) > 0).withColumnRenamed("key", own)
+    joined = marked.join(keyed, own)
+    # rows that are equal share their number; what cannot be divided goes to one of them
+    each = F.floor(F.col(times) / F.col(rows)).cast("int")
+    parts = [joined.withColumn(times, each).filter(F.col(times) > 0)]
+    again = keyed.filter(F.col(rows) > 1)
+    if not again.isEmpty():
+        left = marked.join(again, own, "left_semi").dropDuplicates([own]).join(again, own)
+        parts.append(left.withColumn(times, F.col(times) % F.col(rows)).filter(F.col(times) > 0))
+    every = [part.withColumn(times, F.explode(F.sequence(F.lit(1), F.col(times)))).select(*map(col, df.columns)) for part in parts]
+    return every[0] if len(every) == 1 else every[0].union(every[1])
+
+
+def _identity(df: DataFrame) -> Column:
+    """Two hashes of all columns of a row; nulls count by their place."""
+    nulls = F.concat(F.lit(""), *(F.when(col(x).isNull(), "1").otherwise("0") for x in df.columns))
+    values = [F.to_json(F.struct(col(x))) if "map<" in kind else col(x) for x, kind in df.dtypes]
+    return F.struct(*(F.xxhash64(F.lit(seed), nulls, *values).alias(f"h{seed}") for seed in (1, 2)))
+
+
 def _shard(sizes: DataFrame, seed: int, shard_rows: int) -> Column:
     """All sources use the same number of shards, so a source with a third of the rows has as many as any."""
     shards = -(-sizes.count() // shard_rows) or 1

@@ -100,3 +100,22 @@ def test_query(spark):
     from types import SimpleNamespace
 
     check(rows, [SimpleNamespace(**r.asDict(), source=source[r.key]) for r in found], 8)
+
+
+def test_repeated_rows_come_near_the_targets(spark):
+    """One-document sources, one id on many rows, null ids, equal rows, texts without words."""
+    rows = [(None if n % 3 == 0 else 7, " ".join(["w"] * (1 + n % 40)), f"s{n % 4}", n) for n in range(1200)]
+    rows += [(1, "w " * 100_00, "single", 0), (2, "word", "z", 5), (2, "word", "z", 5), (2, "word", "z", 5), (3, None, "empty", 1), (4, " ", None, 1)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, _times int").repartition(4)
+    found = mixing.repeated(df, shard_rows=100)
+    assert found.columns == df.columns
+    taken = [(r.source, len(r.text.split())) for r in found.collect()]
+    sums = mixing.mixed(mixing.sized(df), shard_rows=100).groupBy("source").agg(F.first("target").alias("t"), F.max("size").alias("m")).collect()
+    for row in sums:
+        words = sum(n for source, n in taken if source == row.source)
+        # a document per shard, of which there are 13
+        assert abs(words - row.t) <= (row.m if row.source == "single" else 13 * row.m), row
+        assert words > 0 or row.t == 0
+    most = max(v for v in Counter((r.doc_id, r.text, r.source, r["_times"]) for r in found.collect()).values())
+    assert most <= 6  # three equal rows, twice each
+    assert mixing.repeated(df.limit(0)).collect() == []

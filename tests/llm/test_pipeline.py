@@ -2,15 +2,18 @@ import hashlib
 import os
 import sys
 from collections import Counter
+from functools import reduce
 
 import numpy as np
 import public_tokenizers
 import tiktoken
+from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
 
 import corpus_pipeline  # noqa: E402
 from sedimenta.llm import bpe  # noqa: E402
+from sedimenta.llm.common import staged  # noqa: E402
 
 FOLDER = "/root/testdata/sf0.001"
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -72,3 +75,17 @@ def test_run_is_the_stages_in_order_and_repeats(spark):
 def test_empty_table(spark, tmp_path):
     spark.read.parquet(f"{FOLDER}/documents.parquet").limit(0).write.parquet(f"{tmp_path}/documents.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
+
+
+def test_other_columns_and_null_ids_go_through_all_stages(spark):
+    names = ["_language", "_share", "keep_id", "group_size", "text_sha256", "_times", "_key", "_copy", "_Row", "size", "a.b"]
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    docs = docs.withColumn("doc_id", F.when(F.col("doc_id") % 3 > 0, F.col("doc_id")))
+    docs = docs.select("*", *(F.concat(F.lit(f"{n} "), F.xxhash64("text").cast("string")).alias(n) for n in names))
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        after = staged(stage(spark, docs, FOLDER))
+        assert after.columns == docs.columns and 0 < after.count()
+        docs = after
+    wrong = [F.col(f"`{n}`") != F.concat(F.lit(f"{n} "), F.xxhash64("text").cast("string")) for n in names]
+    assert docs.filter(reduce(lambda a, b: a | b, wrong)).isEmpty()
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, FOLDER).count() == docs.count()
