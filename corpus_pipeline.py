@@ -6,7 +6,7 @@ the id, the ids of the tokens and their number.
 
 from __future__ import annotations
 
-from functools import reduce
+from functools import reduce, wraps
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
@@ -15,10 +15,30 @@ from pyspark.sql import functions as F
 from sedimenta.llm import bpe, exact_dedup, language_id, mixing, simhash
 from sedimenta.llm.common import col, staged
 
+# The columns of ``documents``.
+COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+_OTHERS = "_other_columns_of_documents"
+
 # A text is rejected if it has no letter, or if its most common language has less than this part of its letters.
 LEAST_SHARE = 0.5
 
 
+def _any_columns(stage):
+    """The stage sees the columns of ``documents``; others go with their rows, whatever their names."""
+
+    @wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        others = [x for x in docs.columns if x not in COLUMNS]
+        if not others:
+            return stage(spark, docs, sf_dir)
+        own = [x for x in docs.columns if x in COLUMNS]
+        found = stage(spark, docs.select(*map(col, own), F.struct(*map(col, others)).alias(_OTHERS)), sf_dir)
+        return found.select(*(F.col(_OTHERS).getField(x).alias(x) if x in others else col(x) for x in docs.columns))
+
+    return run_stage
+
+
+@_any_columns
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in one language: others have no letters or no language with at least half of them.
 
@@ -33,32 +53,32 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return found.filter(has_letters & (F.col("_share") >= least)).select(*map(col, docs.columns))
 
 
+@_any_columns
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts the document with the largest id."""
+    """Of equal texts the document with the largest id, null being the least; of rows with that id and text one."""
     return exact_dedup.deduplicated(docs, keep="largest")
 
 
+@_any_columns
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of linked fingerprints the document with the smallest id."""
     return simhash.near_deduplicated(docs, shingle=3, distance=2)
 
 
+@_any_columns
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it: its words taken by its size, rounded.
+    """Each document whole, as often as the mix takes it: none, once or twice.
 
-    A document of which the mix takes less than half is left out, one that is taken whole twice is there twice.
+    Documents are rows, so null and repeated ids are documents of their own. Those without words are not taken.
     """
-    taken = staged(mixing.mixed(mixing.sized(docs)).select("key", "source", "size", "taken"))
-    times = F.coalesce(F.round(F.try_divide("taken", "size")), F.lit(0)).cast("int")
-    shares = taken.select(F.col("key").alias("_key"), times.alias("_times")).groupBy("_key").agg(
-        F.max("_times").alias("_times")
-    )
-    kept = docs.join(shares.filter(F.col("_times") > 0), col("doc_id").eqNullSafe(F.col("_key")))
-    return kept.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(*map(col, docs.columns))
+    return mixing.repeated(docs)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """``doc_id``, ``n_tokens`` and ``ids`` (little-endian unsigned 32-bit integers) of each document."""
+    """``doc_id``, ``n_tokens`` and ``ids`` (little-endian unsigned 32-bit integers) of each document.
+
+    Every row is encoded, also with a null or repeated id; null and empty texts have no ids.
+    """
     tokenizer = bpe.tokenizer(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
     texts = bpe.fewer_partitions(docs.select("doc_id", "text"))
     return tokenizer.encode(texts, "text", keep_text=False).select(
