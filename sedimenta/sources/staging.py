@@ -70,6 +70,8 @@ def fingerprint(spark: SparkSession, paths: Sequence[str]) -> int:
 
     No file is read. A few files are looked up one by one; many, or folders, are listed in a job that gives one row.
     """
+    if not paths:
+        return 0
     # Spark names the files of a frame by URI
     paths = [unquote(path) if _URI.match(path) else path for path in paths]
     if len(paths) <= FILES_LOOKED_UP:
