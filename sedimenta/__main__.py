@@ -9,15 +9,18 @@ from pyspark.sql import SparkSession
 from sedimenta.operators.reporting import labelled, overall_summary, summary_line
 from sedimenta.plans import insurance
 from sedimenta.sources import Warehouse
+from sedimenta.sources.delimited import SPLIT
 
 STEPS = ("bronze", "silver", "gold", "quality")
 
 
-def multi_line(single: list[str] | None) -> dict[str, bool]:
-    """Which sources may hold line breaks, from the sources named to hold none."""
-    if single is None:
-        return {}
-    return {source: False for source in single or insurance.SOURCE_FILES}
+def multi_line(single: list[str] | None, split: list[str] | None = None) -> dict[str, bool | str]:
+    """How sources are read that are named to hold no line breaks, or to be read in splits with them."""
+    asked = {}
+    for how, named in ((SPLIT, split), (False, single)):
+        if named is not None:
+            asked |= {source: how for source in named or insurance.SOURCE_FILES}
+    return asked
 
 
 def main(arguments: list[str] | None = None) -> None:
@@ -31,6 +34,12 @@ def main(arguments: list[str] | None = None) -> None:
         choices=insurance.SOURCE_FILES,
         help="sources without line breaks inside fields, read in splits; all if none is named",
     )
+    parser.add_argument(
+        "--split",
+        nargs="*",
+        choices=insurance.SOURCE_FILES,
+        help="sources with line breaks inside fields to read in splits all the same; all if none is named",
+    )
     parser.add_argument("steps", nargs="+", choices=STEPS, help="run in the given order")
     options = parser.parse_args(arguments)
 
@@ -38,7 +47,7 @@ def main(arguments: list[str] | None = None) -> None:
     warehouse = Warehouse(spark, options.warehouse)
     for step in options.steps:
         if step == "bronze":
-            print(insurance.build_bronze(warehouse, options.sources, multi_line(options.single_line)))
+            print(insurance.build_bronze(warehouse, options.sources, multi_line(options.single_line, options.split)))
         elif step == "silver":
             print(insurance.build_silver(warehouse))
         elif step == "gold":

@@ -100,14 +100,14 @@ SOURCE_TYPES = {
 }
 
 
-# True or false for all sources, or by source; line breaks inside quotes are allowed where nothing is said.
-MultiLine = bool | Mapping[str, bool]
+# True, false or "split" for all sources, or by source; line breaks inside quotes are allowed where nothing is said.
+MultiLine = bool | str | Mapping[str, bool | str]
 
 
 def read_source(spark: SparkSession, folder: str, source: str, multi_line: MultiLine = True) -> DataFrame:
     if source not in SOURCE_FILES:
         raise ValueError(f"unknown source {source!r}, expected one of {', '.join(SOURCE_FILES)}")
-    breaks = multi_line if isinstance(multi_line, bool) else multi_line.get(source, True)
+    breaks = multi_line if isinstance(multi_line, bool | str) else multi_line.get(source, True)
     return read_csv(spark, f"{folder}/{SOURCE_FILES[source]}", SOURCE_TYPES[source], breaks)
 
 

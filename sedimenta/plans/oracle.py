@@ -286,6 +286,10 @@ ORACLE_SQL: dict[str, str] = {
                         {_FAILED["critical"]} AS total_critical_failures, {_FAILED["warning"]} AS total_warnings
                  FROM results)""",
     "report_flatten": _results(*_RULES) + _LABELLED,
+    "csv_split": """
+        SELECT doc_id, NULLIF(lang, '') AS lang, NULLIF(source, '') AS source,
+               CAST(LENGTH(NULLIF(text, '')) AS INTEGER) AS n_chars, MD5(NULLIF(text, '')) AS text_md5
+        FROM documents""",
     "profile_shape": "SELECT COUNT(*) AS n_rows, 6 AS n_columns FROM orders",
     "profile_columns": _typed("orders", _ORDER_COLUMNS),
     "profile_nulls": "SELECT * FROM ("

@@ -33,7 +33,8 @@ from sedimenta.operators.reporting import (
 from sedimenta.operators.summaries import largest, mean_money, rows, smallest, total
 from sedimenta.plans import conformed, insurance
 from sedimenta.plans.conformed import table
-from sedimenta.sources import read_reports, source_exists, staged, write_report
+from sedimenta.sources import read_csv, read_reports, source_exists, staged, write_report
+from sedimenta.sources.delimited import SPLIT
 from sedimenta.sources.staging import once_for_inputs, staging_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -323,6 +324,19 @@ def report_flatten(spark: SparkSession, folder: str) -> DataFrame:
     return flatten_report(read_reports(spark, path)).select("layer", "name", "severity", "value", "passed", "status", "label")
 
 
+# ---- files -----------------------------------------------------------------------
+
+
+def csv_split(spark: SparkSession, folder: str) -> DataFrame:
+    """Whole texts, with their line breaks and quotes, written as CSV and read back in splits."""
+    path = f"{staging_folder(spark)}/csv-{uuid.uuid4().hex}"
+    texts = table(spark, folder, "documents").select("doc_id", "text", "lang", "source")
+    options = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+    texts.write.options(header="true", quoteAll="true", escape='"', **options).csv(path)
+    found = read_csv(spark, path, {"doc_id": "bigint"}, SPLIT)
+    return found.select("doc_id", "lang", "source", F.length("text").alias("n_chars"), F.md5("text").alias("text_md5"))
+
+
 # ---- profiles and drift ----------------------------------------------------------
 
 
@@ -421,6 +435,7 @@ QUERIES: dict[str, Query] = {
     "dq_layer_summary": dq_layer_summary,
     "dq_summary": dq_summary,
     "report_flatten": report_flatten,
+    "csv_split": csv_split,
     "profile_shape": profile_shape,
     "profile_columns": profile_columns,
     "profile_nulls": profile_nulls,
