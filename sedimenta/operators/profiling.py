@@ -15,6 +15,8 @@ from sedimenta.operators.quantiles import BAND_VALUES, exact_quantiles
 # itself longer, so it can never equal a text that was left as it is.
 _DIGEST_OVER = 64
 
+_COPIES = "_copies_of_a_row"
+
 _FLOATS = ("float", "double")
 
 
@@ -143,7 +145,7 @@ def table_row_counts(tables: dict[str, DataFrame]) -> DataFrame:
 
 
 # Types that a column of texts can have, the first that all its values fit.
-_KINDS = {
+KINDS = {
     "bigint": lambda text: text.try_cast("bigint").isNotNull(),
     "double": lambda text: text.try_cast("double").isNotNull(),
     "boolean": lambda text: F.lower(text).isin("true", "false"),
@@ -162,13 +164,13 @@ def columns_by_table(df: DataFrame, table: str, names: Sequence[str]) -> DataFra
         *[
             F.count_if(fits(F.col(f"`{name}`"))).alias(f"{kind}{i}")
             for i, name in enumerate(names)
-            for kind, fits in _KINDS.items()
+            for kind, fits in KINDS.items()
         ],
     )
     entries = []
     for i, name in enumerate(names):
         kind = F.lit("string")
-        for known in reversed(_KINDS):
+        for known in reversed(KINDS):
             kind = F.when((F.col(f"n{i}") > 0) & (F.col(f"{known}{i}") == F.col(f"n{i}")), known).otherwise(kind)
         entries.append(
             F.struct(
@@ -185,9 +187,9 @@ def copies_by_table(df: DataFrame, table: str, tables: DataFrame) -> DataFrame:
     """
     names = [name for name in df.columns if name != table]
     narrow = df.select(F.col(table).alias(table), *[_comparable(df, name) for name in names])
-    copies = narrow.groupBy(*narrow.columns).agg(F.count(F.lit(1)).alias("n"))
+    copies = narrow.groupBy(*[F.col(f"`{name}`") for name in narrow.columns]).agg(F.count(F.lit(1)).alias(_COPIES))
     counted = copies.groupBy(F.col(table).alias("table_name")).agg(
-        F.sum("n").alias("n_rows"), F.sum(F.col("n") - 1).alias("duplicate_rows")
+        F.sum(_COPIES).alias("n_rows"), F.sum(F.col(_COPIES) - 1).alias("duplicate_rows")
     )
     return tables.join(counted, "table_name", "left").select(
         "table_name",
@@ -225,5 +227,10 @@ def _comparable(df: DataFrame, name: str) -> Column:
     column = F.col(f"`{name}`")
     if dict(df.dtypes)[name] != "string":
         return column.alias(name)
+    return comparable_text(column).alias(name)
+
+
+def comparable_text(column: Column) -> Column:
+    """The text, or the digest of a long one."""
     digest = F.concat(F.lit("sha256:"), F.sha2(column, 256))
-    return F.when(F.octet_length(column) > _DIGEST_OVER, digest).otherwise(column).alias(name)
+    return F.when(F.octet_length(column) > _DIGEST_OVER, digest).otherwise(column)

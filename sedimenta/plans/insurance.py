@@ -3,18 +3,18 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
-from dataclasses import dataclass
 from datetime import datetime
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sedimenta.functions import as_date, or_default, percentage, round2
+from sedimenta.functions import as_date, null_tokens_to_null, or_default, percentage, round2
 from sedimenta.operators import CleanSpec, Summary, attach, clean, grouped, ordered, run_checks
 from sedimenta.operators import checks as dq
-from sedimenta.operators import profiling
+from sedimenta.operators import exploring, profiling
 from sedimenta.operators.drift import header_drift, missing_sources
+from sedimenta.operators.exploring import Exploration
 from sedimenta.operators.reporting import nested_report
 from sedimenta.operators.summaries import (
     largest,
@@ -26,6 +26,8 @@ from sedimenta.operators.summaries import (
     total,
 )
 from sedimenta.sources import Warehouse, csv_columns, read_csv, source_exists, source_files, staged, write_report
+from sedimenta.sources.delimited import SPLIT
+from sedimenta.sources.records import csv_fields, csv_records, file_name
 
 # ---- sources ---------------------------------------------------------------------
 
@@ -126,23 +128,15 @@ def source_drift(spark: SparkSession, folder: str) -> DataFrame:
     return header_drift(spark, {source: list(SOURCE_TYPES[source]) for source in headers}, headers)
 
 
-@dataclass(frozen=True)
-class Exploration:
-    """Profiles of several files: a row per table, per column, and per column with nulls, and
-    the first rows of each file as JSON."""
-
-    tables: DataFrame
-    columns: DataFrame
-    nulls: DataFrame
-    first_rows: DataFrame
-
-
-def explore(spark: SparkSession, folder: str, multi_line: bool = True, n_first: int = 5) -> Exploration:
+def explore(spark: SparkSession, folder: str, multi_line: bool | str = True, n_first: int = 5) -> Exploration:
     """Profiles of every CSV file in a folder, whatever its columns.
 
-    Files with one header are scanned together: once for what their columns hold, and once
-    more, with the types found, for copies. The driver sees names, headers and types.
+    With ``"split"`` the records of all files are stored once in long form and the jobs do not grow with the files; it
+    asks what ``csv_records`` asks of quotes. Otherwise files with one header are scanned together: once for what
+    their columns hold, and once more, with the types found, for copies. The driver sees names, headers and types.
     """
+    if multi_line == SPLIT:
+        return _explore_records(spark, folder, n_first)
     files = {r["file_name"]: r["path"] for r in source_files(spark, folder, "*.csv").orderBy("file_name").collect()}
     if not files:
         raise ValueError(f"no CSV files in {folder}")
@@ -182,6 +176,21 @@ def explore(spark: SparkSession, folder: str, multi_line: bool = True, n_first:
     )
 
 
+def _explore_records(spark: SparkSession, folder: str, n_first: int) -> Exploration:
+    files = source_files(spark, folder, "*.csv").select(F.col("file_name").alias("table_name"))
+    if files.isEmpty():
+        raise ValueError(f"no CSV files in {folder}")
+    records = csv_records(spark, folder, pattern="*.csv").select(
+        file_name(F.col("path")).alias("table_name"), "start", "position", csv_fields(F.col("record")).alias("fields")
+    )
+    records = staged(records)
+    is_header = (F.col("start") == 0) & (F.col("position") == 0)
+    names = staged(exploring.headers(records.filter(is_header)))
+    values = F.transform("fields", null_tokens_to_null).alias("fields")
+    rows = records.filter(~is_header).select("table_name", "start", "position", values)
+    return exploring.explored(rows, names, files, n_first)
+
+
 def claim_distributions(claims: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Statistics of the claim amount, and value counts of the columns gold groups by."""
     grouped_by = ["CLAIM_STATUS", "INSURANCE_TYPE", "RISK_SEGMENTATION", "INCIDENT_SEVERITY"]

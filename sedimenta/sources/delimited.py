@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from sedimenta.functions import null_tokens_to_null
 from sedimenta.sources.records import csv_records, field_count
+from sedimenta.sources.records import file_name as file_name_of
 
 MALFORMED = "_malformed"
 _RECORD, _FIELDS, _FILE, _TOO_LONG = "_record", "_fields", "_file", "_too_long"
@@ -110,7 +111,7 @@ def read_csv(
     too_long = F.coalesce(_field_count(F.col(MALFORMED)) > len(names), never, F.lit(False))
     typed = [_typed(name, types.get(name, "string")) for name in names]
     if file_name:
-        typed.append(F.col("_metadata.file_name").alias(file_name))
+        typed.append(file_name_of(F.col("_metadata.file_path")).alias(file_name))
     if not multi_line:
         quotes = F.length(F.col(MALFORMED)) - F.length(F.replace(F.col(MALFORMED), F.lit('"')))
         cut = F.concat(F.lit("a line break inside quotes, read with multi_line off: "), F.col(MALFORMED))
@@ -146,7 +147,7 @@ def _split_fields(spark: SparkSession, path: str | list[str], names: list[str])
         *[F.col(_FIELDS)[f"_{i}"].alias(name) for i, name in enumerate(names)],
         F.col(_TOO_LONG),
         F.col("record").alias(_RECORD),
-        F.url_decode(F.element_at(F.split("path", "/"), -1)).alias(_FILE),
+        file_name_of(F.col("path")).alias(_FILE),
     )
 
 

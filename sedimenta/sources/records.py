@@ -26,26 +26,29 @@ _ROW_BYTES = 96
 
 _WHOLE, _CLOSES, _OPENS = 0, 1, 2
 _BLANK = (b"", b"\r")
+_ESCAPE, _MARK = "\x02", "\x01"
 _PIECES = "path string, start bigint, position bigint, piece int, text binary"
 
 
-def csv_records(spark: SparkSession, path: str | list[str], broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+def csv_records(
+    spark: SparkSession, path: str | list[str], broadcast_bytes: int = BROADCAST_BYTES, pattern: str = "*"
+) -> DataFrame:
     """One row ``(path, start, position, record)`` per record of UTF-8 files, headers included, blank lines left out.
 
     ``start`` is the block in which a record begins and ``position`` its place among that block's records, so both give
     the order within a file, and a header has 0 and 0. Lines end in ``\\n`` or ``\\r\\n``. Quotes stand at both ends
     of a field or are doubled inside it: any other quote would shift all that comes after, and fails the job, as does a
     quote that is never closed. So do files that are cut into other blocks in the second scan than in the first, which
-    needs a change of the session or of the cluster between them.
+    needs a change of the session or of the cluster between them. Only files whose names fit the ``pattern`` are read.
     """
-    lines = _lines(spark, path)
+    lines = _lines(spark, path, pattern)
     odd = (F.octet_length("value") - F.octet_length(F.replace("value", F.lit('"'), F.lit("")))) % 2
     blocks = lines.groupBy("path", "start").agg((F.sum(odd) % 2).alias("odd"))
     before = Window.partitionBy("path").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
     begins = blocks.select("path", "start", (F.coalesce(F.sum("odd").over(before), F.lit(0)) % 2 == 1).alias("inside"))
 
     # inner lines without a beginning must not vanish, so the join keeps them and they fail
-    if _most_bytes(spark, path) <= broadcast_bytes:
+    if _most_bytes(spark, path, pattern) <= broadcast_bytes:
         known = lines.join(F.broadcast(begins), ["path", "start"], "left")
     else:
         numbered = lines.withColumn("line", F.monotonically_increasing_id())
@@ -62,6 +65,33 @@ def csv_records(spark: SparkSession, path: str | list[str], broadcast_bytes: int
     return records.filter(F.when(_well_quoted(F.col("record")), True).otherwise(F.raise_error(broken).cast("boolean")))
 
 
+def file_name(uri: Column) -> Column:
+    """The name of a file as it is listed, from its URI."""
+    return F.url_decode(F.replace(F.element_at(F.split(uri, "/"), -1), F.lit("+"), F.lit("%2B")))
+
+
+def csv_fields(record: Column) -> Column:
+    """The fields of a well-quoted record of any width, as texts without their quotes.
+
+    Separators outside quotes are replaced by a mark that the escaped record does not hold, and the record is cut there.
+    """
+    escaped = F.replace(F.replace(record, F.lit(_ESCAPE), F.lit(_ESCAPE + "0")), F.lit(_MARK), F.lit(_ESCAPE + "1"))
+    parts = F.transform(
+        F.split(escaped, '"', -1),
+        lambda part, i: F.when(i % 2 == 0, F.replace(part, F.lit(","), F.lit(_MARK))).otherwise(part),
+    )
+    marked = F.when(F.contains(record, F.lit('"')), F.array_join(parts, '"')).otherwise(
+        F.replace(escaped, F.lit(","), F.lit(_MARK))
+    )
+
+    def value(field: Column) -> Column:
+        inner = F.replace(F.substring(field, F.lit(2), F.length(field) - 2), F.lit('""'), F.lit('"'))
+        text = F.when(F.startswith(field, F.lit('"')), inner).otherwise(field)
+        return F.replace(F.replace(text, F.lit(_ESCAPE + "1"), F.lit(_MARK)), F.lit(_ESCAPE + "0"), F.lit(_ESCAPE))
+
+    return F.transform(F.split(marked, _MARK, -1), value)
+
+
 def field_count(record: Column) -> Column:
     """Fields of a well-quoted record: separators outside quotes, plus one."""
     commas = F.length(record) - F.length(F.replace(record, F.lit(","), F.lit("")))
@@ -71,18 +101,18 @@ def field_count(record: Column) -> Column:
     return F.when(F.contains(record, F.lit('"')), quoted).otherwise(commas) + 1
 
 
-def _lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    read = spark.read.text(path, lineSep="\n")
+def _lines(spark: SparkSession, path: str | list[str], pattern: str) -> DataFrame:
+    read = spark.read.text(path, lineSep="\n", pathGlobFilter=pattern)
     return read.select(
         F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"), "value"
     )
 
 
-def _most_bytes(spark: SparkSession, path: str | list[str]) -> float:
+def _most_bytes(spark: SparkSession, path: str | list[str], pattern: str) -> float:
     """A bound of the size of all beginnings of blocks, from the names and lengths of the files."""
     # smaller blocks than this are cut only where there are fewer of them than cores
     block = int(spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
-    files = spark.read.format("binaryFile").load(path)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(path)
     blocks = F.ceil(F.col("length") / block) + 1
     found = files.agg(
         F.sum(blocks * (F.length("path") + _ROW_BYTES)).alias("size"), F.max(F.length("path")).alias("longest")
