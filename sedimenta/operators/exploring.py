@@ -100,11 +100,11 @@ def _tables(records: DataFrame, names: DataFrame, columns: DataFrame, all_tables
     by_header = filled.groupBy("names", "position").agg(F.collect_set("type").alias("found"))
     one = F.when(F.size("found") == 1, F.col("found")[0]).otherwise("string")
     in_order = F.array_sort(F.collect_list(F.struct("position", one.alias("kind"))))
-    kinds = by_header.groupBy("names").agg(F.transform(in_order, lambda x: x["kind"]).alias("kinds"))
+    kinds = by_header.groupBy("names").agg(F.array_join(F.transform(in_order, lambda x: x["kind"]), ",").alias("kinds"))
     of_table = names.join(kinds, "names").select("table_name", "kinds")
 
     rows = attach(records.select("table_name", "fields"), of_table, "table_name")
-    same = F.zip_with("kinds", "fields", _comparable)
+    same = F.zip_with(F.split("kinds", ","), F.col("fields"), _comparable)
     copies = rows.select("table_name", same.alias("row")).groupBy("table_name", "row").agg(F.count(F.lit(1)).alias("n"))
     counted = copies.groupBy("table_name").agg(
         F.sum("n").alias("n_rows"), F.sum(F.col("n") - 1).alias("duplicate_rows")
