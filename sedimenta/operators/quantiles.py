@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Row, Window
+from pyspark.sql import Column, DataFrame, Observation, Row, Window
 from pyspark.sql import functions as F
 
+from sedimenta.sources.staging import staged
+
 # A band of the values is ranked by one task once it holds no more than this.
 BAND_VALUES = 100_000
 ACCURACY = 10_000
@@ -19,36 +21,66 @@ def exact_quantiles(
 ) -> list[list[float | None]]:
     """The quantiles of each numeric column, nulls left out.
 
-    Each wanted rank is closed in on by passes over the data. Approximate quantiles just
-    below and above the ranks cut the values into a few bands, the rows up to every cut
-    are counted exactly, and the search goes on in the bands that hold the ranks. Two
-    passes cover all columns; the rest look at one band each. The driver sees one row
-    of counts. Where the cuts fall decides the number of passes and nothing else.
+    Two passes over the data, however many columns there are and however they are
+    distributed. The first finds approximate quantiles just below and above each wanted
+    rank; these cut the values into bands. The second counts the rows up to every cut
+    exactly, and in the same scan stores the few values of the narrow bands around the
+    wanted ranks (``staged``). Ranks are then found among the stored values, by closing
+    in on them where a band has more than ``band_values``. A rank outside the narrow
+    bands, which the approximation has missed, is looked for in the data. The driver sees
+    rows of counts. Where the cuts fall decides the number of passes and nothing else.
     """
     values = df.select(*[F.col(name).cast("double").alias(f"v{i}") for i, name in enumerate(names)])
     outline = values.agg(*[part for v in values.columns for part in _outline(v, probabilities)]).first()
     cuts = {v: _cuts(outline, v) for v in values.columns}
-    counts = values.agg(*[part for v in values.columns for part in _counts(v, cuts[v])]).first()
+    narrow = {v: _narrow(cuts[v], outline[f"{v}_near"], probabilities) for v in values.columns}
+    wanted = [part for v in values.columns for part in _counts(v, cuts[v])]
+    if any(narrow.values()):
+        counted = Observation()
+        kept = [F.when(_inside_any(v, narrow[v]), F.col(v)).alias(v) for v in values.columns]
+        some = F.coalesce(*[F.col(v) for v in values.columns]).isNotNull()
+        near = staged(values.observe(counted, *wanted).select(*kept).filter(some))
+        counts = counted.get
+    else:  # every wanted rank is at a cut
+        near, counts = values, values.agg(*wanted).first().asDict()
     return [
-        _interpolated(values.select(v), v, probabilities, outline[f"{v}_n"], cuts[v], counts, band_values)
+        _interpolated(near.select(v), values.select(v), v, probabilities, outline[f"{v}_n"], cuts[v], narrow[v], counts, band_values)
         for v in values.columns
     ]
 
 
+def _narrow(cuts: list[float], near: list[float] | None, probabilities: Sequence[float]) -> list[tuple[float, float]]:
+    """The bands between an approximate quantile below a wanted rank and the one above it."""
+    if not near:
+        return []
+    at = dict(zip(_near_fractions(probabilities), near))
+    around = [(at[low], at[high]) for low, high in map(_around, probabilities)]
+    return [(low, high) for low, high in zip(cuts, cuts[1:]) if any(a <= low and high <= b for a, b in around)]
+
+
+def _inside_any(v: str, bands: list[tuple[float, float]]) -> Column:
+    inside = [(F.col(v) > low) & (F.col(v) < high) for low, high in bands]
+    return reduce(lambda one, other: one | other, inside, F.lit(False))
+
+
 def _interpolated(
+    near: DataFrame,
     values: DataFrame,
     v: str,
     probabilities: Sequence[float],
     n_values: int,
     cuts: list[float],
-    counts: Row,
+    narrow: list[tuple[float, float]],
+    counts: Mapping[str, int],
     band_values: int,
 ) -> list[float | None]:
     if not n_values:
         return [None for _ in probabilities]
     positions = [p * (n_values - 1) for p in probabilities]
     ranks = sorted({rank for at in positions for rank in (math.floor(at), math.ceil(at))})
-    found = _among_bands(values, v, ranks, cuts, counts, band_values)
+    in_narrow = {rank for rank in ranks if _band_of(rank, v, cuts, counts) in narrow}
+    found = _among_bands(near, v, sorted(in_narrow), cuts, counts, band_values)
+    found |= _among_bands(values, v, [rank for rank in ranks if rank not in in_narrow], cuts, counts, band_values)
     result = []
     for at in positions:
         low, high = found[math.floor(at)], found[math.ceil(at)]
@@ -57,14 +89,22 @@ def _interpolated(
     return result
 
 
+def _band_of(rank: int, v: str, cuts: list[float], counts: Mapping[str, int]) -> tuple[float, float] | None:
+    """The cuts that the value at a rank lies between, nothing if it is one of them."""
+    for i in range(1, len(cuts)):
+        if counts[f"{v}_upto{i - 1}"] <= rank < counts[f"{v}_below{i}"]:
+            return cuts[i - 1], cuts[i]
+    return None
+
+
 def _search(values: DataFrame, v: str, ranks: list[int], n_rows: int, band_values: int) -> dict[int, float]:
     """Values at zero-based ranks among ``n_rows`` values, too many for one task."""
     cuts = _cuts(values.agg(*_outline(v, [rank / n_rows for rank in ranks])).first(), v)
-    return _among_bands(values, v, ranks, cuts, values.agg(*_counts(v, cuts)).first(), band_values)
+    return _among_bands(values, v, ranks, cuts, values.agg(*_counts(v, cuts)).first().asDict(), band_values)
 
 
 def _among_bands(
-    values: DataFrame, v: str, ranks: list[int], cuts: list[float], counts: Row, band_values: int
+    values: DataFrame, v: str, ranks: list[int], cuts: list[float], counts: Mapping[str, int], band_values: int
 ) -> dict[int, float]:
     """Ranks that fall on a cut are found by counting, the others between two cuts.
 
@@ -95,16 +135,23 @@ def _among_bands(
 
 
 def _outline(v: str, fractions: Iterable[float]) -> list[Column]:
-    margin = 2 / ACCURACY
-    near = sorted({min(1.0, max(0.0, p + side)) for p in fractions for side in (-margin, margin)})
     return [
         F.count(v).alias(f"{v}_n"),
         F.min(v).alias(f"{v}_low"),
         F.max(v).alias(f"{v}_high"),
-        F.percentile_approx(v, near, ACCURACY).alias(f"{v}_near"),
+        F.percentile_approx(v, _near_fractions(fractions), ACCURACY).alias(f"{v}_near"),
     ]
 
 
+def _around(fraction: float) -> tuple[float, float]:
+    margin = 2 / ACCURACY
+    return max(0.0, fraction - margin), min(1.0, fraction + margin)
+
+
+def _near_fractions(fractions: Iterable[float]) -> list[float]:
+    return sorted({side for fraction in fractions for side in _around(fraction)})
+
+
 def _cuts(outline: Row, v: str) -> list[float]:
     """Distinct ascending cuts from the lowest to the highest value.
 

@@ -129,3 +129,27 @@ def test_profile_tables(spark):
     df = mixed(spark)
     found = profiling.profile_tables({"all": df, "none": df.filter("false")}).collect()
     assert [tuple(row) for row in found] == [("all", 10, 3, 4), ("none", 0, 3, 0)]
+
+
+def test_quantiles_of_many_columns(spark, tmp_path):
+    """Of any distribution, at once."""
+    rng = np.random.default_rng(5)
+    n = 60_000
+    columns = {
+        "even": rng.random(n), "long": rng.pareto(0.5, n), "ties": rng.integers(0, 50, n) / 7.0,
+        "one": np.full(n, 2.5), "gaps": np.where(rng.random(n) < 0.3, np.nan, rng.normal(size=n)),
+    }
+    spark.createDataFrame(pd.DataFrame(columns)).write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    df = df.select(*[F.nanvl(name, F.lit(None)).alias(name) for name in df.columns])
+    for band_values in (100_000, 40):
+        found = exact_quantiles(df, df.columns, PROBABILITIES, band_values)
+        for values, quantiles in zip(columns.values(), found):
+            assert quantiles == pytest.approx(list(np.quantile(values[~np.isnan(values)], PROBABILITIES)), rel=1e-12)
+
+
+def test_quantiles_close_to_each_other(spark):
+    df = spark.range(100_000).select((F.col("id") % 99_991).cast("double").alias("v"))
+    wanted = [0.0, 0.00005, 0.0001, 0.5, 0.5001, 0.99999, 1.0]
+    (found,) = exact_quantiles(df, ["v"], wanted)
+    assert found == pytest.approx(list(np.quantile(np.arange(100_000) % 99_991, wanted)), rel=1e-12)
