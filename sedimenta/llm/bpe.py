@@ -42,6 +42,13 @@ FOLD_BYTES = 256
 # Numbers that are given before they start again.
 WORDS_KEPT = 4_000_000
 
+# What is remembered of words after a space, and of others: each of two generations in each task. A task also has the
+# workers of the other two functions beside it, so this is less than a function alone could take.
+CHUNK_BYTES = 40 << 20
+OTHER_BYTES = 20 << 20
+# Texts that are cut at a time.
+TEXT_BYTES = 4 << 20
+
 _TABLES = ("single", "pairs", "shifts", "slots")
 # Words are looked up so many at a time.
 _AT_ONCE = 1 << 18
@@ -272,7 +279,7 @@ def _numbering(pattern: str):
         cut = regex.compile(pattern).findall
         plain = re.compile(f"[{_PLAIN_LETTERS}]+").fullmatch
         # what follows a space, one word or several, without the space; and words that follow none
-        chunks, others = Recent(), Recent()
+        chunks, others = Recent(CHUNK_BYTES), Recent(OTHER_BYTES)
         used = 0
         new: list[str] = []
 
@@ -326,7 +333,7 @@ def _numbering(pattern: str):
 
         for texts in batches:
             codes, fresh = [], []
-            for some in slices(texts):
+            for some in slices(texts, TEXT_BYTES):
                 new = []
                 if used > WORDS_KEPT:
                     used = 0

@@ -51,8 +51,9 @@ def test_restarting_the_word_list_changes_nothing(spark, tokenizer, library, mon
 
 @pytest.mark.parametrize("kept,at_once,slice_bytes", [(64 << 20, 1 << 18, 8 << 20), (3000, 5, 300)])
 def test_random_texts(spark, tokenizer, library, monkeypatch, kept, at_once, slice_bytes):
-    monkeypatch.setattr(chunks, "KEPT_BYTES", kept)
-    monkeypatch.setattr(chunks, "SLICE_BYTES", slice_bytes)
+    monkeypatch.setattr(bpe, "CHUNK_BYTES", kept)
+    monkeypatch.setattr(bpe, "OTHER_BYTES", kept)
+    monkeypatch.setattr(bpe, "TEXT_BYTES", slice_bytes)
     monkeypatch.setattr(bpe, "_AT_ONCE", at_once)
     rng = random.Random(7)
     some = ["word", "Über", "été.", "x,", "'s", "9", "12,", "\n", "\xa0", " ", "", "日本", "a.b", "...", "ſ", "ʰ", "ª", "ñandú!", "\x1c", "I'll"]
