@@ -44,7 +44,7 @@ WORDS_KEPT = 4_000_000
 
 # What is remembered of words after a space, and of others: each of two generations in each task. A task also has the
 # workers of the other two functions beside it, so this is less than a function alone could take.
-CHUNK_BYTES = 40 << 20
+CHUNK_BYTES = 80 << 20
 OTHER_BYTES = 20 << 20
 # Texts that are cut at a time.
 TEXT_BYTES = 4 << 20
@@ -345,6 +345,7 @@ def _numbering(pattern: str):
             yield pa.StructArray.from_arrays(
                 [pa.array(codes, pa.binary()), pa.array(fresh, pa.list_(pa.string()))], ["codes", "fresh"]
             )
+            pa.default_memory_pool().release_unused()
 
     return number
 
