@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from sedimenta.functions import percentage, round2
 from sedimenta.operators.lookups import attach
 from sedimenta.operators.profiling import KINDS, comparable_text
+from sedimenta.sources.staging import staged
 
 
 @dataclass(frozen=True)
@@ -47,10 +48,10 @@ def explored(records: DataFrame, names: DataFrame, all_tables: DataFrame, n_firs
 
     ``names`` has the columns of each table (``headers``) and ``all_tables`` every ``table_name``. ``start`` and ``position``
     give the order of a table's records. Both inputs are read several times, so they should be stored. A record with
-    fewer fields than its table has columns is filled with nulls; one with more fails the job, but for the first rows.
-    Copies are counted as numbers or truth values in columns that have one such type in all tables of a header.
+    fewer fields than its table has columns is filled with nulls; one with more fails this call. Copies are counted as
+    numbers or truth values in columns that have one such type in all tables of a header.
     """
-    columns = _columns(records, names)
+    columns = staged(_columns(records, names))
     missing = F.col("n_rows") - F.col("non_null")
     nulls = columns.select(
         "table_name", "column", missing.alias("null_count"), round2(percentage(missing, F.col("n_rows"))).alias("null_pct")
