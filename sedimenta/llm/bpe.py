@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sedimenta.llm.chunks import Cut, Recent, binary_column, buffers_of, slices
+from sedimenta.llm.chunks import Cut, Recent, binary_column, buffers_of, give_back, slices
 from sedimenta.llm.common import bounded_batches, quoted, require_free, unused
 
 # The fold takes steps in proportion to a word's length, and each copies the word's pieces. Longer words (runs of
@@ -44,7 +44,7 @@ WORDS_KEPT = 4_000_000
 
 # What is remembered of words after a space, and of others: each of two generations in each task. A task also has the
 # workers of the other two functions beside it, so this is less than a function alone could take.
-CHUNK_BYTES = 80 << 20
+CHUNK_BYTES = 60 << 20
 OTHER_BYTES = 20 << 20
 # Texts that are cut at a time.
 TEXT_BYTES = 4 << 20
@@ -52,9 +52,9 @@ TEXT_BYTES = 4 << 20
 _TABLES = ("single", "pairs", "shifts", "slots")
 # Words are looked up so many at a time.
 _AT_ONCE = 1 << 18
-# Letters, and marks that are words of their own after them.
+# Letters, and signs that are cut from letters before them, up to the end of a chunk.
 _PLAIN_LETTERS = "A-Za-zÀ-ÖØ-öø-ʯ"
-_PLAIN_MARKS = ".,;:!?"
+_PLAIN_SIGNS = re.escape("!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~")
 _ID_BITS = 20
 _NONE = 1 << _ID_BITS
 _LOW = (1 << 2 * _ID_BITS) - 1
@@ -277,7 +277,7 @@ def _numbering(pattern: str):
         import regex
 
         cut = regex.compile(pattern).findall
-        plain = re.compile(f"[{_PLAIN_LETTERS}]+").fullmatch
+        plain = re.compile(f"([{_PLAIN_LETTERS}]+)([{_PLAIN_SIGNS}]*)").fullmatch
         # what follows a space, one word or several, without the space; and words that follow none
         chunks, others = Recent(CHUNK_BYTES), Recent(OTHER_BYTES)
         used = 0
@@ -297,13 +297,15 @@ def _numbering(pattern: str):
             return others.get(word) or numbered(others, word, word)
 
         def chunk_code(chunk: str) -> bytes:
-            """The words of a chunk after a space. Letters alone are a word, and so is a mark after them: words and
-            marks are kept, but not each word with each mark."""
-            if chunk[-1] in _PLAIN_MARKS and plain(chunk[:-1]):
-                return code(" " + chunk[:-1]) + code(chunk[-1])
+            """The words of a chunk after a space. Letters alone are a word, and signs after them are cut by
+            themselves: letters and signs are kept, but not all letters with all signs."""
+            if parts := plain(chunk):
+                letters, signs = parts.groups()
+                found = chunks.get(letters) or numbered(chunks, letters, " " + letters)
+                return found + b"".join(map(code, (signs,) if len(signs) == 1 else cut(signs))) if signs else found
             if (found := chunks.get(chunk)) is not None:
                 return found
-            words = (" " + chunk,) if plain(chunk) else cut(" " + chunk)
+            words = cut(" " + chunk)
             if len(words) == 1:
                 return numbered(chunks, chunk, words[0])
             found = b"".join(map(code, words))
@@ -345,7 +347,7 @@ def _numbering(pattern: str):
             yield pa.StructArray.from_arrays(
                 [pa.array(codes, pa.binary()), pa.array(fresh, pa.list_(pa.string()))], ["codes", "fresh"]
             )
-            pa.default_memory_pool().release_unused()
+            give_back()
 
     return number
 
@@ -420,7 +422,11 @@ def _joining(ranks: dict[bytes, int], numbered: str, merged: str, ids: str):
             whole = np.concatenate([np.zeros(0, "<u4"), *parts]).view(np.uint8)
             names = [x for x in batch.schema.names if x not in (numbered, merged)]
             columns = [*(batch.column(x) for x in names), binary_column(whole, ends)]
-            yield pa.RecordBatch.from_arrays(columns, [*names, ids])
+            done = pa.RecordBatch.from_arrays(columns, [*names, ids])
+            del batch, codes, fresh, words, found, held, numbers, parts, counts, whole, columns
+            yield done
+            del done
+            give_back()
 
     return join
 
@@ -445,6 +451,8 @@ def _decoding(ranks: dict[bytes, int]):
                 ],
                 pa.binary(),
             )
+            del rows, flat, begin, whole
+            give_back()
 
     return decode
 

@@ -6,6 +6,7 @@ it has been seen lately, not at all. Arrow finds the distinct pieces and puts th
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,6 +22,15 @@ LONGEST_KEPT = 200
 _ENTRY_BYTES = 200
 
 
+def give_back() -> None:
+    """Return free memory to the system. Else a worker keeps the most that it ever had, also as it goes on with another
+    task, beside all the other workers of its executor."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU library
+    if trim is not None:
+        trim(0)
+
+
 class Recent:
     """Values of texts, the recently used ones: when ``young`` is full it becomes ``old``, and the old ones are gone.
 

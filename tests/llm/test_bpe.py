@@ -3,6 +3,7 @@ import random
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
@@ -119,3 +120,34 @@ def test_query(spark, library):
         assert row.n_tokens == len(ids)
         assert row.ids_sha256 == hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()
         assert row.decoded_sha256 == hashlib.sha256((texts[row.doc_id] or "").encode()).hexdigest()
+
+
+def test_letters_are_remembered_once_whatever_signs_follow(monkeypatch):
+    kept = []
+
+    class Noted(bpe.Recent):
+        def put(self, text, value):
+            kept.append(text)
+            super().put(text, value)
+
+    monkeypatch.setattr(bpe, "Recent", Noted)
+    texts = pa.array(["x alpha### alpha,%%% alpha. alpha", "x beta$$$ beta's"])
+    found = list(bpe._numbering(public_tokenizers.PATTERN)(iter([texts])))
+    fresh = found[0].field("fresh").flatten().to_pylist()
+    assert sorted(fresh) == sorted(["x", " alpha", "###", ",%%%", ".", " beta", "$$$", "'s"])
+    assert sorted(kept) == sorted(["x", "alpha", "###", ",%%%", ".", "beta", "$$$", "'s", "beta's"])
+
+
+def test_free_memory_is_given_back_with_every_batch(monkeypatch):
+    times = []
+    monkeypatch.setattr(bpe, "give_back", lambda: times.append(1))
+    batches = [pa.array(["some words"]), pa.array(["others", None])]
+    numbered = list(bpe._numbering(public_tokenizers.PATTERN)(iter(batches)))
+    assert len(numbered) == len(times) == 2
+    ranks = bpe.read_ranks(PATH)
+    merged = [pa.array([[[ranks[x.encode()]] for x in row] for row in b.field("fresh").to_pylist()], pa.list_(pa.list_(pa.int32()))) for b in numbered]
+    tables = [pa.RecordBatch.from_arrays([b, m], ["n", "m"]) for b, m in zip(numbered, merged)]
+    joined = [b.column("ids") for b in bpe._joining(ranks, "n", "m", "ids")(iter(tables))]
+    assert len(times) == 4
+    decoded = [x.to_pylist() for x in bpe._decoding(ranks)(iter(joined))]
+    assert decoded == [[b"some words"], [b"others", b""]] and len(times) == 6
