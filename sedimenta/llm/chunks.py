@@ -62,6 +62,25 @@ class Recent:
         self.young[text] = value
         self.used += _ENTRY_BYTES + len(text) + len(value)
 
+    def get_all(self, texts: list[str]) -> list[bytes | None]:
+        """The values of distinct texts, or None. Old ones are young again."""
+        values = list(map(self.young.get, texts))
+        if self.old:
+            missing = [at for at, value in enumerate(values) if value is None]
+            found = [(at, value) for at in missing if (value := self.old.get(texts[at])) is not None]
+            for at, value in found:
+                values[at] = value
+            self.put_all([texts[at] for at, _ in found], [value for _, value in found])
+        return values
+
+    def put_all(self, texts: list[str], values: list[bytes]) -> None:
+        """Like ``put`` for each, but what is young becomes old only between two calls."""
+        if self.used > self.most:
+            self.old, self.young, self.used = self.young, {}, 0
+        kept = {text: value for text, value in zip(texts, values) if len(text) <= LONGEST_KEPT}
+        self.young.update(kept)
+        self.used += _ENTRY_BYTES * len(kept) + sum(map(len, kept)) + sum(map(len, kept.values()))
+
 
 def slices(texts: pa.Array, most_bytes: int | None = None) -> Iterator[pa.Array]:
     """Consecutive rows of ``texts`` with at most so many bytes together, or one row; null is empty."""
@@ -101,10 +120,18 @@ class Cut:
     def joined(self, values: list[bytes]) -> list[bytes]:
         """For each text the values of its wanted pieces on end; ``values`` are those of ``texts_of``."""
         taken = pa.array(values, pa.large_binary()).take(pa.array(self.place[self.index[self.wanted]]))
-        held, stops = buffers_of(taken)
         counts = np.concatenate(([0], np.cumsum(self.wanted)))
-        edges = stops[counts[self.starts]].tolist()
-        return [held[a:b].tobytes() for a, b in zip(edges[:-1], edges[1:])]
+        return _on_end(taken, counts[self.starts])
+
+    def all_joined(self, values: pa.Array) -> list[bytes]:
+        """For each text the values of all its pieces on end; ``values`` are those of ``distinct``."""
+        return _on_end(values.take(pa.array(self.index)), self.starts)
+
+
+def _on_end(values: pa.Array, starts: np.ndarray) -> list[bytes]:
+    held, stops = buffers_of(values)
+    edges = stops[starts].tolist()
+    return [held[a:b].tobytes() for a, b in zip(edges[:-1], edges[1:])]
 
 
 def buffers_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -29,7 +29,8 @@ from pyspark.sql import functions as F
 from sedimenta.llm.chunks import Cut, Recent, slices
 from sedimenta.llm.common import bounded_batches, col
 
-MARKS = ".,;:!?"
+# Signs that may follow letters. No apostrophe, as tokenizers keep it with letters after it.
+SIGNS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 # Letters that lower-casing keeps letters, each by itself.
 _PLAIN_LETTERS = "A-Za-zÀ-ÖØ-öø-įı-ʯ"
 # Words that the library reads at a time.
@@ -50,8 +51,8 @@ def encoded(df: DataFrame, tokenizer: str, end_id: int | None, text: str = "text
 
     ``tokenizer`` is the content of a file of the tokenizers library that puts texts in lower case, drops white space
     and keeps letters apart from other signs, so that no token reaches over either. A text is then the sequence of its
-    chunks between spaces, tabs and line breaks. A chunk of letters up to U+02AF, with a mark after them or without,
-    is read as letters and mark, any other one as it is. Each is encoded once per task, or again if it has not been
+    chunks between spaces, tabs and line breaks. A chunk of letters up to U+02AF, with signs of ASCII after them or
+    without, is read as letters and signs, any other one as it is. Each is encoded once per task, or again if it has not been
     seen for long. A null text is empty. Special tokens in a text are read as the library does by default, and none
     are added.
     """
@@ -144,54 +145,56 @@ def _encoding(tokenizer: str, end_id: int | None):
         library = Tokenizer.from_str(tokenizer)
         kind = "<u2" if library.get_vocab_size() <= 1 << 16 else "<u4"
         end = b"" if end_id is None else np.array([end_id], kind).tobytes()
-        marks = {x: np.array(library.encode(x, add_special_tokens=False).ids, kind).tobytes() for x in MARKS}
-        plain = re.compile(f"[{_PLAIN_LETTERS}]+").fullmatch
-        chunks = Recent()
-        last = _ends_word(library)
+        letter = re.compile(f"[{_PLAIN_LETTERS}]").fullmatch
+        letters = "".join(x for x in map(chr, range(0x300)) if letter(x))
+        plain, last, known = f"^[{_PLAIN_LETTERS}]+$", _ends_word(library), Recent()
 
-        def learn(words: list[str]) -> None:
-            """Keep the ids of words of plain letters, which the library reads several at a time."""
+        def ids_of(words: list[str]) -> list[bytes]:
+            codes = library.encode_batch_fast(words, add_special_tokens=False)
+            return [np.array(code.ids, kind).tobytes() for code in codes]
+
+        def read(words: list[str]) -> list[bytes]:
+            """The ids of words of plain letters, which the library reads several at a time."""
+            found = []
             for at in range(0, len(words), _AT_ONCE):
                 some = words[at : at + _AT_ONCE]
-                ids = np.array(library.encode(" ".join(some), add_special_tokens=False).ids, kind)
-                stops = np.flatnonzero(last[ids]) + 1
-                if len(stops) == len(some) and stops[-1] == len(ids):
-                    edges = [0, *(ids.itemsize * stops).tolist()]
-                    whole = ids.tobytes()
-                    found = [whole[a:b] for a, b in zip(edges[:-1], edges[1:])]
+                whole = ids_of([" ".join(some)])[0]
+                stops = np.flatnonzero(last[np.frombuffer(whole, kind)]) + 1
+                edges = [0, *(int(kind[2]) * stops).tolist()]
+                if len(stops) == len(some) and edges[-1] == len(whole):
+                    found += [whole[a:b] for a, b in zip(edges[:-1], edges[1:])]
                 else:  # not a vocabulary in which each word has one last token
-                    found = [np.array(library.encode(x, add_special_tokens=False).ids, kind).tobytes() for x in some]
-                learned.update(zip(some, found))
-
-        def split(chunk: str) -> tuple[str, str]:
-            """What has the same ids as the chunk: plain letters and a mark after them, or the chunk as it is."""
-            return (chunk[:-1], chunk[-1]) if chunk[-1:] in marks and plain(chunk[:-1]) else (chunk, "")
+                    found += ids_of(some)
+            return found
+
+        def values_of(texts: pa.Array) -> pa.Array:
+            """The ids of each text; distinct texts are looked up once, and those that are not known are encoded."""
+            encoded = texts.dictionary_encode()
+            said = encoded.dictionary.to_numpy(zero_copy_only=False).tolist()
+            values = known.get_all(said)
+            unknown = [at for at, value in enumerate(values) if value is None]
+            by_letters = pc.match_substring_regex(encoded.dictionary.take(pa.array(unknown, pa.int64())), plain)
+            by_letters = by_letters.to_numpy(zero_copy_only=False).tolist()
+            for reader, wanted in ((read, True), (ids_of, False)):
+                places = [at for at, is_plain in zip(unknown, by_letters) if is_plain is wanted]
+                words = [said[at] for at in places]
+                found = reader(words)
+                known.put_all(words, found)
+                for at, value in zip(places, found):
+                    values[at] = value
+            return pa.array(values, pa.large_binary()).take(encoded.indices)
 
         for texts in batches:
             done = []
             for some in slices(texts):
                 pieces = Cut(pc.replace_substring(pc.replace_substring(some, "\n", " "), "\t", " "))
-                said = pieces.texts_of(np.ones(len(pieces.index), bool))
-                values = list(map(chunks.young.get, said))
-                learned: dict[str, bytes] = {}
-                unknown = []
-                for at in [at for at, value in enumerate(values) if value is None]:
-                    word, mark = split(said[at])
-                    known = chunks.get(word)
-                    if known is None:
-                        unknown.append((at, word, mark))
-                    else:
-                        values[at] = known + marks[mark] if mark else known
-                needed = {word: bool(plain(word)) for _, word, _ in unknown}
-                learn([word for word, is_plain in needed.items() if is_plain])
-                others = [word for word, is_plain in needed.items() if not is_plain]
-                for word, code in zip(others, library.encode_batch_fast(others, add_special_tokens=False)):
-                    learned[word] = np.array(code.ids, kind).tobytes()
-                for word, value in learned.items():
-                    chunks.put(word, value)
-                for at, word, mark in unknown:
-                    values[at] = learned[word] + marks[mark] if mark else learned[word]
-                done += [ids + end for ids in pieces.joined(values)]
+                # what has the same ids as a piece: plain letters and the signs after them, or the piece as it is
+                first = pc.utf8_rtrim(pieces.distinct, SIGNS)
+                cut = pc.match_substring_regex(first, plain)
+                first = pc.if_else(cut, first, pieces.distinct)
+                after = pc.if_else(cut, pc.utf8_ltrim(pieces.distinct, letters), "")
+                ids = pc.binary_join_element_wise(values_of(first), values_of(after), pa.scalar(b"", pa.large_binary()))
+                done += [x + end for x in pieces.all_joined(ids)]
             yield pa.array(done, pa.binary())
 
     return encode

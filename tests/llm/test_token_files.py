@@ -5,6 +5,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -107,3 +108,37 @@ def test_query(spark):
     assert [tuple(r) for r in rows] == [
         (k, s, n, zlib.crc32(np.array(ids, "<u4").tobytes())) for k, s, n, ids in expected
     ]
+
+
+def test_letters_are_encoded_once_whatever_signs_follow(content, monkeypatch):
+    kept = []
+
+    class Noted(chunks.Recent):
+        def put(self, text, value):
+            kept.append(text)
+            super().put(text, value)
+
+        def put_all(self, texts, values):
+            kept.extend(texts)
+            super().put_all(texts, values)
+
+    monkeypatch.setattr(token_files, "Recent", Noted)
+    library = Tokenizer.from_file(PATH)
+    texts = ["alpha alpha### Éa,%%% alpha,%%% alpha. alpha", "", None, "'s x's ### Éa### don't! a'# b#' <|endoftext|>! a<|endoftext|> İ# ́# é#"]
+    found = list(token_files._encoding(content, 1)(iter([pa.array(texts), pa.array(["alpha$ alpha###"])])))
+    for text, ids in zip([*texts, "alpha$ alpha###"], [x for part in found for x in part.to_pylist()]):
+        assert np.frombuffer(ids, "<u2").tolist() == [*library.encode(text or "", add_special_tokens=False).ids, 1]
+    assert sorted(x for x in kept if x.startswith("al")) == ["alpha"] and "Éa" in kept and "Éa###" not in kept
+
+
+def test_recent_values_at_once():
+    recent = chunks.Recent(500)
+    recent.put_all(["a", "b", "c" * 300], [b"1", b"2", b"3"])
+    assert recent.get_all(["a", "c" * 300, "b", "d"]) == [b"1", None, b"2", None]
+    recent.put_all(["d", "e"], [b"4", b"5"])
+    recent.put_all(["f"], [b"6"])  # now a and b are old
+    assert not recent.young.keys() & {"a", "b"} and recent.get_all(["b", "f"]) == [b"2", b"6"]
+    assert "b" in recent.young
+    recent.put_all(["g", "h"], [b"7", b"8"])
+    recent.put_all(["i"], [b"9"])
+    assert recent.get_all(["a", "b", "i"]) == [None, b"2", b"9"]
