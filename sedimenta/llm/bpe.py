@@ -49,9 +49,9 @@ OTHER_BYTES = 20 << 20
 # Texts that are cut at a time.
 TEXT_BYTES = 4 << 20
 
-_TABLES = ("single", "pairs", "shifts", "slots")
+_TABLES = ("first", "shifts", "slots")
 # Words are looked up so many at a time.
-_AT_ONCE = 1 << 18
+_AT_ONCE = 1 << 16
 # Letters, and signs that are cut from letters before them, up to the end of a chunk.
 _PLAIN_LETTERS = "A-Za-zÀ-ÖØ-öø-ʯ"
 _PLAIN_SIGNS = re.escape("!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~")
@@ -120,52 +120,50 @@ class ByteBPE:
         """Ids of each of ``words`` (``array<array<int>>``), by folding the ranked merges over the bytes; null over
         ``FOLD_BYTES`` and of the empty word.
 
-        The state is an array of longs, one per piece: the rank of the pair that the piece makes with the next one,
-        the place of its first byte, and its id. The smallest entry is thus the leftmost pair of lowest rank, and
-        that rank is the id of the merged piece. Each step replaces it and its left neighbour.
+        The state is an array of longs, one per piece: the rank of the pair that the piece makes with the one before
+        it, the place of its first byte, and its id. The smallest entry is thus the leftmost pair of lowest rank, and
+        that rank is the id of the merged piece. Each step takes it out and replaces its two neighbours.
         """
         return _let(self._tables(), lambda tables: F.transform(words, lambda word: self._folded(word, tables)))
 
     def _folded(self, word: Column, tables: Column) -> Column:
-        byte_ids, first, shifts, table = (tables[x] for x in _TABLES)
+        first, shifts, table = (tables[x] for x in _TABLES)
         size = F.octet_length(word)
-        none = F.lit(_NONE).cast("long")
+        none, unranked = F.lit(_NONE).cast("long"), F.lit(_NONE << 2 * _ID_BITS)
 
-        def pair(left: Column, right: Column) -> Column:
-            slot = F.get(table, F.get(shifts, left.cast("int")) + right.cast("int"))
+        def ranked(left: Column, right: Column) -> Column:
+            """The rank of a pair of pieces, in its place within an entry."""
+            slot = F.get(table, (F.get(shifts, left.cast("int")) + right).cast("int"))
             # the id if the slot holds a merge of this left piece, and out of its range otherwise
-            return F.least((slot - F.shiftleft(left, _ID_BITS)).bitwiseAND(F.lit((1 << 62) - 1)), none)
+            rank = F.least((slot - F.shiftleft(left, _ID_BITS)).bitwiseAND(F.lit((1 << 62) - 1)), none)
+            return F.shiftleft(rank, 2 * _ID_BITS)
 
-        def packed(rank: Column, place: Column, piece: Column) -> Column:
-            return F.shiftleft(rank, 2 * _ID_BITS) + F.shiftleft(place, _ID_BITS) + piece
+        def id_of(entry: Column) -> Column:
+            return entry.bitwiseAND(F.lit(_ID))
 
         def step(entries: Column, _: Column) -> Column:
             def unless_done(best: Column) -> Column:
-                place = F.array_position(entries, best).cast("int")
-                return F.when(best >= F.lit(_NONE << 2 * _ID_BITS), entries).otherwise(
-                    _let(place, lambda at: replaced(entries, best, at))
-                )
+                at = F.array_position(entries, best).cast("int")
+                return F.when(best >= unranked, entries).otherwise(_let(at, lambda at: replaced(entries, best, at)))
 
             return _let(F.array_min(entries), unless_done)
 
         def replaced(entries: Column, best: Column, at: Column) -> Column:
-            """The entries with the pair at ``at`` (from 1) as one piece, and the rank of the one before it."""
+            """The entries without the one at ``at`` (from 1), its piece as part of the one before it."""
             piece = F.shiftright(best, 2 * _ID_BITS)
-            start = F.shiftright(best, _ID_BITS).bitwiseAND(F.lit(_ID))
-            here = packed(pair(piece, F.get(entries, at + 1).bitwiseAND(F.lit(_ID))), start, piece)
-            rest = F.slice(entries, at + 2, F.lit(FOLD_BYTES))
-            before = F.get(entries, at - 2)
-            left = F.shiftleft(pair(before.bitwiseAND(F.lit(_ID)), piece), 2 * _ID_BITS)
-            left = left + before.bitwiseAND(F.lit(_LOW))
-            # flatten is faster than concat, which goes over lazy lists
-            first_of_all = F.flatten(F.array(F.array(here), rest))
-            inner = F.flatten(F.array(F.slice(entries, F.lit(1), at - 2), F.array(left, here), rest))
-            return F.when(at > 1, inner).otherwise(first_of_all)
+
+            def entry(old: Column, place: Column) -> Column:
+                follows = ranked(piece, id_of(old)) + old.bitwiseAND(F.lit(_LOW))
+                kept = old.bitwiseAND(F.lit(_LOW - _ID)) + piece
+                longer = F.when(place > 0, ranked(id_of(F.get(entries, place - 1)), piece)).otherwise(unranked) + kept
+                return F.when(place == at - 1, follows).when(place == at - 2, longer).otherwise(old)
+
+            return F.transform(F.array_remove(entries, best), entry)
 
         def start(codes: Column) -> Column:
             def entry(code: Column, at: Column) -> Column:
-                rank = F.coalesce(F.get(first, code * 256 + F.get(codes, at + 1)), F.lit(_NONE)).cast("long")
-                return packed(rank, at.cast("long"), F.get(byte_ids, code).cast("long"))
+                before = F.coalesce(F.get(codes, at - 1), F.lit(256))
+                return F.get(first, before * 256 + code) + F.shiftleft(at.cast("long"), _ID_BITS)
 
             return F.transform(codes, entry)
 
@@ -176,7 +174,7 @@ class ByteBPE:
         return F.when((size > 0) & (size <= FOLD_BYTES), ids)
 
     def _tables(self) -> Column:
-        """Ids of the bytes, ids of pairs of bytes, and the merges as a table of two steps.
+        """The entry of a byte after each byte and after none, without its place, and the merges as a table of two steps.
 
         A merge is found without comparing several: its left piece gives a shift, and that with the right piece its
         slot, which says of which left piece it is. All is one constant text that the optimizer turns into a literal once, and the plan has it
@@ -189,15 +187,11 @@ class ByteBPE:
                 left = merge_long(token, ranks, below=rank)
                 if len(left) == 2:
                     merges[(left[0] << _ID_BITS) + left[1]] = rank
-            pairs = [_NONE] * (1 << 16)
-            byte_of = {ranks[bytes([b])]: b for b in range(256)}
-            for key, rank in merges.items():
-                a, b = byte_of.get(key >> _ID_BITS), byte_of.get(key & _ID)
-                if a is not None and b is not None:
-                    pairs[256 * a + b] = rank
             single = [ranks[bytes([b])] for b in range(256)]
-            self._literal = json.dumps(dict(zip(_TABLES, (single, pairs, *_slotted(merges)))), separators=(",", ":"))
-        kinds = ("array<int>", "array<int>", "array<int>", "array<bigint>")
+            merged = [merges.get((a << _ID_BITS) + b, _NONE) for a in single for b in single]
+            first = [(rank << 2 * _ID_BITS) + single[at % 256] for at, rank in enumerate([*merged, *[_NONE] * 256])]
+            self._literal = json.dumps(dict(zip(_TABLES, (first, *_slotted(merges)))), separators=(",", ":"))
+        kinds = ("array<bigint>", "array<int>", "array<bigint>")
         return F.from_json(F.lit(self._literal), ", ".join(f"{x} {kind}" for x, kind in zip(_TABLES, kinds)))
 
 
@@ -353,13 +347,17 @@ def _numbering(pattern: str):
 
 
 class _Known:
-    """The ids of numbered words, on end."""
+    """The ids of numbered words, on end, in two bytes each if ``most``, the largest, allows it."""
 
-    def __init__(self) -> None:
-        self.ids, self.stops, self.count = np.zeros(1 << 12, "<u4"), np.zeros(1 << 10, np.int64), 0
+    def __init__(self, most: int) -> None:
+        self.ids = np.zeros(1 << 12, "<u2" if most < 1 << 16 else "<u4")
+        # where the ids of each word end; four bytes until there are too many
+        self.stops, self.count = np.zeros(1 << 10, np.uint32), 0
 
     def add(self, ids: np.ndarray, lengths: np.ndarray) -> None:
-        end = self.stops[self.count]
+        end = int(self.stops[self.count])
+        if end + len(ids) > np.iinfo(self.stops.dtype).max:
+            self.stops = self.stops.astype(np.int64)
         self.ids = _room(self.ids, end + len(ids))
         self.stops = _room(self.stops, self.count + len(lengths) + 1)
         self.ids[end : end + len(ids)] = ids
@@ -368,10 +366,10 @@ class _Known:
 
     def of(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of several words on end, and how many each has."""
-        starts = self.stops[codes]
+        starts = self.stops[codes].astype(np.int64)
         lengths = self.stops[codes + 1] - starts
         before = np.cumsum(lengths) - lengths
-        return self.ids[np.repeat(starts - before, lengths) + np.arange(lengths.sum())], lengths
+        return self.ids[np.repeat(starts - before, lengths) + np.arange(lengths.sum())].astype("<u4"), lengths
 
 
 def _room(array: np.ndarray, size: int) -> np.ndarray:
@@ -396,7 +394,8 @@ def _joining(ranks: dict[bytes, int], numbered: str, merged: str, ids: str):
         known.add(flat[stops[start] :], lengths[start:])
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = _Known()
+        most = max(ranks.values())
+        known = _Known(most)
         for batch in batches:
             codes, fresh = batch.column(numbered).flatten()
             rows = np.concatenate(([0], np.cumsum(pc.list_value_length(fresh).to_numpy(zero_copy_only=False))))
@@ -412,7 +411,7 @@ def _joining(ranks: dict[bytes, int], numbered: str, merged: str, ids: str):
             for k, (a, b) in enumerate(zip(edges[:-1], edges[1:])):
                 start = rows[a]
                 if k:
-                    known, start = _Known(), again[k - 1] + 1
+                    known, start = _Known(most), again[k - 1] + 1
                 learn(known, words.slice(start, rows[b] - start), found.slice(start, rows[b] - start))
                 for at in range(places[a], places[b], _AT_ONCE):
                     some, lengths = known.of(numbers[at : min(at + _AT_ONCE, places[b])].astype(np.int64))

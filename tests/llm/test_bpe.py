@@ -80,6 +80,23 @@ def test_fold_and_heap_agree(spark, tokenizer):
         assert row["ids"] == bpe.merge_long(row["w"].encode(), tokenizer.ranks)
 
 
+def test_fold_of_repeated_and_random_letters(spark, tokenizer):
+    rng = random.Random(3)
+    words = ["".join(rng.choices(some, k=rng.randint(1, 40))) for some in ("ab", " etn", "aé日", "the ing", "x.-") for _ in range(60)]
+    words += ["a", "b" * 255, "ab" * 128, "e" + "t" * 254, "a" * 257, ""]
+    df = spark.createDataFrame([(words,)], "w array<string>")
+    for word, ids in zip(words, df.select(tokenizer.merged(F.col("w"))).first()[0]):
+        expected = bpe.merge_long(word.encode(), tokenizer.ranks) if 0 < len(word.encode()) <= bpe.FOLD_BYTES else None
+        assert ids == expected, word
+
+
+def test_a_step_of_the_fold_does_not_put_slices_together(spark, tokenizer):
+    df = spark.createDataFrame([(["a b"],)], "w array<string>")
+    plan = df.select(tokenizer.merged(F.col("w")).alias("ids"))._jdf.queryExecution().analyzed().toString()
+    step = plan[plan.index("aggregate(") :]
+    assert "array_remove(" in step and "flatten(" not in step and step.count("slice(") == 1
+
+
 def test_other_columns_stay_and_names_may_clash(spark, tokenizer):
     df = spark.createDataFrame([(1, "a b", [1, 2], "k")], "_words long, text string, _fresh_ids array<int>, `a.b` string")
     found = tokenizer.encode(df, "text")
@@ -151,3 +168,21 @@ def test_free_memory_is_given_back_with_every_batch(monkeypatch):
     assert len(times) == 4
     decoded = [x.to_pylist() for x in bpe._decoding(ranks)(iter(joined))]
     assert decoded == [[b"some words"], [b"others", b""]] and len(times) == 6
+
+
+@pytest.mark.parametrize("most,size", [(50_000, 2), (1 << 16, 4)])
+def test_ids_of_words_take_two_bytes_if_they_can(most, size):
+    known = bpe._Known(most)
+    known.add(np.array([most, 7, 9], "<u4"), np.array([1, 0, 2]))
+    assert known.ids.itemsize == size and known.stops.itemsize == 4
+    ids, lengths = known.of(np.array([2, 1, 0, 2]))
+    assert ids.dtype == "<u4" and ids.tolist() == [7, 9, most, 7, 9] and lengths.tolist() == [2, 0, 1, 2]
+
+
+def test_very_many_ids_take_longer_places(monkeypatch):
+    known = bpe._Known(9)
+    known.stops[0] = known.stops[1] = (1 << 32) - 2
+    monkeypatch.setattr(bpe, "_room", lambda array, size: array)
+    known.ids = type("Held", (), {"__setitem__": lambda *_: None})()
+    known.add(np.array([1, 2, 3], "<u4"), np.array([3]))
+    assert known.stops.dtype == np.int64 and known.stops[1] == (1 << 32) + 1
